@@ -7,7 +7,7 @@ windows then work on pieces of bounded size, and the result equals one long wind
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET_SECONDS = 6 * 3600
 
@@ -32,9 +32,12 @@ def previous_value(rows: DataFrame, key: str, at: str, tie: str, value: str, nam
     ).drop("_bucket", "_position", "_carried")
 
 
-def streak_since_reset(rows: DataFrame, key: str, at: str, tie: str, is_reset, name: str,
-                       bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Rows since the last reset row, per key in order of ``at, tie``; a reset row itself has 0."""
+def streak_since_reset(rows: DataFrame, key: str, at: str, tie: str, is_reset: Column, name: str,
+                       bucket_seconds: int = BUCKET_SECONDS, start: DataFrame | None = None) -> DataFrame:
+    """Rows since the last reset row, per key in order of ``at, tie``; a reset row itself has 0.
+
+    ``start`` (``key, start``) gives the streak each key begins with.
+    """
     cut = with_bucket(rows, at, bucket_seconds).withColumn("_counts", F.when(is_reset, 0).otherwise(1))
     inside = Window.partitionBy(key, "_bucket").orderBy(at, tie).rowsBetween(Window.unboundedPreceding, 0)
     running = cut.withColumn("_total", F.sum("_counts").over(inside)).withColumn(
@@ -42,14 +45,18 @@ def streak_since_reset(rows: DataFrame, key: str, at: str, tie: str, is_reset, n
     # Per bucket: rows counted, and how many of them came after its last reset (null without a reset).
     bucket = running.groupBy(key, "_bucket").agg(
         F.sum("_counts").alias("_counted"), F.max("_at_reset").alias("_reset_total"))
+    begin = F.lit(0)
+    if start is not None:
+        bucket = bucket.join(start.select(key, F.col("start").alias("_start")), key, "left")
+        begin = F.coalesce("_start", F.lit(0))
     over_buckets = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     carry = bucket.withColumn("_sum", F.sum("_counted").over(over_buckets)).withColumn(
         "_sum_at_reset",
         F.max(F.when(F.col("_reset_total").isNotNull(), F.col("_sum") - F.col("_counted") + F.col("_reset_total")))
         .over(over_buckets))
     carry = carry.select(key, "_bucket", F.coalesce(
-        F.lag(F.col("_sum") - F.coalesce("_sum_at_reset", F.lit(0))).over(
-            Window.partitionBy(key).orderBy("_bucket")), F.lit(0)).alias("_carried"))
+        F.lag(F.col("_sum") - F.coalesce(F.col("_sum_at_reset"), -begin)).over(
+            Window.partitionBy(key).orderBy("_bucket")), begin).alias("_carried"))
     joined = running.join(carry, [key, "_bucket"], "left")
     streak = F.when(F.col("_at_reset").isNotNull(), F.col("_total") - F.col("_at_reset")).otherwise(
         F.col("_total") + F.col("_carried"))
