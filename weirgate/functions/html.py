@@ -5,7 +5,7 @@ from __future__ import annotations
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from weirgate import constants as C
 
@@ -47,8 +47,7 @@ def fragment_text(value: str | None, maximum: int) -> str | None:
 def sanitize_html(value: Column, maximum: int = C.ARTICLE_TEXT_MAX) -> Column:
     """Visible text of an HTML fragment."""
 
-    @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
         return values.map(lambda item: fragment_text(item, maximum))
 
-    return run(value)
+    return F.pandas_udf(run, T.StringType())(value)

@@ -52,20 +52,25 @@ def fetch_duration_ms(start: Column, finish: Column, reported: Column) -> Column
     return F.greatest(F.lit(0).cast("bigint"), duration_ms(start, finish), reported.cast("bigint"))
 
 
+#: Fixed offsets of the zone names that mail dates use.
+ZONE_OFFSETS = {
+    "": "+0000", "UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400",
+    "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
+
+
 def parse_feed_date(value: Column) -> Column:
     """RFC 2822 or ISO time; no zone means UTC; unreadable becomes null."""
-    text = F.trim(F.regexp_replace(value, r"\A\s*[A-Za-z]{3,9},\s*", ""))
-    text = F.regexp_replace(text, r"\s+\([^)]*\)\z", "")
-    text = F.regexp_replace(F.regexp_replace(text, r"\s+", " "), r"(?i) (UT|UTC|GMT|Z)\z", " +0000")
-    for zone, offset in (("EST", "-0500"), ("EDT", "-0400"), ("CST", "-0600"), ("CDT", "-0500"),
-                         ("MST", "-0700"), ("MDT", "-0600"), ("PST", "-0800"), ("PDT", "-0700")):
-        text = F.regexp_replace(text, rf" {zone}\z", f" {offset}")
-    mail = [
-        F.try_to_timestamp(text, F.lit(pattern))
-        for pattern in ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm")
-    ]
-    iso = F.try_to_timestamp(F.when(F.rlike(text, F.lit(r"\A\d{4}-\d{2}-\d{2}")), text))
-    return F.when(F.rlike(text, F.lit(r"\A\d{1,2} [A-Za-z]{3} \d{4}")), F.coalesce(*mail)).otherwise(iso)
+    text = F.trim(F.regexp_replace(value, r"\A\s*([A-Za-z]{3,9},)?\s*", ""))
+    shape = r"\A(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{2}|\d{4})\s+(\d{1,2}:\d{2})(:\d{2})?\s*([^()\s]*)\s*(\(.*\))?\z"
+    day, month, year, clock, seconds, zone = [F.regexp_extract(text, shape, group) for group in range(1, 7)]
+    century = F.when(F.length(year) == 4, "").when(year > "68", "19").otherwise("20")
+    offsets = F.create_map(*[F.lit(part) for pair in ZONE_OFFSETS.items() for part in pair])
+    offset = F.coalesce(F.try_element_at(offsets, F.upper(zone)), zone)
+    mail = F.concat(day, F.lit(" "), month, F.lit(" "), century, year, F.lit(" "), clock,
+                    F.when(seconds == "", ":00").otherwise(seconds), F.lit(" "), offset)
+    iso = F.when(F.rlike(text, F.lit(r"\A\d{4}-\d{2}-\d{2}")), text)
+    return F.coalesce(F.try_to_timestamp(mail, F.lit("d MMM yyyy H:mm:ss Z")), F.try_to_timestamp(iso))
 
 
 def next_fire_time(now: Column, hour: int, minute: int, zone: str) -> Column:

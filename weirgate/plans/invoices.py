@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirgate import schemas
@@ -42,7 +44,6 @@ FROM gated GROUP BY 1""", "file", "gated"))
 
 def document_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Documents written as files and read back as binary files through the gate."""
-    import uuid
     place = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
     t.invoice_files(spark, folder).select(F.decode("content", "UTF-8").alias("value")).where(
         F.col("value").isNotNull()).write.text(place)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirgate.functions import hashing, text, times, urls
@@ -166,8 +168,9 @@ FROM (SELECT *, CASE WHEN target IS NULL THEN NULL
 
 # --- feeds and entries ----------------------------------------------------------------------------
 
-def _page_feeds(spark: SparkSession, folder: str) -> DataFrame:
-    """One feed document per page, RSS or Atom by number, with three entries and a broken tail now and then."""
+def _page_feeds(spark: SparkSession, folder: str, broken: bool = True) -> DataFrame:
+    """One feed document per page with three entries. With ``broken`` some are Atom, some no feed, some have junk
+    after the end."""
     key = F.col("page_id")
     title = text.escape_html5(F.regexp_replace("title", r"[^\p{Print}\p{L}]", " "))
     link = text.escape_html5("link")
@@ -181,8 +184,10 @@ def _page_feeds(spark: SparkSession, folder: str) -> DataFrame:
         return F.concat(F.lit("<item><guid>"), number, F.lit("</guid><title>"), title, F.lit("</title><link>"), link,
                         F.lit("</link><pubDate>Mon, 0"), F.lit(str(place)), F.lit(" Jan 2024 10:00:00 GMT</pubDate></item>"))
 
-    rss = F.concat(F.lit("<rss><channel>"), *[entry(place, False) for place in (1, 2, 3)], F.lit("</channel></rss>"),
-                   F.when(key % 5 == 0, "tail <junk").otherwise(""))
+    rss = F.concat(F.lit("<rss><channel>"), *[entry(place, False) for place in (1, 2, 3)], F.lit("</channel></rss>"))
+    if not broken:
+        return t.feed_entries(spark, folder).select("page_id", "source_key", rss.alias("body"))
+    rss = F.concat(rss, F.when(key % 5 == 0, "tail <junk").otherwise(""))
     atom = F.concat(F.lit("<feed>"), *[entry(place, True) for place in (1, 2, 3)], F.lit("</feed>"))
     body = F.when(key % 7 == 0, "not a feed").when(key % 2 == 0, rss).otherwise(atom)
     return t.feed_entries(spark, folder).select("page_id", "source_key", body.alias("body"))
@@ -205,14 +210,18 @@ WHERE page_id % 7 <> 0 OR i = 0""")
 
 
 def feed_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """The same feeds written as XML text files and scanned by tag."""
-    import uuid
+    """Feeds written as XML files and scanned by tag."""
     place = f"{shared_folder(spark)}/feeds-{uuid.uuid4().hex}"
-    _page_feeds(spark, folder).where(F.col("page_id") % 2 == 0).select("body").write.text(place)
-    return feeds.read_feed_entries(spark, place, "item").select("external_id", "title", "link", "parse_error")
+    _page_feeds(spark, folder, broken=False).select("body").write.text(place)
+    scanned = feeds.read_feed_entries(spark, place, "item")
+    return scanned.select("external_id", "link", F.unix_micros("published_at").alias("published_us"), "parse_error")
 
 
-QUERIES["feed_scan"] = Query(feed_scan)
+QUERIES["feed_scan"] = Query(feed_scan, """
+SELECT page_id || '-' || i AS external_id, url AS link,
+       epoch_us(TIMESTAMP '2024-01-01 10:00:00') + (i - 1) * 86400000000 AS published_us,
+       CAST(NULL AS VARCHAR) AS parse_error
+FROM pages, (VALUES (1), (2), (3)) AS places(i)""")
 
 
 def entry_normalize(spark: SparkSession, folder: str) -> DataFrame:

@@ -41,7 +41,7 @@ WITH entry AS (
          CASE WHEN n_chars < 40 THEN 'skipped'
               WHEN doc_id = min(doc_id) OVER (PARTITION BY doc_id % 30, sha256(text)) THEN 'inserted'
               ELSE 'duplicate' END AS outcome FROM documents),
-fetch AS (SELECT DISTINCT run_id, source_key,
+fetched AS (SELECT DISTINCT run_id, source_key,
     CASE (run_id + CAST(regexp_extract(source_key, '([0-9]+)$', 1) AS INTEGER)) % 9 WHEN 0 THEN 'failed'
          WHEN 1 THEN 'not_modified' ELSE 'success' END AS fetch_status FROM entry),
 summary AS (SELECT run_id, source_key, fetch_status,
@@ -49,7 +49,7 @@ summary AS (SELECT run_id, source_key, fetch_status,
     count(*) FILTER (WHERE fetch_status = 'success' AND outcome = 'inserted') AS items_inserted,
     count(*) FILTER (WHERE fetch_status = 'success' AND outcome = 'duplicate') AS items_duplicate,
     count(*) FILTER (WHERE fetch_status = 'success' AND outcome = 'skipped') AS items_skipped
-  FROM fetch JOIN entry USING (run_id, source_key) GROUP BY 1, 2, 3)
+  FROM fetched JOIN entry USING (run_id, source_key) GROUP BY 1, 2, 3)
 """
 
 

@@ -41,8 +41,8 @@ def _entry_columns(item: Column) -> list[Column]:
         ).alias("summary"),
         strip(F.coalesce(item["author"]["name"], item["author"]["_VALUE"], item["creator"])).alias("author"),
         F.coalesce(
-            parse_feed_date(item["pubDate"]), parse_feed_date(item["published"]),
-            parse_feed_date(item["date"]), parse_feed_date(item["updated"]),
+            parse_feed_date(F.coalesce(item["pubDate"], item["published"], item["date"])),
+            parse_feed_date(item["updated"]),
         ).alias("published_at"),
     ]
 
@@ -66,10 +66,10 @@ def parse_feed_bodies(bodies: DataFrame, body: str = "body") -> DataFrame:
 
 
 def read_feed_entries(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame:
-    """Entries of large XML files, scanned by tag (A2). Rows carry ``parse_error`` where the text was unreadable.
+    """Entries of XML files, scanned by tag (A2). Rows carry ``parse_error`` where the text was unreadable.
 
-    The scan splits nothing but the entries, so it suits big files; it has no document order (see
-    ``parse_feed_bodies`` for that).
+    Each file is one feed or several well-formed ones; the scan ends at the first junk in a file and keeps what came
+    before. It has no document order and no key per file: for bodies in a table use ``parse_feed_bodies``.
     """
     scanned = (
         spark.read.format("xml").schema(schemas.FEED_ITEM).options(**_XML).option("rowTag", row_tag).load(path)

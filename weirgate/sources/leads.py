@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weirgate import schemas
 from weirgate.functions.text import strip
@@ -10,7 +10,8 @@ from weirgate.functions.text import strip
 
 def read_lead_requests(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """JSON payloads with a fixed schema; unreadable rows keep their text in ``_corrupt_record``."""
-    schema = schemas.LEAD_REQUEST.add("header_key", "string").add("_corrupt_record", "string")
+    extra = [T.StructField(name, T.StringType()) for name in ("header_key", "_corrupt_record")]
+    schema = T.StructType(schemas.LEAD_REQUEST.fields + extra)
     reader = spark.readStream if stream else spark.read
     return with_idempotency_key(
         reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
