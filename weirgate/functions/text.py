@@ -8,6 +8,11 @@ from weirgate import constants as C
 
 #: Every code point that counts as white space in the data model (Java's ``\s`` misses most of them).
 SPACE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
+#: The same code points one by one, for trimming without a pattern.
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 #: White space that may lead a line, including the zero-width marks.
 LINE_LEAD = (
     r"(?m)^[ \t\x{00A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}\x{FEFF}\x{200B}-\x{200D}\x{2060}]+"
@@ -20,7 +25,7 @@ def _col(value: Column | str) -> Column:
 
 def strip(value: Column | str) -> Column:
     """Trim every kind of white space at both ends."""
-    return F.regexp_replace(_col(value), rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(_col(value), F.lit(SPACE_CHARS))
 
 
 def collapse_space(value: Column | str) -> Column:

@@ -91,10 +91,6 @@ def attach_source(items: DataFrame, sources: DataFrame) -> DataFrame:
     return joined.withColumn("source_known", F.coalesce("source_known", F.lit(False)))
 
 
-def _haystack() -> Column:
-    return F.concat(F.lower(text.strip("title")), F.lit(" "), F.lower(text.strip("sanitized_summary")))
-
-
 def ignore_reason(profile: TopicProfile, now: datetime | str, max_age_hours: int) -> Column:
     """First reason to ignore an item, null when there is none."""
     excluded = F.lit(False)
@@ -104,8 +100,8 @@ def ignore_reason(profile: TopicProfile, now: datetime | str, max_age_hours: int
         F.when(~F.col("source_known"), "irrelevant")
         .when(F.col("status").isin("used", "ignored"), "irrelevant")
         .when(times.is_too_old(age_anchor(), now, max_age_hours), "too_old")
-        .when(F.length(text.strip("title")) < profile.min_title_length, "missing_title")
-        .when(F.length(text.strip("sanitized_summary")) < profile.min_summary_length, "missing_content")
+        .when(F.length("_title") < profile.min_title_length, "missing_title")
+        .when(F.length("_summary") < profile.min_summary_length, "missing_content")
         .when(excluded, "irrelevant")
     )
 
@@ -123,9 +119,12 @@ def score_items(items: DataFrame, sources: DataFrame, profile: TopicProfile, now
                 max_age_hours: int = 72) -> DataFrame:
     """Add ``ignore_reason`` and, where it is null, ``score``. Texts are dropped: only they are large.
 
-    The haystack lives in the map stage only; rows leave it with keys, reason and score.
+    Trimmed texts and the haystack are worked out once per row and live in the map stage only; rows leave it with
+    keys, reason and score.
     """
-    rows = attach_source(items, sources).withColumn("_haystack", _haystack())
+    rows = attach_source(items, sources).withColumns(
+        {"_title": text.strip("title"), "_summary": text.strip("sanitized_summary")})
+    rows = rows.withColumn("_haystack", F.lower(F.concat("_title", F.lit(" "), "_summary")))
     rows = rows.withColumn("ignore_reason", ignore_reason(profile, now, max_age_hours))
     score = F.when(F.col("ignore_reason").isNull(), relevance_score(profile, now, max_age_hours))
     return rows.select("news_item_id", "source_key", "title", "status", "published_at", "ignore_reason",
@@ -136,12 +135,12 @@ def diversify(scored: DataFrame, per_source: int = C.MAX_ITEMS_PER_SOURCE, limit
     """At most ``per_source`` items per source, best ``limit`` overall.
 
     Equal to walking the ranking and skipping full sources. The rank filter becomes a group limit before the shuffle,
-    so each task sends at most ``per_source`` rows per source, however large the source is.
+    so each task sends at most ``per_source`` rows per source, however large the source is. Rows without a score rank
+    last and are dropped afterwards: a filter before the rank would work out every score twice.
     """
-    by_rank = Window.partitionBy("source_key").orderBy(F.col("score").desc(), F.col("news_item_id").asc())
-    kept = scored.where(F.col("score").isNotNull()).withColumn("source_rank", F.row_number().over(by_rank)).where(
-        F.col("source_rank") <= per_source)
-    return kept.orderBy(F.col("score").desc(), F.col("news_item_id").asc()).limit(limit)
+    by_rank = Window.partitionBy("source_key").orderBy(F.col("score").desc_nulls_last(), F.col("news_item_id").asc())
+    kept = scored.withColumn("source_rank", F.row_number().over(by_rank)).where(F.col("source_rank") <= per_source)
+    return kept.where(F.col("score").isNotNull()).orderBy(F.col("score").desc(), F.col("news_item_id").asc()).limit(limit)
 
 
 def select_candidates(items: DataFrame, sources: DataFrame, profile: TopicProfile, now: datetime | str,

@@ -3,6 +3,9 @@
 A key may own a third of all rows. Its history is cut into time buckets: a window runs inside each (key, bucket), one
 summary row per bucket carries the state from bucket to bucket, and the carried state is joined back. Both joins and
 windows then work on pieces of bounded size, and the result equals one long window per key.
+
+Every bucket of the rows has its summary, so the join back is an inner one: both sides then share the shuffle of the
+rows. Key and time are never null in a history; rows without them have no place in it.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ def previous_value(rows: DataFrame, key: str, at: str, tie: str, value: str, nam
     last = cut.groupBy(key, "_bucket").agg(F.max(F.struct(at, tie, value)).getField(value).alias("_last"))
     carried = last.select(key, "_bucket",
                           F.lag("_last").over(Window.partitionBy(key).orderBy("_bucket")).alias("_carried"))
-    joined = local.join(carried, [key, "_bucket"], "left")
+    joined = local.join(carried, [key, "_bucket"])
     return joined.withColumn(
         name, F.when(F.col("_position") == 1, F.col("_carried")).otherwise(F.col(name))
     ).drop("_bucket", "_position", "_carried")
@@ -57,7 +60,7 @@ def streak_since_reset(rows: DataFrame, key: str, at: str, tie: str, is_reset: C
     carry = carry.select(key, "_bucket", F.coalesce(
         F.lag(F.col("_sum") - F.coalesce(F.col("_sum_at_reset"), -begin)).over(
             Window.partitionBy(key).orderBy("_bucket")), begin).alias("_carried"))
-    joined = running.join(carry, [key, "_bucket"], "left")
+    joined = running.join(carry, [key, "_bucket"])
     streak = F.when(F.col("_at_reset").isNotNull(), F.col("_total") - F.col("_at_reset")).otherwise(
         F.col("_total") + F.col("_carried"))
     return joined.withColumn(name, streak.cast("bigint")).drop(

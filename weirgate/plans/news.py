@@ -168,9 +168,8 @@ FROM (SELECT *, CASE WHEN target IS NULL THEN NULL
 
 # --- feeds and entries ----------------------------------------------------------------------------
 
-def _page_feeds(spark: SparkSession, folder: str, broken: bool = True) -> DataFrame:
-    """One feed document per page with three entries. With ``broken`` some are Atom, some no feed, some have junk
-    after the end."""
+def _page_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """One feed document per page with three entries: RSS or Atom by number, some no feed, some with junk at the end."""
     key = F.col("page_id")
     title = text.escape_html5(F.regexp_replace("title", r"[^\p{Print}\p{L}]", " "))
     link = text.escape_html5("link")
@@ -185,8 +184,6 @@ def _page_feeds(spark: SparkSession, folder: str, broken: bool = True) -> DataFr
                         F.lit("</link><pubDate>Mon, 0"), F.lit(str(place)), F.lit(" Jan 2024 10:00:00 GMT</pubDate></item>"))
 
     rss = F.concat(F.lit("<rss><channel>"), *[entry(place, False) for place in (1, 2, 3)], F.lit("</channel></rss>"))
-    if not broken:
-        return t.feed_entries(spark, folder).select("page_id", "source_key", rss.alias("body"))
     rss = F.concat(rss, F.when(key % 5 == 0, "tail <junk").otherwise(""))
     atom = F.concat(F.lit("<feed>"), *[entry(place, True) for place in (1, 2, 3)], F.lit("</feed>"))
     body = F.when(key % 7 == 0, "not a feed").when(key % 2 == 0, rss).otherwise(atom)
@@ -210,9 +207,14 @@ WHERE page_id % 7 <> 0 OR i = 0""")
 
 
 def feed_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Feeds written as XML files and scanned by tag."""
+    """Three entries per page, written as XML files and scanned by tag."""
     place = f"{shared_folder(spark)}/feeds-{uuid.uuid4().hex}"
-    _page_feeds(spark, folder, broken=False).select("body").write.text(place)
+    entries = t.feed_entries(spark, folder).select(
+        "page_id", "title", "link", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("n"))
+    entries.select(
+        F.concat_ws("-", "page_id", "n").alias("guid"), "title", "link",
+        F.concat(F.lit("Mon, 0"), F.col("n").cast("string"), F.lit(" Jan 2024 10:00:00 GMT")).alias("pubDate"),
+    ).write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(place)
     scanned = feeds.read_feed_entries(spark, place, "item")
     return scanned.select("external_id", "link", F.unix_micros("published_at").alias("published_us"), "parse_error")
 
