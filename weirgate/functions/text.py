@@ -146,11 +146,13 @@ def strip_tracking(url: Column | str) -> Column:
     )
 
 
-#: Entities the built-in variant decodes, in this order (the ampersand last, so nothing is decoded twice).
+#: Entities the built-in variant decodes before the ampersand.
 BASIC_ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-    ("&amp;", "&"),
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
+    ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"),
 )
+#: The ampersand comes last, so nothing is decoded twice; its semicolon may be missing.
+AMPERSAND = "&amp;?"
 
 
 def sanitize_markup(value: Column | str, maximum: int = C.ARTICLE_TEXT_MAX) -> Column:
@@ -161,6 +163,7 @@ def sanitize_markup(value: Column | str, maximum: int = C.ARTICLE_TEXT_MAX) -> C
     text = F.regexp_replace(_col(value), r"(?is)<(script|style)\b.*?</(script|style)\s*>|<!--.*?-->|<[^>]*>", "")
     for escaped, plain in BASIC_ENTITIES:
         text = F.replace(text, F.lit(escaped), F.lit(plain))
+    text = F.regexp_replace(text, AMPERSAND, "&")
     return F.rtrim(F.substring(collapse_space(text), 1, maximum))
 
 

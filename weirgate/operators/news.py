@@ -17,7 +17,8 @@ def normalize_entries(entries: DataFrame, sources: DataFrame, collected_at: Colu
     """Feed entries as news items (B11). Unusable entries stay with a ``skip_reason``.
 
     ``entries`` has ``source_key, external_id, link, title, summary, author, published_at``; ``sources`` has
-    ``source_key, allowed_host``. URL and HTML parsing run in Arrow UDFs on the entry text only.
+    ``source_key, allowed_host``. URL and HTML parsing run in Arrow UDFs; the text of an entry that is already skipped
+    is not parsed.
     """
     hosts = sources.select("source_key", urls.normalize_hostname(F.col("allowed_host")).alias("_host"))
     rows = entries.withColumn("title", text.strip(F.coalesce("title", F.lit("")))).withColumn(
@@ -25,8 +26,9 @@ def normalize_entries(entries: DataFrame, sources: DataFrame, collected_at: Colu
     rows = rows.withColumn("canonical_url", urls.canonicalize_url(F.col("link"))).join(hosts, "source_key", "left")
     rows = rows.withColumn("_article_host", urls.normalize_hostname(urls.canonical_host(F.col("canonical_url"))))
     body = F.when(F.coalesce(F.col("summary"), F.lit("")) == "", F.col("title")).otherwise(F.col("summary"))
-    rows = rows.withColumn("_from_body", html.sanitize_html(body, maximum)).withColumn(
-        "_from_title", html.sanitize_html(F.col("title"), maximum))
+    usable = F.coalesce((F.col("title") != "") & (F.col("_article_host") == F.col("_host")), F.lit(False))
+    rows = rows.withColumn("_from_body", html.sanitize_html(F.when(usable, body), maximum)).withColumn(
+        "_from_title", html.sanitize_html(F.when(F.col("_from_body") == "", F.col("title")), maximum))
     cleaned = F.when(F.col("_from_body") == "", F.col("_from_title")).otherwise(F.col("_from_body"))
     rows = rows.withColumn("sanitized_summary", cleaned).withColumn(
         "normalized_title", F.substring(text.normalize_title("title"), 1, 500))
@@ -119,11 +121,14 @@ def score_items(items: DataFrame, sources: DataFrame, profile: TopicProfile, now
                 max_age_hours: int = 72) -> DataFrame:
     """Add ``ignore_reason`` and, where it is null, ``score``. Texts are dropped: only they are large.
 
-    Trimmed texts and the haystack are worked out once per row and live in the map stage only; rows leave it with
-    keys, reason and score.
+    Trimmed texts and the haystack are worked out once, only for rows that pass the cheap status and age rules, and
+    live in the map stage only; rows leave it with keys, reason and score.
     """
+    open_row = F.col("source_known") & ~F.col("status").isin("used", "ignored") & ~times.is_too_old(
+        age_anchor(), now, max_age_hours)
     rows = attach_source(items, sources).withColumns(
-        {"_title": text.strip("title"), "_summary": text.strip("sanitized_summary")})
+        {f"_{short}": F.when(open_row, text.strip(name))
+         for short, name in (("title", "title"), ("summary", "sanitized_summary"))})
     rows = rows.withColumn("_haystack", F.lower(F.concat("_title", F.lit(" "), "_summary")))
     rows = rows.withColumn("ignore_reason", ignore_reason(profile, now, max_age_hours))
     score = F.when(F.col("ignore_reason").isNull(), relevance_score(profile, now, max_age_hours))

@@ -182,12 +182,12 @@ def cascade_effect(deleted: DataFrame, key: str, edges: list[tuple[str, DataFram
 def scan_secrets(rows: DataFrame, key: str, text: str, patterns: dict[str, str] | None = None) -> DataFrame:
     """Label, place and number of key-shaped texts (J11), whole texts, one row per key and label."""
     patterns = C.SECRET_PATTERNS if patterns is None else patterns
-    found = F.array_compact(F.array(*[
-        F.when(F.regexp_count(c(text), F.lit(pattern)) > 0, F.struct(
-            F.lit(label).alias("label"), F.regexp_count(c(text), F.lit(pattern)).cast("bigint").alias("matches")))
+    counts = F.array(*[
+        F.struct(F.lit(label).alias("label"), F.regexp_count(c(text), F.lit(pattern)).cast("bigint").alias("matches"))
         for label, pattern in patterns.items()
-    ]))
-    return rows.select(key, F.inline(found))
+    ])
+    # One slot per pattern and the filter behind it: each pattern runs once per text.
+    return rows.select(key, F.inline(counts)).where(c("matches") > 0)
 
 
 def header_mismatch(rows: DataFrame, expected: tuple[str, ...]) -> list[str]:

@@ -20,7 +20,20 @@ def candidate_payload(spark: SparkSession, folder: str) -> DataFrame:
     return digest.article_payload(digest.candidate_ids(rows.withColumn("run_id", F.lit(1))))
 
 
-QUERIES["candidate_payload"] = Query(candidate_payload)
+
+_JSON = ("'{\"candidate_id\": \"' || candidate_id || '\", \"source_name\": ' || to_json(source_name) || ', \"title\": ' || "
+         "to_json(title) || ', \"summary\": ' || to_json(summary) || ', \"published_at\": \"' || published_at || "
+         "'\", \"relevance_score\": \"' || relevance_score || '\"}'")
+_CANDIDATES = """
+SELECT 'c_' || lpad(CAST(row_number() OVER (ORDER BY c.score DESC, c.news_item_id) AS VARCHAR), 2, '0') AS candidate_id,
+       f.name AS source_name, c.title, substr(i.sanitized_summary, 1, 1500) AS summary,
+       CASE WHEN published_us IS NULL THEN ''
+            ELSE strftime(make_timestamp(published_us), '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS published_at,
+       printf('%.3f', c.score) AS relevance_score
+FROM chosen c JOIN news_item i USING (news_item_id) JOIN feed_source f ON f.source_key = c.source_key"""
+QUERIES["candidate_payload"] = Query(candidate_payload, sql.query(f"""
+SELECT 1 AS run_id, '{{"articles": [' || string_agg({_JSON}, ', ' ORDER BY candidate_id) || ']}}' AS articles_json
+FROM ({_CANDIDATES})""", "feed_source", "news_item", "scored", "chosen"))
 
 
 def candidate_fields(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,14 +45,9 @@ def candidate_fields(spark: SparkSession, folder: str) -> DataFrame:
                          "published_at", "relevance_score")
 
 
-QUERIES["candidate_fields"] = Query(candidate_fields, sql.query("""
-SELECT 'c_' || lpad(CAST(row_number() OVER (ORDER BY c.score DESC, c.news_item_id) AS VARCHAR), 2, '0') AS candidate_id,
-       f.name AS source_name, c.title, sha256(substr(i.sanitized_summary, 1, 1500)) AS summary_hash,
-       CASE WHEN published_us IS NULL THEN ''
-            ELSE strftime(make_timestamp(published_us), '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS published_at,
-       printf('%.3f', c.score) AS relevance_score
-FROM chosen c JOIN news_item i USING (news_item_id) JOIN feed_source f ON f.source_key = c.source_key""",
-    "feed_source", "news_item", "scored", "chosen"))
+QUERIES["candidate_fields"] = Query(candidate_fields, sql.query(f"""
+SELECT candidate_id, source_name, title, sha256(summary) AS summary_hash, published_at, relevance_score
+FROM ({_CANDIDATES})""", "feed_source", "news_item", "scored", "chosen"))
 
 
 # --- validation: every document stands for one model answer, its run is the language and number -----
@@ -48,11 +56,10 @@ def _outputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Answers of 2..8 items and contexts of 0..9 candidates per run, with the faults the rules look for."""
     key = F.col("doc_id")
     count = (key % 7 + 2).cast("int")
-    words = F.regexp_replace("text", r"\s+", " ")
 
     def item(index: Column) -> Column:
         number = F.when(key % 13 == 0, F.lit(1)).when((key % 17 == 0) & (index == 1), F.lit(98)).otherwise(index)
-        summary = F.substring(words, F.lit(1), F.when(key % 5 == 0, 60).otherwise(90) + index)
+        summary = F.substring(F.col("text"), F.lit(1), F.when(key % 5 == 0, 60).otherwise(90) + index)
         summary = F.when((key % 11 == 0) & (index == 2), F.concat(summary, F.lit(" see www.x.org"))).otherwise(summary)
         return F.struct(
             F.concat(F.lit("c_"), F.lpad(number.cast("string"), 2, "0")).alias("candidate_id"),
@@ -81,7 +88,7 @@ def digest_validate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _VALIDATED = r"""
-, answer AS (SELECT doc_id, doc_id % 7 + 2 AS n, regexp_replace(text, '[\t\n\x0b\f\r ]+', ' ', 'g') AS words
+, answer AS (SELECT doc_id, doc_id % 7 + 2 AS n, text AS words
              FROM documents),
 item AS (SELECT doc_id, n, i, CASE WHEN doc_id % 13 = 0 THEN 1 WHEN doc_id % 17 = 0 AND i = 1 THEN 98 ELSE i END AS num,
            substr(words, 1, CASE WHEN doc_id % 5 = 0 THEN 60 ELSE 90 END + i)

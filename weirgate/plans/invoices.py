@@ -48,11 +48,13 @@ def document_scan(spark: SparkSession, folder: str) -> DataFrame:
     t.invoice_files(spark, folder).select(F.decode("content", "UTF-8").alias("value")).where(
         F.col("value").isNotNull()).write.text(place)
     files = documents.read_documents(spark, place, pathGlobFilter="*.txt").withColumn("mime_type", F.lit("text/plain"))
-    return intake.gate_documents(files).groupBy("valid", "rejection_reason").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("file_size_bytes").alias("bytes"))
+    kind = F.regexp_replace("rejection_reason", "\"[^\"]*\"", "#")
+    return intake.gate_documents(files).groupBy("valid", kind.alias("kind")).agg(F.sum("file_size_bytes").alias("bytes"))
 
 
-QUERIES["document_scan"] = Query(document_scan)
+QUERIES["document_scan"] = Query(document_scan, sql.query("""
+SELECT false AS valid, 'Unsupported file extension in #. Only PDF is accepted.' AS kind,
+       CAST(sum(octet_length(content) + 1) AS BIGINT) AS bytes FROM file WHERE content IS NOT NULL""", "file"))
 
 
 def single_attachment(spark: SparkSession, folder: str) -> DataFrame:

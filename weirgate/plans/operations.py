@@ -241,6 +241,26 @@ FROM (SELECT *, status = 'failed' AND error_code IN ('TELEGRAM_TIMEOUT', 'TELEGR
         AS again FROM attempt)""", "attempt"))
 
 
+def delivery_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Attempts in delivery order."""
+    return delivery.attempt_history(t.delivery_attempts(spark, folder)).select(
+        "digest_id", "part_number", "attempt_number", "status")
+
+
+QUERIES["delivery_history"] = Query(delivery_history, sql.query(
+    "SELECT digest_id, part_number, attempt_number, status FROM attempt", "attempt"))
+
+
+def fetch_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Fetches in time order."""
+    rows = t.fetch_log(spark, folder).withColumn("started_at", F.col("finished_at"))
+    return delivery.fetch_history(rows).select("fetch_id", "source_key", "fetch_status")
+
+
+QUERIES["fetch_history"] = Query(fetch_history, sql.query(
+    "SELECT fetch_id, source_key, fetch_status FROM fetch_log", "fetch_log"))
+
+
 def retention_counts(spark: SparkSession, folder: str) -> DataFrame:
     return runs.retention_counts(t.fetch_log(spark, folder), t.delivery_attempts(spark, folder), times.instant(CUTOFF))
 
@@ -356,6 +376,86 @@ SELECT rule, count(*) AS rows FROM (
 GROUP BY 1""", "digest"))
 
 
+def rule_check_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken rules of the sources, some of which have a bad key or priority."""
+    number = F.col("number")
+    rows = t.feed_sources(spark, folder).withColumns({
+        "source_key": F.when(number % 4 == 0, F.concat(F.lit("Bad_"), F.col("source_key"))).otherwise(F.col("source_key")),
+        "priority": F.when(number % 5 == 0, F.lit(11)).otherwise(F.col("priority")),
+        "language": F.when(number % 6 == 0, "eng").otherwise(F.col("language")),
+        "consecutive_failures": number - 1})
+    checked = quality.check_rules(rows, "feed_sources")
+    return checked.select("source_key", F.array_join("failed_rules", "; ").alias("failed_rules"))
+
+
+QUERIES["rule_check_sources"] = Query(rule_check_sources, sql.query("""
+SELECT CASE WHEN number % 4 = 0 THEN 'Bad_' ELSE '' END || source_key AS source_key, array_to_string(list_filter([
+  CASE WHEN number < 1 THEN 'consecutive_failures_non_negative' END,
+  CASE WHEN number % 5 = 0 THEN 'priority_range' END, CASE WHEN number % 4 = 0 THEN 'key_format' END,
+  CASE WHEN number % 6 = 0 THEN 'language_code' END], lambda r: r IS NOT NULL), '; ') AS failed_rules
+FROM feed_source""", "feed_source"))
+
+
+def rule_check_fetches(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per broken rule of the fetches."""
+    key, failed = F.col("fetch_id"), F.col("fetch_status") == "failed"
+    rows = t.fetch_log(spark, folder).withColumns({
+        "status": F.col("fetch_status"),
+        "http_status": F.when(F.col("fetch_status") == "not_modified", 304).when(
+            ~failed, F.when(key % 8 == 0, 301).otherwise(200)),
+        "entries_count": F.when(key % 3 == 0, 0).otherwise(key % 20), "duration_ms": key % 90 - 1,
+        "error_code": F.when(failed & (key % 4 != 0), "FEED_TIMEOUT"), "error_summary": F.lit(None).cast("string"),
+        "started_at": F.timestamp_micros(F.unix_micros("finished_at") + (key % 10 - 8) * 1000)})
+    return quality.rule_summary(quality.check_rules(rows, "feed_fetches"))
+
+
+QUERIES["rule_check_fetches"] = Query(rule_check_fetches, sql.query("""
+SELECT rule, count(*) AS rows FROM (SELECT unnest(list_filter([
+    CASE WHEN fetch_status = 'failed' AND fetch_id % 4 = 0 THEN 'error_matches_status' END,
+    CASE WHEN fetch_status = 'not_modified' AND fetch_id % 3 <> 0 AND fetch_id % 20 <> 0
+         THEN 'not_modified_result_valid' END,
+    CASE WHEN fetch_status = 'success' AND fetch_id % 8 = 0 THEN 'success_http_valid' END,
+    CASE WHEN fetch_id % 90 = 0 THEN 'duration_non_negative' END,
+    CASE WHEN fetch_id % 10 = 9 THEN 'completion_time_valid' END], lambda r: r IS NOT NULL)) AS rule FROM fetch_log)
+GROUP BY 1""", "fetch_log"))
+
+
+def rule_check_news(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken rules of the news items."""
+    key = F.col("doc_id")
+    rows = t.news_items(spark, folder).withColumns({
+        "content_hash": F.sha2("sanitized_summary", 256),
+        "url_hash": F.when(key % 7 == 0, F.upper(F.sha2("news_item_id", 256))).otherwise(F.sha2("news_item_id", 256)),
+        "ignore_reason": F.when(key % 6 != 0, F.col("ignore_reason"))})
+    checked = quality.check_rules(rows, "news_items")
+    return checked.select("doc_id", F.array_join("failed_rules", "; ").alias("failed_rules"))
+
+
+QUERIES["rule_check_news"] = Query(rule_check_news, sql.query(f"""
+SELECT doc_id, array_to_string(list_filter([
+  CASE WHEN status = 'ignored' AND doc_id % 6 = 0 THEN 'ignore_reason_matches_status' END,
+  CASE WHEN doc_id % 7 = 0 THEN 'url_hash_valid' END,
+  CASE WHEN length({sql.strip('title')}) NOT BETWEEN 1 AND 500 THEN 'title_length' END],
+  lambda r: r IS NOT NULL), '; ') AS failed_rules FROM news_item""", "news_item"))
+
+
+def rule_check_digest_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per broken rule of the order lines as digest items."""
+    rows = t.table(spark, folder, "lineitem").select(
+        (F.col("l_linenumber") + F.when(F.col("l_quantity") > 45, 3).otherwise(0)).alias("position"),
+        (F.col("l_discount") * 12).alias("relevance_score"),
+        F.when(F.col("l_returnflag") == "R", "OTHER").when(F.col("l_returnflag") == "A", "NEWS").alias("tag"))
+    return quality.rule_summary(quality.check_rules(rows, "digest_items"))
+
+
+QUERIES["rule_check_digest_items"] = Query(rule_check_digest_items, """
+SELECT rule, count(*) AS rows FROM (SELECT unnest(list_filter([
+    CASE WHEN l_linenumber + CASE WHEN l_quantity > 45 THEN 3 ELSE 0 END > 7 THEN 'position_valid' END,
+    CASE WHEN l_discount * 12 > 1 THEN 'relevance_score_valid' END,
+    CASE WHEN l_returnflag = 'A' THEN 'tag_known' END], lambda r: r IS NOT NULL)) AS rule FROM lineitem)
+GROUP BY 1""")
+
+
 def unique_check(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines whose (order, line number) occurs more than once."""
     return quality.check_unique(t.table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])

@@ -147,35 +147,36 @@ def delivery_attempts(spark: SparkSession, folder: str) -> DataFrame:
 
 def invoice_extractions(spark: SparkSession, folder: str) -> DataFrame:
     """One extraction per order with lines: sums of its lines, with printing errors by key."""
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    # Whole cents and whole percents keep the sums exact and in 64-bit integers.
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    percent = F.round(F.col("l_tax") * 100).cast("bigint")
     sums = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.sum(price).cast("decimal(18,2)").alias("net"),
-        F.sum(price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,2)").alias("tax"))
+        F.sum(cents).alias("net"), F.sum(cents * percent).alias("tax"))
+    sums = sums.withColumn("tax", F.floor((F.col("tax") + 50) / F.lit(100)))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     names = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
     rows = orders.join(sums, F.col("o_orderkey") == F.col("l_orderkey")).join(
         names, F.col("o_custkey") == F.col("c_custkey"), "left")
     key = F.col("o_orderkey")
     due = F.date_add(F.col("o_orderdate").cast("date"), 14)
-    extra = F.when(key % 7 == 0, F.lit(5)).otherwise(F.lit(0)).cast("decimal(18,2)")
+    extra = F.when(key % 7 == 0, F.lit(500)).otherwise(F.lit(0))
     return rows.select(
         key.alias("order_key"),
         F.when(key % 23 == 0, "not_invoice").otherwise("invoice").alias("document_type"),
         F.when(key % 29 == 0, "").when(key % 11 != 0, F.concat(F.lit("INV-"), key.cast("string")))
         .alias("invoice_number"),
         F.col("c_name").alias("vendor_name"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("_date"),
         F.when(key % 13 == 0, F.date_format("o_orderdate", "yyyy/MM/dd"))
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("invoice_date"),
         F.date_format(due, "yyyy-MM-dd").alias("due_date"),
         pick(F.col("c_nationkey"), "EUR", "USD", "GBP", "usd", None).alias("currency"),
-        F.col("net").cast("double").alias("subtotal"), F.col("tax").cast("double").alias("tax_amount"),
-        (F.col("net") + F.col("tax") + extra).cast("double").alias("total_amount"),
+        (F.col("net") / F.lit(100.0)).alias("subtotal"), (F.col("tax") / F.lit(100.0)).alias("tax_amount"),
+        ((F.col("net") + F.col("tax") + extra) / F.lit(100.0)).alias("total_amount"),
         F.when(key % 5 == 0, 0.99).when(key % 5 == 1, 0.9).when(key % 5 == 2, 0.85).when(key % 5 == 3, 0.8)
         .otherwise(1.0).alias("confidence"),
         F.when(key % 31 == 0, F.array(F.lit("due_date"), F.lit("invoice_number")))
         .otherwise(F.array().cast("array<string>")).alias("missing_fields"),
-    ).drop("_date")
+    )
 
 
 def invoice_files(spark: SparkSession, folder: str) -> DataFrame:
