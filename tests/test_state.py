@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from weirgate import constants as C
 from weirgate.operators import quality, runs, state
+from weirgate.operators.scan import with_bucket
 
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 
@@ -26,7 +27,7 @@ def by_key(data):
     return {key: sorted(rows) for key, rows in grouped.items()}
 
 
-@pytest.mark.parametrize("bucket_seconds", [600, 7200, 10 ** 9])
+@pytest.mark.parametrize("bucket_seconds", [600, 7200, 10 ** 9, None])
 def test_streaks_equal_the_walk(spark, bucket_seconds):
     data = history(1, ["failed", "failed", "failed", "success", "not_modified"])
     expected = {}
@@ -40,7 +41,7 @@ def test_streaks_equal_the_walk(spark, bucket_seconds):
     assert {row.fetch_id: row.failure_streak for row in found.collect()} == expected
 
 
-@pytest.mark.parametrize("bucket_seconds", [600, 7200, 10 ** 9])
+@pytest.mark.parametrize("bucket_seconds", [600, 7200, 10 ** 9, None])
 def test_transitions_equal_the_walk(spark, bucket_seconds):
     data = history(2, list(C.DIGEST_STATUSES))
     expected = {}
@@ -53,6 +54,27 @@ def test_transitions_equal_the_walk(spark, bucket_seconds):
     assert {row.entity_id: (row.changes, row.invalid_changes, row.first_error) for row in found.collect()} == expected
 
 
+def test_one_instant_is_split_too(spark):
+    """All rows of the hot key carry the same time: the range cut goes by the tie and no piece holds most rows."""
+    data = [("hot" if i % 3 else f"k{i % 5}", i, START, "success" if i % 50 == 0 else "failed") for i in range(3000)]
+    expected = {}
+    for rows in by_key(data).values():
+        streak = 0
+        for _, number, value in rows:
+            streak = streak + 1 if value == "failed" else 0
+            expected[number] = streak
+    frame = spark.createDataFrame(data, "source_key string, fetch_id int, finished_at timestamp, fetch_status string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = runs.failure_streak(frame, bucket_seconds=None)
+        pieces = with_bucket(frame, "source_key", "finished_at", "fetch_id", None).groupBy("source_key", "_bucket").count()
+        largest = pieces.agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {row.fetch_id: row.failure_streak for row in found.collect()} == expected
+    assert largest <= 1000
+
+
 @pytest.mark.parametrize("entity,statuses", [
     ("pipeline run", C.RUN_STATUSES), ("news item", C.NEWS_STATUSES), ("digest", C.DIGEST_STATUSES)])
 def test_whole_transition_matrix(spark, entity, statuses):

@@ -58,7 +58,7 @@ def noisy_feeds(sources: DataFrame, threshold: int = 3) -> DataFrame:
 
 
 def failure_streak(fetches: DataFrame, key: str = "source_key", at: str = "finished_at", tie: str = "fetch_id",
-                   bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                   bucket_seconds: int | None = BUCKET_SECONDS) -> DataFrame:
     """Failures since the last fetch that did not fail, after each fetch."""
     return streak_since_reset(fetches, key, at, tie, F.col("fetch_status") != "failed", "failure_streak",
                               bucket_seconds)

@@ -25,7 +25,7 @@ def transition_error(entity: str, current: Column, target: Column) -> Column:
 
 def check_transitions(events: DataFrame, entity: str, key: str = "entity_id", at: str = "changed_at",
                       tie: str = "event_id", status: str = "status",
-                      bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int | None = BUCKET_SECONDS) -> DataFrame:
     """First forbidden status change per key, with the number of changes and of forbidden ones.
 
     The first status of a key is its start, not a change.

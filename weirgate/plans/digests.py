@@ -15,7 +15,9 @@ def candidate_payload(spark: SparkSession, folder: str) -> DataFrame:
     """Request text for the selected candidates."""
     items, sources = t.news_items(spark, folder), t.feed_sources(spark, folder)
     chosen = news.select_candidates(items, sources, t.PROFILE, t.NOW).select("news_item_id", "source_key", "score")
-    rows = chosen.join(items.select("news_item_id", "title", "sanitized_summary", "published_at"), "news_item_id")
+    # At most 25 rows by the selection limit: broadcasting them spares a shuffle of all texts.
+    rows = items.select("news_item_id", "title", "sanitized_summary", "published_at").join(
+        F.broadcast(chosen), "news_item_id")
     rows = rows.join(sources.select("source_key", F.col("name").alias("source_name")), "source_key")
     return digest.article_payload(digest.candidate_ids(rows.withColumn("run_id", F.lit(1))))
 
