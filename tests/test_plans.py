@@ -58,3 +58,34 @@ def test_rank_filter_is_a_group_limit(plans):
 def test_top_k_reports_do_not_sort_everything(plans):
     for name in ("news_eligible", "latest_records"):
         assert "TakeOrderedAndProject" in plans[name]
+
+
+def test_hot_key_is_split_in_lookups(spark):
+    """A third of the new rows share a hash: the adaptive join splits that partition."""
+    from pyspark.sql import functions as F
+    from weirgate.operators import intake
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        new = spark.range(300_000, numPartitions=8).select(
+            F.sha2(F.col("id").cast("string"), 512).alias("text"), F.sha2(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("string"), 256).alias("file_hash"))
+        audit = spark.range(1000).select(F.sha2(F.col("id").cast("string"), 256).alias("file_hash"),
+                                         F.col("id").cast("string").alias("processed_at"), F.lit("processed").alias("status"))
+        marked = intake.mark_duplicates(new, audit)
+        result = marked.groupBy("is_duplicate").agg(F.count(F.lit(1)).alias("count"), F.max("text"))
+        rows = {row.is_duplicate: row["count"] for row in result.collect()}
+        final = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert rows == {True: 100_000 + 666, False: 199_334}
+    assert "skew=true" in final

@@ -127,3 +127,10 @@ SECRET_PATTERNS = {
     "Google private key": r"BEGIN PRIVATE KEY",
     "Telegram bot token": r"\b\d{8,12}:[A-Za-z0-9_-]{30,}\b",
 }
+#: A lower-case text that every match of the pattern contains, ignoring case.
+SECRET_NEEDLES = {
+    "OpenAI key": "sk-",
+    "Bearer token": "bearer",
+    "Google private key": "begin private key",
+    "Telegram bot token": ":",
+}

@@ -45,7 +45,8 @@ def not_blank(value: Column | str) -> Column:
 
 def clean_text(value: Column | str) -> Column:
     """Unix line ends, no leading space on any line, trimmed (H14). Null becomes the empty text."""
-    unix = F.regexp_replace(F.coalesce(_col(value).cast("string"), F.lit("")), r"\r\n?", "\n")
+    text = F.coalesce(_col(value).cast("string"), F.lit(""))
+    unix = F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, r"\r\n?", "\n")).otherwise(text)
     return strip(F.regexp_replace(unix, LINE_LEAD, ""))
 
 

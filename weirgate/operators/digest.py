@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from weirgate import constants as C
 from weirgate.functions.numbers import fixed
 from weirgate.functions.text import escape_html5, strip
+from weirgate.operators.keys import one_per_key
 
 #: Anything in a summary that looks like a link or like markup.
 URL_OR_MARKUP = r"(?i)(https?://|www\.|<|>|\[/?(b|i|u|code|pre|a)\]|telegram\.me)"
@@ -71,8 +72,8 @@ def validate_digest_output(outputs: DataFrame, contexts: DataFrame, top: int = 5
     """
     usable = contexts.where(F.rlike("candidate_id", F.lit(r"\Ac_\d{2}\z"))).groupBy(run, "candidate_id").agg(
         F.min(F.struct("news_item_id", "status")).alias("_context"))
-    by_run = usable.groupBy(run).agg(
-        F.map_from_entries(F.collect_list(F.struct("candidate_id", "_context"))).alias("_contexts"))
+    by_run = one_per_key(usable, [run], F.map_from_entries(F.collect_list(F.struct("candidate_id", "_context")))
+                         .alias("_contexts"))
     rows = outputs.join(by_run, run, "left")
     contexts_map = F.col("_contexts")
     items = F.coalesce(F.col("output.items"), F.expr("array()").cast(
@@ -238,8 +239,8 @@ def consume_candidates(items: DataFrame, news: DataFrame, key: str = "digest_id"
     Returns the digests with ``created`` and ``error``, and the news table with consumed items set to ``used``.
     """
     states = news.select("news_item_id", F.col("status").alias("_status"))
-    checked = items.join(states, "news_item_id", "left").groupBy(key).agg(
-        F.count_if(F.col("_status").isNull()).alias("missing"),
+    checked = one_per_key(
+        items.join(states, "news_item_id", "left"), [key], F.count_if(F.col("_status").isNull()).alias("missing"),
         F.count_if(F.col("_status") != "candidate").alias("not_candidate"))
     error = F.when(F.col("missing") > 0, "One or more selected news items do not exist.").when(
         F.col("not_candidate") > 0, "All selected news items must have candidate status.")

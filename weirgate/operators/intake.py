@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weirgate import constants as C
 from weirgate.functions.hashing import file_hash
 from weirgate.functions.text import or_default
+from weirgate.operators.keys import one_per_key
 
 
 def gate_documents(files: DataFrame, max_bytes: int = C.PDF_MAX_BYTES) -> DataFrame:
@@ -85,8 +86,8 @@ def mark_duplicates(new: DataFrame, audit: DataFrame, key: str = "file_hash", or
     The audit table is reduced to one row per key before the join, so the join adds no rows; a hot key on the other
     side is split by the adaptive skew join.
     """
-    first = audit.groupBy(key).agg(
-        F.min(F.struct(F.col(order).alias("at"), F.col(status).alias("status"))).alias("_first"))
+    first = one_per_key(audit, [key], F.min(F.struct(F.col(order).alias("at"), F.col(status).alias("status")))
+                        .alias("_first"))
     joined = new.join(first, key, "left")
     return (
         joined.withColumn("is_duplicate", F.col("_first").isNotNull())
@@ -99,7 +100,7 @@ def mark_duplicates(new: DataFrame, audit: DataFrame, key: str = "file_hash", or
 def split_by_idempotency(new: DataFrame, audit: DataFrame,
                          key: str = "idempotency_key") -> tuple[DataFrame, DataFrame]:
     """Requests to process and requests already answered."""
-    known = audit.select(key).where(F.col(key).isNotNull()).distinct()
+    known = one_per_key(audit.where(F.col(key).isNotNull()), [key])
     fresh = new.join(known, key, "left_anti")
     repeated = new.join(known, key, "left_semi").withColumn("outcome", F.lit("duplicate"))
     return fresh, repeated
@@ -107,7 +108,7 @@ def split_by_idempotency(new: DataFrame, audit: DataFrame,
 
 def mark_known_keys(new: DataFrame, audit: DataFrame, key: str = "idempotency_key") -> DataFrame:
     """The same split in one pass: adds ``known`` instead of producing two tables."""
-    keys = audit.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_known", F.lit(True))
+    keys = one_per_key(audit.where(F.col(key).isNotNull()), [key]).withColumn("_known", F.lit(True))
     return new.join(keys, key, "left").withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weirgate import constants as C
 from weirgate.functions import hashing, html, text, times, urls
+from weirgate.operators.keys import one_per_key
 from weirgate.session import cut_lineage
 from weirgate.sources.config import TopicProfile
 
@@ -168,8 +169,9 @@ def insert_if_new(new: DataFrame, existing: DataFrame, on_conflict: str = "mark"
     A stored item matches by URL hash or by (source, external id). Matching two different stored items is a
     ``conflict``; ``on_conflict="fail"`` raises an error for the first such row instead.
     """
-    by_url = existing.groupBy("url_hash").agg(F.min("news_item_id").alias("_by_url"))
-    by_external = existing.where(F.col("external_id").isNotNull()).groupBy(external_key().alias("_ext")).agg(
+    by_url = one_per_key(existing, ["url_hash"], F.min("news_item_id").alias("_by_url"))
+    by_external = one_per_key(
+        existing.where(F.col("external_id").isNotNull()).select(external_key().alias("_ext"), "news_item_id"), ["_ext"],
         F.min("news_item_id").alias("_by_ext"))
     rows = new.withColumn("_ext", external_key()).join(by_url, "url_hash", "left").join(by_external, "_ext", "left")
     both = F.col("_by_url").isNotNull() & F.col("_by_ext").isNotNull() & (F.col("_by_url") != F.col("_by_ext"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weirgate import constants as C
 from weirgate.functions.text import strip
+from weirgate.operators.keys import one_per_key
 
 c = F.col
 
@@ -179,15 +180,29 @@ def cascade_effect(deleted: DataFrame, key: str, edges: list[tuple[str, DataFram
     return reduce(lambda left, right: left.unionByName(right), results)
 
 
-def scan_secrets(rows: DataFrame, key: str, text: str, patterns: dict[str, str] | None = None) -> DataFrame:
-    """Label, place and number of key-shaped texts (J11), whole texts, one row per key and label."""
+def scan_secrets(rows: DataFrame, key: str, text: str, patterns: dict[str, str] | None = None,
+                 needles: dict[str, str] | None = None) -> DataFrame:
+    """Label, place and number of key-shaped texts (J11), whole texts, one row per key and label.
+
+    ``needles`` may name a lower-case text that every match of a pattern contains; the pattern then runs only on texts
+    that contain it.
+    """
     patterns = C.SECRET_PATTERNS if patterns is None else patterns
+    needles = C.SECRET_NEEDLES if needles is None else needles
+
+    def count(label: str, pattern: str) -> Column:
+        matches = F.regexp_count(c(text), F.lit(pattern)).cast("bigint")
+        if label not in needles:
+            return matches
+        return F.when(F.contains(c("_lower"), F.lit(needles[label])), matches).otherwise(F.lit(0).cast("bigint"))
+
     counts = F.array(*[
-        F.struct(F.lit(label).alias("label"), F.regexp_count(c(text), F.lit(pattern)).cast("bigint").alias("matches"))
+        F.struct(F.lit(label).alias("label"), count(label, pattern).alias("matches"))
         for label, pattern in patterns.items()
     ])
-    # One slot per pattern and the filter behind it: each pattern runs once per text.
-    return rows.select(key, F.inline(counts)).where(c("matches") > 0)
+    # One slot per pattern and the filter behind it: each pattern runs at most once per text.
+    lowered = rows.select(key, text, F.lower(text).alias("_lower"))
+    return lowered.select(key, F.inline(counts)).where(c("matches") > 0)
 
 
 def header_mismatch(rows: DataFrame, expected: tuple[str, ...]) -> list[str]:
@@ -204,8 +219,8 @@ def check_contract(rows: DataFrame, key: str, required: tuple[str, ...]) -> Data
     leaked = F.array_compact(F.array(*[F.when(F.contains(F.lower(key), F.lit(word)), F.lit(f"leaks:{word}"))
                                        for word in C.LABEL_WORDS]))
     missing = F.array_compact(F.array(*[F.when(c(name).isNull(), F.lit(f"missing:{name}")) for name in required]))
-    repeated = rows.where(c(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows")).where(c("_rows") > 1)
+    repeated = one_per_key(rows.where(c(key).isNotNull()), [key], F.count(F.lit(1)).alias("_rows")).where(
+        c("_rows") > 1)
     joined = rows.join(repeated, key, "left")
     twice = F.array_compact(F.array(F.when(c("_rows") > 1, F.lit("repeated_key"))))
     return joined.withColumn("contract_errors", F.concat(missing, twice, leaked)).drop("_rows")

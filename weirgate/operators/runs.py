@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weirgate.operators.keys import one_per_key
 from weirgate.operators.scan import BUCKET_SECONDS, streak_since_reset
 
 
@@ -73,11 +74,12 @@ def apply_fetch_results(sources: DataFrame, fetches: DataFrame) -> DataFrame:
     fetches = fetches.select("source_key", "fetch_status", "etag", "finished_at",
                              F.struct("finished_at", "fetch_id").alias("_at"))
     good = F.col("fetch_status") != "failed"
-    seen = fetches.groupBy("source_key").agg(
-        F.max("finished_at").alias("_checked"), F.max(F.when(good, F.col("_at"))).alias("_good"),
+    seen = one_per_key(
+        fetches, ["source_key"], F.max("finished_at").alias("_checked"), F.max(F.when(good, F.col("_at"))).alias("_good"),
         F.max(F.when(good & F.col("etag").isNotNull(), F.struct("_at", "etag"))).getField("etag").alias("_etag"))
-    later = fetches.where(~good).join(seen.select("source_key", "_good"), "source_key").groupBy("source_key").agg(
-        F.count_if(F.col("_good").isNull() | (F.col("_at") > F.col("_good"))).alias("_failures"))
+    compared = fetches.where(~good).join(seen.select("source_key", "_good"), "source_key")
+    later = one_per_key(compared, ["source_key"], F.count_if(
+        F.col("_good").isNull() | (F.col("_at") > F.col("_good"))).alias("_failures"))
     joined = sources.join(seen, "source_key", "left").join(later, "source_key", "left")
     failures = F.coalesce("_failures", F.lit(0))
     return joined.select(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from weirgate import constants as C
 from weirgate.functions import events, times
 from weirgate.operators import delivery, quality, runs, state
+from weirgate.operators.keys import one_per_key
 from weirgate.plans import sql, tables as t
 from weirgate.plans.registry import Query
 
@@ -24,7 +25,7 @@ def _ingest(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     rows = t.table(spark, folder, "documents").select(
         "doc_id", (key % 30).alias("run_id"), F.col("source").alias("source_key"), "n_chars",
         F.sha2("text", 256).alias("hash"))
-    firsts = rows.groupBy("run_id", "hash").agg(F.min("doc_id").alias("first"))
+    firsts = one_per_key(rows, ["run_id", "hash"], F.min("doc_id").alias("first"))
     outcome = F.when(F.col("n_chars") < 40, "skipped").when(F.col("doc_id") == F.col("first"), "inserted").otherwise(
         "duplicate")
     entries = rows.join(firsts, ["run_id", "hash"]).select("run_id", "source_key", outcome.alias("outcome"))
@@ -510,6 +511,7 @@ SCAN_PATTERNS = {
     "Assigned token": r"token = \"[0-9a-f]{40}\"",
     "Mail address": r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[A-Za-z.]+",
 }
+SCAN_NEEDLES = {**C.SECRET_NEEDLES, "Assigned token": "token", "Mail address": "@"}
 
 
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -519,7 +521,7 @@ def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         t.table(spark, folder, "conversations").select(
             F.concat_ws(" ", F.lit("turn"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
             .alias("place"), "text"))
-    return quality.scan_secrets(texts, "place", "text", SCAN_PATTERNS)
+    return quality.scan_secrets(texts, "place", "text", SCAN_PATTERNS, SCAN_NEEDLES)
 
 
 _SCANS = " UNION ALL ".join(

@@ -15,6 +15,8 @@ SETTINGS = {
     # Split a hot join partition even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Without call sites for every column, building a large expression takes a fraction of the time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Whole pages and documents go to Python workers: bound a batch by bytes, not only by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.streaming.stateStore.providerClass": (
