@@ -104,6 +104,6 @@ def lead_output_rules(output: Column) -> Column:
     return good
 
 
-def response_id_or_default(column: str = "model") -> Column:
+def model_or_default(column: str = "model") -> Column:
     """Model name with its default."""
     return or_default(column, C.DIGEST_MODEL)
