@@ -112,6 +112,12 @@ def test_source_sync(spark):
     assert (found["a"].name, found["a"].enabled, found["a"].priority, found["a"].etag) == ("A2", False, 9, "e")
     assert (found["b"].name, found["b"].allowed_host) == ("B", "b.com") and found["b"].sync_error
     assert found["n"].etag is None and found["n"].allowed_host == "n.com"
+    stamped = stored.withColumns({name: F.lit(START) for name in ("created_at", "updated_at")})
+    later = START + timedelta(days=1)
+    times = {row.source_key: (row.created, row.updated) for row in state.upsert_sources(stamped, config, F.lit(later)).select(
+        "source_key", (F.col("created_at") == F.lit(later)).alias("created"),
+        (F.col("updated_at") == F.lit(later)).alias("updated")).collect()}
+    assert times == {"a": (False, True), "b": (False, False), "c": (False, False), "n": (True, True)}
 
 
 def test_fetches_update_sources(spark):
@@ -122,6 +128,8 @@ def test_fetches_update_sources(spark):
             ("b", 5, "failed", None), ("b", 6, "failed", None)]
     fetches = spark.createDataFrame([(*row, START + timedelta(minutes=row[1])) for row in rows],
                                     "source_key string, fetch_id int, fetch_status string, etag string, finished_at timestamp")
+    stamped = runs.apply_fetch_results(sources.withColumn("updated_at", F.lit(None).cast("timestamp")), fetches)
+    assert {row.source_key for row in stamped.where("updated_at = last_checked_at").collect()} == {"a", "b"}
     found = {row.source_key: row for row in runs.apply_fetch_results(sources, fetches).collect()}
     assert [(found[key].etag, found[key].consecutive_failures) for key in "abc"] == [("new", 1), ("old", 4), ("old", 2)]
     assert found["b"].last_success_at is None and found["c"].last_checked_at is None

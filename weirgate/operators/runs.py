@@ -82,9 +82,11 @@ def apply_fetch_results(sources: DataFrame, fetches: DataFrame) -> DataFrame:
         F.col("_good").isNull() | (F.col("_at") > F.col("_good"))).alias("_failures"))
     joined = sources.join(seen, "source_key", "left").join(later, "source_key", "left")
     failures = F.coalesce("_failures", F.lit(0))
+    stamped = [F.coalesce("_checked", "updated_at").alias("updated_at")] if "updated_at" in sources.columns else []
     return joined.select(
         *[name for name in sources.columns
-          if name not in ("etag", "consecutive_failures", "last_checked_at", "last_success_at")],
+          if name not in ("etag", "consecutive_failures", "last_checked_at", "last_success_at", "updated_at")],
+        *stamped,
         F.coalesce("_etag", "etag").alias("etag"),
         F.when(F.col("_good").isNotNull(), failures).otherwise(F.col("consecutive_failures") + failures)
         .cast("bigint").alias("consecutive_failures"),

@@ -81,7 +81,7 @@ def persist_selection(items: DataFrame, scored: DataFrame, chosen: DataFrame, ke
 MUTABLE_SOURCE_COLUMNS = ("name", "feed_url", "category", "language", "enabled", "priority")
 
 
-def upsert_sources(current: DataFrame, config: DataFrame) -> DataFrame:
+def upsert_sources(current: DataFrame, config: DataFrame, now: Column | None = None) -> DataFrame:
     """Sources after a configuration sync (J1): adds ``change`` and ``sync_error``.
 
     New keys are inserted, settings of known keys follow the configuration, identity and history stay. A different
@@ -98,6 +98,9 @@ def upsert_sources(current: DataFrame, config: DataFrame) -> DataFrame:
         F.when(take, F.col(f"_{name}")).otherwise(F.col(name)).alias(name) for name in MUTABLE_SOURCE_COLUMNS
     ]
     rest = [name for name in current.columns if name not in (*MUTABLE_SOURCE_COLUMNS, "source_key", "allowed_host")]
+    stamps = {"created_at": ~known, "updated_at": take} if now is not None else {}
+    rest = [F.when(stamps[name], now).otherwise(F.col(name)).alias(name) if name in stamps else F.col(name)
+            for name in rest]
     return rows.select(
         "source_key", F.coalesce("allowed_host", "_host").alias("allowed_host"), *columns, *rest,
         F.when(~known, "inserted").when(clash, "rejected").when(configured, "updated").otherwise("kept")
