@@ -2,18 +2,17 @@
 
 Every window of ``width`` consecutive words is an edge of the graph (its nodes are the windows one word shorter). A
 window's anchor, the short word gram of smallest hash in it, depends on its words alone, so equal edges have equal
-anchors. Consecutive edges with one anchor form a path. Where all documents run through an anchor along one and the same
-path the path does not branch: it stays compact, and one row stands for all its edges. Only where an anchor has several
-paths are these resolved into single edges. Which occurrence stays is decided by source coordinates: the smallest
-document, then the first place in it.
-
-Scale: three joins on hashes. Paths are counted with map-side aggregates, so a passage that a third of all documents
-share costs one row per task; the occurrences meet the counts in a join that the adaptive skew join can split. Texts are
-shuffled by document only. No group is ever collected but a document's own passages.
-
-Paths are told apart by two independent 64-bit hashes, edges too. Null text has no words. A null id counts as the
-smallest id. Rows that share an id are versions of one document: they are not judged against each other, and each row
-gets a result. Extra columns are ignored; an empty table gives no rows.
+anchors. Consecutive edges with one anchor form a path. Where the corpus runs through an anchor along one and the same
+path, the path does not branch: it stays compact, and one row stands for all its edges. Only where an anchor has several
+paths are these resolved into single edges, from the source occurrence of each path. Joins on the hashes of paths and
+edges find the source coordinates, (document, start), and these decide: an occurrence that is not the source goes.
+
+Scale: see ``passages``; the joins see rows of repeated paths only, one per group of documents, with map-side aggregates
+before them, so hot passages stay small. Paths and edges are told apart by two independent 64-bit hashes.
+
+Null text has no words. A null id counts as the smallest id. Rows that share an id are versions of one document: a window
+goes where an equal one has a smaller (id, start). One row for each row given; extra columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -24,136 +23,113 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weirgate.llm.common import batch, documents, id_and_text, mapped, real_id
-from weirgate.llm.kernels import (
-    SECOND, anchored_runs, flat, kept_text, merged, range_hashes, rolling_hashes, signed, words,
-)
+from weirgate.llm.common import batch, documents, real_id
+from weirgate.llm.kernels import flat, kept_text, merged, range_hashes, rolling_hashes, signed, unsigned, words
+from weirgate.llm.passages import Windows, as_table, distinct_runs, grouped, ids_of, repeated_runs, rows_at, text_of
 
 WIDTH = 20
-GRAM = 7
+GRAM = 8
 
-_PATHS = "d long, anchor long, path long, start int, edges int"
-_EDGES = "d long, anchor long, edge long, start int"
+_EDGES = "g long, d long, start int, anchor long, edge long, later boolean"
 _RESULT = "d long, n_words long, n_removed long, kept_sha256 string, n_spans long, kept_text string"
 
 
-def _word_hashes(texts: pa.Array):
+def word_symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = flat(texts)
     starts, ends, bounds = words(data, offsets)
-    return data, starts, ends, bounds, range_hashes(data, starts, ends)
-
-
-def _paths(width: int, gram: int):
-    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        _, _, _, bounds, hashes = _word_hashes(piece.column("text"))
-        runs = anchored_runs(hashes, bounds, width, gram)
-        path = range_hashes(hashes, runs["start"], runs["start"] + runs["count"] + width - 1, SECOND)
-        return batch(d=piece.column("d").to_numpy()[runs["doc"]], anchor=signed(runs["anchor"]), path=signed(path),
-                     start=(runs["start"] - bounds[runs["doc"]]).astype(np.int32), edges=runs["count"].astype(np.int32))
-
-    return work
-
-
-def _owned(piece: pa.RecordBatch, name: str) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """The rows of a list-of-struct column: the document of each and the fields; null counts as no rows."""
-    column = piece.column(name)
-    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    values = column.flatten()
-    fields = {values.type.field(k).name: np.asarray(values.field(k).to_numpy(zero_copy_only=False))
-              for k in range(values.type.num_fields)}
-    return np.repeat(np.arange(len(sizes)), sizes), fields
-
-
-def _later(owner: np.ndarray, key: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Which rows repeat an earlier start of the same key in the same document."""
-    order = np.lexsort((start, key, owner))
-    same = np.zeros(len(order), bool)
-    o, k, s = owner[order], key[order], start[order]
-    if len(order):
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (o[1:] != o[:-1]) | (k[1:] != k[:-1])
-        head = s[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-        same[order] = s > head
-    return same
-
-
-def _resolved(width: int):
-    """Single edges of the paths that a document is the source of."""
-
-    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        _, _, _, bounds, hashes = _word_hashes(piece.column("text"))
-        owner, rows = _owned(piece, "paths")
-        first = bounds[owner] + rows["start"]
-        fits = first + rows["edges"] + width - 1 <= bounds[owner + 1]
-        owner, first, edges, anchor = owner[fits], first[fits], rows["edges"][fits].astype(np.int64), rows["anchor"][fits]
+    return range_hashes(data, starts, ends), bounds
+
+
+def _resolved(windows: Windows):
+    """Single edges of the paths whose source is in the group."""
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            none = pa.array([], pa.int64())
+            return as_table(batch(g=none, d=none, start=pa.array([], pa.int32()), anchor=none, edge=none,
+                                  later=pa.array([], pa.bool_())))
+        symbols, bounds = windows.symbols(text_of(left))
+        d = ids_of(left)
+        owner, row = rows_at(right, d)
+        edges = right.column("edges").to_numpy()[row].astype(np.int64)
+        start = right.column("start").to_numpy()[row]
+        first = bounds[owner] + start
+        fits = first + edges + windows.width - 1 <= bounds[owner + 1]
+        owner, row, edges, first = owner[fits], row[fits], edges[fits], first[fits]
         place = np.arange(int(edges.sum())) - np.repeat(np.cumsum(edges) - edges, edges) + np.repeat(first, edges)
-        edge = rolling_hashes(hashes, width)[place] if len(place) else np.zeros(0, np.uint64)
         owner = np.repeat(owner, edges)
-        return batch(d=piece.column("d").to_numpy()[owner], anchor=np.repeat(anchor, edges), edge=signed(edge),
-                     start=(place - bounds[owner]).astype(np.int32))
+        anchor = np.repeat(right.column("anchor").to_numpy()[row], edges)
+        edge = rolling_hashes(symbols, windows.width)[place] if len(place) else np.zeros(0, np.uint64)
+        start = place - bounds[owner]
+        _, _, later = distinct_runs(d[owner], start, unsigned(anchor), edge)
+        return as_table(batch(g=np.full(len(place), left.column("g")[0].as_py(), np.int64), d=d[owner],
+                              start=start.astype(np.int32), anchor=anchor, edge=signed(edge), later=later))
 
     return work
 
 
-def _removed(width: int, with_text: bool):
-    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        data, offsets = flat(piece.column("text"))
+def _removed(windows: Windows, with_text: bool):
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            none = pa.array([], pa.int64())
+            return as_table(batch(d=none, n_words=none, n_removed=none, kept_sha256=pa.array([], pa.string()),
+                                  n_spans=none, kept_text=pa.array([], pa.string())))
+        texts, d = text_of(left), ids_of(left)
+        data, offsets = flat(texts)
         starts, ends, bounds = words(data, offsets)
-        owner, rows = _owned(piece, "spans")
-        gone = ~rows["source"].astype(bool) | _later(owner, rows["key"], rows["start"])
-        first = bounds[owner] + rows["start"]
-        last = np.minimum(first + rows["edges"] + width - 1, bounds[owner + 1])
-        first, last = merged(first[gone], last[gone])
+        runs = windows.runs(texts)
+        some = np.arange(len(runs["anchor"]))
+        _, _, later = distinct_runs(d[runs["doc"]], runs["first"], runs["anchor"], windows.paths(runs, some))
+        first = runs["start"][later]
+        last = first + runs["count"][later] + windows.width - 1
+        if right.num_rows:
+            owner, row = rows_at(right, d)
+            begin = bounds[owner] + right.column("start").to_numpy()[row]
+            end = np.minimum(begin + right.column("edges").to_numpy()[row] + windows.width - 1, bounds[owner + 1])
+            first, last = np.concatenate((first, begin)), np.concatenate((last, end))
+        first, last = merged(first, last)
         marks = np.zeros(len(starts) + 1, np.int64)
         np.add.at(marks, first, 1)
         np.add.at(marks, last, -1)
         keep = np.cumsum(marks[:-1]) == 0
         out, places = kept_text(data, starts, ends, bounds, keep)
-        texts = [out[a:max(b - 1, a)].tobytes() for a, b in zip(places[:-1], places[1:])]
-        left = np.concatenate(([0], np.cumsum(keep)))[bounds]
+        kept = [out[a:max(b - 1, a)].tobytes() for a, b in zip(places[:-1], places[1:])]
         count = np.diff(bounds)
-        spans = np.bincount(np.searchsorted(bounds, first, "right") - 1, minlength=len(count))[:len(count)]
-        return batch(d=piece.column("d"), n_words=count, n_removed=count - np.diff(left),
-                     kept_sha256=pa.array([hashlib.sha256(text).hexdigest() for text in texts]), n_spans=spans,
-                     kept_text=pa.array([text.decode() for text in texts] if with_text else [None] * len(texts),
-                                        pa.string()))
+        left_over = np.diff(np.concatenate(([0], np.cumsum(keep)))[bounds])
+        edge = keep.copy()
+        edge[1:] = keep[1:] | ~keep[:-1]
+        edge[bounds[:-1][count > 0]] = keep[bounds[:-1][count > 0]]
+        spans = np.diff(np.concatenate(([0], np.cumsum(~edge)))[bounds])
+        return as_table(batch(d=d, n_words=count, n_removed=count - left_over,
+                              kept_sha256=pa.array([hashlib.sha256(one).hexdigest() for one in kept]), n_spans=spans,
+                              kept_text=pa.array([one.decode() if with_text else None for one in kept], pa.string())))
 
     return work
 
 
 def remove_repeated_passages(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_text: bool = True,
-                             id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+                             id_column: str = "doc_id", text_column: str = "text",
+                             groups: int | None = None) -> DataFrame:
     """Each document without the words of ``width``-word windows that start earlier somewhere.
 
     Columns: ``doc_id, n_words, n_removed, kept_sha256, n_spans`` (maximal removed runs of words) and ``kept_text``
     (null unless ``with_text``). Windows are judged on the input, not on what is left.
     """
-    texts = id_and_text(docs, id_column, text_column)
-    paths = mapped(texts, _paths(width, gram), _PATHS)
-    anchors = (paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("low"),
-                                           F.max("path").alias("high"), F.min("d").alias("source_d"))
-               .filter("n > 1").withColumn("branches", F.expr("low != high")).drop("n", "low", "high"))
-    repeated = paths.join(anchors, "anchor")
-    straight = repeated.filter("not branches").select(
-        "d", F.struct("start", "edges", F.col("anchor").alias("key"), F.expr("d = source_d").alias("source")).alias("span"))
-    branching = repeated.filter("branches").drop("source_d", "branches")
-    sources = branching.groupBy("anchor", "path").agg(F.min("d").alias("source_d"))
-    known = branching.join(sources, ["anchor", "path"])
-    # Occurrences after a path's source, and repeats inside the source itself, go as a whole.
-    copies = known.select("d", F.struct("start", "edges", F.expr("anchor ^ path").alias("key"),
-                                        F.expr("d = source_d").alias("source")).alias("span"))
-    own = known.filter("d = source_d").groupBy("d").agg(
-        F.collect_list(F.struct("start", "edges", "anchor")).alias("paths"))
-    edges = mapped(texts.join(own, "d"), _resolved(width), _EDGES)
-    first = edges.groupBy("anchor", "edge").agg(F.min("d").alias("source_d"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    single = edges.join(first, ["anchor", "edge"]).select(
-        "d", F.struct("start", F.lit(1).alias("edges"), F.expr("anchor ^ edge").alias("key"),
-                      F.expr("d = source_d").alias("source")).alias("span"))
-    spans = (straight.unionByName(copies).unionByName(single)
-             .groupBy("d").agg(F.collect_list("span").alias("spans")))
-    done = mapped(texts.join(spans, "d", "left"), _removed(width, with_text), _RESULT)
-    return done.withColumn("doc_id", real_id()).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans",
-                                                        "kept_text")
+    windows = Windows(word_symbols, width, gram)
+    texts = grouped(docs, id_column, text_column, groups)
+    paths = repeated_runs(texts, windows).drop("n")
+    sources = paths.groupBy("anchor", "path").agg(F.min("d").alias("source_d"))
+    branching = sources.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1").select("anchor")
+    known = paths.join(sources, ["anchor", "path"])
+    copies = known.filter("d > source_d").select("g", "d", "start", "edges")
+    own = known.filter("d = source_d").join(branching, "anchor", "left_semi").select("g", "d", "start", "edges", "anchor")
+    edges = texts.groupBy("g").cogroup(own.groupBy("g")).applyInArrow(_resolved(windows), _EDGES)
+    first = edges.groupBy("anchor", "edge").agg(F.min("d").alias("source_d"))
+    single = edges.join(first, ["anchor", "edge"]).filter("later or d > source_d").select(
+        "g", "d", "start", F.lit(1).alias("edges"))
+    spans = copies.unionByName(single)
+    done = texts.groupBy("g").cogroup(spans.groupBy("g")).applyInArrow(_removed(windows, with_text), _RESULT)
+    return done.select(real_id().alias("doc_id"), "n_words", "n_removed", "kept_sha256", "n_spans", "kept_text")
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
