@@ -167,7 +167,8 @@ def anchored_runs(symbols: np.ndarray, offsets: np.ndarray, width: int, gram: in
 
     The anchor of a window is its leftmost ``gram`` symbols of smallest hash: a function of the window's content alone,
     so equal windows have equal anchors at equal places wherever they stand. ``start`` is the first window of the run
-    and ``count`` the windows in it (both in symbols of the batch), ``doc`` the document, ``anchor`` the anchor's hash.
+    and ``count`` the windows in it (both in symbols of the batch), ``doc`` the document, ``anchor`` the anchor's hash (mixed once more: the
+    smallest hashes alone would not be spread evenly).
     """
     out = {name: np.zeros(0, np.int64) for name in ("start", "count", "doc")} | {"anchor": np.zeros(0, np.uint64)}
     found: list[dict[str, np.ndarray]] = []
@@ -192,7 +193,7 @@ def anchored_runs(symbols: np.ndarray, offsets: np.ndarray, width: int, gram: in
         heads = np.flatnonzero(fresh)
         where = (least[heads] & np.uint64((1 << 24) - 1)).astype(np.int64)
         found.append({"start": starts[heads] + first, "count": np.diff(np.append(heads, len(least))),
-                      "doc": owner[heads] + lo, "anchor": grams[where]})
+                      "doc": owner[heads] + lo, "anchor": mix(grams[where] + np.uint64(SECOND))})
     return {name: np.concatenate([one[name] for one in found]) for name in out} if found else out
 
 

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weirgate.llm.binary_output import op3_binary_output
+from weirgate.llm.packing import op8_best_fit_packing
 from weirgate.llm.substring_dedup import op1_substring_dedup
 from weirgate.llm.token_counts import op6_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    function.__name__: function for function in (op1_substring_dedup, op3_binary_output, op6_token_counts)
+    function.__name__: function for function in (op1_substring_dedup, op3_binary_output, op6_token_counts, op8_best_fit_packing)
 }
 
 SQL: dict[str, str] = {}
