@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weirgate.llm.binary_output import op3_binary_output
 from weirgate.llm.packing import op8_best_fit_packing
+from weirgate.llm.pii import op9_pii
+from weirgate.llm.quality import op4_quality_rules
 from weirgate.llm.substring_dedup import op1_substring_dedup
 from weirgate.llm.token_counts import op6_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    function.__name__: function for function in (op1_substring_dedup, op3_binary_output, op6_token_counts, op8_best_fit_packing)
+    function.__name__: function
+    for function in (op1_substring_dedup, op3_binary_output, op4_quality_rules, op6_token_counts, op8_best_fit_packing,
+                     op9_pii)
 }
 
 SQL: dict[str, str] = {}
