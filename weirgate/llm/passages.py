@@ -52,11 +52,13 @@ class Windows:
         return range_hashes(runs["symbols"], start, start + runs["count"][some] + self.width - 1, SECOND)
 
 
-def grouped(docs: DataFrame, id_column: str, text_column: str, groups: int | None = None) -> DataFrame:
+def group_count(docs: DataFrame) -> int:
+    return max(docs.count() // GROUP_ROWS, 1)
+
+
+def grouped(docs: DataFrame, id_column: str, text_column: str, groups: int) -> DataFrame:
     """Ids and texts with their group ``g``."""
-    texts = id_and_text(docs, id_column, text_column)
-    count = groups or max(docs.count() // GROUP_ROWS, 1)
-    return texts.withColumn("g", F.pmod(F.xxhash64("d"), F.lit(count)))
+    return id_and_text(docs, id_column, text_column).withColumn("g", F.pmod(F.xxhash64("d"), F.lit(groups)))
 
 
 def text_of(table: pa.Table) -> pa.Array:
@@ -73,10 +75,11 @@ def as_table(*batches: pa.RecordBatch) -> pa.Table:
 
 
 def distinct_runs(d: np.ndarray, first: np.ndarray, anchor: np.ndarray, path: np.ndarray):
-    """The earliest of equal runs, how many coordinates each has, and for every run whether it is a later one."""
+    """The earliest of equal runs and how many coordinates each has; for every run, whether it is a later one, and
+    whether it has another place."""
     order = np.lexsort((first, d, path, anchor))
     if not len(order):
-        return order, order, np.zeros(0, bool)
+        return order, order, np.zeros(0, bool), np.zeros(0, bool)
     a, p, k, s = anchor[order], path[order], d[order], first[order]
     head = np.ones(len(order), bool)
     head[1:] = (a[1:] != a[:-1]) | (p[1:] != p[:-1])
@@ -87,7 +90,9 @@ def distinct_runs(d: np.ndarray, first: np.ndarray, anchor: np.ndarray, path: np
     own = np.cumsum(head) - 1
     later = np.zeros(len(order), bool)
     later[order] = (k != k[heads][own]) | (s != s[heads][own])
-    return order[heads], counts, later
+    several = np.zeros(len(order), bool)
+    several[order] = (counts > 1)[own]
+    return order[heads], counts, later, several
 
 
 def repeated_runs(texts: DataFrame, windows: Windows) -> DataFrame:
@@ -139,7 +144,7 @@ def repeated_runs(texts: DataFrame, windows: Windows) -> DataFrame:
         some = np.flatnonzero(wanted[place] == runs["anchor"])
         path = windows.paths(runs, some)
         d = ids_of(left)[runs["doc"][some]]
-        best, counts, _ = distinct_runs(d, runs["first"][some], runs["anchor"][some], path)
+        best, counts, _, _ = distinct_runs(d, runs["first"][some], runs["anchor"][some], path)
         kept = some[best]
         return as_table(batch(
             g=np.full(len(kept), left.column("g")[0].as_py(), np.int64), d=d[best],
@@ -169,4 +174,4 @@ def rows_at(table: pa.Table, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[low[row] + inner], row
 
 
-__all__ = ["Windows", "as_table", "distinct_runs", "grouped", "ids_of", "repeated_runs", "rows_at", "text_of", "unsigned"]
+__all__ = ["Windows", "as_table", "distinct_runs", "group_count", "grouped", "ids_of", "repeated_runs", "rows_at", "text_of", "unsigned"]

@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from weirgate.llm.common import batch, documents, real_id
 from weirgate.llm.kernels import flat, kept_text, merged, range_hashes, rolling_hashes, signed, unsigned, words
-from weirgate.llm.passages import Windows, as_table, distinct_runs, grouped, ids_of, repeated_runs, rows_at, text_of
+from weirgate.llm.passages import (
+    Windows, as_table, distinct_runs, group_count, grouped, ids_of, repeated_runs, rows_at, text_of,
+)
 
 WIDTH = 20
 GRAM = 8
@@ -61,7 +63,7 @@ def _resolved(windows: Windows):
         anchor = np.repeat(right.column("anchor").to_numpy()[row], edges)
         edge = rolling_hashes(symbols, windows.width)[place] if len(place) else np.zeros(0, np.uint64)
         start = place - bounds[owner]
-        _, _, later = distinct_runs(d[owner], start, unsigned(anchor), edge)
+        _, _, later, _ = distinct_runs(d[owner], start, unsigned(anchor), edge)
         return as_table(batch(g=np.full(len(place), left.column("g")[0].as_py(), np.int64), d=d[owner],
                               start=start.astype(np.int32), anchor=anchor, edge=signed(edge), later=later))
 
@@ -79,7 +81,7 @@ def _removed(windows: Windows, with_text: bool):
         starts, ends, bounds = words(data, offsets)
         runs = windows.runs(texts)
         some = np.arange(len(runs["anchor"]))
-        _, _, later = distinct_runs(d[runs["doc"]], runs["first"], runs["anchor"], windows.paths(runs, some))
+        _, _, later, _ = distinct_runs(d[runs["doc"]], runs["first"], runs["anchor"], windows.paths(runs, some))
         first = runs["start"][later]
         last = first + runs["count"][later] + windows.width - 1
         if right.num_rows:
@@ -116,7 +118,7 @@ def remove_repeated_passages(docs: DataFrame, width: int = WIDTH, gram: int = GR
     (null unless ``with_text``). Windows are judged on the input, not on what is left.
     """
     windows = Windows(word_symbols, width, gram)
-    texts = grouped(docs, id_column, text_column, groups)
+    texts = grouped(docs, id_column, text_column, groups or group_count(docs))
     paths = repeated_runs(texts, windows).drop("n")
     sources = paths.groupBy("anchor", "path").agg(F.min("d").alias("source_d"))
     branching = sources.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1").select("anchor")
