@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weirgate.llm.binary_output import op3_binary_output
 from weirgate.llm.mixing import op2_source_mixing
+from weirgate.llm.near_dedup import op5_near_dedup
 from weirgate.llm.packing import op8_best_fit_packing
 from weirgate.llm.pii import op9_pii
 from weirgate.llm.quality import op4_quality_rules
@@ -18,8 +19,8 @@ from weirgate.llm.topk import op7_exact_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
-    for function in (op1_substring_dedup, op2_source_mixing, op3_binary_output, op4_quality_rules, op6_token_counts,
-                     op7_exact_topk, op8_best_fit_packing, op9_pii, op10_suffix_dedup)
+    for function in (op1_substring_dedup, op2_source_mixing, op3_binary_output, op4_quality_rules, op5_near_dedup,
+                     op6_token_counts, op7_exact_topk, op8_best_fit_packing, op9_pii, op10_suffix_dedup)
 }
 
 SQL: dict[str, str] = {}
