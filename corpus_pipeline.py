@@ -1,18 +1,80 @@
-"""The corpus pipeline: each stage is one operator of ``weirgate.llm`` on what the stage before it kept."""
+"""The corpus pipeline: quality rules, near duplicates, personal data, source mixing, packing.
+
+Each stage is one operator of ``weirgate.llm``. It takes what the stage before it kept as ``docs``, with the columns of
+``documents``, and its decisions take effect: rejected documents and all but one of each group of near duplicates go,
+personal data is replaced in the texts, and documents come as often as the mixture asks for. The last stage returns each
+piece's place in its document and in its sequence. Null texts fail the quality rules; a null id is kept as it is. Documents that come
+several times in the mixture are packed as often. Extra columns travel along up to the packing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from weirgate.llm.mixing import mixed, realised
+from weirgate.llm.near_dedup import near_duplicates
+from weirgate.llm.packing import pack_documents
+from weirgate.llm.pii import redact_column
+from weirgate.llm.quality import kept_rows
+from weirgate.llm.token_counts import tokenizer_file
+
+
+def _with_length(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the risk-controlled thresholds keep."""
+    return kept_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id, once."""
+    kept = (near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("_chosen"))
+            .agg(F.count(F.lit(1)).alias("_rows")))
+    rows = docs.join(kept, F.expr("doc_id <=> _chosen"))
+    once = rows.filter("_rows = 1").unionByName(rows.filter("_rows > 1").dropDuplicates(["doc_id"]))
+    return once.drop("_chosen", "_rows")
+
 
-STAGES: list = []
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind."""
+    return _with_length(redact_column(docs))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture of their sources holds them, at least once."""
+    return realised(mixed(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequences and offsets."""
+    return pack_documents(docs, tokenizer_file(), with_ids=False)
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_dedup_stage),
+    ("personal_data", pii_stage),
+    ("source_mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
 #: SQL cannot express the stages; the tests hold them against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``."""
+    """All stages on ``documents``, each written to the shared folder and read again."""
+    from uuid import uuid4
+
+    from weirgate.session import shared_folder
+
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    folder = f"{shared_folder(spark)}/corpus-pipeline-{uuid4().hex}"
+    for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{number}-{name}")
+            docs = spark.read.parquet(f"{folder}/{number}-{name}")
     return docs

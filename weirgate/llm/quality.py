@@ -24,9 +24,9 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from weirgate.llm.common import NO_ID, batch, documents, mapped, real_id
+from weirgate.llm.common import NO_ID, batch, documents, mapped, pieces, real_id
 from weirgate.llm.kernels import WHITE, flat, mix, range_hashes, rolling_hashes, windows, words
 
 RULES = ("symbols", "exclamations", "capitals", "repeated_lines", "repeated_words")
@@ -183,6 +183,15 @@ def cutoffs(scored: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
         for rule in RULES])
 
 
+def _base_failed(prefix: str = "") -> Column:
+    return F.expr(f"{prefix}n_words < 50 or 100 * {prefix}n_repeat_words > 50 * {prefix}n_words")
+
+
+def _rejected_by(prefix: str = "") -> Column:
+    return F.filter(F.array(*[F.when(F.col(prefix + rule) >= F.coalesce(F.col(f"cut_{rule}"), F.lit(NEVER)), F.lit(rule))
+                              for rule in RULES]), lambda name: name.isNotNull())
+
+
 def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, price: float = PRICE,
            stratum_column: str = "lang", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Measures, scores, ``base_failed``, the rules that reject (``rejected_by``) and ``kept`` of every document."""
@@ -190,15 +199,36 @@ def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: floa
     limits = cutoffs(scored, labels, alpha, delta, price).withColumnRenamed("stratum", "own")
     # At most MAX_STRATA rows.
     with_limits = scored.join(F.broadcast(limits), F.expr("stratum <=> own"), "left")
-    base_failed = F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
-    rejected = F.filter(F.array(*[F.when(F.col(rule) >= F.coalesce(F.col(f"cut_{rule}"), F.lit(NEVER)), F.lit(rule))
-                                  for rule in RULES]), lambda name: name.isNotNull())
-    return (with_limits.withColumn("base_failed", base_failed).withColumn("rejected_by", rejected)
+    return (with_limits.withColumn("base_failed", _base_failed()).withColumn("rejected_by", _rejected_by())
             .withColumn("kept", F.expr("not base_failed and size(rejected_by) = 0"))
             .select(real_id().alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "kept", "rejected_by", *RULES))
 
 
+def kept_rows(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, price: float = PRICE,
+              stratum_column: str = "lang", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, as they are."""
+    own = "_q_"
+    limits = cutoffs(scores(docs, stratum_column, id_column, text_column), labels, alpha, delta, price)
+    limits = limits.withColumnRenamed("stratum", f"{own}stratum")
+    needed = ("n_words", "n_repeat_words", *RULES)
+    kinds = dict(one.split() for one in _SCORES.split(", "))
+    place = docs.columns.index(text_column)
+
+    def run(batches):
+        for rows in pieces(batches, text_column):
+            made = measures(rows.column(place))
+            yield pa.RecordBatch.from_arrays([*rows.columns, *[pa.array(made[name]) for name in needed]],
+                                             names=[*rows.schema.names, *[own + name for name in needed]])
+
+    schema = T.StructType([*docs.schema.fields, *[
+        T.StructField(own + name, T.LongType() if kinds[name] == "long" else T.IntegerType()) for name in needed]])
+    scored = docs.mapInArrow(run, schema)
+    joined = scored.join(F.broadcast(limits), F.col(f"`{stratum_column}`").eqNullSafe(F.col(f"{own}stratum")), "left")
+    kept = joined.filter(~_base_failed(own) & (F.size(_rejected_by(own)) == 0))
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
+
+
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
     found = judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
