@@ -134,3 +134,6 @@ SECRET_NEEDLES = {
     "Google private key": "begin private key",
     "Telegram bot token": ":",
 }
+
+#: A stored digest that cannot be rendered because an article or a source is gone.
+DIGEST_UNUSABLE = "Stored digest cannot be split for Telegram delivery."

@@ -44,8 +44,8 @@ def fragment_text(value: str | None, maximum: int) -> str | None:
     return " ".join(text.split())[:maximum].rstrip()
 
 
-def sanitize_html(value: Column, maximum: int = C.ARTICLE_TEXT_MAX) -> Column:
-    """Visible text of an HTML fragment."""
+def sanitize_html(value: Column, maximum: int | None = C.ARTICLE_TEXT_MAX) -> Column:
+    """Visible text of an HTML fragment; the whole text without ``maximum``."""
 
     def run(values: pd.Series) -> pd.Series:
         return values.map(lambda item: fragment_text(item, maximum))

@@ -11,7 +11,7 @@ def plain_number(value: Column) -> Column:
     Null prints as ``null``.
     """
     text = value.cast("string")
-    whole = (value == F.floor(value)) & (F.abs(value) < F.lit(1e15))
+    whole = (value == F.rint(value)) & (F.abs(value) < F.lit(1e21))  # all digits up to there
     tiny = (F.abs(value) < F.lit(1e-6)) & (value != 0)
     scientific = F.contains(text, F.lit("E"))
     spelled = F.regexp_replace(value.cast("decimal(38,20)").cast("string"), r"\.?0+\z", "")
@@ -19,7 +19,7 @@ def plain_number(value: Column) -> Column:
     return (
         F.when(value.isNull(), "null")
         .when(F.isnan(value), "NaN")
-        .when(whole, value.cast("bigint").cast("string"))
+        .when(whole, value.cast("decimal(38,0)").cast("string"))
         .when(tiny, exponent)
         .when(scientific & (F.abs(value) < F.lit(1e15)), spelled)
         .otherwise(text)

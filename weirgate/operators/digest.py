@@ -14,10 +14,10 @@ URL_OR_MARKUP = r"(?i)(https?://|www\.|<|>|\[/?(b|i|u|code|pre|a)\]|telegram\.me
 
 
 def candidate_ids(candidates: DataFrame, run: str = "run_id") -> DataFrame:
-    """Opaque ids ``c_01``, ``c_02``, ... in rank order per run (E6). Candidates are already limited per run."""
+    """Opaque ids ``c_01``, ``c_02``, ... in rank order per run (E6); from 100 on they are longer, never cut."""
     ranked = Window.partitionBy(run).orderBy(F.col("score").desc(), F.col("news_item_id").asc())
     return candidates.withColumn("rank", F.row_number().over(ranked)).withColumn(
-        "candidate_id", F.concat(F.lit("c_"), F.lpad(F.col("rank").cast("string"), 2, "0")))
+        "candidate_id", F.concat(F.lit("c_"), F.when(F.col("rank") < 10, "0").otherwise(""), F.col("rank").cast("string")))
 
 
 def _json_text(value: Column) -> Column:
@@ -48,13 +48,17 @@ def article_json() -> Column:
 def article_payload(candidates: DataFrame, run: str = "run_id", limit: int = C.MAX_CANDIDATES) -> DataFrame:
     """The request text per run (H16): articles in rank order.
 
-    One slot per rank instead of a collected list, so a group can never outgrow ``limit`` articles.
+    One slot per rank instead of a collected list, so a group can never outgrow ``limit`` articles. A run with more gets no
+    text but ``payload_error``.
     """
     text = article_json()
     slots = [F.max(F.when(F.col("rank") == place, text)).alias(f"_{place}") for place in range(1, limit + 1)]
-    grouped = candidates.withColumn("_json", text).groupBy(run).agg(*slots)
+    grouped = candidates.withColumn("_json", text).groupBy(run).agg(*slots, F.count(F.lit(1)).alias("_count"))
+    error = F.when(F.col("_count") > limit, F.concat(
+        F.lit(f"a request holds at most {limit} articles, got "), F.col("_count").cast("string")))
     body = F.array_join(F.array_compact(F.array(*[f"_{place}" for place in range(1, limit + 1)])), ", ")
-    return grouped.select(run, F.concat(F.lit('{"articles": ['), body, F.lit("]}")).alias("articles_json"))
+    whole = F.when(error.isNull(), F.concat(F.lit('{"articles": ['), body, F.lit("]}")))
+    return grouped.select(run, whole.alias("articles_json"), error.alias("payload_error"))
 
 
 def digest_item_bounds(top: int, maximum: int, minimum: int, available: Column) -> tuple[Column, Column]:
@@ -67,50 +71,56 @@ def validate_digest_output(outputs: DataFrame, contexts: DataFrame, top: int = 5
                            minimum: int = 3, run: str = "run_id") -> DataFrame:
     """All rule breaches of each model output (B14): adds ``errors``, ``accepted`` and ``news_ids``.
 
-    ``outputs`` has an ``output`` struct; ``contexts`` has ``candidate_id, news_item_id, status`` per run. The at most
-    100 contexts of a run (ids have two digits) travel as one map, so items are checked in place and never regrouped.
+    ``outputs`` has an ``output`` struct; ``contexts`` has ``candidate_id, news_item_id, status`` per run. The contexts of
+    a run travel as one map, so items are checked in place and never regrouped. The contract gives ids of two digits; a
+    run with others is refused with an error, and only ids of two digits enter the map, which bounds it. Nulls in an item
+    count as breaches.
     """
-    usable = contexts.where(F.rlike("candidate_id", F.lit(r"\Ac_\d{2}\z"))).groupBy(run, "candidate_id").agg(
+    usable = contexts.where("candidate_id is not null").groupBy(run, "candidate_id").agg(
         F.min(F.struct("news_item_id", "status")).alias("_context"))
-    by_run = one_per_key(usable, [run], F.map_from_entries(F.collect_list(F.struct("candidate_id", "_context")))
-                         .alias("_contexts"))
+    entry = F.when(F.rlike("candidate_id", F.lit(r"\Ac_\d{2}\z")), F.struct("candidate_id", "_context"))
+    by_run = one_per_key(usable, [run], F.map_from_entries(F.collect_list(entry)).alias("_contexts"),
+                         F.count(F.lit(1)).alias("_given"))
     rows = outputs.join(by_run, run, "left")
     contexts_map = F.col("_contexts")
     items = F.coalesce(F.col("output.items"), F.expr("array()").cast(
         "array<struct<candidate_id:string,summary:string,tag:string,relevance_score:double,selection_reason:string>>"))
-    least, most = digest_item_bounds(top, maximum, minimum, F.coalesce(F.size(contexts_map), F.lit(0)))
+    given = F.coalesce("_given", F.lit(0))
+    least, most = digest_item_bounds(top, maximum, minimum, given)
     rows = rows.withColumn("_items", items).withColumn("_least", least).withColumn("_most", most).withColumn(
-        "_ids", F.transform("_items", lambda item: item["candidate_id"]))
+        "_ids", F.transform("_items", lambda item: F.coalesce(item["candidate_id"], F.lit(""))))
     size = F.size("_items")
     count_error = F.when(~size.between(F.col("_least"), F.col("_most")), F.concat(
         F.lit("item count must be between "), F.col("_least").cast("string"), F.lit(" and "),
         F.col("_most").cast("string"), F.lit(", got "), size.cast("string")))
+    foreign = F.when(given > F.coalesce(F.size(contexts_map), F.lit(0)), F.lit("candidate ids must be c_ and two digits"))
 
     def item_errors(item: Column, index: Column) -> Column:
-        name = item["candidate_id"]
+        name = F.coalesce(item["candidate_id"], F.lit(""))
+        summary = F.coalesce(item["summary"], F.lit(""))
         context = F.try_element_at(contexts_map, name)
         known = context.isNotNull()
-        length_ok = F.length(item["summary"]).between(80, 280)
+        length_ok = F.length(summary).between(80, 280)
         checks = [
             F.when(F.array_position("_ids", name) != index + 1, F.concat(F.lit("duplicate candidate_id "), name)),
             F.when(~known, F.concat(F.lit("unknown candidate_id "), name)),
             F.when(known & (context["status"] == "used"),
                    F.concat(F.lit("candidate "), name, F.lit(" was already used"))),
-            F.when(known & ~context["status"].isin("used", "candidate"),
+            F.when(known & ~F.coalesce(context["status"].isin("used", "candidate"), F.lit(False)),
                    F.concat(F.lit("candidate "), name, F.lit(" is not in candidate status"))),
             F.when(known & ~length_ok, F.lit("summary length must be between 80 and 280 characters")),
-            F.when(known & F.rlike(item["summary"], F.lit(URL_OR_MARKUP)),
+            F.when(known & F.rlike(summary, F.lit(URL_OR_MARKUP)),
                    F.lit("summary must not contain URLs, HTML, or Telegram markup")),
             F.when(known & ~F.coalesce(item["tag"].isin(*C.DIGEST_TAGS), F.lit(False)),
                    F.concat(F.lit("invalid tag for "), name)),
         ]
         return F.array_compact(F.array(*checks))
 
-    errors = F.concat(F.array_compact(F.array(count_error)), F.flatten(F.transform("_items", item_errors)))
+    errors = F.concat(F.array_compact(F.array(foreign, count_error)), F.flatten(F.transform("_items", item_errors)))
     rows = rows.withColumn("errors", errors).withColumn("accepted", F.size("errors") == 0)
     news = F.transform("_ids", lambda name: F.try_element_at(contexts_map, name)["news_item_id"])
     return rows.withColumn("news_ids", F.when(F.col("accepted"), news)).drop(
-        "_contexts", "_items", "_ids", "_least", "_most")
+        "_contexts", "_given", "_items", "_ids", "_least", "_most")
 
 
 def validation_error_text(errors: Column) -> Column:
@@ -130,20 +140,37 @@ def accepted_items(validated: DataFrame, key: str = "digest_id") -> DataFrame:
     )
 
 
-def check_positions(items: DataFrame, key: str = "digest_id", position: str = "position",
-                    news: str = "news_item_id") -> DataFrame:
-    """Position errors per digest (E7): count out of range, repeated positions or news, gaps."""
-    counted = items.groupBy(key).agg(
-        F.count(F.lit(1)).alias("items"), F.min(position).alias("_low"), F.max(position).alias("_high"),
-        F.count_distinct(position).alias("_positions"), F.count_distinct(news).alias("_news"))
-    error = (
+def _position_error() -> Column:
+    """The first broken position rule of a group with ``items``, ``_low``, ``_high``, ``_mask`` and ``_news``."""
+    return (
         F.when(F.col("items") > C.DIGEST_MAX_ITEMS, "Digest must contain between 1 and 7 items")
-        .when(F.col("_positions") < F.col("items"), "Digest item positions must be unique")
+        .when(F.bit_count("_mask") + F.col("_outside") < F.col("items"), "Digest item positions must be unique")
         .when(F.col("_news") < F.col("items"), "Digest news items must be unique")
-        .when((F.col("_low") != 1) | (F.col("_high") != F.col("items")),
+        .when(F.coalesce((F.col("_low") != 1) | (F.col("_high") != F.col("items")), F.lit(True)),
               "Digest item positions must be consecutive starting at 1")
     )
-    return counted.select(key, "items", error.alias("position_error"))
+
+
+def _position_state(position: str) -> list[Column]:
+    """Aggregates of fixed size over positions: those up to 62 as bits, the others (never allowed) as a count."""
+    inside = F.col(position).between(0, 62)
+    bit = F.when(inside, F.expr(f"shiftleft(1L, cast(`{position}` as int))"))
+    return [F.count(F.lit(1)).alias("items"), F.min(position).alias("_low"), F.max(position).alias("_high"),
+            F.coalesce(F.bit_or(bit), F.lit(0)).alias("_mask"),
+            F.count_if(~F.coalesce(inside, F.lit(False))).alias("_outside")]
+
+
+def check_positions(items: DataFrame, key: str = "digest_id", position: str = "position",
+                    news: str = "news_item_id") -> DataFrame:
+    """Position errors per digest (E7): count out of range, repeated positions or news, gaps.
+
+    Rows are combined by digest and article first, so distinct articles need no second copy of the rows.
+    """
+    by_news = items.groupBy(key, news).agg(*_position_state(position))
+    counted = by_news.groupBy(key).agg(
+        F.sum("items").alias("items"), F.min("_low").alias("_low"), F.max("_high").alias("_high"),
+        F.bit_or("_mask").alias("_mask"), F.sum("_outside").alias("_outside"), F.count(news).alias("_news"))
+    return counted.select(key, "items", _position_error().alias("position_error"))
 
 
 def digest_lines(items: DataFrame, news: DataFrame, sources: DataFrame) -> DataFrame:
@@ -169,18 +196,28 @@ def render_item() -> Column:
 
 
 def digest_blocks(lines: DataFrame, key: str = "digest_id") -> DataFrame:
-    """Rendered entries of each digest as an array in position order, plus ``items`` and ``missing_parents``.
+    """Rendered entries of each digest as an array in position order, with ``items`` and ``digest_error``.
 
     A digest has at most seven positions. Each has its own slot in the aggregate, so the group state is bounded and
-    combined before the shuffle, whatever the input holds.
+    combined before the shuffle, whatever the input holds. A digest that breaks a position rule, repeats an article or
+    has an item without article or source gets the error and no entries.
     """
     rendered = lines.withColumn("_block", render_item())
     places = range(1, C.DIGEST_MAX_ITEMS + 1)
+    article = F.col("news_item_id") if "news_item_id" in lines.columns else F.col("position")
+    news = [F.max(F.when(F.col("position") == place, article)).alias(f"_n{place}") for place in places]
     slots = [F.max(F.when(F.col("position") == place, F.col("_block"))).alias(f"_{place}") for place in places]
     grouped = rendered.groupBy(key).agg(
-        *slots, F.count(F.lit(1)).alias("items"), F.count_if("missing_parent").alias("missing_parents"))
-    return grouped.select(
-        key, "items", "missing_parents", F.array_compact(F.array(*[f"_{place}" for place in places])).alias("blocks"))
+        *slots, *news, *_position_state("position"), F.count_if("missing_parent").alias("missing_parents"))
+    # With unique positions from 1 to 7 each slot holds one item, so the slots tell whether an article is repeated.
+    grouped = grouped.withColumn("_news", F.size(F.array_distinct(F.array_compact(
+        F.array(*[f"_n{place}" for place in places]))))).withColumn(
+        "_news", F.when((F.col("_outside") == 0) & (F.col("_high") <= C.DIGEST_MAX_ITEMS) & (F.col("_low") >= 1),
+                        F.col("_news")).otherwise(F.col("items")))
+    error = F.coalesce(_position_error(), F.when(F.col("missing_parents") > 0, C.DIGEST_UNUSABLE))
+    blocks = F.array_compact(F.array(*[f"_{place}" for place in places]))
+    return grouped.select(key, "items", "missing_parents", error.alias("digest_error"),
+                          F.when(error.isNull(), blocks).alias("blocks"))
 
 
 def _title(title: Column) -> Column:
@@ -192,7 +229,7 @@ def _footer(count: Column) -> Column:
 
 
 def render_digest(digests: DataFrame) -> DataFrame:
-    """Full text of each digest (K2). Needs ``digest_title`` and ``blocks``."""
+    """Full text of each digest (K2), null where ``blocks`` is. Needs ``digest_title`` and ``blocks``."""
     body = F.array_join("blocks", C.ITEM_SEPARATOR)
     return digests.withColumn("rendered_text", F.concat(
         _title(F.col("digest_title")), F.lit("\n\n"), body, F.lit("\n\n"), _footer(F.size("blocks")), F.lit("\n")))
@@ -223,7 +260,9 @@ def split_messages(digests: DataFrame, limit: int = C.MESSAGE_LIMIT) -> DataFram
                          lambda filled: F.concat(filled["done"], F.array(filled["open"])))
     rows = rows.withColumn("_groups", groups)
     oversized = F.exists("blocks", lambda block: F.length(block) > F.col("_room"))
-    error = F.when(F.size("blocks") == 0, "digest must contain at least one item").when(
+    given = F.col("digest_error") if "digest_error" in digests.columns else F.lit(None).cast("string")
+    error = F.when(given.isNotNull(), given).when(
+        F.coalesce(F.size("blocks") == 0, F.lit(True)), "digest must contain at least one item").when(
         oversized, "a single digest item exceeds the Telegram message size limit")
     parts = F.transform("_groups", lambda group, index: F.concat(
         F.when(index == 0, F.concat(F.col("_title"), F.lit("\n\n"))).otherwise(""), group,

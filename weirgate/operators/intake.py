@@ -113,6 +113,7 @@ def mark_known_keys(new: DataFrame, audit: DataFrame, key: str = "idempotency_ke
 
 
 def difference(left: DataFrame, right: DataFrame, key: str | list[str]) -> DataFrame:
-    """Rows of ``left`` whose key is not in ``right``."""
+    """Rows of ``left`` whose key is not in ``right`` (G3, C10). ``right`` is reduced to its keys, so hot keys on either side
+    are split."""
     keys = [key] if isinstance(key, str) else key
-    return left.join(right.select(*keys), keys, "left_anti")
+    return left.join(one_per_key(right, keys), keys, "left_anti")

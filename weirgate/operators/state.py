@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirgate import constants as C
+from weirgate.operators.keys import one_per_key
 from weirgate.operators.scan import BUCKET_SECONDS, previous_value
 
 
@@ -44,12 +45,17 @@ def apply_transitions(rows: DataFrame, requests: DataFrame, key: str = "news_ite
                       entity: str = "news item") -> DataFrame:
     """Apply one requested status per key (J4): allowed requests change the row, others leave an error.
 
-    ``requests`` has ``key, target_status, request_reason``. Ignoring needs a reason; other targets forbid one.
+    ``requests`` has ``key, target_status, request_reason``. Ignoring needs a reason; other targets forbid one. Several
+    requests for one key change nothing and leave an error.
     """
-    joined = rows.join(requests, key, "left")
+    asked = one_per_key(requests, [key], F.max(F.struct("target_status", "request_reason")).alias("_asked"),
+                        F.count(F.lit(1)).alias("_requests"))
+    joined = rows.join(asked, key, "left").withColumns({
+        "target_status": F.col("_asked.target_status"), "request_reason": F.col("_asked.request_reason")})
     target, reason = F.col("target_status"), F.col("request_reason")
     error = (
-        F.when(target.isNull(), F.lit(None).cast("string"))
+        F.when(F.col("_requests") > 1, "several status changes are requested at once")
+        .when(target.isNull(), F.lit(None).cast("string"))
         .when((target == "ignored") & reason.isNull(), "ignore_reason is required when ignoring a news item")
         .when((target != "ignored") & reason.isNotNull(), "ignore_reason is only allowed for ignored news items")
         .otherwise(transition_error(entity, F.col("status"), target))
@@ -59,7 +65,7 @@ def apply_transitions(rows: DataFrame, requests: DataFrame, key: str = "news_ite
     return (
         joined.withColumn("status", F.when(changed, target).otherwise(F.col("status")))
         .withColumn("ignore_reason", F.when(changed, reason).otherwise(F.col("ignore_reason")))
-        .drop("target_status", "request_reason")
+        .drop("target_status", "request_reason", "_asked", "_requests")
     )
 
 

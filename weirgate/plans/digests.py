@@ -19,7 +19,7 @@ def candidate_payload(spark: SparkSession, folder: str) -> DataFrame:
     rows = items.select("news_item_id", "title", "sanitized_summary", "published_at").join(
         F.broadcast(chosen), "news_item_id")
     rows = rows.join(sources.select("source_key", F.col("name").alias("source_name")), "source_key")
-    return digest.article_payload(digest.candidate_ids(rows.withColumn("run_id", F.lit(1))))
+    return digest.article_payload(digest.candidate_ids(rows.withColumn("run_id", F.lit(1)))).select("run_id", "articles_json")
 
 
 
@@ -61,7 +61,9 @@ def _outputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
     def item(index: Column) -> Column:
         number = F.when(key % 13 == 0, F.lit(1)).when((key % 17 == 0) & (index == 1), F.lit(98)).otherwise(index)
-        summary = F.substring(F.col("text"), F.lit(1), F.when(key % 5 == 0, 60).otherwise(90) + index)
+        size = F.when(key % 5 == 0, 60).otherwise(90) + index
+        # The pieces of a text go around its items: the last item takes what is left, however long.
+        summary = F.substring(F.col("text"), (index - 1) * 100 + 1, F.when(index == count, F.length("text")).otherwise(size))
         summary = F.when((key % 11 == 0) & (index == 2), F.concat(summary, F.lit(" see www.x.org"))).otherwise(summary)
         return F.struct(
             F.concat(F.lit("c_"), F.lpad(number.cast("string"), 2, "0")).alias("candidate_id"),
@@ -93,7 +95,8 @@ _VALIDATED = r"""
 , answer AS (SELECT doc_id, doc_id % 7 + 2 AS n, text AS words
              FROM documents),
 item AS (SELECT doc_id, n, i, CASE WHEN doc_id % 13 = 0 THEN 1 WHEN doc_id % 17 = 0 AND i = 1 THEN 98 ELSE i END AS num,
-           substr(words, 1, CASE WHEN doc_id % 5 = 0 THEN 60 ELSE 90 END + i)
+           substr(words, (i - 1) * 100 + 1,
+                  CASE WHEN i = n THEN length(words) WHEN doc_id % 5 = 0 THEN 60 + i ELSE 90 + i END)
              || CASE WHEN doc_id % 11 = 0 AND i = 2 THEN ' see www.x.org' ELSE '' END AS summary,
            CASE WHEN doc_id % 19 = 0 AND i = 1 THEN 'NEWS' ELSE 'PRODUCT' END AS tag
          FROM (SELECT *, CAST(unnest(range(1, n + 1)) AS INTEGER) AS i FROM answer)),
@@ -189,18 +192,19 @@ FROM part_news""", "digest_item", "part_news"))
 
 def _blocks(spark: SparkSession, folder: str) -> DataFrame:
     lines = digest.digest_lines(t.digest_items(spark, folder), t.part_news(spark, folder), t.brand_sources(spark, folder))
-    titles = t.digests(spark, folder).select("digest_id", "digest_title")
-    return digest.digest_blocks(lines).join(titles, "digest_id")
+    titles = t.digests(spark, folder).select("run_id", "digest_title")
+    return digest.digest_blocks(lines).withColumn("run_id", t.order_of()).join(titles, "run_id")
 
 
 def digest_render(spark: SparkSession, folder: str) -> DataFrame:
     """Full text of every digest."""
-    return digest.render_digest(_blocks(spark, folder)).select("digest_id", "items", "rendered_text")
+    return digest.render_digest(_blocks(spark, folder)).select("digest_id", "items", "digest_error",
+                                                                     "rendered_text")
 
 
 QUERIES["digest_render"] = Query(digest_render, sql.query("""
-SELECT digest_id, n AS items, title || chr(10) || chr(10) || body || chr(10) || chr(10) || footer || chr(10)
-  AS rendered_text FROM titled""", "digest_item", "part_news", "blocks", "digest", "titled"))
+SELECT digest_id, items, problem AS digest_error, CASE WHEN problem IS NULL THEN
+  title || chr(10) || chr(10) || body || chr(10) || chr(10) || footer || chr(10) END AS rendered_text FROM titled""", "digest_item", "part_news", "blocks", "digest", "titled"))
 
 SPLIT_LIMIT = 900
 
@@ -215,7 +219,7 @@ QUERIES["digest_split"] = Query(digest_split, sql.query("", "digest_item", "part
                                                         recursive=True).rstrip() + f"""
 , fill AS (
   SELECT b.digest_id, b.position, 0 AS part, b.block AS filled, t.n, t.title, t.footer
-  FROM blocks b JOIN titled t USING (digest_id) WHERE b.position = 1
+  FROM blocks b JOIN titled t USING (digest_id) WHERE b.position = 1 AND problem IS NULL
   UNION ALL
   SELECT f.digest_id, b.position, CASE WHEN fits THEN part ELSE part + 1 END,
          CASE WHEN fits THEN filled || chr(10) || chr(10) || chr(10) || b.block ELSE b.block END, n, title, footer
@@ -228,7 +232,8 @@ SELECT digest_id, CAST(NULL AS VARCHAR) AS split_error, part,
          || CASE WHEN part = last_part THEN chr(10) || chr(10) || footer ELSE '' END || chr(10) AS text
 FROM (SELECT *, row_number() OVER (PARTITION BY digest_id, part ORDER BY position DESC) AS back,
              max(part) OVER (PARTITION BY digest_id) AS last_part FROM fill)
-WHERE back = 1""")
+WHERE back = 1
+UNION ALL SELECT digest_id, problem, NULL, NULL FROM titled WHERE problem IS NOT NULL""")
 
 
 def sent_difference(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirgate.functions import hashing, text, times, urls
+from weirgate.functions import hashing, html, text, times, urls
 from weirgate.operators import news, state
 from weirgate.plans import sql, tables as t
 from weirgate.plans.registry import Query
@@ -288,14 +288,14 @@ QUERIES["url_canonicalize"] = Query(url_canonicalize, (
 
 
 def html_sanitize(spark: SparkSession, folder: str) -> DataFrame:
-    """Page text by the built-in expressions, whole pages."""
-    rows = t.table(spark, folder, "pages").select("page_id", text.sanitize_markup("html").alias("summary"))
+    """Page text by the exact operator, whole pages."""
+    rows = t.table(spark, folder, "pages").select("page_id", html.sanitize_html(F.col("html"), None).alias("summary"))
     return rows.select("page_id", F.length("summary").alias("summary_length"), F.sha2("summary", 256).alias("summary_hash"))
 
 
 QUERIES["html_sanitize"] = Query(html_sanitize, f"""
 SELECT page_id, length(summary) AS summary_length, sha256(summary) AS summary_hash
-FROM (SELECT page_id, {_SUMMARY} AS summary FROM pages)""")
+FROM (SELECT page_id, rtrim({sql.collapse(_UNTAGGED)}, ' ') AS summary FROM pages)""")
 
 
 def title_normalize(spark: SparkSession, folder: str) -> DataFrame:
@@ -352,8 +352,7 @@ SELECT page_id, CASE page_id % 11
 
 def _fetches(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("page_id")
-    prefix = F.when(key % 5 == 0, F.concat(F.lit("  <?xml"), F.substring("html", 1, 20))).otherwise(
-        F.substring("html", 1, 20))
+    prefix = F.when(key % 5 == 0, F.concat(F.lit("  <?xml"), F.col("html"))).otherwise(F.col("html"))
     return t.table(spark, folder, "pages").select(
         "page_id", t.pick(key, "200", "200", "304", "404", "429", "503", "200", None).cast("int").alias("http_status"),
         t.pick(key, "text/html; charset=utf-8", "application/rss+xml", "TEXT/XML ;q=1", None).alias("content_type"),
@@ -421,7 +420,7 @@ def source_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Stored sources against a configuration that renames, adds and (wrongly) moves some of them."""
     sources = t.feed_sources(spark, folder)
     number = F.col("number")
-    stored = sources.where(number % 4 != 0).withColumn("consecutive_failures", number.cast("bigint"))
+    stored = sources.where((number % 4 != 0) | (number % 3 == 0)).withColumn("consecutive_failures", number.cast("bigint"))
     config = sources.where(number % 3 != 0).withColumn("name", F.concat(F.col("name"), F.lit(" (new)"))).withColumn(
         "allowed_host", F.when(number % 5 == 0, "moved.example.com").otherwise(F.col("allowed_host"))).withColumn(
         "priority", F.lit(5).cast("decimal(4,2)"))
@@ -432,16 +431,16 @@ def source_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES["source_upsert"] = Query(source_upsert, sql.query("""
 SELECT source_key,
-       CASE WHEN number % 4 = 0 AND number % 5 = 0 THEN 'moved.example.com' ELSE allowed_host END AS allowed_host,
+       CASE WHEN fresh AND number % 5 = 0 THEN 'moved.example.com' ELSE allowed_host END AS allowed_host,
        name || CASE WHEN take THEN ' (new)' ELSE '' END AS name,
        CAST(CASE WHEN take THEN 5 ELSE priority END AS DOUBLE) AS priority,
-       CASE WHEN number % 4 <> 0 THEN CAST(number AS BIGINT) END AS consecutive_failures,
-       CASE WHEN number % 4 = 0 THEN 'inserted' WHEN clash THEN 'rejected' WHEN take THEN 'updated' ELSE 'kept' END
+       CASE WHEN NOT fresh THEN CAST(number AS BIGINT) END AS consecutive_failures,
+       CASE WHEN fresh THEN 'inserted' WHEN clash THEN 'rejected' WHEN take THEN 'updated' ELSE 'kept' END
          AS change,
        CASE WHEN clash THEN 'Source URL or allowed hostname differs from the stored source identity.' END AS sync_error
 FROM (SELECT *, number % 3 <> 0 AND NOT clash AS take
-      FROM (SELECT *, number % 4 <> 0 AND number % 3 <> 0 AND number % 5 = 0 AS clash FROM feed_source))
-WHERE number % 4 <> 0 OR number % 3 <> 0""", "feed_source"))
+      FROM (SELECT *, number % 4 = 0 AND number % 3 <> 0 AS fresh,
+                   number % 4 <> 0 AND number % 3 <> 0 AND number % 5 = 0 AS clash FROM feed_source))""", "feed_source"))
 
 
 def source_list(spark: SparkSession, folder: str) -> DataFrame:

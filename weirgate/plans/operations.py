@@ -537,7 +537,7 @@ def log_event_redact(spark: SparkSession, folder: str) -> DataFrame:
     """Log events with secret keys, content keys and whole texts with line ends."""
     rows = t.table(spark, folder, "documents").select("doc_id", F.create_map(
         F.lit("event"), F.concat(F.lit("item\r\nstored "), F.col("source")), F.lit("X-Api-Key"), F.lit("abc"),
-        F.lit("Title"), F.substring("text", 1, 20), F.lit("note"), F.col("text"),
+        F.lit("Title"), F.substring_index("text", "\n", 1), F.lit("note"), F.col("text"),
         F.lit("chat-id"), F.col("doc_id").cast("string")).alias("event"))
     clean = rows.select("doc_id", events.redact_event(F.col("event")).alias("event"))
     return clean.select("doc_id", F.col("event")["event"].alias("event"), F.col("event")["X-Api-Key"].alias("api_key"),

@@ -58,7 +58,7 @@ CTES["feed_source"] = f"""
   FROM (SELECT DISTINCT source, CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS num FROM documents)"""
 
 CTES["news_item"] = f"""
-  SELECT md5('news-' || doc_id) AS news_item_id, doc_id, source AS source_key, substr(text, 1, 80) AS title,
+  SELECT md5('news-' || doc_id) AS news_item_id, doc_id, source AS source_key, split_part(text, chr(10), 1) AS title,
          text AS sanitized_summary,
          CASE WHEN doc_id % 11 <> 0 THEN {NOW_MICROS} - (doc_id * 37 % 10080) * {MINUTE} END AS published_us,
          {NOW_MICROS} - (doc_id * 13 % 5000) * {MINUTE} AS collected_us,
@@ -298,14 +298,12 @@ CTES["digest"] = f"""
   FROM orders"""
 
 CTES["digest_item"] = f"""
-  SELECT digest_id, row_number() OVER (PARTITION BY digest_id ORDER BY l_linenumber) AS position,
-         pair.l_partkey AS news_item_id,
-         {pick('pair.l_partkey', 'AI_MODELS', 'AUTOMATION', 'DEVELOPER_TOOLS', 'PRODUCT')} AS tag,
-         'Part ' || pair.l_partkey || ' from supplier ' || pair.l_suppkey
+  SELECT l_orderkey || '-' || (place // 7) AS digest_id, place % 7 + 1 AS position, l_partkey AS news_item_id,
+         {pick('l_partkey', 'AI_MODELS', 'AUTOMATION', 'DEVELOPER_TOOLS', 'PRODUCT')} AS tag,
+         'Part ' || l_partkey || ' from supplier ' || l_suppkey
            || ' <b>is</b> "new" & improved; it''s worth a look for every team that builds things.' AS summary
-  FROM (SELECT l_orderkey AS digest_id, l_linenumber,
-               min({{'l_partkey': l_partkey, 'l_suppkey': l_suppkey}}) AS pair
-        FROM lineitem GROUP BY 1, 2)"""
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS place
+        FROM lineitem)"""
 
 CTES["part_news"] = f"""
   SELECT p_partkey AS news_item_id, p_brand AS source_key, p_name || ' & ' || p_type AS title,
@@ -325,10 +323,13 @@ CTES["blocks"] = f"""
 CTES["titled"] = f"""
   SELECT digest_id, '🗞 <b>' || {escape5(strip('digest_title'))} || '</b>' AS title,
          n || ' stories · AI-generated digest' || chr(10) || 'Always verify details at the original source.' AS footer,
-         n, body
-  FROM digest JOIN (SELECT digest_id, count(*) AS n,
-                           string_agg(block, chr(10) || chr(10) || chr(10) ORDER BY position) AS body
-                    FROM blocks GROUP BY 1) USING (digest_id)"""
+         n, items, body, CASE WHEN news < items THEN 'Digest news items must be unique'
+                              WHEN n < items THEN 'Stored digest cannot be split for Telegram delivery.' END AS problem
+  FROM (SELECT digest_id, count(*) AS items, count(DISTINCT news_item_id) AS news FROM digest_item GROUP BY 1) i
+  JOIN (SELECT digest_id AS run, digest_title FROM digest) d ON d.run = CAST(split_part(i.digest_id, '-', 1) AS BIGINT)
+  LEFT JOIN (SELECT digest_id, count(*) AS n,
+                    string_agg(block, chr(10) || chr(10) || chr(10) ORDER BY position) AS body
+             FROM blocks GROUP BY 1) b USING (digest_id)"""
 
 
 def query(body: str, *names: str, recursive: bool = False) -> str:

@@ -6,7 +6,7 @@ exist. The matching SQL is in ``plans.sql``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weirgate.functions.times import instant
 from weirgate.session import use_utc
@@ -69,7 +69,7 @@ def news_items(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(
         F.md5(F.concat(F.lit("news-"), key.cast("string"))).alias("news_item_id"), "doc_id",
         F.col("source").alias("source_key"),
-        F.substring("text", 1, 80).alias("title"), F.col("text").alias("sanitized_summary"),
+        F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("sanitized_summary"),
         F.when(key % 11 != 0, minutes_before_now(key * 37 % 10080)).alias("published_at"),
         minutes_before_now(key * 13 % 5000).alias("collected_at"),
         F.when(key % 10 == 0, "used").when(key % 10 == 1, "ignored").when(key % 10 == 2, "candidate")
@@ -286,25 +286,29 @@ def digests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def digest_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Items of each order's digest: its line numbers in order, closed up to 1..n, one part each.
+    """Items of each order's digests: all lines of an order by number, cut into digests of at most seven.
 
-    A line number has its own slot in the aggregate, so no group is collected.
+    ``digest_id`` is the order's key and the number of the cut.
     """
-    places = range(1, 8)
-    slots = [F.min(F.when(F.col("l_linenumber") == place, F.struct("l_partkey", "l_suppkey"))).alias(f"_{place}")
-             for place in places]
-    grouped = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("digest_id")).agg(*slots)
-    rows = grouped.select("digest_id", F.posexplode(F.array_compact(F.array(*[f"_{place}" for place in places]))))
-    part = F.col("col.l_partkey")
-    return rows.select(
-        "digest_id", (F.col("pos") + 1).alias("position"), part.alias("news_item_id"),
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.row_number().over(order) - 1).alias("place"))
+    part = F.col("l_partkey")
+    return lines.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.floor(F.col("place") / 7).cast("string")).alias("digest_id"),
+        (F.col("place") % 7 + 1).alias("position"), part.alias("news_item_id"),
         pick(part, "AI_MODELS", "AUTOMATION", "DEVELOPER_TOOLS", "PRODUCT").alias("tag"),
-        F.concat(F.lit("Part "), part.cast("string"), F.lit(" from supplier "), F.col("col.l_suppkey").cast("string"),
+        F.concat(F.lit("Part "), part.cast("string"), F.lit(" from supplier "), F.col("l_suppkey").cast("string"),
                  F.lit(" <b>is</b> \"new\" & improved; it's worth a look for every team that builds things.")
                  ).alias("summary"),
     )
 
 
+def order_of(digest_id: str = "digest_id") -> Column:
+    """The order a digest of ``digest_items`` belongs to."""
+    return F.substring_index(digest_id, "-", 1).cast("long")
+
+
 def part_news(spark: SparkSession, folder: str) -> DataFrame:
     """One article per part; the brand stands for the source."""
     key = F.col("p_partkey")

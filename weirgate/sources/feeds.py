@@ -37,7 +37,7 @@ def _entry_columns(item: Column) -> list[Column]:
         strip(item["title"]["_VALUE"]).alias("title"),
         F.coalesce(
             _filled(item["summary"]["_VALUE"]), _filled(item["description"]["_VALUE"]),
-            _first_text(item["content"]), _filled(item["encoded"]["_VALUE"]),
+            _filled(F.try_element_at(item["content"], F.lit(1))["_VALUE"]), _filled(item["encoded"]["_VALUE"]),
         ).alias("summary"),
         strip(F.coalesce(item["author"]["name"], item["author"]["_VALUE"], item["creator"])).alias("author"),
         F.coalesce(
@@ -94,7 +94,7 @@ def classify_fetch(fetches: DataFrame, max_bytes: int) -> DataFrame:
     the row wins. ``body_prefix`` is the head of the body as text.
     """
     status = F.col("http_status")
-    kind = F.lower(strip(F.substring_index("content_type", ";", 1)))
+    kind = F.lower(_filled(strip(F.substring_index("content_type", ";", 1))))  # a blank header counts as absent
     looks_like_xml = F.lit(False)
     for prefix in C.FEED_XML_PREFIXES:
         looks_like_xml = looks_like_xml | F.regexp_replace("body_prefix", r"\A[ \t\n\r\x0b\f]+", "").startswith(prefix)
