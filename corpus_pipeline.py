@@ -3,8 +3,8 @@
 Each stage is one operator of ``weirgate.llm``. It takes what the stage before it kept as ``docs``, with the columns of
 ``documents``, and its decisions take effect: rejected documents and all but one of each group of near duplicates go,
 personal data is replaced in the texts, and documents come as often as the mixture asks for. The last stage returns each
-piece's place in its document and in its sequence. Null texts fail the quality rules; a null id is kept as it is. Documents that come
-several times in the mixture are packed as often. Extra columns travel along up to the packing.
+piece's place in its document and in its sequence. Null texts fail the quality rules; a null id is kept as it is.
+Documents that come several times in the mixture are packed as often. Extra columns travel along up to the packing.
 """
 
 from __future__ import annotations
@@ -44,7 +44,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture of their sources holds them, at least once."""
-    return realised(mixed(docs))
+    names = {"tokens_as": "_mix_tokens", "copies_as": "_mix_copies"}
+    return realised(mixed(docs, **names), **names)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

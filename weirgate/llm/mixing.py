@@ -95,8 +95,9 @@ def plan_of(shares: pd.DataFrame, target_entropy: float | None, max_repeats: flo
 
 def mixed(docs: DataFrame, target_entropy: float | None = None, max_repeats: float | None = MAX_REPEATS,
           budget: float | None = None, seed: int = SEED, source_column: str = "source", id_column: str = "doc_id",
-          text_column: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``copies``: how often the mixture holds the document."""
+          text_column: str = "text", tokens_as: str = "n_tokens", copies_as: str = "copies") -> DataFrame:
+    """``docs`` with the document's tokens and with how often the mixture holds it. The names of these two columns must
+    not be in ``docs``."""
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(f"`{id_column}`").cast("string"),
                                             F.col(f"`{source_column}`").cast("string")), 64 - BITS * STEPS)
     source = F.col(f"`{source_column}`").cast("string")
@@ -122,19 +123,18 @@ def mixed(docs: DataFrame, target_entropy: float | None = None, max_repeats: flo
         cut = (blocks.groupBy("s", "passes", "rest").agg(taken.alias("taken"), first.alias("first"))
                .select("s", "passes", (F.col("rest") - F.col("taken")).alias("rest"),
                        F.shiftleft("first", low).alias("cut")))
-    ends = cut.select(F.col("s").alias("_own"), "passes", "cut")
-    joined = docs.join(F.broadcast(ends), source.eqNullSafe(F.col("_own")), "left")  # at most MAX_SOURCES rows
-    return (joined.withColumn("n_tokens", word_tokens(text_column))
-            .withColumn("copies", (F.coalesce("passes", F.lit(1))
-                                   + (place < F.coalesce("cut", F.lit(0))).cast("long")).cast("int"))
-            .drop("_own", "passes", "cut"))
+    ends = cut.select(F.col("s").alias("_mix_s"), F.col("passes").alias("_mix_passes"), F.col("cut").alias("_mix_cut"))
+    joined = docs.join(F.broadcast(ends), source.eqNullSafe(F.col("_mix_s")), "left")  # at most MAX_SOURCES rows
+    copies = F.coalesce("_mix_passes", F.lit(1)) + (place < F.coalesce("_mix_cut", F.lit(0))).cast("long")
+    return (joined.withColumn(tokens_as, word_tokens(text_column)).withColumn(copies_as, copies.cast("int"))
+            .drop("_mix_s", "_mix_passes", "_mix_cut"))
 
 
-def realised(mixture: DataFrame) -> DataFrame:
+def realised(mixture: DataFrame, tokens_as: str = "n_tokens", copies_as: str = "copies") -> DataFrame:
     """Each document as often as the mixture holds it, without the columns added by ``mixed``."""
-    columns = [name for name in mixture.columns if name not in ("n_tokens", "copies")]
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
-    return mixture.withColumn("_copy", copies).select(*[F.col(f"`{name}`") for name in columns])
+    columns = [name for name in mixture.columns if name not in (tokens_as, copies_as)]
+    copies = F.explode(F.array_repeat(F.lit(0), F.col(copies_as)))
+    return mixture.withColumn("_mix_copy", copies).select(*[F.col(f"`{name}`") for name in columns])
 
 
 def op2_source_mixing(spark, sf_dir: str) -> DataFrame:

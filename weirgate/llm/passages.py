@@ -6,7 +6,7 @@ once (packed by bucket) and gets back those that others have, too. Only runs wit
 distinct run and group: a passage that a third of all documents share costs a row per group, not per document.
 
 Coordinates are (id, start). Rows that share an id are in one group and are versions of one document: equal coordinates
-count once.
+count once. A hash of the text, ``v``, tells the versions apart where a coordinate goes back to its text.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weirgate.llm.common import batch, id_and_text
-from weirgate.llm.kernels import SECOND, anchored_runs, range_hashes, signed, unsigned
+from weirgate.llm.kernels import SECOND, anchored_runs, flat, range_hashes, signed
 
 #: Documents in a group, on average.
 GROUP_ROWS = 384
@@ -27,7 +27,7 @@ GROUP_ROWS = 384
 #: From texts to symbols (of any unsigned kind) and the bounds of each text's symbols.
 Symbols = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
-_RUNS = "g long, d long, start int, edges int, anchor long, path long, n int"
+_RUNS = "g long, d long, v long, start int, edges int, anchor long, path long, n int"
 
 
 @dataclass(frozen=True)
@@ -70,6 +70,11 @@ def ids_of(table: pa.Table) -> np.ndarray:
     return table.column("d").to_numpy()
 
 
+def versions_of(table: pa.Table) -> np.ndarray:
+    data, offsets = flat(text_of(table))
+    return signed(range_hashes(data, offsets[:-1], offsets[1:]))
+
+
 def as_table(*batches: pa.RecordBatch) -> pa.Table:
     return pa.Table.from_batches(list(batches))
 
@@ -148,7 +153,7 @@ def repeated_runs(texts: DataFrame, windows: Windows) -> DataFrame:
         kept = some[best]
         return as_table(batch(
             g=np.full(len(kept), left.column("g")[0].as_py(), np.int64), d=d[best],
-            start=runs["first"][kept].astype(np.int32), edges=runs["count"][kept].astype(np.int32),
+            v=versions_of(left)[runs["doc"][kept]], start=runs["first"][kept].astype(np.int32), edges=runs["count"][kept].astype(np.int32),
             anchor=signed(runs["anchor"][kept]), path=signed(path[best]), n=counts.astype(np.int32)))
 
     offers = texts.groupBy("g").applyInArrow(offered, "bucket int, g long, anchors binary")
@@ -157,21 +162,22 @@ def repeated_runs(texts: DataFrame, windows: Windows) -> DataFrame:
 
 
 def _no_runs() -> pa.RecordBatch:
-    return batch(g=pa.array([], pa.int64()), d=pa.array([], pa.int64()), start=pa.array([], pa.int32()),
+    return batch(g=pa.array([], pa.int64()), d=pa.array([], pa.int64()), v=pa.array([], pa.int64()), start=pa.array([], pa.int32()),
                  edges=pa.array([], pa.int32()), anchor=pa.array([], pa.int64()), path=pa.array([], pa.int64()),
                  n=pa.array([], pa.int32()))
 
 
-def rows_at(table: pa.Table, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For rows of ``table`` (with an id ``d``): the text each belongs to, once for every text with that id, as pairs
-    (number of the text, number of the row)."""
+def rows_at(table: pa.Table, d: np.ndarray, v: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of ``table`` (with an id ``d``): the text each belongs to, once for every text with that id and, where
+    versions are given, that version, as pairs (number of the text, number of the row)."""
     wanted = table.column("d").to_numpy()
     order = np.argsort(d, kind="stable")
     low, high = np.searchsorted(d[order], wanted, "left"), np.searchsorted(d[order], wanted, "right")
     count = high - low
     row = np.repeat(np.arange(len(wanted)), count)
     inner = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    return order[low[row] + inner], row
-
-
-__all__ = ["Windows", "as_table", "distinct_runs", "group_count", "grouped", "ids_of", "repeated_runs", "rows_at", "text_of", "unsigned"]
+    owner = order[low[row] + inner]
+    if v is None:
+        return owner, row
+    same = table.column("v").to_numpy()[row] == v[owner]
+    return owner[same], row[same]

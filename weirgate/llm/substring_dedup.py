@@ -27,12 +27,13 @@ from weirgate.llm.common import batch, documents, real_id
 from weirgate.llm.kernels import flat, kept_text, merged, range_hashes, rolling_hashes, signed, unsigned, words
 from weirgate.llm.passages import (
     Windows, as_table, distinct_runs, group_count, grouped, ids_of, repeated_runs, rows_at, text_of,
+    versions_of,
 )
 
 WIDTH = 20
 GRAM = 8
 
-_EDGES = "g long, d long, start int, anchor long, edge long, later boolean"
+_EDGES = "g long, d long, v long, start int, anchor long, edge long, later boolean"
 _RESULT = "d long, n_words long, n_removed long, kept_sha256 string, n_spans long, kept_text string"
 
 
@@ -48,11 +49,11 @@ def _resolved(windows: Windows):
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             none = pa.array([], pa.int64())
-            return as_table(batch(g=none, d=none, start=pa.array([], pa.int32()), anchor=none, edge=none,
+            return as_table(batch(g=none, d=none, v=none, start=pa.array([], pa.int32()), anchor=none, edge=none,
                                   later=pa.array([], pa.bool_())))
         symbols, bounds = windows.symbols(text_of(left))
-        d = ids_of(left)
-        owner, row = rows_at(right, d)
+        d, v = ids_of(left), versions_of(left)
+        owner, row = rows_at(right, d, v)
         edges = right.column("edges").to_numpy()[row].astype(np.int64)
         start = right.column("start").to_numpy()[row]
         first = bounds[owner] + start
@@ -65,7 +66,7 @@ def _resolved(windows: Windows):
         start = place - bounds[owner]
         _, _, later, _ = distinct_runs(d[owner], start, unsigned(anchor), edge)
         return as_table(batch(g=np.full(len(place), left.column("g")[0].as_py(), np.int64), d=d[owner],
-                              start=start.astype(np.int32), anchor=anchor, edge=signed(edge), later=later))
+                              v=v[owner], start=start.astype(np.int32), anchor=anchor, edge=signed(edge), later=later))
 
     return work
 
@@ -85,7 +86,7 @@ def _removed(windows: Windows, with_text: bool):
         first = runs["start"][later]
         last = first + runs["count"][later] + windows.width - 1
         if right.num_rows:
-            owner, row = rows_at(right, d)
+            owner, row = rows_at(right, d, versions_of(left))
             begin = bounds[owner] + right.column("start").to_numpy()[row]
             end = np.minimum(begin + right.column("edges").to_numpy()[row] + windows.width - 1, bounds[owner + 1])
             first, last = np.concatenate((first, begin)), np.concatenate((last, end))
@@ -123,12 +124,12 @@ def remove_repeated_passages(docs: DataFrame, width: int = WIDTH, gram: int = GR
     sources = paths.groupBy("anchor", "path").agg(F.min("d").alias("source_d"))
     branching = sources.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1").select("anchor")
     known = paths.join(sources, ["anchor", "path"])
-    copies = known.filter("d > source_d").select("g", "d", "start", "edges")
-    own = known.filter("d = source_d").join(branching, "anchor", "left_semi").select("g", "d", "start", "edges", "anchor")
+    copies = known.filter("d > source_d").select("g", "d", "v", "start", "edges")
+    own = known.filter("d = source_d").join(branching, "anchor", "left_semi").select("g", "d", "v", "start", "edges", "anchor")
     edges = texts.groupBy("g").cogroup(own.groupBy("g")).applyInArrow(_resolved(windows), _EDGES)
     first = edges.groupBy("anchor", "edge").agg(F.min("d").alias("source_d"))
     single = edges.join(first, ["anchor", "edge"]).filter("later or d > source_d").select(
-        "g", "d", "start", F.lit(1).alias("edges"))
+        "g", "d", "v", "start", F.lit(1).alias("edges"))
     spans = copies.unionByName(single)
     done = texts.groupBy("g").cogroup(spans.groupBy("g")).applyInArrow(_removed(windows, with_text), _RESULT)
     return done.select(real_id().alias("doc_id"), "n_words", "n_removed", "kept_sha256", "n_spans", "kept_text")

@@ -25,6 +25,7 @@ from weirgate.llm.common import batch, documents, real_id
 from weirgate.llm.kernels import FIRST, flat, merged, rolling_hashes
 from weirgate.llm.passages import (
     Windows, as_table, distinct_runs, group_count, grouped, ids_of, repeated_runs, rows_at, text_of,
+    versions_of,
 )
 from weirgate.llm.suffixes import found_in, repeated_windows
 
@@ -32,23 +33,23 @@ WIDTH = 400
 GRAM = 64
 SHARD_RUNS = 8_192
 
-_SEGMENTS = "shard long, part int, parts int, g long, d long, start int, edges int, whole boolean, bytes binary"
-_SPANS = "g long, d long, start int, edges int"
+_SEGMENTS = "shard long, part int, parts int, g long, d long, v long, start int, edges int, whole boolean, bytes binary"
+_SPANS = "g long, d long, v long, start int, edges int"
 _PIECES = _SPANS + ", shard long, range int, part int, prints binary, run binary, place binary, runs binary"
 _RESULT = "d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-_RUN = np.dtype([("g", np.int64), ("d", np.int64), ("start", np.int64)])
+_RUN = np.dtype([("g", np.int64), ("d", np.int64), ("v", np.int64), ("start", np.int64)])
 
 
 def _segments(windows: Windows):
     """The texts of runs."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ("shard", "part", "parts", "g", "d", "start", "edges", "whole")
+        names = ("shard", "part", "parts", "g", "d", "v", "start", "edges", "whole")
         if not left.num_rows or not right.num_rows:
             empty = right.slice(0, 0)
             return empty.select(list(names)).append_column("bytes", pa.array([], pa.binary()))
         data, bounds = windows.symbols(text_of(left))
-        owner, row = rows_at(right, ids_of(left))
+        owner, row = rows_at(right, ids_of(left), versions_of(left))
         first = bounds[owner] + right.column("start").to_numpy()[row]
         last = first + right.column("edges").to_numpy()[row] + windows.width - 1
         fits = last <= bounds[owner + 1]
@@ -66,7 +67,7 @@ class _Shard:
     def __init__(self, table: pa.Table, width: int):
         column = table.column("bytes").combine_chunks()
         self.data, bounds = flat(column)
-        self.g, self.d = table.column("g").to_numpy(), table.column("d").to_numpy()
+        self.g, self.d, self.v = (table.column(name).to_numpy() for name in ("g", "d", "v"))
         self.start, self.edges = table.column("start").to_numpy().astype(np.int64), table.column("edges").to_numpy()
         self.run = np.repeat(np.arange(len(self.edges)), self.edges)
         self.inner = np.arange(len(self.run)) - np.repeat(np.cumsum(self.edges) - self.edges, self.edges)
@@ -92,7 +93,7 @@ class _Shard:
         heads = np.flatnonzero(fresh)
         run, inner = self.run[index[heads]], self.inner[index[heads]]
         count = np.diff(np.append(heads, len(index)))
-        return batch(g=self.g[run], d=self.d[run], start=(self.start[run] + inner).astype(np.int32),
+        return batch(g=self.g[run], d=self.d[run], v=self.v[run], start=(self.start[run] + inner).astype(np.int32),
                      edges=count.astype(np.int32))
 
 
@@ -114,8 +115,8 @@ def _pieces(width: int):
         count = inside.num_rows
         name = [field.name for field in _schema(_PIECES)]
         blank = {"shard": pa.nulls(count, pa.int64()), "range": pa.nulls(count, pa.int32()),
-                 "part": pa.nulls(count, pa.int32()), **{key: pa.nulls(count, pa.binary()) for key in name[7:]}}
-        found = pa.table({**{key: inside.column(key) for key in name[:4]}, **blank})
+                 "part": pa.nulls(count, pa.int32()), **{key: pa.nulls(count, pa.binary()) for key in name[8:]}}
+        found = pa.table({**{key: inside.column(key) for key in name[:5]}, **blank})
         # One print for each distinct window; the place of those that are not repeated so far, -1 for the others.
         _, first = np.unique(shard.kind, return_index=True)
         prints = rolling_hashes(shard.data, width, FIRST)[shard.at[first]]
@@ -126,7 +127,7 @@ def _pieces(width: int):
         cuts = np.searchsorted(prints, np.array([(k << 64) // parts for k in range(parts)], np.uint64))
         cuts = np.append(cuts, len(prints))
         runs = np.empty(len(shard.d), _RUN)
-        runs["g"], runs["d"], runs["start"] = shard.g, shard.d, shard.start
+        runs["g"], runs["d"], runs["v"], runs["start"] = shard.g, shard.d, shard.v, shard.start
         rows = {key: [] for key in ("range", "prints", "run", "place", "runs")}
         for number in range(parts):
             some = slice(cuts[number], cuts[number + 1])
@@ -137,8 +138,8 @@ def _pieces(width: int):
             rows["run"].append(own.tobytes())
             rows["place"].append(place[some].tobytes())
             rows["runs"].append(runs[used[used >= 0]].tobytes())
-        blank = {"g": pa.nulls(parts, pa.int64()), "d": pa.nulls(parts, pa.int64()), "start": pa.nulls(parts, pa.int32()),
-                 "edges": pa.nulls(parts, pa.int32())}
+        blank = {**{key: pa.nulls(parts, pa.int64()) for key in ("g", "d", "v")},
+                 **{key: pa.nulls(parts, pa.int32()) for key in ("start", "edges")}}
         sent = pa.table({**blank, "shard": pa.array([table.column("shard")[0].as_py()] * parts, pa.int64()),
                          "range": pa.array(rows["range"], pa.int32()),
                          "part": pa.array([table.column("part")[0].as_py()] * parts, pa.int32()),
@@ -164,7 +165,7 @@ def _between_shards(table: pa.Table) -> pa.Table:
         run = np.frombuffer(run, np.int32)
         hit = found_in(common, own) & (run >= 0)
         where = np.frombuffer(runs, _RUN)[run[hit]]
-        out.append(batch(g=where["g"].copy(), d=where["d"].copy(),
+        out.append(batch(g=where["g"].copy(), d=where["d"].copy(), v=where["v"].copy(),
                          start=(where["start"] + np.frombuffer(place, np.int32)[hit]).astype(np.int32),
                          edges=np.ones(int(hit.sum()), np.int32)))
     return as_table(*out)
@@ -182,7 +183,7 @@ def _removed(windows: Windows, with_text: bool):
         first = runs["start"][several]
         last = first + runs["count"][several] + windows.width - 1
         if right.num_rows:
-            owner, row = rows_at(right, d)
+            owner, row = rows_at(right, d, versions_of(left))
             begin = bounds[owner] + right.column("start").to_numpy()[row]
             end = np.minimum(begin + right.column("edges").to_numpy()[row] + windows.width - 1, bounds[owner + 1])
             first, last = np.concatenate((first, begin)), np.concatenate((last, end))
@@ -224,20 +225,20 @@ def remove_repeated_bytes(docs: DataFrame, width: int = WIDTH, gram: int = GRAM,
     paths = runs.groupBy("anchor", "path").agg(F.sum("n").alias("places"), F.min("d").alias("source_d"))
     kinds = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1")
     twice = runs.join(paths.filter("places > 1").select("anchor", "path"), ["anchor", "path"]).select(
-        "g", "d", "start", "edges")
+        "g", "d", "v", "start", "edges")
     sources = runs.join(paths, ["anchor", "path"]).filter("d = source_d").join(kinds, "anchor")
     parts = F.ceil(F.col("paths") / F.lit(shard_runs)).cast("int")
     own = sources.select(
         F.when(parts > 1, F.col("anchor")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(groups))).alias("shard"),
         F.when(parts > 1, F.pmod(F.xxhash64("path"), parts)).otherwise(F.lit(0)).cast("int").alias("part"),
-        parts.alias("parts"), "g", "d", "start", "edges", F.expr("places > 1").alias("whole"))
+        parts.alias("parts"), "g", "d", "v", "start", "edges", F.expr("places > 1").alias("whole"))
 
     def cut(some: DataFrame) -> DataFrame:
         return texts.groupBy("g").cogroup(some.groupBy("g")).applyInArrow(_segments(windows), _SEGMENTS)
 
     single = cut(own.filter("parts = 1")).groupBy("shard").applyInArrow(_in_shard(width), _SPANS)
     spread = cut(own.filter("parts > 1")).groupBy("shard", "part").applyInArrow(_pieces(width), _PIECES)
-    inside = spread.filter("prints is null").select("g", "d", "start", "edges")
+    inside = spread.filter("prints is null").select("g", "d", "v", "start", "edges")
     between = (spread.filter("prints is not null").groupBy("shard", "range")
                .applyInArrow(_between_shards, _SPANS))
     spans = twice.unionByName(single).unionByName(inside).unionByName(between)
