@@ -96,3 +96,36 @@ def test_difference_reduces_the_right_side(spark):
     left = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     right = spark.createDataFrame([(1,)] * 5 + [(None,)], "k int")
     assert sorted((row.k for row in intake.difference(left, right, "k").collect()), key=str) == [2, None]
+
+
+def test_a_long_chain_is_admitted_in_few_rounds(spark, monkeypatch):
+    from weirgate.operators import news
+
+    cuts = []
+    real = news.cut_lineage
+    monkeypatch.setattr(news, "cut_lineage", lambda frame: cuts.append(1) or real(frame))
+    count = 10_000
+    frame = spark.range(count).select(
+        F.col("id").cast("int").alias("n"), F.concat(F.lit("u"), F.floor(F.col("id") / 2)).alias("url_hash"),
+        F.concat(F.lit("e"), F.floor((F.col("id") + 1) / 2)).alias("ext_key"))
+    got = news.admit_in_batch(frame, "n")
+    assert got.where(F.col("admitted") != (F.col("n") % 2 == 0)).count() == 0
+    assert len(cuts) <= 30
+
+
+@pytest.mark.parametrize("text, good", [
+    ('{"digest_title": "D", "items": [{"candidate_id": "c_01", "summary": "s", "tag": "t", "relevance_score": 1, '
+     '"selection_reason": "r"}]}', True),
+    ('{"digest_title": "D", "items": [{"candidate_id": "c_01", "summary": "s", "tag": "t", "relevance_score": 0.5, '
+     '"selection_reason": "r", "extra": 1}]}', False),
+    ('{"digest_title": "D", "items": [{"candidate_id": "c_01", "summary": "s", "tag": "t", "relevance_score": "1", '
+     '"selection_reason": "r"}]}', False),
+    ('{"digest_title": 5, "items": []}', False), ('{"digest_title": "D", "items": {}}', False), ('{"digest_title": "D"}', False),
+    ("[]", False), ("no json", False), ('{"digest_title": "D", "items": [{"candidate_id": "c_01"}]}', False)])
+def test_answers_are_closed_and_strict_at_every_level(spark, text, good):
+    from weirgate.sources.responses import read_model_responses
+
+    item = "array<struct<candidate_id:string,summary:string,tag:string,relevance_score:double,selection_reason:string>>"
+    schema = spark.createDataFrame([], f"digest_title string, items {item}").schema
+    row = read_model_responses(spark.createDataFrame([(text,)], "output_text string"), schema).first()
+    assert (row.schema_error is None) == good

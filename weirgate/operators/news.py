@@ -184,12 +184,54 @@ def insert_if_new(new: DataFrame, existing: DataFrame, on_conflict: str = "mark"
         "matched_id", F.when(~both, F.coalesce("_by_url", "_by_ext"))).drop("_ext", "_by_url", "_by_ext")
 
 
+#: Rounds after which ``admit_in_batch`` follows chains: a random order is nearly done by then.
+CHAIN_ROUND = 3
+
+
+def _firsts(active: DataFrame, key: str, parents: bool) -> DataFrame:
+    """The first row of each key; with ``parents`` also the second, with the first as ``_parent``."""
+    held = active.where(F.col(key).isNotNull())
+    first = held.groupBy(key).agg(F.min("_ord").alias("_first"))
+    if not parents:
+        return first.select(F.col("_first").alias("_ord"))
+    rest = held.join(first.select(F.col("_first").alias("_ord")), "_ord", "left_anti")
+    second = rest.groupBy(key).agg(F.min("_ord").alias("_second"))
+    both = first.join(second, key, "left")
+    return both.select(F.col("_first").alias("_ord"), F.lit(None).alias("_parent")).unionByName(
+        both.where("_second is not null").select(F.col("_second").alias("_ord"), F.col("_first").alias("_parent")))
+
+
+def _follow_chains(active: DataFrame) -> DataFrame:
+    """Rows that are decided by a chain of single earlier neighbours from a first row on: ``_ord``, ``_take``.
+
+    Such a row is admitted if its only earlier neighbour is not. Chains are followed by pointer doubling, so the joins
+    grow with the logarithm of their length.
+    """
+    one = _firsts(active, "_k1", True).withColumnRenamed("_parent", "_p1").withColumn("_in_1", F.lit(True))
+    two = _firsts(active, "_k2", True).withColumnRenamed("_parent", "_p2").withColumn("_in_2", F.lit(True))
+    known = active.join(one, "_ord").join(two, "_ord", "left").where(
+        (F.col("_k2").isNull() | F.col("_in_2")) & (F.col("_p1").isNull() | F.col("_p2").isNull()))
+    steps = cut_lineage(known.select("_ord", F.coalesce("_p1", "_p2").alias("_up"), F.lit(0).alias("_odd")).withColumn(
+        "_odd", F.when(F.col("_up").isNull(), 0).otherwise(1)))
+    while True:
+        up = steps.select(F.col("_ord").alias("_up"), F.col("_up").alias("_next"), F.col("_odd").alias("_more"))
+        moved = cut_lineage(steps.join(up, "_up", "left").select(
+            "_ord", F.when(F.col("_more").isNull(), F.col("_up")).otherwise(F.col("_next")).alias("_up"),
+            F.when(F.col("_more").isNull(), F.col("_odd")).otherwise((F.col("_odd") + F.col("_more")) % 2).alias("_odd"),
+            (F.col("_more").isNotNull() & F.col("_next").isNotNull()).alias("_on")))
+        steps = moved.drop("_on")
+        if moved.where("_on").isEmpty():
+            return steps.where("_up is null").select("_ord", (F.col("_odd") == 0).alias("_take"))
+
+
 def admit_in_batch(rows: DataFrame, order: str, url_key: str = "url_hash", ext_key: str = "ext_key") -> DataFrame:
     """First-wins admission on either of two keys, as if rows came one by one (E2): adds ``admitted``.
 
     ``order`` is a unique sortable column. A null ``ext_key`` never collides. Each round admits the rows that are first
     on both keys and removes all rows that share a key with them; the result is the sequential one, and for an
-    arbitrary order the number of rounds grows with the logarithm of the rows (Blelloch, Fineman and Shun 2012).
+    arbitrary order the number of rounds grows with the logarithm of the rows (Blelloch, Fineman and Shun 2012). Orders
+    that run along chains of keys would take a round per link: from round ``CHAIN_ROUND`` on, chains are followed by
+    pointer doubling. Only orders built from many crossing chains still take many rounds.
 
     Only one row per distinct key pair takes part: later copies of a pair can never be admitted. First rows are found
     by aggregates (combined before the shuffle) and joined by ``order``, which is unique, so a hot key makes no hot
@@ -198,13 +240,16 @@ def admit_in_batch(rows: DataFrame, order: str, url_key: str = "url_hash", ext_k
     pairs = rows.groupBy(F.col(url_key).alias("_k1"), F.col(ext_key).alias("_k2")).agg(F.min(order).alias("_ord"))
     active = cut_lineage(pairs)
     admitted: DataFrame | None = None
+    turn = 0
     while not active.isEmpty():
-        first_1 = active.groupBy("_k1").agg(F.min("_ord").alias("_ord")).select("_ord")
-        first_2 = active.where(F.col("_k2").isNotNull()).groupBy("_k2").agg(F.min("_ord").alias("_ord")).select(
-            "_ord", F.lit(True).alias("_first_2"))
-        winners = active.join(first_1, "_ord").join(first_2, "_ord", "left").where(
-            F.col("_k2").isNull() | F.col("_first_2")).select("_k1", "_k2", "_ord")
-        winners = cut_lineage(winners)
+        turn += 1
+        if turn < CHAIN_ROUND:
+            winners = active.join(_firsts(active, "_k1", False), "_ord").join(
+                _firsts(active, "_k2", False).withColumn("_first_2", F.lit(True)), "_ord", "left").where(
+                F.col("_k2").isNull() | F.col("_first_2"))
+        else:
+            winners = active.join(_follow_chains(active).where("_take"), "_ord")
+        winners = cut_lineage(winners.select("_k1", "_k2", "_ord"))
         admitted = winners if admitted is None else admitted.unionByName(winners)
         left = active.join(winners.select("_k1"), "_k1", "left_anti")
         taken = winners.select("_k2").where(F.col("_k2").isNotNull())

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from weirgate import schemas
 from weirgate.operators import digest, intake, news
 from weirgate.plans import sql, tables as t
 from weirgate.plans.registry import Query
+from weirgate.sources import responses
 
 QUERIES: dict[str, Query] = {}
 
@@ -246,3 +248,24 @@ def sent_difference(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["sent_difference"] = Query(sent_difference, sql.query("""
 SELECT run_id, status FROM digest WHERE run_id NOT IN (SELECT run_id FROM run WHERE status = 'success')""",
     "digest", "run"))
+
+
+def model_responses_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest answers as JSON texts, with faults inside the items: one document, one answer."""
+    key = F.col("doc_id")
+    item = F.to_json(F.struct(
+        F.lit("c_01").alias("candidate_id"), F.col("text").alias("summary"), F.lit("PRODUCT").alias("tag"),
+        F.lit(1).alias("relevance_score"), F.lit("Useful.").alias("selection_reason")))
+    item = (F.when(key % 7 == 1, F.replace(item, F.lit('"tag":'), F.lit('"extra":[1],"tag":')))
+            .when(key % 7 == 2, F.replace(item, F.lit('"relevance_score":1'), F.lit('"relevance_score":"1"')))
+            .when(key % 7 == 3, F.replace(item, F.lit('"selection_reason":"Useful."'), F.lit('"selection_reason":5')))
+            .when(key % 7 == 4, F.replace(item, F.lit('"tag":"PRODUCT",'), F.lit(""))).otherwise(item))
+    whole = F.concat(F.lit('{"digest_title":"D","items":['), item, F.when(key % 7 == 5, "]").otherwise("]}"))
+    rows = t.table(spark, folder, "documents").select("doc_id", whole.alias("output_text"))
+    found = responses.read_model_responses(rows, schemas.DIGEST_OUTPUT)
+    return found.select("doc_id", "schema_error", F.sha2(F.col("output.items")[0]["summary"], 256).alias("summary_hash"))
+
+
+QUERIES["model_responses_digest"] = Query(model_responses_digest, """
+SELECT doc_id, CASE WHEN doc_id % 7 BETWEEN 1 AND 5 THEN 'INVALID_STRUCTURED_OUTPUT' END AS schema_error,
+       CASE WHEN doc_id % 7 NOT BETWEEN 1 AND 5 THEN sha256(text) END AS summary_hash FROM documents""")

@@ -33,12 +33,35 @@ def _missing_keys(text: Column, schema: T.StructType) -> Column:
     return F.size(F.array_except(known, F.json_object_keys(text))) > 0
 
 
+def strictly(value: Column, kind: T.DataType) -> Column:
+    """Whether a JSON value (a variant) has exactly this type: closed objects at every level, no text for numbers or
+    numbers for text. Null fits every type."""
+    told = F.schema_of_variant(value)
+    if isinstance(kind, T.StructType):
+        fields = F.try_variant_get(value, "$", "map<string,variant>")
+        names = F.array(*[F.lit(name) for name in kind.fieldNames()])
+        fits = (F.size(fields) == len(kind)) & (F.size(F.array_except(names, F.map_keys(fields))) == 0)
+        for field in kind:
+            fits = fits & strictly(F.try_element_at(fields, F.lit(field.name)), field.dataType)
+    elif isinstance(kind, T.ArrayType):
+        fits = F.forall(F.try_variant_get(value, "$", "array<variant>"), lambda item: strictly(item, kind.elementType))
+    elif isinstance(kind, T.BooleanType):
+        fits = told == "BOOLEAN"
+    elif isinstance(kind, (T.LongType, T.IntegerType)):
+        fits = told == "BIGINT"
+    elif isinstance(kind, T.NumericType):
+        fits = F.rlike(told, F.lit(r"\A(BIGINT|DOUBLE|FLOAT|DECIMAL)"))
+    else:
+        fits = told == "STRING"
+    return value.isNull() | (told == "VOID") | F.coalesce(fits, F.lit(False))
+
+
 def read_model_responses(responses: DataFrame, schema: T.StructType, text: str = "output_text",
                          rules: Column | None = None) -> DataFrame:
     """Bind JSON texts to a closed schema.
 
     Adds ``output`` (null when invalid) and ``schema_error`` = ``INVALID_STRUCTURED_OUTPUT`` for malformed JSON, a
-    wrong type, an unknown or absent top-level key, or a breach of ``rules`` (a condition over ``output``).
+    wrong type, an unknown or absent key at any level, or a breach of ``rules`` (a condition over ``output``).
     """
     bound = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
     value = F.from_json(F.col(text), bound, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
@@ -47,6 +70,7 @@ def read_model_responses(responses: DataFrame, schema: T.StructType, text: str =
         F.col("output").isNull() | F.col("output._corrupt").isNotNull()
         | F.coalesce(_unknown_keys(F.col(text), schema) | _missing_keys(F.col(text), schema), F.lit(True))
     )
+    invalid = invalid | ~strictly(F.try_parse_json(F.col(text)), schema)
     if rules is not None:
         invalid = invalid | ~F.coalesce(rules, F.lit(False))
     rows = rows.withColumn("_invalid", invalid)
