@@ -30,6 +30,15 @@ def _place(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _landing(spark: SparkSession, folder: str, name: str, files: int = 4) -> DataFrame:
+    """A given table landed as several files and streamed one file a batch, so that state goes from batch to batch."""
+    use_utc(spark)
+    place = _place(spark, f"{name}-landing")
+    given = spark.read.parquet(f"{folder}/{name}.parquet")
+    given.repartition(files).write.parquet(place)
+    return intake.stream_intake(spark, place, "parquet", given.schema, maxFilesPerTrigger="1")
+
+
 def _to_files(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     """Run a stream into a Parquet folder and read it back."""
     place = _place(spark, name)
@@ -40,7 +49,7 @@ def _to_files(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
 
 def stream_intake(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as they land, with their hash."""
-    rows = _stream(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("file_hash"))
+    rows = _landing(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("file_hash"))
     return _to_files(spark, rows, "intake")
 
 
@@ -49,7 +58,7 @@ QUERIES["stream_intake"] = Query(stream_intake, "SELECT doc_id, sha256(text) AS
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct text hashes of a stream."""
-    rows = _stream(spark, folder, "documents").select(F.sha2("text", 256).alias("file_hash"))
+    rows = _landing(spark, folder, "documents").select(F.sha2("text", 256).alias("file_hash"))
     return _to_files(spark, intake.stream_dedup(rows, "file_hash"), "dedup")
 
 
@@ -59,7 +68,7 @@ QUERIES["stream_dedup"] = Query(stream_dedup, "SELECT DISTINCT sha256(text) AS f
 def stream_age_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Documents at most 72 hours old when they arrive."""
     key = F.col("doc_id")
-    rows = _stream(spark, folder, "documents").select(
+    rows = _landing(spark, folder, "documents").select(
         "doc_id", t.minutes_before_now(key * 37 % 10080).alias("published_at"))
     kept = intake.stream_age_filter(rows, "published_at", t.now())
     return _to_files(spark, kept.select("doc_id"), "age")
@@ -72,7 +81,7 @@ QUERIES["stream_age_filter"] = Query(
 def stream_append_once(spark: SparkSession, folder: str) -> DataFrame:
     """Text hashes appended once."""
     place = _place(spark, "append")
-    rows = _stream(spark, folder, "documents").select(F.sha2("text", 256).alias("file_hash"))
+    rows = _landing(spark, folder, "documents").select(F.sha2("text", 256).alias("file_hash"))
     intake.stream_append_once(rows, f"{place}/rows", "file_hash", f"{place}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{place}/rows").select("file_hash")
 
