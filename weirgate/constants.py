@@ -137,3 +137,7 @@ SECRET_NEEDLES = {
 
 #: A stored digest that cannot be rendered because an article or a source is gone.
 DIGEST_UNUSABLE = "Stored digest cannot be split for Telegram delivery."
+
+#: Why a delivery failed: no trials left, or an error that is not retried.
+DELIVERY_EXHAUSTED = "Telegram delivery retries exhausted."
+DELIVERY_REJECTED = "Delivery was rejected."

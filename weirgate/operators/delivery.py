@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from weirgate import constants as C
 from weirgate.operators.intake import difference
@@ -33,6 +33,46 @@ def unsent_parts(parts: DataFrame, attempts: DataFrame) -> DataFrame:
     return difference(parts, attempts.where(F.col("status") == "sent"), PART_KEY)
 
 
+def with_trials(attempts: DataFrame, max_trials: int = 3) -> DataFrame:
+    """``trial`` of each attempt from the log (I5): attempts of a part in order, from 0 within one delivery run.
+
+    A run ends with a sent part, with an error that is not retried, and with the last of ``max_trials`` attempts.
+    """
+    before = Window.partitionBy(*PART_KEY).orderBy("attempt_number").rowsBetween(Window.unboundedPreceding, -1)
+    retryable = F.coalesce(F.col("error_code").isin(*C.RETRYABLE_DELIVERY_ERRORS), F.lit(False))
+    ends = (F.col("status") == "sent") | ((F.col("status") == "failed") & ~retryable)
+    runs = attempts.withColumn("_run", F.coalesce(F.sum(ends.cast("int")).over(before), F.lit(0)))
+    inside = Window.partitionBy(*PART_KEY, "_run").orderBy("attempt_number")
+    return runs.withColumn("trial", (F.row_number().over(inside) - 1) % max_trials).drop("_run")
+
+
+def delivery_outcome(parts: DataFrame, attempts: DataFrame, max_trials: int = 3) -> DataFrame:
+    """Status that the attempts give each digest, with error code and summary where it failed.
+
+    ``sent`` when every part is sent; ``failed`` when the last attempt of an unsent part is not retried (the first such
+    part tells the error: its own code, or a time-out once the trials are used up); ``sending`` when there are
+    attempts; else ``generated``. Attempts need a ``trial``, see ``with_trials``.
+    """
+    schedule = retry_schedule(attempts, max_trials)
+    last = schedule.groupBy(*PART_KEY).agg(
+        F.bool_or(F.col("status") == "sent").alias("_sent"),
+        F.max_by(F.struct("decision", "error_code"), "attempt_number").alias("_last"))
+    joined = parts.select(*PART_KEY).join(last, PART_KEY, "left")
+    stopped = ~F.col("_sent") & (F.col("_last.decision") == "fail_digest")
+    used_up = F.col("_last.error_code").isin(*C.RETRYABLE_DELIVERY_ERRORS)
+    code = F.when(used_up, "TELEGRAM_TIMEOUT").otherwise(F.col("_last.error_code"))
+    summary = F.when(used_up, C.DELIVERY_EXHAUSTED).otherwise(C.DELIVERY_REJECTED)
+    grouped = joined.groupBy("digest_id").agg(
+        F.count(F.lit(1)).alias("parts_total"), F.count_if("_sent").alias("parts_sent"),
+        F.count("_last").alias("_tried"),
+        F.min(F.when(stopped, F.struct("part_number", code.alias("code"), summary.alias("summary")))).alias("_error"))
+    status = (F.when(F.col("parts_sent") == F.col("parts_total"), "sent").when(F.col("_error").isNotNull(), "failed")
+              .when(F.col("_tried") > 0, "sending").otherwise("generated"))
+    return grouped.select("digest_id", status.alias("status"), "parts_total", "parts_sent",
+                          F.when(status == "failed", F.col("_error.code")).alias("error_code"),
+                          F.when(status == "failed", F.col("_error.summary")).alias("error_summary"))
+
+
 def retry_schedule(attempts: DataFrame, max_trials: int = 3) -> DataFrame:
     """What follows each attempt (I5): adds ``decision`` and ``delay_seconds``.
 

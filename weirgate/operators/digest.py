@@ -128,6 +128,27 @@ def validation_error_text(errors: Column) -> Column:
     return F.substring(F.array_join(F.transform(errors, lambda error: F.concat(F.lit("- "), error)), "\n"), 1, 500)
 
 
+def repair_outcome(primary: DataFrame, repair: DataFrame, run: str = "run_id") -> DataFrame:
+    """What a run's two answers come to: both are results of ``validate_digest_output``, one row a run.
+
+    Adds ``answer`` (``primary``, ``repair`` or null), ``repair_errors`` (what the second request is told; null where the
+    first answer is accepted) and, where both answers are rejected, ``error_code`` and ``error_summary``. ``news_ids`` are
+    those of the answer taken.
+    """
+    second = one_per_key(repair, [run], F.max(F.struct("accepted", "errors", "news_ids")).alias("_second"))
+    rows = primary.join(second, run, "left")
+    taken = F.when(F.col("accepted"), "primary").when(F.col("_second.accepted"), "repair")
+    failed = taken.isNull() & F.col("_second").isNotNull()
+    return rows.withColumns({
+        "answer": taken,
+        "repair_errors": F.when(~F.col("accepted"), validation_error_text(F.col("errors"))),
+        "error_code": F.when(failed, "OUTPUT_POST_VALIDATION_FAILED"),
+        "error_summary": F.when(failed, validation_error_text(F.col("_second.errors"))),
+        "news_ids": F.when(F.col("accepted"), F.col("news_ids")).when(
+            F.col("_second.accepted"), F.col("_second.news_ids")),
+    }).drop("_second")
+
+
 def accepted_items(validated: DataFrame, key: str = "digest_id") -> DataFrame:
     """Digest items of accepted outputs, in output order."""
     rows = validated.where("accepted").select(

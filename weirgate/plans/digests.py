@@ -132,6 +132,26 @@ SELECT doc_id, len(errors) = 0 AS accepted, array_to_string(errors, chr(10)) AS
 FROM gathered""")
 
 
+def digest_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs with a second answer, that of the run 10 numbers on, for two out of three rejected ones."""
+    outputs, contexts = _outputs(spark, folder)
+    checked = digest.validate_digest_output(outputs, contexts)
+    second = checked.where(F.col("run_id") % 3 != 0).select(
+        (F.col("run_id") - 10).alias("run_id"), "accepted", "errors", "news_ids")
+    return digest.repair_outcome(checked, second).select(
+        "doc_id", "answer", "repair_errors", "error_code", "error_summary", F.array_join("news_ids", ",").alias("news_ids"))
+
+
+QUERIES["digest_repair"] = Query(digest_repair, "WITH" + _VALIDATED.strip().lstrip(",") + r"""
+, told AS (SELECT *, substr(array_to_string(list_transform(errors, lambda e: '- ' || e), chr(10)), 1, 500) AS tell FROM gathered)
+SELECT a.doc_id, CASE WHEN len(a.errors) = 0 THEN 'primary' WHEN len(b.errors) = 0 THEN 'repair' END AS answer,
+       CASE WHEN len(a.errors) > 0 THEN a.tell END AS repair_errors,
+       CASE WHEN len(a.errors) > 0 AND len(b.errors) > 0 THEN 'OUTPUT_POST_VALIDATION_FAILED' END AS error_code,
+       CASE WHEN len(a.errors) > 0 AND len(b.errors) > 0 THEN b.tell END AS error_summary,
+       CASE WHEN len(a.errors) = 0 THEN a.ids WHEN len(b.errors) = 0 THEN b.ids END AS news_ids
+FROM told a LEFT JOIN told b ON b.doc_id = a.doc_id + 10 AND b.doc_id % 3 <> 0""")
+
+
 def digest_accepted_items(spark: SparkSession, folder: str) -> DataFrame:
     """Digest items of the accepted answers."""
     outputs, contexts = _outputs(spark, folder)

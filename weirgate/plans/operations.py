@@ -229,17 +229,58 @@ SELECT * FROM {_PARTS} EXCEPT SELECT digest_id, part_number FROM attempt WHERE s
 
 
 def retry_schedule(spark: SparkSession, folder: str) -> DataFrame:
-    rows = delivery.retry_schedule(t.delivery_attempts(spark, folder))
-    return rows.select("attempt_number", "decision", "delay_seconds")
+    """Every attempt with its trial, taken from the log, and what follows it."""
+    rows = delivery.retry_schedule(delivery.with_trials(t.delivery_attempts(spark, folder).drop("trial")))
+    return rows.select("attempt_number", "trial", "decision", "delay_seconds")
 
 
-QUERIES["retry_schedule"] = Query(retry_schedule, sql.query("""
-SELECT attempt_number, CASE WHEN status = 'sent' THEN 'done' WHEN status = 'pending' THEN 'wait' WHEN again THEN 'retry'
+_ENDS = "(status = 'sent' OR (status = 'failed' AND error_code NOT IN ('TELEGRAM_TIMEOUT', 'TELEGRAM_RATE_LIMITED')))"
+_TRIALS = f"""(SELECT * EXCLUDE (trial, run), (row_number() OVER (PARTITION BY digest_id, part_number, run
+                                                                ORDER BY attempt_number) - 1) % 3 AS trial
+  FROM (SELECT *, coalesce(sum(CASE WHEN {_ENDS} THEN 1 ELSE 0 END) OVER (
+                    PARTITION BY digest_id, part_number ORDER BY attempt_number
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM attempt))"""
+
+
+QUERIES["retry_schedule"] = Query(retry_schedule, sql.query(f"""
+SELECT attempt_number, trial, CASE WHEN status = 'sent' THEN 'done' WHEN status = 'pending' THEN 'wait' WHEN again THEN 'retry'
          ELSE 'fail_digest' END AS decision,
        CASE WHEN again THEN CAST(CASE WHEN retry_after_seconds > 0 THEN retry_after_seconds
                                       ELSE least(power(2, trial), 8) END AS DOUBLE) END AS delay_seconds
 FROM (SELECT *, status = 'failed' AND error_code IN ('TELEGRAM_TIMEOUT', 'TELEGRAM_RATE_LIMITED') AND trial + 1 < 3
-        AS again FROM attempt)""", "attempt"))
+        AS again FROM {_TRIALS})""", "attempt"))
+
+
+def digest_delivery_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Status of every digest after its attempts; each has the parts that were tried and one digest in five one more."""
+    attempts = delivery.with_trials(t.delivery_attempts(spark, folder).drop("trial"))
+    tried = attempts.select("digest_id", "part_number").distinct()
+    more = attempts.where(F.col("digest_id") % 5 == 0).select("digest_id", F.lit(4).cast("bigint").alias("part_number")).distinct()
+    alone = tried.select((-F.col("digest_id") - 1).alias("digest_id"), "part_number")
+    return delivery.delivery_outcome(tried.unionByName(more).unionByName(alone), attempts)
+
+
+QUERIES["digest_delivery_state"] = Query(digest_delivery_state, sql.query(f"""
+SELECT digest_id, CASE WHEN parts_sent = parts_total THEN 'sent' WHEN stop IS NOT NULL THEN 'failed'
+                       WHEN tried > 0 THEN 'sending' ELSE 'generated' END AS status, parts_total, parts_sent,
+       CASE WHEN parts_sent < parts_total AND stop IS NOT NULL THEN
+         CASE WHEN stop_code = 'TELEGRAM_PERMANENT_FAILURE' THEN stop_code ELSE 'TELEGRAM_TIMEOUT' END END AS error_code,
+       CASE WHEN parts_sent < parts_total AND stop IS NOT NULL THEN
+         CASE WHEN stop_code = 'TELEGRAM_PERMANENT_FAILURE' THEN 'Delivery was rejected.'
+              ELSE 'Telegram delivery retries exhausted.' END END AS error_summary
+FROM (SELECT digest_id, count(*) AS parts_total, count(*) FILTER (WHERE sent) AS parts_sent, count(sent) AS tried,
+             min(part_number) FILTER (WHERE stopped) AS stop,
+             arg_min(code, part_number) FILTER (WHERE stopped) AS stop_code
+      FROM (SELECT DISTINCT digest_id, part_number FROM attempt
+            UNION ALL SELECT DISTINCT digest_id, 4 FROM attempt WHERE digest_id % 5 = 0
+            UNION ALL SELECT DISTINCT -digest_id - 1, part_number FROM attempt)
+      LEFT JOIN (SELECT digest_id, part_number, sent, code, NOT sent AND last_status = 'failed' AND NOT (
+                          code IN ('TELEGRAM_TIMEOUT', 'TELEGRAM_RATE_LIMITED') AND last_trial + 1 < 3) AS stopped
+                 FROM (SELECT digest_id, part_number, bool_or(status = 'sent') AS sent,
+                              arg_max(status, attempt_number) AS last_status, arg_max(trial, attempt_number) AS last_trial,
+                              arg_max(coalesce(error_code, ''), attempt_number) AS code FROM {_TRIALS} GROUP BY 1, 2))
+        USING (digest_id, part_number)
+      GROUP BY 1)""", "attempt"))
 
 
 def delivery_history(spark: SparkSession, folder: str) -> DataFrame:
