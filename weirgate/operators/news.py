@@ -185,7 +185,7 @@ def insert_if_new(new: DataFrame, existing: DataFrame, on_conflict: str = "mark"
 
 
 #: Rounds after which ``admit_in_batch`` follows chains: a random order is nearly done by then.
-CHAIN_ROUND = 3
+CHAIN_ROUND = 6
 
 
 def _firsts(active: DataFrame, key: str, parents: bool) -> DataFrame:
@@ -275,6 +275,23 @@ def insert_budget(rows: DataFrame, order: Column, is_new: Column, budget: int =
     return ordered.withColumn("outcome", outcome).drop("_order", "_cut")
 
 
+def ingest_batch(new: DataFrame, existing: DataFrame, order: str, budget: int = C.MAX_NEW_ITEMS_PER_RUN) -> DataFrame:
+    """One batch of entries against the stored ones, as if they came one by one (C5, E2, E3): adds ``outcome`` (inserted,
+    duplicate, conflict or over_budget) and ``matched_id``.
+
+    An entry that matches a stored item is not inserted, so its keys block no later entry of the batch; the first
+    entry of the others on both of its keys is. Entries after the one that spends the budget are not tested.
+    """
+    compared = insert_if_new(new, existing).withColumn("_key", F.when(F.col("external_id").isNotNull(), external_key()))
+    fresh = admit_in_batch(compared.where(F.col("outcome") == "new").select(order, "url_hash", "_key"), order,
+                           ext_key="_key").select(order, F.col("admitted").alias("_admitted"))
+    joined = compared.withColumnRenamed("outcome", "_compared").join(fresh, order, "left")
+    spent = insert_budget(joined, F.col(order), F.coalesce("_admitted", F.lit(False)), budget)
+    outcome = F.when((F.col("outcome") != "over_budget") & (F.col("_compared") == "conflict"), "conflict").otherwise(
+        F.col("outcome"))
+    return spent.withColumn("outcome", outcome).drop("_key", "_compared", "_admitted")
+
+
 def resolve_limits(sources: DataFrame, config: DataFrame, max_per_source: int, timeout_seconds: int) -> DataFrame:
     """Entry and time limits per source (C6). ``config`` already has its defaults applied."""
     configured = config.select("source_key", F.col("max_items_per_run").alias("_items"),

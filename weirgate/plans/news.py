@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirgate.functions import hashing, html, text, times, urls
-from weirgate.operators import news, state
+from weirgate.operators import news, runs, state
 from weirgate.plans import sql, tables as t
 from weirgate.plans.registry import Query
 from weirgate.session import shared_folder
@@ -126,6 +126,54 @@ FROM (SELECT doc_id, admitted, coalesce(sum(CAST(admitted AS INTEGER)) OVER (
       FROM walk WHERE n > 0)""")
 
 
+def _ingested(spark: SparkSession, folder: str) -> DataFrame:
+    keyed = t.keyed_news(spark, folder)
+    return news.ingest_batch(keyed.where(F.col("doc_id") % 3 != 0), keyed.where(F.col("doc_id") % 3 == 0), "doc_id")
+
+
+def ingest_flow(spark: SparkSession, folder: str) -> DataFrame:
+    """Two thirds of the entries arrive against the stored third: stored or new, first wins, budget."""
+    return _ingested(spark, folder).select("doc_id", "outcome", "matched_id")
+
+
+_INGEST = """
+, compared AS (
+  SELECT k.*, u, e FROM (SELECT * FROM keyed_news WHERE doc_id % 3 <> 0) k
+  LEFT JOIN (SELECT url_hash, min(news_item_id) AS u FROM keyed_news WHERE doc_id % 3 = 0 GROUP BY 1) USING (url_hash)
+  LEFT JOIN (SELECT source_key, external_id, min(news_item_id) AS e FROM keyed_news
+             WHERE doc_id % 3 = 0 AND external_id IS NOT NULL GROUP BY 1, 2) USING (source_key, external_id)),
+fresh AS (SELECT * FROM compared WHERE coalesce(u, e) IS NULL)""" + _WALK.format(order="doc_id", table="fresh") + """
+, ingested AS (
+  SELECT doc_id, source_key, CASE WHEN before >= 100 THEN 'over_budget' WHEN u <> e THEN 'conflict'
+                      WHEN admitted THEN 'inserted' ELSE 'duplicate' END AS outcome,
+         CASE WHEN NOT coalesce(u <> e, false) THEN coalesce(u, e) END AS matched_id
+  FROM (SELECT c.*, coalesce(w.admitted, false) AS admitted, coalesce(sum(CAST(coalesce(w.admitted, false) AS INTEGER)) OVER (
+               ORDER BY c.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM compared c LEFT JOIN (SELECT doc_id, admitted FROM walk WHERE n > 0) w USING (doc_id)))
+"""
+QUERIES["ingest_flow"] = Query(ingest_flow, sql.query("", "keyed_news", recursive=True).rstrip() + _INGEST
+                               + "SELECT doc_id, outcome, matched_id FROM ingested")
+
+
+def ingest_flow_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters of the same batch by source, and the run's."""
+    rows = _ingested(spark, folder).withColumn("run_id", F.lit(1))
+    fetches = t.feed_sources(spark, folder).select(
+        F.lit(1).alias("run_id"), "source_key", F.when(F.col("number") % 6 == 5, "failed").otherwise("success").alias("fetch_status"))
+    return runs.run_counters(runs.ingest_summary(rows, fetches)).drop("run_id")
+
+
+QUERIES["ingest_flow_counters"] = Query(ingest_flow_counters, sql.query(
+    "", "feed_source", "keyed_news", recursive=True).rstrip() + _INGEST + """
+SELECT count(*) AS feeds_total, count(*) FILTER (WHERE number % 6 <> 5) AS feeds_succeeded,
+       sum(CASE WHEN number % 6 <> 5 THEN coalesce(i, 0) ELSE 0 END) AS items_inserted,
+       sum(CASE WHEN number % 6 <> 5 THEN coalesce(d, 0) ELSE 0 END) AS items_duplicate,
+       sum(CASE WHEN number % 6 <> 5 THEN coalesce(i, 0) + coalesce(d, 0) ELSE 0 END) AS items_fetched
+FROM feed_source LEFT JOIN (
+  SELECT source_key, count(*) FILTER (WHERE outcome = 'inserted') AS i, count(*) FILTER (WHERE outcome = 'duplicate') AS d
+  FROM ingested GROUP BY 1) USING (source_key)""")
+
+
 def news_state_after_selection(spark: SparkSession, folder: str) -> DataFrame:
     items = t.news_items(spark, folder)
     scored = _scored(spark, folder)
