@@ -214,7 +214,7 @@ sources:
 def test_configuration(spark, tmp_path):
     path = tmp_path / "feeds.yaml"
     path.write_text(CONFIG)
-    rows = {row.key: row for row in load_source_config(spark, str(path)).collect()}
+    rows = {row.source_key: row for row in load_source_config(spark, str(path)).collect()}
     assert rows["one"].allowed_host == "a.com" and float(rows["one"].priority) == 7.5
     assert (rows["one"].enabled, rows["one"].max_items_per_run, rows["one"].request_timeout_seconds) == (True, 20, 15)
     assert (rows["two"].enabled, rows["two"].max_items_per_run) == (False, 5)

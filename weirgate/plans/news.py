@@ -491,6 +491,27 @@ FROM (SELECT *, number % 3 <> 0 AND NOT clash AS take
                    number % 4 <> 0 AND number % 3 <> 0 AND number % 5 = 0 AS clash FROM feed_source))""", "feed_source"))
 
 
+def source_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """All sources by key, and the one that a loosely written key names."""
+    sources = t.feed_sources(spark, folder)
+    asked = news.source_by_key(sources, "  SRC3 ").select("source_key", F.lit(True).alias("asked"))
+    return news.all_sources(sources.join(asked, "source_key", "left").select(
+        "source_key", "name", F.coalesce("asked", F.lit(False)).alias("asked")))
+
+
+QUERIES["source_lookup"] = Query(source_lookup, sql.query(
+    "SELECT source_key, name, source_key = 'src3' AS asked FROM feed_source", "feed_source"))
+
+
+def header_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the texts could be stored as headers: those with a line end or another control character could not."""
+    return t.table(spark, folder, "documents").select("doc_id", text.header_is_safe("text").alias("safe"))
+
+
+QUERIES["header_check"] = Query(header_check, r"""
+SELECT doc_id, NOT coalesce(regexp_matches(text, '[\x00-\x1f\x7f]'), false) AS safe FROM documents""")
+
+
 def source_list(spark: SparkSession, folder: str) -> DataFrame:
     """Enabled sources in fetch order."""
     return news.enabled_sources(t.feed_sources(spark, folder)).select(

@@ -33,7 +33,7 @@ DIGEST_OUTPUT_ITEM = _struct(
 DIGEST_OUTPUT = _struct(digest_title=_S, items=T.ArrayType(DIGEST_OUTPUT_ITEM))
 
 FEED_SOURCE = _struct(
-    key=_S, name=_S, feed_url=_S, allowed_host=_S, category=_S, language=_S, enabled=_B,
+    source_key=_S, name=_S, feed_url=_S, allowed_host=_S, category=_S, language=_S, enabled=_B,
     priority=T.DecimalType(4, 2), max_items_per_run=_I, request_timeout_seconds=_I,
 )
 
