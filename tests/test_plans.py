@@ -9,7 +9,7 @@ from weirgate.plans.registry import all_queries
 QUERIES = all_queries()
 STREAMS = {name for name in QUERIES if name.startswith("stream_")}
 #: Queries that need real URL, IP or HTML parsing.
-PYTHON = {"entry_normalize", "url_canonicalize", "url_policy"}
+PYTHON = {"entry_normalize", "html_sanitize", "url_canonicalize", "url_policy"}
 
 
 def plan(frame) -> str:
