@@ -28,6 +28,7 @@ from weirgate.llm.common import batch, documents, id_and_text, mapped, real_id
 from weirgate.llm.components import components
 from weirgate.llm.kernels import flat, lower_ascii, mix, range_hashes, rolling_hashes, signed, words
 from weirgate.llm.passages import as_table, group_count, ids_of, rows_at, text_of
+from weirgate.operators.keys import one_per_key
 from weirgate.session import cut_lineage
 
 WORDS, PERCENT = 5, 85
@@ -190,7 +191,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     sketched = cut_lineage(mapped(texts, _sketches, _SKETCH))
     texts = texts.withColumn("g", group_of("d", groups))
     key = ["n", "low", "high"]
-    classes = sketched.filter("n > 0").groupBy(*key).agg(F.min("d").alias("rep"))
+    # A class of copies may be large: reduced apart, so that the joins with its members can be split.
+    classes = one_per_key(sketched.filter("n > 0"), key, F.min("d").alias("rep"))
     reps = sketched.join(classes.select(*key, F.col("rep").alias("d")), [*key, "d"], "left_semi")
     bands = [F.xxhash64(F.lit(k), F.substring("registers", 2 * ROWS * k + 1, 2 * ROWS))
              for k in range(REGISTERS // ROWS)]
