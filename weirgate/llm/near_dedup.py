@@ -114,8 +114,20 @@ def _estimated(percent: int):
     return work
 
 
+#: Ids up to this number (below 10 MB as a hash table) are broadcast to keep other texts out of a shuffle.
+FEW_IDS = 200_000
+
+
+def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``texts`` without some that ``ids`` (``d``, distinct) do not ask for: all of these where the ids are few, else
+    none. What is done with the texts is the same either way."""
+    return texts.join(F.broadcast(ids), "d", "left_semi") if ids.count() <= FEW_IDS else texts
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, groups: int, percent: int = PERCENT) -> DataFrame:
     """Those of ``pairs`` (``a, b``) whose full sets are similar enough. ``texts`` are in so many groups by id."""
+    pairs = cut_lineage(pairs)
+    texts = _only(texts, pairs.select(F.col("a").alias("d")).union(pairs.select("b")).distinct())
 
     def sent(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -220,7 +232,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
                 .select("bucket", "d", F.coalesce("component", "d").alias("component")))
     mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low != high").select("bucket"))
-    rest = labelled.join(mixed, "bucket", "left_semi").select("d", "component").distinct()
+    rest = cut_lineage(labelled.join(mixed, "bucket", "left_semi").select("d", "component").distinct())
+    texts = _only(texts, rest.select("d").distinct())
     more = cut_lineage(confirmed(_prefix_pairs(texts, rest, groups, percent), texts, groups, percent))
     final = components(links.unionByName(more))
     done = (sketched.select("d", *key).join(classes, key, "left")
