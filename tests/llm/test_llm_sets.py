@@ -274,3 +274,29 @@ def test_shingles(texts):
     assert [len(one) for one in own] == [len(brute.shingles(text)) for text in texts]
     assert all((own[a].tolist() == own[b].tolist()) == (brute.shingles(texts[a]) == brute.shingles(texts[b]))
                for a in range(len(texts)) for b in range(len(texts)))
+
+
+def test_bands_follow_the_least_similarity():
+    for percent in (1, 5, 20, 50, 70, 80, 85, 95, 100):
+        rows, count = near_dedup.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** count <= 1e-5
+    assert near_dedup.banding(85) == (4, 16) and near_dedup.banding(80) == (3, 21)
+
+
+def _at(similar, base):
+    """``base`` with new words at its end, so that the sets of five-word shingles are about so similar."""
+    own = len(base) - 4
+    changed = round(own * (1 - similar) / (1 + similar))
+    return base[:len(base) - changed] + [f"{base[0]}n{k}" for k in range(changed)]
+
+
+@pytest.mark.parametrize("percent", [25, 80])
+def test_near_duplicates_at_lower_thresholds(spark, percent):
+    rows = []
+    for number in range(30):
+        base = [f"p{number}w{k}" for k in range(150)]
+        rows += [(2 * number, " ".join(base)), (2 * number + 1, " ".join(_at(percent / 100 - 0.05 + 0.005 * number, base)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = _groups(near_dedup.near_duplicates(docs, percent, groups=3))
+    assert got == brute.components(rows, percent)
+    assert 30 < len({one[1] for one in got.values()}) < 60

@@ -3,8 +3,9 @@
 A document is the set of its ``words``-word shingles (lower-cased A-Z; shorter texts count as one shingle). Each of the
 ``REGISTERS`` registers is the truncated logarithm, in base ``BASE``, of the smallest exponential value that its hash gives to
 the shingles: registers of a union are maxima of registers, and two documents agree in a register about as often as their
-similarity says. Documents with equal sets are one class and go on as one. ``ROWS`` registers make a band; classes that agree in a
-band share a bucket. At the least similarity a pair shares no bucket with a probability below 10**-5.
+similarity says. Documents with equal sets are one class and go on as one. Some registers make a band; classes that agree in a
+band share a bucket. How many make a band, and if need be how many registers there are, follows from the least similarity asked
+for: there a pair shares no bucket with a probability of at most ``MISSED``.
 
 Within a bucket not all pairs are looked at. Small buckets (up to ``SMALL``) give all their pairs, larger ones give pairs with
 their most central member, the one with the fullest buckets. For each pair the similarity is estimated from the numbers of larger,
@@ -20,6 +21,8 @@ are one document: linked if any version is. One row for each row given; extra co
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,12 +35,30 @@ from weirgate.operators.keys import one_per_key
 from weirgate.session import cut_lineage
 
 WORDS, PERCENT = 5, 85
-REGISTERS, ROWS, SMALL = 64, 4, 8
+REGISTERS, SMALL = 64, 8
+#: Most that a pair at the least similarity may be missed with.
+MISSED = 1e-5
 BASE, RATE, MOST = 1.001, 20.0, 65_535
 
 _SKETCH = "d long, n long, low long, high long, registers binary"
-_MULTIPLIERS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_ADDENDS = mix(np.arange(101, REGISTERS + 101, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
+def _hashes(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers and addends of the registers' hashes."""
+    number = np.arange(1, count + 1, dtype=np.uint64)
+    return (mix(number * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1),
+            mix((number + np.uint64(100)) * np.uint64(0xD1342543DE82EF95)))
+
+
+def banding(percent: float) -> tuple[int, int]:
+    """Registers in a band and bands: the widest bands that miss few enough pairs at the least similarity."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be above 0 and at most 100")
+    least = percent / 100
+    for rows in (4, 3, 2):
+        if (1 - least ** rows) ** (REGISTERS // rows) <= MISSED:
+            return rows, REGISTERS // rows
+    return 1, max(REGISTERS, math.ceil(math.log(MISSED) / math.log1p(-least)))
 
 
 def shingles(texts: pa.Array, width: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -64,27 +85,32 @@ def sets(texts: pa.Array, width: int = WORDS) -> list[np.ndarray]:
     return [np.unique(every[a:b]) for a, b in zip(limits[:-1].tolist(), limits[1:].tolist())]
 
 
-def registers(every: np.ndarray, limits: np.ndarray) -> np.ndarray:
+def registers(every: np.ndarray, limits: np.ndarray, count: int = REGISTERS) -> np.ndarray:
     """Registers of the texts that have shingles, a row each."""
     starts = limits[:-1][np.diff(limits) > 0]
-    least = np.empty((len(starts), REGISTERS), np.uint64)
-    for k in range(REGISTERS if len(starts) else 0):
-        least[:, k] = np.minimum.reduceat(every * _MULTIPLIERS[k] + _ADDENDS[k], starts)
+    least = np.empty((len(starts), count), np.uint64)
+    multipliers, addends = _hashes(count)
+    for k in range(count if len(starts) else 0):
+        least[:, k] = np.minimum.reduceat(every * multipliers[k] + addends[k], starts)
     value = -np.log1p(-np.minimum((least.astype(float) + 0.5) / 2.0 ** 64, 1.0 - 2.0 ** -53)) / RATE
     return np.clip(np.floor(1.0 - np.log(value) / np.log(BASE)), 0, MOST).astype(np.uint16)
 
 
-def _sketches(rows: pa.RecordBatch) -> pa.RecordBatch:
-    every, limits = shingles(rows.column("text"))
-    count, low, high = (np.zeros(rows.num_rows, kind) for kind in (np.int64, np.uint64, np.uint64))
-    for k, (a, b) in enumerate(zip(limits[:-1].tolist(), limits[1:].tolist())):
-        own = np.unique(every[a:b])
-        count[k] = len(own)
-        low[k], high[k] = mix(own).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(own * np.uint64(3))) if b > a else 0
-    made = iter(registers(every, limits))
-    values = [next(made).tobytes() if size else None for size in np.diff(limits).tolist()]
-    return batch(d=rows.column("d"), n=count, low=signed(low), high=signed(high),
-                 registers=pa.array(values, pa.binary()))
+def _sketches(size: int):
+    def work(rows: pa.RecordBatch) -> pa.RecordBatch:
+        every, limits = shingles(rows.column("text"))
+        count, low, high = (np.zeros(rows.num_rows, kind) for kind in (np.int64, np.uint64, np.uint64))
+        for k, (a, b) in enumerate(zip(limits[:-1].tolist(), limits[1:].tolist())):
+            own = np.unique(every[a:b])
+            count[k] = len(own)
+            low[k] = mix(own).sum(dtype=np.uint64)
+            high[k] = np.bitwise_xor.reduce(mix(own * np.uint64(3))) if b > a else 0
+        made = iter(registers(every, limits, size))
+        values = [next(made).tobytes() if held else None for held in np.diff(limits).tolist()]
+        return batch(d=rows.column("d"), n=count, low=signed(low), high=signed(high),
+                     registers=pa.array(values, pa.binary()))
+
+    return work
 
 
 def likely_similarity(larger, smaller, equal, left, right) -> np.ndarray:
@@ -100,12 +126,12 @@ def likely_similarity(larger, smaller, equal, left, right) -> np.ndarray:
     return grid[np.arange(len(grid)), np.argmax(value, axis=1)]
 
 
-def _estimated(percent: int):
+def _estimated(percent: int, size: int):
     least = percent / 100
-    floor = least - 5 * (least * (1 - least) / REGISTERS) ** 0.5
+    floor = least - 5 * (least * (1 - least) / size) ** 0.5
 
     def work(rows: pa.RecordBatch) -> pa.RecordBatch:
-        a, b = (np.frombuffer(b"".join(rows.column(name).to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        a, b = (np.frombuffer(b"".join(rows.column(name).to_pylist()), np.uint16).reshape(-1, size)
                 for name in ("left", "right"))
         sizes = [rows.column(name).to_numpy().astype(float) for name in ("n_a", "n_b")]
         found = likely_similarity((a > b).sum(axis=1), (a < b).sum(axis=1), (a == b).sum(axis=1), *sizes)
@@ -200,14 +226,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     """``doc_id, n_shingles, component_id, kept`` for every row."""
     texts = id_and_text(docs, id_column, text_column)
     groups = groups or group_count(docs)
-    sketched = cut_lineage(mapped(texts, _sketches, _SKETCH))
+    rows, count = banding(percent)
+    sketched = cut_lineage(mapped(texts, _sketches(rows * count), _SKETCH))
     texts = texts.withColumn("g", group_of("d", groups))
     key = ["n", "low", "high"]
     # A class of copies may be large: reduced apart, so that the joins with its members can be split.
     classes = one_per_key(sketched.filter("n > 0"), key, F.min("d").alias("rep"))
     reps = sketched.join(classes.select(*key, F.col("rep").alias("d")), [*key, "d"], "left_semi")
-    bands = [F.xxhash64(F.lit(k), F.substring("registers", 2 * ROWS * k + 1, 2 * ROWS))
-             for k in range(REGISTERS // ROWS)]
+    bands = [F.xxhash64(F.lit(k), F.substring("registers", 2 * rows * k + 1, 2 * rows)) for k in range(count)]
     spread = reps.select("d", F.explode(F.array(*bands)).alias("bucket"))
     full = spread.groupBy("bucket").agg(F.count_distinct("d").alias("members")).filter("members > 1")
     members = cut_lineage(spread.join(full, "bucket"))
@@ -224,7 +250,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
              .distinct())
     side = lambda name, to: reps.select(F.col("d").alias(name), F.col("n").alias(f"n_{name}"),
                                         F.col("registers").alias(to))
-    likely = mapped(pairs.join(side("a", "left"), "a").join(side("b", "right"), "b"), _estimated(percent),
+    likely = mapped(pairs.join(side("a", "left"), "a").join(side("b", "right"), "b"), _estimated(percent, rows * count),
                     "a long, b long", "left")
     links = cut_lineage(confirmed(likely, texts, groups, percent))
     nodes = cut_lineage(components(links))
