@@ -9,6 +9,8 @@ Documents that come several times in the mixture are packed as often. Extra colu
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirgate.llm.mixing import mixed, realised
@@ -17,6 +19,7 @@ from weirgate.llm.packing import pack_documents
 from weirgate.llm.pii import redact_column
 from weirgate.llm.quality import kept_rows
 from weirgate.llm.token_counts import tokenizer_file
+from weirgate.session import shared_folder
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
@@ -29,12 +32,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id, once."""
-    kept = (near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("_chosen"))
-            .agg(F.count(F.lit(1)).alias("_rows")))
-    rows = docs.join(kept, F.expr("doc_id <=> _chosen"))
-    once = rows.filter("_rows = 1").unionByName(rows.filter("_rows > 1").dropDuplicates(["doc_id"]))
-    return once.drop("_chosen", "_rows")
+    """One row of each group of near duplicates: the one with the smallest id. Every row is a document of its own here,
+    whatever its id: the number it is known by is written once, so that all reads of it agree."""
+    folder = f"{shared_folder(spark)}/near-duplicates-{uuid4().hex}"
+    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    groups = near_duplicates(rows, id_column="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    kept = (groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
+            .agg(F.min(F.struct("doc_id", "_row")).alias("_first")).select("_first._row"))
+    return rows.join(kept, "_row", "left_semi").drop("_row")
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,10 +73,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``, each written to the shared folder and read again."""
-    from uuid import uuid4
-
-    from weirgate.session import shared_folder
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/corpus-pipeline-{uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES):

@@ -300,3 +300,13 @@ def test_near_duplicates_at_lower_thresholds(spark, percent):
     got = _groups(near_dedup.near_duplicates(docs, percent, groups=3))
     assert got == brute.components(rows, percent)
     assert 30 < len({one[1] for one in got.values()}) < 60
+
+
+def test_stage_keeps_rows_that_share_an_id(spark):
+    """Rows without an id or with one id are documents of their own; of each group of near copies one row stays."""
+    text = lambda k: " ".join(f"t{k}w{j}" for j in range(120))
+    rows = [(None, text(k)) for k in range(6)] + [(7, text(7)), (7, text(8)), (7, text(8)), (5, text(9)),
+                                                  (None, text(9) + " end"), (3, text(10)), (4, text(10))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = Counter(tuple(row) for row in corpus_pipeline.near_dedup_stage(spark, docs, "").collect())
+    assert left == Counter(rows[:8] + [(None, text(9) + " end"), (3, text(10))])
