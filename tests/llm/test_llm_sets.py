@@ -97,6 +97,19 @@ def test_top_k(spark):
     assert set(got) == {k for k, _ in valid if k % 50 == 0}
 
 
+def test_top_k_with_a_query_given_three_times(spark):
+    """All own rows in one chunk stand at the top; five others are found all the same."""
+    source = np.random.default_rng(12)
+    rows = [(k, source.normal(size=8).tolist()) for k in range(60)]
+    rows[50] = (50, [9.0] * 8)
+    rows += [rows[50]] * 2
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = sorted((row.rank, row.vec_id, row.score) for row in topk.top_k(docs).filter("query_id = 50").collect())
+    whole = {k: [math.floor(256 * x) for x in v] for k, v in rows}
+    scores = sorted((-sum(x * y for x, y in zip(whole[50], v)), k) for k, v in whole.items() if k != 50)
+    assert got == [(n + 1, k, -s) for n, (s, k) in enumerate(scores[:5])]
+
+
 def test_top_k_in_several_waves(spark, monkeypatch):
     source = np.random.default_rng(5)
     docs = spark.createDataFrame([(k, source.normal(size=8).tolist()) for k in range(500)], "vec_id long, embedding array<double>")

@@ -81,7 +81,7 @@ class Search:
         for low in range(0, len(self.ids), TOGETHER):
             some = slice(low, min(low + TOGETHER, len(self.ids)))
             row, col, score = self._bounded(queries[some].astype(kind), columns, rest_q[:, some], rest_c, blocks,
-                                            self._least(some))
+                                            self._least(some), self.ids[some, None] == ids[None, :])
             own = self.ids[low + row] != ids[col]
             self._merge(low + row[own], ids[col[own]], score[own].astype(np.int64))
 
@@ -89,7 +89,7 @@ class Search:
         """Scores below these cannot enter."""
         return np.where(self.filled[some].all(axis=1), self.scores[some].min(axis=1).astype(float), -np.inf)
 
-    def _bounded(self, queries, columns, rest_q, rest_c, blocks, least):
+    def _bounded(self, queries, columns, rest_q, rest_c, blocks, least, own):
         a, b = blocks[0]
         dense = queries[:, a:b] @ columns[a:b]
         slack = lambda bound: bound + np.abs(bound) * 1e-9 + 1.0
@@ -97,7 +97,7 @@ class Search:
         if 4 * len(row) > dense.size:  # too few fall away: the rest of the sum is cheaper as a product
             for a, b in blocks[1:]:
                 dense += queries[:, a:b] @ columns[a:b]
-            row, col = np.nonzero(dense >= np.maximum(least, self._kth(dense))[:, None])
+            row, col = np.nonzero(dense >= np.maximum(least, self._kth(dense, own))[:, None])
             return row, col, dense[row, col]
         score = dense[row, col]
         for number, (a, b) in enumerate(blocks[1:], 2):
@@ -107,11 +107,13 @@ class Search:
             row, col, score = row[alive], col[alive], score[alive]
         return row, col, score
 
-    def _kth(self, dense: np.ndarray) -> np.ndarray:
-        """A score that only the best few of each row reach; the query's own row may be among them, hence one more."""
-        if dense.shape[1] <= self.k + 1:
+    def _kth(self, dense: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The k-th best score of each row; the query's own rows (``own``), however many, do not count."""
+        if dense.shape[1] <= self.k:
             return np.full(len(dense), -np.inf)
-        return np.partition(dense, dense.shape[1] - self.k - 1, axis=1)[:, dense.shape[1] - self.k - 1].astype(float)
+        lowest = -np.inf if dense.dtype.kind == "f" else np.iinfo(np.int64).min
+        place = dense.shape[1] - self.k
+        return np.partition(np.where(own, lowest, dense), place, axis=1)[:, place].astype(float)
 
     def _merge(self, row, ids, score) -> None:
         if not len(row):
