@@ -45,6 +45,13 @@ def test_cache_that_is_full_is_started_anew(library):
         assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [_ids(library, t) for t in texts[k:k + 20]]
 
 
+def test_one_slice_with_more_pretokens_than_the_cache_holds(library):
+    numbers = " ".join(str(k) for k in range(450_000))
+    encoder = Encoder(tokenizer_file())
+    for text in ("1 2 3 seen before", numbers, "4 5 6 seen after"):
+        assert encoder.encode(pa.array([text]))[0].tolist() == _ids(library, text)
+
+
 def test_hash_table():
     source = np.random.default_rng(1)
     keys = np.unique(source.integers(1, 1 << 63, 5000).astype(np.uint64))

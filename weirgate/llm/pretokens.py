@@ -196,11 +196,12 @@ class Encoder:
         missing = np.flatnonzero(got < 0)
         if len(missing):
             fresh, first = np.unique(hashes[missing], return_index=True)
-            if self.table.used + len(fresh) > self.ROOM:
-                self.clear()
-                if len(fresh) > self.ROOM // 2:
-                    self.table = Table(2 * len(fresh) + self.ROOM)
-                return self.numbers(data, starts, ends, hashes)
+            if self.table.used + len(fresh) > self.table.room:
+                self.clear()  # the numbers found above are gone with the cache
+                missing = np.arange(len(hashes))
+                fresh, first = np.unique(hashes, return_index=True)
+                if len(fresh) > self.ROOM:
+                    self.table = Table(len(fresh))
             first = missing[first]
             raw = data.tobytes()
             self.learn([raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())], fresh)
