@@ -80,3 +80,16 @@ def test_versions_of_one_document_count_once(spark):
     docs = spark.createDataFrame([(1, text), (1, text), (2, "other")], "doc_id long, text string")
     assert {row.n_removed for row in remove_repeated_passages(docs).collect()} == {0}
     assert {row.n_removed for row in remove_repeated_bytes(docs).collect()} == {0}
+
+
+@pytest.mark.parametrize("doc, five", [(None, True), (None, False), (4, False)])
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, doc, five):
+    """One header at offset 0 of several texts without an id, or with one id: each text counts."""
+    header = " ".join(f"head{k}" for k in range(90))
+    rows = [(doc, f"{header} " + " ".join(f"t{k}w{j}" for j in range(40))) for k in range(5)]
+    rows += [(5, f"{header} tail")] if five else []
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = sorted(row.n_removed for row in remove_repeated_bytes(docs, groups=3).collect())
+    assert len(gone) == len(rows) and gone[0] >= len(header)
+    gone = sorted(row.n_removed for row in remove_repeated_passages(docs, groups=3).collect())
+    assert gone == [0] + [90] * (len(rows) - 1)

@@ -1,12 +1,13 @@
 """What the two passage operators share: documents in groups, and the runs of windows that occur more than once.
 
-Documents are dealt into groups of a few hundred by their id, and all steps that need texts work on whole groups, so one
+Documents are dealt into groups of a few hundred by their id and text, and all steps that need texts work on whole groups, so one
 shuffle of the texts serves every step. To find anchors that occur more than once, each group sends its distinct anchors
 once (packed by bucket) and gets back those that others have, too. Only runs with such an anchor become rows, one for each
 distinct run and group: a passage that a third of all documents share costs a row per group, not per document.
 
-Coordinates are (id, start). Rows that share an id are in one group and are versions of one document: equal coordinates
-count once. A hash of the text, ``v``, tells the versions apart where a coordinate goes back to its text.
+Coordinates are (id, start, version), in this order, where the version ``v`` is a hash of the text: rows that share an id (or have
+none) but not the text are documents of their own, dealt into groups by both, so a hot id is spread. Rows with equal id and text
+are in one group, and their equal coordinates count once.
 """
 
 from __future__ import annotations
@@ -57,8 +58,9 @@ def group_count(docs: DataFrame) -> int:
 
 
 def grouped(docs: DataFrame, id_column: str, text_column: str, groups: int) -> DataFrame:
-    """Ids and texts with their group ``g``."""
-    return id_and_text(docs, id_column, text_column).withColumn("g", F.pmod(F.xxhash64("d"), F.lit(groups)))
+    """Ids and texts with their version ``v`` and group ``g``."""
+    return (id_and_text(docs, id_column, text_column).withColumn("v", F.xxhash64("text"))
+            .withColumn("g", F.pmod(F.xxhash64("d", "v"), F.lit(groups))))
 
 
 def text_of(table: pa.Table) -> pa.Array:
@@ -71,39 +73,38 @@ def ids_of(table: pa.Table) -> np.ndarray:
 
 
 def versions_of(table: pa.Table) -> np.ndarray:
-    data, offsets = flat(text_of(table))
-    return signed(range_hashes(data, offsets[:-1], offsets[1:]))
+    return table.column("v").to_numpy()
 
 
 def as_table(*batches: pa.RecordBatch) -> pa.Table:
     return pa.Table.from_batches(list(batches))
 
 
-def distinct_runs(d: np.ndarray, first: np.ndarray, anchor: np.ndarray, path: np.ndarray):
+def distinct_runs(d: np.ndarray, v: np.ndarray, first: np.ndarray, anchor: np.ndarray, path: np.ndarray):
     """The earliest of equal runs and how many coordinates each has; for every run, whether it is a later one, and
     whether it has another place."""
-    order = np.lexsort((first, d, path, anchor))
+    order = np.lexsort((v, first, d, path, anchor))
     if not len(order):
         return order, order, np.zeros(0, bool), np.zeros(0, bool)
-    a, p, k, s = anchor[order], path[order], d[order], first[order]
+    a, p, k, s, own_v = anchor[order], path[order], d[order], first[order], v[order]
     head = np.ones(len(order), bool)
     head[1:] = (a[1:] != a[:-1]) | (p[1:] != p[:-1])
     place = head.copy()
-    place[1:] |= (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+    place[1:] |= (k[1:] != k[:-1]) | (s[1:] != s[:-1]) | (own_v[1:] != own_v[:-1])
     heads = np.flatnonzero(head)
     counts = np.add.reduceat(place.astype(np.int64), heads)
     own = np.cumsum(head) - 1
     later = np.zeros(len(order), bool)
-    later[order] = (k != k[heads][own]) | (s != s[heads][own])
+    later[order] = (k != k[heads][own]) | (s != s[heads][own]) | (own_v != own_v[heads][own])
     several = np.zeros(len(order), bool)
     several[order] = (counts > 1)[own]
     return order[heads], counts, later, several
 
 
 def repeated_runs(texts: DataFrame, windows: Windows) -> DataFrame:
-    """Distinct runs of each group whose anchor occurs more than once: ``g, d, start, edges, anchor, path, n``.
+    """Distinct runs of each group whose anchor occurs more than once: ``g, d, v, start, edges, anchor, path, n``.
 
-    ``d, start`` is the earliest place in the group, ``n`` the number of places in the group, ``edges`` the number of
+    ``d, start, v`` is the earliest place in the group, ``n`` the number of places in the group, ``edges`` the number of
     windows in the run.
     """
     spark = texts.sparkSession
@@ -148,12 +149,13 @@ def repeated_runs(texts: DataFrame, windows: Windows) -> DataFrame:
         place[place == len(wanted)] = 0
         some = np.flatnonzero(wanted[place] == runs["anchor"])
         path = windows.paths(runs, some)
-        d = ids_of(left)[runs["doc"][some]]
-        best, counts, _, _ = distinct_runs(d, runs["first"][some], runs["anchor"][some], path)
+        d, v = ids_of(left)[runs["doc"][some]], versions_of(left)[runs["doc"][some]]
+        best, counts, _, _ = distinct_runs(d, v, runs["first"][some], runs["anchor"][some], path)
         kept = some[best]
         return as_table(batch(
             g=np.full(len(kept), left.column("g")[0].as_py(), np.int64), d=d[best],
-            v=versions_of(left)[runs["doc"][kept]], start=runs["first"][kept].astype(np.int32), edges=runs["count"][kept].astype(np.int32),
+            v=v[best],
+            start=runs["first"][kept].astype(np.int32), edges=runs["count"][kept].astype(np.int32),
             anchor=signed(runs["anchor"][kept]), path=signed(path[best]), n=counts.astype(np.int32)))
 
     offers = texts.groupBy("g").applyInArrow(offered, "bucket int, g long, anchors binary")

@@ -5,13 +5,13 @@ window's anchor, the short word gram of smallest hash in it, depends on its word
 anchors. Consecutive edges with one anchor form a path. Where the corpus runs through an anchor along one and the same
 path, the path does not branch: it stays compact, and one row stands for all its edges. Only where an anchor has several
 paths are these resolved into single edges, from the source occurrence of each path. Joins on the hashes of paths and
-edges find the source coordinates, (document, start), and these decide: an occurrence that is not the source goes.
+edges find the source coordinates, (document, start, version), and these decide: an occurrence that is not the source goes.
 
 Scale: see ``passages``; the joins see rows of repeated paths only, one per group of documents, with map-side aggregates
 before them, so hot passages stay small. Paths and edges are told apart by two independent 64-bit hashes.
 
-Null text has no words. A null id counts as the smallest id. Rows that share an id are versions of one document: a window
-goes where an equal one has a smaller (id, start). One row for each row given; extra columns are ignored; an empty table
+Null text has no words. A null id counts as the smallest id. Rows that share an id but not the text are documents of
+their own: a window goes where an equal one has a smaller (id, start, version), see ``passages``. One row for each row given; extra columns are ignored; an empty table
 gives no rows.
 """
 
@@ -64,7 +64,7 @@ def _resolved(windows: Windows):
         anchor = np.repeat(right.column("anchor").to_numpy()[row], edges)
         edge = rolling_hashes(symbols, windows.width)[place] if len(place) else np.zeros(0, np.uint64)
         start = place - bounds[owner]
-        _, _, later, _ = distinct_runs(d[owner], start, unsigned(anchor), edge)
+        _, _, later, _ = distinct_runs(d[owner], v[owner], start, unsigned(anchor), edge)
         return as_table(batch(g=np.full(len(place), left.column("g")[0].as_py(), np.int64), d=d[owner],
                               v=v[owner], start=start.astype(np.int32), anchor=anchor, edge=signed(edge), later=later))
 
@@ -82,7 +82,8 @@ def _removed(windows: Windows, with_text: bool):
         starts, ends, bounds = words(data, offsets)
         runs = windows.runs(texts)
         some = np.arange(len(runs["anchor"]))
-        _, _, later, _ = distinct_runs(d[runs["doc"]], runs["first"], runs["anchor"], windows.paths(runs, some))
+        _, _, later, _ = distinct_runs(d[runs["doc"]], versions_of(left)[runs["doc"]], runs["first"], runs["anchor"],
+                                       windows.paths(runs, some))
         first = runs["start"][later]
         last = first + runs["count"][later] + windows.width - 1
         if right.num_rows:
@@ -121,14 +122,15 @@ def remove_repeated_passages(docs: DataFrame, width: int = WIDTH, gram: int = GR
     windows = Windows(word_symbols, width, gram)
     texts = grouped(docs, id_column, text_column, groups or group_count(docs))
     paths = repeated_runs(texts, windows).drop("n")
-    sources = paths.groupBy("anchor", "path").agg(F.min("d").alias("source_d"))
+    place = F.struct("d", "start", "v")
+    sources = paths.groupBy("anchor", "path").agg(F.min(place).alias("source"))
     branching = sources.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1").select("anchor")
     known = paths.join(sources, ["anchor", "path"])
-    copies = known.filter("d > source_d").select("g", "d", "v", "start", "edges")
-    own = known.filter("d = source_d").join(branching, "anchor", "left_semi").select("g", "d", "v", "start", "edges", "anchor")
+    copies = known.filter(place > F.col("source")).select("g", "d", "v", "start", "edges")
+    own = known.filter(place == F.col("source")).join(branching, "anchor", "left_semi").select("g", "d", "v", "start", "edges", "anchor")
     edges = texts.groupBy("g").cogroup(own.groupBy("g")).applyInArrow(_resolved(windows), _EDGES)
-    first = edges.groupBy("anchor", "edge").agg(F.min("d").alias("source_d"))
-    single = edges.join(first, ["anchor", "edge"]).filter("later or d > source_d").select(
+    first = edges.groupBy("anchor", "edge").agg(F.min(place).alias("source"))
+    single = edges.join(first, ["anchor", "edge"]).filter(F.col("later") | (place > F.col("source"))).select(
         "g", "d", "v", "start", F.lit(1).alias("edges"))
     spans = copies.unionByName(single)
     done = texts.groupBy("g").cogroup(spans.groupBy("g")).applyInArrow(_removed(windows, with_text), _RESULT)

@@ -8,8 +8,8 @@ bytes with a neighbour are repeated. An anchor with more than ``SHARD_RUNS`` dif
 shards by its surroundings' hash; these are merged afterwards: each sends the sorted fingerprints of its distinct windows, cut
 into as many ranges as there are shards, and binary search finds those that another shard holds, too.
 
-Matches never cross documents and strings are judged on the input. Null text is empty. Rows that share an id are versions of
-one document: equal coordinates count once. One row for each row given; extra columns are ignored. A cut inside a
+Matches never cross documents and strings are judged on the input. Null text is empty. Rows that share an id but not the
+text are documents of their own, see ``passages``; rows with equal id and text count once. One row for each row given; extra columns are ignored. A cut inside a
 character leaves single bytes of it, so the remaining text is given as bytes.
 """
 
@@ -76,10 +76,11 @@ class _Shard:
         self.whole = table.column("whole").to_numpy(zero_copy_only=False).astype(bool)[self.run]
         # A class is repeated if it has two coordinates, or a run of it is known to occur twice.
         place = self.start[self.run] + self.inner
-        order = np.lexsort((place, self.d[self.run], self.kind))
-        kind, d, place = self.kind[order], self.d[self.run][order], place[order]
+        order = np.lexsort((place, self.v[self.run], self.d[self.run], self.kind))
+        kind, d, v, place = self.kind[order], self.d[self.run][order], self.v[self.run][order], place[order]
         other = np.zeros(len(order), bool)
-        other[1:] = (kind[1:] == kind[:-1]) & ((d[1:] != d[:-1]) | (place[1:] != place[:-1]))
+        other[1:] = (kind[1:] == kind[:-1]) & (
+            (d[1:] != d[:-1]) | (v[1:] != v[:-1]) | (place[1:] != place[:-1]))
         several = np.zeros(len(self.data) + 1, bool)
         several[kind[other]] = True
         several[self.kind[self.whole]] = True
@@ -179,7 +180,8 @@ def _removed(windows: Windows, with_text: bool):
         runs = windows.runs(texts)
         data, bounds = runs["symbols"], runs["bounds"]
         some = np.arange(len(runs["anchor"]))
-        _, _, _, several = distinct_runs(d[runs["doc"]], runs["first"], runs["anchor"], windows.paths(runs, some))
+        _, _, _, several = distinct_runs(d[runs["doc"]], versions_of(left)[runs["doc"]], runs["first"], runs["anchor"],
+                                         windows.paths(runs, some))
         first = runs["start"][several]
         last = first + runs["count"][several] + windows.width - 1
         if right.num_rows:
@@ -222,11 +224,11 @@ def remove_repeated_bytes(docs: DataFrame, width: int = WIDTH, gram: int = GRAM,
     groups = groups or group_count(docs)
     texts = grouped(docs, id_column, text_column, groups)
     runs = repeated_runs(texts, windows)
-    paths = runs.groupBy("anchor", "path").agg(F.sum("n").alias("places"), F.min("d").alias("source_d"))
+    paths = runs.groupBy("anchor", "path").agg(F.sum("n").alias("places"), F.min(F.struct("d", "start", "v")).alias("source"))
     kinds = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1")
     twice = runs.join(paths.filter("places > 1").select("anchor", "path"), ["anchor", "path"]).select(
         "g", "d", "v", "start", "edges")
-    sources = runs.join(paths, ["anchor", "path"]).filter("d = source_d").join(kinds, "anchor")
+    sources = runs.join(paths, ["anchor", "path"]).filter(F.struct("d", "start", "v") == F.col("source")).join(kinds, "anchor")
     parts = F.ceil(F.col("paths") / F.lit(shard_runs)).cast("int")
     own = sources.select(
         F.when(parts > 1, F.col("anchor")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(groups))).alias("shard"),
