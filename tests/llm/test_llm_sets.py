@@ -323,3 +323,15 @@ def test_stage_keeps_rows_that_share_an_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     left = Counter(tuple(row) for row in corpus_pipeline.near_dedup_stage(spark, docs, "").collect())
     assert left == Counter(rows[:8] + [(None, text(9) + " end"), (3, text(10))])
+
+
+def test_prefix_pairs_of_rows_given_twice(spark):
+    """Sets that meet late in their prefixes are found when every row is given twice, and with two texts of an id."""
+    base = [f"b{k}" for k in range(104)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:98] + [f"y{k}" for k in range(6)])), (3, " ".join(f"z{k}" for k in range(104))),
+            (3, " ".join([f"x{k}" for k in range(6)] + base[6:]))]
+    docs = spark.createDataFrame(rows + rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k) for k in (1, 2, 3)], "d long, component long")
+    texts = docs.selectExpr("doc_id as d", "text").withColumn("g", near_dedup.group_of("d", 2))
+    found = {(row.a, row.b) for row in near_dedup._prefix_pairs(texts, labels, 2, 85).collect()}
+    assert {(2, 1), (3, 1)} <= found

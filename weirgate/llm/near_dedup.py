@@ -8,9 +8,8 @@ band share a bucket. How many make a band, and if need be how many registers the
 for: there a pair shares no bucket with a probability of at most ``MISSED``.
 
 Within a bucket not all pairs are looked at. Small buckets (up to ``SMALL``) give all their pairs, larger ones give pairs with
-their most central member, the one with the fullest buckets. For each pair the similarity is estimated from the numbers of larger,
-smaller and equal registers by maximum likelihood, given the exact sizes; pairs five deviations below the threshold fall
-away, the others are confirmed on full sets. What remains are members of large buckets that are not connected yet. These are joined exactly by
+their most central member, the one with the fullest buckets. All these pairs are compared on full sets, none falls away by an
+estimate. What remains are members of large buckets that are not connected yet. These are joined exactly by
 prefixes: with shingles ordered from the rarest, two sets can only be similar enough if they share a shingle so early in
 both orders that the required overlap is still within reach. Members whose rare shingles are their own meet nobody, so a group of thousands of copies
 costs few pairs. No pair is dropped for the size of its group.
@@ -126,20 +125,6 @@ def likely_similarity(larger, smaller, equal, left, right) -> np.ndarray:
     return grid[np.arange(len(grid)), np.argmax(value, axis=1)]
 
 
-def _estimated(percent: int, size: int):
-    least = percent / 100
-    floor = least - 5 * (least * (1 - least) / size) ** 0.5
-
-    def work(rows: pa.RecordBatch) -> pa.RecordBatch:
-        a, b = (np.frombuffer(b"".join(rows.column(name).to_pylist()), np.uint16).reshape(-1, size)
-                for name in ("left", "right"))
-        sizes = [rows.column(name).to_numpy().astype(float) for name in ("n_a", "n_b")]
-        found = likely_similarity((a > b).sum(axis=1), (a < b).sum(axis=1), (a == b).sum(axis=1), *sizes)
-        return rows.select(["a", "b"]).filter(pa.array(found >= floor))
-
-    return work
-
-
 #: Ids up to this number (below 10 MB as a hash table) are broadcast to keep other texts out of a shuffle.
 FEW_IDS = 200_000
 
@@ -190,25 +175,33 @@ def group_of(column: str, groups: int) -> Column:
 
 
 def _prefix_pairs(texts: DataFrame, labels: DataFrame, groups: int, percent: int) -> DataFrame:
-    """Pairs of ``labels`` (``d, component``) in different components that can be similar enough, by their rarest shingles."""
+    """Pairs of ``labels`` (``d, component``) in different components that can be similar enough, by their rarest shingles.
+    Each distinct set of an id counts once, as a version ``v`` of its own."""
 
     def sent(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return as_table(batch(d=pa.array([], pa.int64()), component=pa.array([], pa.int64()),
-                                  size=pa.array([], pa.int32()), shingle=pa.array([], pa.int64())))
+            return as_table(batch(d=pa.array([], pa.int64()), v=pa.array([], pa.int32()),
+                                  component=pa.array([], pa.int64()), size=pa.array([], pa.int32()),
+                                  shingle=pa.array([], pa.int64())))
         owner, row = rows_at(right, ids_of(left))
         made = sets(text_of(left).take(pa.array(owner)))
+        d = right.column("d").to_numpy()
+        first = {}
+        for k, one in enumerate(made):
+            first.setdefault((int(d[row[k]]), one.tobytes()), k)
+        kept = np.array(list(first.values()), np.int64)
+        made, row = [made[k] for k in kept.tolist()], row[kept]
         count = np.array([len(one) for one in made])
         values = np.concatenate(made) if len(made) else np.zeros(0, np.uint64)
-        return as_table(batch(d=np.repeat(right.column("d").to_numpy()[row], count),
+        return as_table(batch(d=np.repeat(d[row], count), v=np.repeat(np.arange(len(made), dtype=np.int32), count),
                               component=np.repeat(right.column("component").to_numpy()[row], count),
                               size=np.repeat(count, count).astype(np.int32), shingle=signed(values)))
 
     tokens = texts.groupBy("g").cogroup(labels.withColumn("g", group_of("d", groups)).groupBy("g")).applyInArrow(
-        sent, "d long, component long, size int, shingle long")
+        sent, "d long, v int, component long, size int, shingle long")
     counts = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     # The place of a shingle in the order of its set, from the rarest on; only places that can matter go on.
-    ordered = tokens.join(counts, "shingle").groupBy("d", "component", "size").agg(
+    ordered = tokens.join(counts, "shingle").groupBy("d", "v", "component", "size").agg(
         F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("order"))
     reach = F.expr(f"size - cast(ceil({percent} * size / 100D) as int) + 1")
     placed = ordered.select("d", "component", "size", F.posexplode(F.slice("order", F.lit(1), reach)).alias("place", "own"))
@@ -248,11 +241,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     pairs = (few.filter("b < a").select("a", "b")
              .unionByName(star.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
              .distinct())
-    side = lambda name, to: reps.select(F.col("d").alias(name), F.col("n").alias(f"n_{name}"),
-                                        F.col("registers").alias(to))
-    likely = mapped(pairs.join(side("a", "left"), "a").join(side("b", "right"), "b"), _estimated(percent, rows * count),
-                    "a long, b long", "left")
-    links = cut_lineage(confirmed(likely, texts, groups, percent))
+    links = cut_lineage(confirmed(pairs, texts, groups, percent))
     nodes = cut_lineage(components(links))
     labelled = (members.filter(F.col("members") > SMALL).join(nodes, F.col("d") == F.col("node"), "left")
                 .select("bucket", "d", F.coalesce("component", "d").alias("component")))
