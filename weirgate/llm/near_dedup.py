@@ -206,12 +206,20 @@ def _prefix_pairs(texts: DataFrame, labels: DataFrame, groups: int, percent: int
     reach = F.expr(f"size - cast(ceil({percent} * size / 100D) as int) + 1")
     placed = ordered.select("d", "component", "size", F.posexplode(F.slice("order", F.lit(1), reach)).alias("place", "own"))
     one = placed.select("d", "component", "size", "place", F.col("own.shingle").alias("shingle")).filter("own.n > 1")
-    x = one.select([F.col(name).alias(f"x_{name}" if name != "shingle" else name) for name in one.columns])
-    y = one.select([F.col(name).alias(f"y_{name}" if name != "shingle" else name) for name in one.columns])
+    # For each shingle the component with most rows, its main one, does not meet itself: of a pair, x is outside it.
+    held = one.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
+    several = cut_lineage(held.groupBy("shingle").agg(
+        F.max_by("component", F.struct("rows", "component")).alias("main"), F.count(F.lit(1)).alias("kinds"))
+        .filter("kinds > 1").select("shingle", "main"))
+    one = cut_lineage(one.join(several, "shingle"))
+    x = one.filter("component != main").select(
+        "shingle", "main", *[F.col(name).alias(f"x_{name}") for name in ("d", "component", "size", "place")])
+    y = one.select("shingle", *[F.col(name).alias(f"y_{name}") for name in ("d", "component", "size", "place")])
     overlap = f"cast(ceil({percent} * (x_size + y_size) / {100 + percent}D) as int)"
     met = x.join(y, "shingle").filter(
-        f"x_d < y_d and x_component != y_component and x_place <= x_size - {overlap} and y_place <= y_size - {overlap}")
-    return met.select(F.col("x_d").alias("b"), F.col("y_d").alias("a")).distinct()
+        f"x_component != y_component and (y_component = main or x_d < y_d) "
+        f"and x_place <= x_size - {overlap} and y_place <= y_size - {overlap}")
+    return met.select(F.least("x_d", "y_d").alias("b"), F.greatest("x_d", "y_d").alias("a")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text",
