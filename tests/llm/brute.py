@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -126,3 +129,107 @@ def personal(text):
     found += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 12 <= len(digits(m)) <= 19 and _luhn(digits(m))]
     found += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 9 <= len(digits(m)) <= 15]
     return sorted(found)
+
+
+LETTERS = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def vocabulary(rows, least_length=6, least_count=5, slip=199):
+    """(doc_id, text) rows to {word: count}."""
+    counts = Counter()
+    for doc, text in rows:
+        for run in LETTERS.findall(text or ""):
+            word = run.translate(LOWER)
+            check = zlib.crc32(f"{'' if doc is None else doc}:{word}".encode())
+            if check % slip == 0:
+                place = check % len(word)
+                word = word[:place] + word[place + 1:]
+            counts[word] += 1
+    return {word: n for word, n in counts.items() if len(word) >= least_length and n >= least_count}
+
+
+def variants(counts, ratio=5):
+    """{word: count} to rows (word, form, root, n, n_near, form_n), by patterns with one hole."""
+    holes, near = defaultdict(set), {word: set() for word in counts}
+    for word in counts:
+        for k in range(len(word)):
+            holes[word[:k] + "\0" + word[k + 1:]].add(word)
+            shorter = word[:k] + word[k + 1:]
+            if shorter in counts:
+                near[word].add(shorter)
+                near[shorter].add(word)
+    for some in holes.values():
+        for word in some:
+            near[word] |= some - {word}
+    form = {}
+    for word, some in near.items():
+        best = min(some, key=lambda one: (-counts[one], one), default=None)
+        form[word] = best if best is not None and counts[best] >= ratio * counts[word] else None
+    out = []
+    for word, n in counts.items():
+        root = word
+        while form[root] is not None:
+            root = form[root]
+        out.append((word, form[word], root, n, len(near[word]), counts.get(form[word])))
+    return sorted(out)
+
+
+def vector_links(rows, cosine=0.9):
+    """(vec_id, vector) rows to (vec_id, n_links, component_id, kept) each; a null id counts as the smallest."""
+    valid = [vector is not None and all(x is not None and math.isfinite(x) for x in vector) and any(vector)
+             for _, vector in rows]
+    dims = max((len(vector) for _, vector in rows if vector is not None), default=0)
+    padded = [list(vector) + [0.0] * (dims - len(vector)) if ok else None for (_, vector), ok in zip(rows, valid)]
+    links = [set() for _ in rows]
+    for i, left in enumerate(padded):
+        for j, right in enumerate(padded[:i]):
+            if left is not None and right is not None:
+                scale = max(map(abs, left)), max(map(abs, right))
+                a, b = [x / scale[0] for x in left], [x / scale[1] for x in right]
+                if math.fsum(x * y for x, y in zip(a, b)) / (math.hypot(*a) * math.hypot(*b)) >= cosine:
+                    links[i].add(j)
+                    links[j].add(i)
+    out = []
+    for i, (vec, _) in enumerate(rows):
+        seen, open_ = {i}, [i]
+        while open_:
+            fresh = links[open_.pop()] - seen
+            seen |= fresh
+            open_ += fresh
+        least = min((rows[k][0] for k in seen), key=_order)
+        out.append((vec, len(links[i]), least, vec == least))
+    return out
+
+
+def filter_masks(rows):
+    """(doc_id, part, text) rows to the letters of the filters that each fails."""
+    out = []
+    for doc, _, text in rows:
+        text = text or ""
+        own = words(text)
+        copies = [other for other, _, same in rows if (same or "") == text and _order(other) < _order(doc)]
+        fails = [len(own) < 100, 100 * len(set(own)) < 80 * len(own),
+                 100 * len(re.findall("[A-Z]", text)) > 10 * len(text), bool(re.search(r"[#$%&*|]", text)), bool(copies)]
+        out.append("".join(letter for letter, bad in zip("ABCDE", fails) if bad))
+    return out
+
+
+def filter_audit(rows, quality, toxic):
+    """Rows (part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley), by applying
+    the filters to the documents in every order; ``quality`` and ``toxic`` hold the ids labelled 1."""
+    masks, out = filter_masks(rows), []
+    for part in {part or "" for _, part, _ in rows}:
+        own = [(doc, bad) for (doc, p, _), bad in zip(rows, masks) if (p or "") == part]
+        found, removed_by = [], Counter()
+        for order in map("".join, itertools.permutations("ABCDE")):
+            left = own
+            for step, letter in enumerate(order, 1):
+                removed = [doc for doc, bad in left if letter in bad]
+                left = [(doc, bad) for doc, bad in left if letter not in bad]
+                removed_by[letter] += len(removed)
+                fails = sum(letter in bad for _, bad in own)
+                found.append((letter, (part, order, step, len(left), len(removed), fails - len(removed),
+                                       sum(bad == letter for _, bad in own), sum(doc in quality for doc in removed),
+                                       sum(doc in toxic for doc in removed))))
+        out += [(*row, removed_by[letter]) for letter, row in found]
+    return sorted(out)
