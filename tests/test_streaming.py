@@ -2,15 +2,17 @@
 
 import random
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from weirgate import constants as C
-from weirgate.operators import runs, state
+from weirgate.operators import delivery, runs, state
 from weirgate.operators.scan import previous_value
 from weirgate.sources import sinks
-from weirgate.streaming import intake, state as stream_state
+from weirgate.sources.generations import Generations, KeyIndex
+from weirgate.streaming import intake, ordered, state as stream_state
 
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 
@@ -119,3 +121,166 @@ def test_age_filter(spark, tmp_path):
     kept.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
         "checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(row.n for row in spark.read.parquet(str(tmp_path / "out")).collect()) == [2, 3]
+
+
+# Event order, timers, generations ------------------------------------------------------------------------------------------
+
+def shuffled_batches(spark, path, rows, schema, at, files=4, seed=7):
+    """Rows in arrival order that is not event order, one file a batch, then a heartbeat long after."""
+    order = list(rows)
+    random.Random(seed).shuffle(order)
+    names = [part.split()[0] for part in schema.split(", ")]
+    last = max(row[names.index(at)] for row in rows)
+    beat = tuple(last + timedelta(days=400) if name == at else None for name in names)
+    size = -(-len(order) // files)
+    for part in range(files):
+        spark.createDataFrame(order[part * size:(part + 1) * size], schema).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([beat], schema).coalesce(1).write.mode("append").parquet(path)
+    return intake.stream_intake(spark, path, "parquet", spark.createDataFrame([], schema).schema, maxFilesPerTrigger="1")
+
+
+def run_to_files(stream, tmp_path):
+    query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def test_transitions_in_event_order_from_shuffled_files(spark, tmp_path):
+    rows = status_rows(11, 160)
+    stream = shuffled_batches(spark, str(tmp_path / "in"), rows, STATUS_SCHEMA, "changed_at")
+    query = run_to_files(ordered.ordered_transitions(stream, "digest", "300 days"), tmp_path)
+    assert len(query.recentProgress) >= 5
+    whole = spark.createDataFrame(rows, STATUS_SCHEMA)
+    expected = previous_value(whole, "entity_id", "changed_at", "event_id", "status", "previous_status").withColumn(
+        "error", F.when(F.col("previous_status").isNotNull(),
+                        state.transition_error("digest", F.col("previous_status"), F.col("status"))))
+    got = {row.event_id: (row.previous_status, row.error) for row in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {row.event_id: (row.previous_status, row.error) for row in expected.collect()}
+
+
+ATTEMPT_SCHEMA = ("digest_id bigint, part_number bigint, attempt_number bigint, status string, error_code string, "
+                  "retry_after_seconds int, started_at timestamp, finished_at timestamp")
+
+
+def attempt_rows(seed, count):
+    chooser = random.Random(seed)
+    rows, numbers = [], {}
+    for k in range(count):
+        part = chooser.randrange(3), chooser.randrange(2)
+        numbers[part] = numbers.get(part, 0) + 1
+        status = chooser.choice(["failed", "failed", "failed", "sent", "pending"])
+        code = chooser.choice([*C.RETRYABLE_DELIVERY_ERRORS, "TELEGRAM_PERMANENT_FAILURE"]) if status == "failed" else None
+        started = START + timedelta(minutes=k)
+        rows.append((*part, numbers[part], status, code, chooser.choice([None, 0, 30]) if code else None, started,
+                     None if status == "pending" else started + timedelta(milliseconds=chooser.randrange(900))))
+    return rows
+
+
+def test_due_retries_of_a_stream(spark, tmp_path):
+    rows = attempt_rows(5, 150)
+    stream = shuffled_batches(spark, str(tmp_path / "in"), rows, ATTEMPT_SCHEMA, "started_at")
+    run_to_files(ordered.due_retries(stream, "300 days"), tmp_path)
+    schedule = delivery.retry_schedule(delivery.with_trials(spark.createDataFrame(rows, ATTEMPT_SCHEMA))).where("decision = 'retry'")
+    names = ("digest_id", "part_number", "attempt_number", "trial", "delay_seconds")
+    want = sorted((*[row[name] for name in names], round(row.finished_at.timestamp() * 1e6) + int(row.delay_seconds * 1e6))
+                  for row in schedule.collect())
+    got = sorted(tuple(row) for row in spark.read.parquet(str(tmp_path / "out")).select(*names, "due_us").collect())
+    assert got == want and len(got) > 20
+
+
+def test_a_retry_is_given_out_when_its_wait_is_over(spark, tmp_path):
+    place = str(tmp_path / "in")
+
+    def land(rows):
+        spark.createDataFrame(rows, ATTEMPT_SCHEMA).coalesce(1).write.mode("append").parquet(place)
+
+    def run():
+        schema = spark.createDataFrame([], ATTEMPT_SCHEMA).schema
+        stream = intake.stream_intake(spark, place, "parquet", schema, maxFilesPerTrigger="1")
+        run_to_files(ordered.due_retries(stream, "0 seconds"), tmp_path)
+        return sorted((row.part_number, row.trial, row.delay_seconds)
+                      for row in spark.read.schema(ordered.DueRetries.output).parquet(str(tmp_path / "out")).collect())
+
+    at = lambda seconds: START + timedelta(seconds=seconds)
+    land([(1, 1, 1, "failed", "TELEGRAM_RATE_LIMITED", 100, at(0), at(1)), (1, 2, 1, "failed", "TELEGRAM_TIMEOUT", None, at(0), at(1)),
+          (1, 3, 1, "sent", None, None, at(0), at(1))])
+    beat = lambda seconds: [(9, 9, 0, None, None, None, at(seconds), None)]
+    land(beat(50))
+    assert run() == [(2, 0, 1.0)]  # the short wait is over, the long one goes on in the state
+    land(beat(100))
+    assert run() == [(2, 0, 1.0)]
+    land(beat(102))
+    assert run() == [(1, 0, 100.0), (2, 0, 1.0)]
+    land(beat(500))
+    assert run() == [(1, 0, 100.0), (2, 0, 1.0)]  # once
+
+
+def test_runs_before_a_batch():
+    held = Generations("p", "k", fanout=4)
+    assert held.runs(0) == [] and held.runs(3) == [(0, 0), (0, 1), (0, 2)]
+    assert held.runs(27) == [(2, 15), (1, 19), (1, 23), (0, 24), (0, 25), (0, 26)]
+    assert [held.level_of(n) for n in (0, 3, 15, 16, 63)] == [0, 1, 2, 0, 3]
+    for number in range(200):  # what a batch writes takes the place of the runs it covers
+        level = held.level_of(number)
+        kept = [run for run in held.runs(number) if run[1] <= number - 4 ** level]
+        assert held.runs(number + 1) == [*kept, (level, number)]
+
+
+def size_of(folders):
+    return sum(file.stat().st_size for folder in folders for file in Path(folder).glob("*.parquet"))
+
+
+def test_what_a_batch_reads_does_not_grow(spark, tmp_path):
+    sink = sinks.AppendOnceSink(str(tmp_path / "rows"), "key", buckets=8, fanout=2)
+    opened, stored = [], set()
+    for number in range(17):
+        fresh = [number * 10 + k for k in range(3)]
+        old = [max(number - 1, 0) * 10] if number else []  # one key of the batch before comes again
+        frame = spark.createDataFrame([(key, number) for key in [*fresh, *old, *fresh]], "key bigint, n int")
+        sink(frame, number)
+        written = [row.key for row in spark.read.parquet(str(tmp_path / f"rows/batch={number}")).collect()]
+        assert sorted(written) == fresh
+        stored |= set(fresh)
+        opened.append((size_of(sink.index.opened), len(sink.index.runs(number)), len(sink.index.opened)))
+    assert sorted(row.key for row in spark.read.parquet(str(tmp_path / "rows")).collect()) == sorted(stored)
+    for size, runs_, folders in opened[2:]:
+        assert folders <= runs_ * 4 + 4  # the filters its four keys fall into, and entries for the one that is known
+    # One run holds everything at both times: its buckets are no larger for eight times the keys.
+    assert opened[16][1] == opened[2][1] == 1
+    assert opened[16][0] / opened[16][2] <= 1.3 * opened[2][0] / opened[2][2]
+    names = {path.name for path in (tmp_path / "rows/_keys/entries").iterdir()}
+    assert {name for name in names if name.startswith("_run=")} == {"_run=r000000015-04", "_run=r000000016-00"}  # older runs are gone
+    before = sorted(row.key for row in spark.read.parquet(str(tmp_path / "rows")).collect())
+    sink(spark.createDataFrame([(160, 0), (161, 0), (162, 0), (150, 0)], "key bigint, n int"), 16)  # the last batch again
+    assert sorted(row.key for row in spark.read.parquet(str(tmp_path / "rows")).collect()) == before
+
+
+def test_streaks_are_kept_as_deltas(spark, tmp_path):
+    chooser = random.Random(9)
+    schema = "source_key string, fetch_id bigint, finished_at timestamp, fetch_status string"
+    rows = [(f"s{chooser.randrange(40)}", i, START + timedelta(minutes=i), chooser.choice(["failed", "failed", "failed", "success"]))
+            for i in range(210)]
+    sink = stream_state.StreakSink(str(tmp_path / "out"), fanout=2, buckets=2)
+    for number in range(7):
+        batch = rows[number * 30:(number + 1) * 30]
+        for _ in range(2 if number in (1, 3) else 1):  # some batches are repeated
+            sink(spark.createDataFrame(batch, schema), number)
+        run = f"r{number:09d}-{sink.state.level_of(number):02d}"
+        held = spark.read.parquet(str(tmp_path / f"out/state/entries/_run={run}"))
+        covered = rows[(number + 1 - 2 ** sink.state.level_of(number)) * 30:(number + 1) * 30]
+        assert held.count() == len({row[0] for row in covered})  # the keys of the batches it covers, no others
+    got = {row.fetch_id: row.failure_streak for row in spark.read.parquet(str(tmp_path / "out/streaks")).collect()}
+    whole = spark.createDataFrame(rows, schema)
+    assert got == {row.fetch_id: row.failure_streak for row in runs.failure_streak(whole).collect()}
+
+
+def test_state_of_batches_without_keys(spark, tmp_path):
+    held = KeyIndex(str(tmp_path / "keys"), "k", buckets=2, fanout=2)
+    none = spark.createDataFrame([], "k string")
+    for number, keys in enumerate([[], ["a"], [], [], ["a", "b"]]):
+        frame = spark.createDataFrame([(key,) for key in keys], "k string") if keys else none
+        held.forget(spark, number)
+        fresh = sorted(row.k for row in held.fresh(frame, number).collect())
+        held.add(held.fresh(frame, number), number)
+    assert fresh == ["b"]

@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weirgate.plans import operations, sql, tables as t
 from weirgate.plans.registry import Query
 from weirgate.session import shared_folder, use_utc
-from weirgate.streaming import intake, state
+from weirgate.streaming import intake, ordered, state
 
 QUERIES: dict[str, Query] = {}
 
@@ -35,8 +35,37 @@ def _landing(spark: SparkSession, folder: str, name: str, files: int = 4) -> Dat
     use_utc(spark)
     place = _place(spark, f"{name}-landing")
     given = spark.read.parquet(f"{folder}/{name}.parquet")
-    given.repartition(files).write.parquet(place)
-    return intake.stream_intake(spark, place, "parquet", given.schema, maxFilesPerTrigger="1")
+    given.write.option("maxRecordsPerFile", max(-(-given.count() // files), 1)).parquet(place)
+    return _batches(spark, place, given, files)
+
+
+def _batches(spark: SparkSession, place: str, given: DataFrame, batches: int) -> DataFrame:
+    """The files of a folder as a stream of about so many batches, in the order they were written."""
+    held = len(spark.read.parquet(place).inputFiles())
+    return intake.stream_intake(spark, place, "parquet", given.schema, maxFilesPerTrigger=str(max(held // batches, 1)))
+
+
+def _in_time(spark: SparkSession, folder: str, name: str, at: str, files: int = 4, late: Column | None = None) -> DataFrame:
+    """A given table landed by spans of time, one after the other; where ``late`` holds, a row lands a span later.
+
+    The last file holds a heartbeat: a row without key and values, long after the others.
+    """
+    use_utc(spark)
+    place = _place(spark, f"{name}-landing")
+    given = spark.read.parquet(f"{folder}/{name}.parquet")
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    first, last = given.agg(F.min(micros), F.max(micros)).first()
+    span = max((last - first) // files, 1) + 1
+    number = F.floor((micros - F.lit(first)) / F.lit(span))
+    if late is not None:
+        number = F.least(number + late.cast("int"), F.lit(files - 1))
+    for k in range(files):
+        given.where(number == k).write.mode("append").parquet(place)
+    beat = {field.name: F.lit(None).cast(field.dataType) for field in given.schema.fields}
+    beat[at] = F.timestamp_micros(F.lit(last + 4 * files * span)).cast(given.schema[at].dataType)
+    spark.range(1).select(*[value.alias(key) for key, value in beat.items()]).write.mode("append").parquet(place)
+    rows = _batches(spark, place, given, files)
+    return rows.withColumn(at, F.col(at).cast("timestamp"))
 
 
 def _to_files(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
@@ -90,18 +119,23 @@ QUERIES["stream_append_once"] = Query(stream_append_once, QUERIES["stream_dedup"
 
 
 def _status_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return _statuses(_stream(spark, folder, "events"))
+
+
+def _statuses(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
-    return _stream(spark, folder, "events").select(
+    return events.select(
         F.col("user_id").alias("entity_id"), "event_id", F.col("ts").alias("changed_at"),
         F.when(kind == "signup", "generated").when(kind.isin("view", "click"), "sending")
-        .when(kind == "purchase", "sent").otherwise("failed").alias("status"))
+        .when(kind == "purchase", "sent").when(kind.isNotNull(), "failed").alias("status"))
 
 
 def stream_transitions(spark: SparkSession, folder: str) -> DataFrame:
-    """Every digest status change of a stream, by the distributed handler."""
+    """Every digest status change of a stream, by the distributed handler, over batches in time order."""
     place = _place(spark, "transitions")
     sink = state.TransitionSink(place, "digest")
-    intake.run_batches(_status_stream(spark, folder), sink, f"{place}/checkpoint").awaitTermination()
+    events = _in_time(spark, folder, "events", "ts").where("event_id is not null")
+    intake.run_batches(_statuses(events), sink, f"{place}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{place}/changes").select("event_id", "entity_id", "previous_status", "status", "error")
 
 
@@ -120,10 +154,39 @@ QUERIES["stream_transitions_keyed"] = Query(stream_transitions_keyed, sql.query(
     "SELECT entity_id, count(*) - 1 AS changes FROM status_event GROUP BY 1", "status_event"))
 
 
+#: Longer than two landed spans of the given month of events.
+LATENESS = "20 days"
+
+
+def stream_transitions_ordered(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by keyed state in event order: a third of the rows land a span late."""
+    events = _in_time(spark, folder, "events", "ts", late=F.col("event_id") % 3 == 0)
+    return _to_files(spark, ordered.ordered_transitions(_statuses(events), "digest", LATENESS), "ordered")
+
+
+QUERIES["stream_transitions_ordered"] = Query(stream_transitions_ordered, QUERIES["stream_transitions"].sql)
+
+
+def stream_due_retries(spark: SparkSession, folder: str) -> DataFrame:
+    """Retries of a stream of attempts, each given out when its wait is over; a third of the attempts land a span late."""
+    events = _in_time(spark, folder, "events", "ts", late=F.col("event_id") % 3 == 0)
+    attempts = t.attempts_of(events)
+    return _to_files(spark, ordered.due_retries(attempts, LATENESS), "retries")
+
+
+QUERIES["stream_due_retries"] = Query(stream_due_retries, sql.query(f"""
+SELECT digest_id, part_number, attempt_number, trial, CAST(delay AS DOUBLE) AS delay_seconds,
+       finished_us + CAST(delay * 1000000 AS BIGINT) AS due_us
+FROM (SELECT *, CASE WHEN retry_after_seconds > 0 THEN retry_after_seconds ELSE least(power(2, trial), 8) END AS delay
+      FROM {operations._TRIALS})
+WHERE status = 'failed' AND error_code IN ('TELEGRAM_TIMEOUT', 'TELEGRAM_RATE_LIMITED') AND trial + 1 < 3""", "attempt"))
+
+
 def stream_failure_streak(spark: SparkSession, folder: str) -> DataFrame:
-    """Streak after every fetch of a stream."""
+    """Streak after every fetch of a stream, over batches in time order."""
     kind = F.col("event_type")
-    rows = _stream(spark, folder, "events").select(
+    events = _in_time(spark, folder, "events", "ts").where("event_id is not null")
+    rows = events.select(
         F.col("event_id").alias("fetch_id"), F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("source_key"),
         F.col("ts").alias("finished_at"), F.when(kind == "error", "failed").when(kind == "view", "not_modified")
         .otherwise("success").alias("fetch_status"))

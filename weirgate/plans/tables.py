@@ -125,12 +125,17 @@ def status_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def delivery_attempts(spark: SparkSession, folder: str) -> DataFrame:
     """One delivery attempt per event."""
+    return attempts_of(table(spark, folder, "events"))
+
+
+def attempts_of(events: DataFrame) -> DataFrame:
+    """Delivery attempts from events; an event without a kind has no status."""
     kind, key = F.col("event_type"), F.col("event_id")
     failed = kind.isin("error", "click", "view")
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("user_id").alias("digest_id"), (key % 3 + 1).alias("part_number"), (key + 1).alias("attempt_number"),
         (key % 4).alias("trial"),
-        F.when(kind == "purchase", "sent").when(kind == "signup", "pending").otherwise("failed").alias("status"),
+        F.when(kind == "purchase", "sent").when(kind == "signup", "pending").when(kind.isNotNull(), "failed").alias("status"),
         F.when(kind == "purchase", key + 1).alias("message_id"),
         F.when(kind == "purchase", 200).when(kind == "click", 429).when(kind == "view", 400).alias("http_status"),
         F.when((kind == "click") & (F.col("value") > 20), F.floor("value").cast("int")).alias("retry_after_seconds"),

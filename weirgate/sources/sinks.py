@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from weirgate.sources.generations import KeyIndex
+
 
 def append_rows(rows: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Append to a Parquet table. The caller passes a projection with the table's contract columns."""
@@ -42,6 +44,26 @@ def append_once(batch: DataFrame, path: str, key: str, batch_id: int) -> None:
     fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+class AppendOnceSink:
+    """``foreachBatch`` handler that appends rows whose key is not stored yet (I6), by an index of the stored keys.
+
+    Rows go to ``path/batch=<n>``, the index to ``path/_keys``. A batch opens the buckets of the index that its keys fall
+    into and nothing of the stored rows, so what it reads does not grow with the table. A repeated batch gives the same files. Of the rows of a
+    key inside a batch one is kept; rows without a key are kept once a batch.
+    """
+
+    def __init__(self, path: str, key: str, buckets: int = 16, fanout: int = 4) -> None:
+        self.path, self.key = path, key
+        self.index = KeyIndex(f"{path}/_keys", key, buckets, fanout)
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        spark, target = batch.sparkSession, f"{self.path}/batch={number}"
+        self.index.forget(spark, number)
+        self.index.fresh(batch.dropDuplicates([self.key]), number).write.mode("overwrite").parquet(target)
+        written = spark.read.schema(batch.schema).parquet(target)
+        self.index.add(written.where(F.col(self.key).isNotNull()).select(self.key), number)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)

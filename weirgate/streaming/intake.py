@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weirgate.functions.times import HOUR_MICROS
 from weirgate.session import SETTINGS
-from weirgate.sources.sinks import append_once
+from weirgate.sources.sinks import AppendOnceSink
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -56,4 +56,4 @@ def run_batches(rows: DataFrame, handle: Callable[[DataFrame, int], None], check
 def stream_append_once(rows: DataFrame, path: str, key: str, checkpoint: str,
                        every: str | None = None) -> StreamingQuery:
     """Append rows whose key is not stored yet (I6); repeated batches replace themselves."""
-    return run_batches(rows, lambda batch, number: append_once(batch, path, key, number), checkpoint, every)
+    return run_batches(rows, AppendOnceSink(path, key), checkpoint, every)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from weirgate import constants as C
 from weirgate.operators.scan import previous_value, streak_since_reset
 from weirgate.operators.state import transition_error
+from weirgate.sources.generations import Generations
 from weirgate.streaming.intake import use_rocksdb
 
 
@@ -60,24 +61,39 @@ class TransitionSink:
         self._last(keep).write.mode("overwrite").parquet(f"{self.path}/state/batch={number}")
 
 
+def _folded_streak() -> list:
+    """Entries of a key, oldest first: rows since the last reset, counted on until an entry has a reset of its own."""
+    entries = F.array_sort(F.collect_list(F.struct("_batch", "since", "reset")))  # one for each run
+    since = F.aggregate(entries, F.lit(0).cast("bigint"), lambda held, one: F.when(one.reset, one.since).otherwise(held + one.since))
+    return [since.alias("since"), F.bool_or("reset").alias("reset")]
+
+
 class StreakSink:
-    """``foreachBatch`` handler for the failure streak per source (I7): one small state version per batch."""
+    """``foreachBatch`` handler for the failure streak per source.
+
+    A batch leaves one entry for each of its sources: the failures since the last reset inside the batch, or all of them, and whether there
+    was a reset. Entries add up in batch order, so they are merged without a look at any streak (see ``Generations``); a batch
+    reads the entries of its own sources and rewrites nothing but what a merge takes up. ``path/streaks`` has the result.
+    """
 
-    def __init__(self, path: str, key: str = "source_key", at: str = "finished_at", tie: str = "fetch_id") -> None:
+    def __init__(self, path: str, key: str = "source_key", at: str = "finished_at", tie: str = "fetch_id",
+                 buckets: int = 16, fanout: int = 4) -> None:
         self.path, self.key, self.at, self.tie = path, key, at, tie
+        self.state = Generations(f"{path}/state", key, ("since", "reset"), _folded_streak, buckets, fanout)
 
     def __call__(self, batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        start = spark.read.parquet(f"{self.path}/state/version={number - 1}") if number > 0 else None
-        rows = streak_since_reset(batch, self.key, self.at, self.tie, F.col("fetch_status") != "failed",
-                                  "failure_streak", start=start)
-        rows.write.mode("overwrite").parquet(f"{self.path}/streaks/batch={number}")
-        written = spark.read.parquet(f"{self.path}/streaks/batch={number}")
-        newest = written.groupBy(self.key).agg(
-            F.max(F.struct(self.at, self.tie, "failure_streak")).getField("failure_streak").alias("start"))
-        if start is not None:
-            newest = newest.unionByName(start.join(newest.select(self.key), self.key, "left_anti"))
-        newest.write.mode("overwrite").parquet(f"{self.path}/state/version={number}")
+        spark, target = batch.sparkSession, f"{self.path}/streaks/batch={number}"
+        self.state.forget(spark, number)
+        held = self.state.find(batch.select(self.key), number)
+        start = held.select(self.key, F.col("since").alias("start")) if held is not None else None
+        is_reset = F.col("fetch_status") != "failed"
+        rows = streak_since_reset(batch, self.key, self.at, self.tie, is_reset, "failure_streak", start=start)
+        rows.write.mode("overwrite").parquet(target)
+        written = spark.read.schema(rows.schema).parquet(target)
+        newest = F.max(F.struct(self.at, self.tie, "failure_streak")).getField("failure_streak")
+        own = written.groupBy(self.key).agg(newest.alias("_newest"), F.count(F.lit(1)).alias("_rows"), F.bool_or(is_reset).alias("reset"))
+        self.state.add(own.select(self.key, F.when(F.col("reset"), F.col("_newest")).otherwise(F.col("_rows")).alias("since"), "reset"),
+                       number)
 
 
 class TransitionProcessor(StatefulProcessor):
