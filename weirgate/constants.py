@@ -86,6 +86,8 @@ LEAD_AUDIT_COLUMNS = (
 )
 #: Words that give a fixture's class away when they occur in an idempotency key.
 LABEL_WORDS = ("hot", "warm", "cold", "review", "invalid", "consent", "injection")
+#: Words that give a fixture's purpose away when they occur in its source.
+SOURCE_WORDS = ("injection", "prompt", "security")
 
 # --- Fixed values: news selection and digests -----------------------------------------------------
 MAX_ITEMS_PER_SOURCE = 3
@@ -135,6 +137,10 @@ SECRET_NEEDLES = {
     "Telegram bot token": ":",
 }
 
+# --- Fixed values: messages ------------------------------------------------------------------------
+#: Head of the warning about failing sources; their keys follow.
+NOISY_FEEDS = "One or more feeds exceeded the consecutive failure threshold: "
+
 #: A stored digest that cannot be rendered because an article or a source is gone.
 DIGEST_UNUSABLE = "Stored digest cannot be split for Telegram delivery."
 

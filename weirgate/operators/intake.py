@@ -112,6 +112,12 @@ def mark_known_keys(new: DataFrame, audit: DataFrame, key: str = "idempotency_ke
     return new.join(keys, key, "left").withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
+def tag_by_idempotency(new: DataFrame, audit: DataFrame, key: str = "idempotency_key") -> DataFrame:
+    """Both sides of the split as one table with ``outcome`` (C2): ``new`` or ``duplicate``. The requests are built once."""
+    return mark_known_keys(new, audit, key).withColumn(
+        "outcome", F.when(F.col("known"), "duplicate").otherwise("new")).drop("known")
+
+
 def difference(left: DataFrame, right: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right`` (G3, C10). ``right`` is reduced to its keys, so hot keys on either side
     are split."""

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weirgate import constants as C
 from weirgate.functions import hashing, html, text, times, urls
+from weirgate.operators.components import components
 from weirgate.operators.keys import one_per_key
 from weirgate.session import cut_lineage
 from weirgate.sources.config import TopicProfile
@@ -224,6 +226,46 @@ def _follow_chains(active: DataFrame) -> DataFrame:
             return steps.where("_up is null").select("_ord", (F.col("_odd") == 0).alias("_take"))
 
 
+#: Rows that one task walks over in their order once rounds no longer get through.
+WALKED = 20_000
+
+
+def _walked(active: DataFrame, limit: int) -> DataFrame:
+    """Rows admitted (``_ord``) among those of small conflict components, and among the earliest ``limit`` rows of large ones.
+
+    Rows that share a key, and rows connected through such rows, are a component; no row outside has a say in it. Components of up to ``limit`` rows
+    are dealt into groups of about that size and walked over in their order, each group in one task. Of larger components the earliest
+    rows of all are walked over: nothing later can change them. They fall apart with what is taken out.
+    """
+    edges = None
+    for key in ("_k1", "_k2"):
+        held = active.where(F.col(key).isNotNull()).select(key, "_ord")
+        first = one_per_key(held, [key], F.min("_ord").alias("b"))
+        found = held.join(first, key).select(F.col("_ord").alias("a"), "b")
+        edges = found if edges is None else edges.unionByName(found)
+    parts = components(edges).withColumnsRenamed({"node": "_ord", "component": "_part"})
+    named = cut_lineage(active.join(parts, "_ord", "left").withColumn("_part", F.coalesce("_part", "_ord")))
+    sized = named.join(one_per_key(named, ["_part"], F.count(F.lit(1)).alias("_size")), "_part")
+    groups = max(named.count() // limit, 1)
+    small = sized.where(F.col("_size") <= limit).withColumn("_group", F.pmod(F.xxhash64("_part"), F.lit(groups)))
+    early = sized.where(F.col("_size") > limit).orderBy("_ord").limit(limit).withColumn("_group", F.lit(-1).cast("bigint"))
+
+    def walk(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("_ord")
+        urls, externals, taken = set(), set(), []
+        for order, url, external in zip(group["_ord"], group["_k1"], group["_k2"]):
+            if url not in urls and (external is None or external not in externals):
+                taken.append(order)
+                urls.add(url)
+                externals.add(external)
+        return pd.DataFrame({"_ord": pd.Series(taken, dtype=group["_ord"].dtype)})
+
+    kind = active.schema["_ord"].dataType.simpleString()
+    # Keys travel as texts: a missing number would come as a float.
+    columns = ["_group", "_ord", *[F.col(key).cast("string").alias(key) for key in ("_k1", "_k2")]]
+    return small.unionByName(early).select(*columns).groupBy("_group").applyInPandas(walk, f"_ord {kind}")
+
+
 def admit_in_batch(rows: DataFrame, order: str, url_key: str = "url_hash", ext_key: str = "ext_key") -> DataFrame:
     """First-wins admission on either of two keys, as if rows came one by one (E2): adds ``admitted``.
 
@@ -231,7 +273,8 @@ def admit_in_batch(rows: DataFrame, order: str, url_key: str = "url_hash", ext_k
     on both keys and removes all rows that share a key with them; the result is the sequential one, and for an
     arbitrary order the number of rounds grows with the logarithm of the rows (Blelloch, Fineman and Shun 2012). Orders
     that run along chains of keys would take a round per link: from round ``CHAIN_ROUND`` on, chains are followed by
-    pointer doubling. Only orders built from many crossing chains still take many rounds.
+    pointer doubling, and two rounds later what is left, chains that cross, is walked over by conflict components
+    (``_walked``), which ends it unless a single component is larger than ``WALKED`` rows.
 
     Only one row per distinct key pair takes part: later copies of a pair can never be admitted. First rows are found
     by aggregates (combined before the shuffle) and joined by ``order``, which is unique, so a hot key makes no hot
@@ -247,8 +290,10 @@ def admit_in_batch(rows: DataFrame, order: str, url_key: str = "url_hash", ext_k
             winners = active.join(_firsts(active, "_k1", False), "_ord").join(
                 _firsts(active, "_k2", False).withColumn("_first_2", F.lit(True)), "_ord", "left").where(
                 F.col("_k2").isNull() | F.col("_first_2"))
-        else:
+        elif turn < CHAIN_ROUND + 2 or turn % 2 == 1:  # a component too large to walk over gets both in turn
             winners = active.join(_follow_chains(active).where("_take"), "_ord")
+        else:
+            winners = active.join(_walked(active, WALKED), "_ord")
         winners = cut_lineage(winners.select("_k1", "_k2", "_ord"))
         admitted = winners if admitted is None else admitted.unionByName(winners)
         left = active.join(winners.select("_k1"), "_k1", "left_anti")

@@ -214,8 +214,11 @@ def header_mismatch(rows: DataFrame, expected: tuple[str, ...]) -> list[str]:
     return problems
 
 
-def check_contract(rows: DataFrame, key: str, required: tuple[str, ...]) -> DataFrame:
-    """Contract errors of keyed records (J12): missing fields, repeated key, label words in the key."""
+def check_contract(rows: DataFrame, key: str, required: tuple[str, ...], source: str | None = None) -> DataFrame:
+    """Contract errors of keyed records (J12): missing fields, repeated key, label words in the key and, where ``source`` names
+    a column, words in it that tell a record's purpose."""
+    told = [] if source is None else [F.when(F.contains(F.lower(source), F.lit(word)), F.lit(f"tells:{word}"))
+                                      for word in C.SOURCE_WORDS]
     leaked = F.array_compact(F.array(*[F.when(F.contains(F.lower(key), F.lit(word)), F.lit(f"leaks:{word}"))
                                        for word in C.LABEL_WORDS]))
     missing = F.array_compact(F.array(*[F.when(c(name).isNull(), F.lit(f"missing:{name}")) for name in required]))
@@ -223,4 +226,10 @@ def check_contract(rows: DataFrame, key: str, required: tuple[str, ...]) -> Data
         c("_rows") > 1)
     joined = rows.join(repeated, key, "left")
     twice = F.array_compact(F.array(F.when(c("_rows") > 1, F.lit("repeated_key"))))
-    return joined.withColumn("contract_errors", F.concat(missing, twice, leaked)).drop("_rows")
+    told = F.array_compact(F.array(*told)) if told else F.array().cast("array<string>")
+    return joined.withColumn("contract_errors", F.concat(missing, twice, leaked, told)).drop("_rows")
+
+
+def unknown_fixtures(cases: DataFrame, fixtures: DataFrame, key: str = "fixture") -> DataFrame:
+    """Expected cases whose fixture does not exist (J12); a case without a fixture counts."""
+    return cases.join(one_per_key(fixtures, [key]), key, "left_anti")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from weirgate import constants as C
 from weirgate.operators.keys import one_per_key
 from weirgate.operators.scan import BUCKET_SECONDS, streak_since_reset
+from weirgate.session import cut_lineage
 
 
 def ingest_summary(rows: DataFrame, fetches: DataFrame) -> DataFrame:
@@ -55,7 +57,31 @@ def noisy_feeds(sources: DataFrame, threshold: int = 3) -> DataFrame:
     noisy = sources.where(F.col("consecutive_failures") >= threshold)
     return noisy.agg(F.count(F.lit(1)).alias("noisy"), keys.alias("_keys")).select(
         "noisy", F.when(F.col("noisy") > 0, F.concat(
-            F.lit("One or more feeds exceeded the consecutive failure threshold: "), F.col("_keys"))).alias("warning"))
+            F.lit(C.NOISY_FEEDS), F.col("_keys"))).alias("warning"))
+
+
+#: Keys in one warning line.
+LINE_KEYS = 50
+
+
+def noisy_feed_lines(sources: DataFrame, threshold: int = 3, per_line: int = LINE_KEYS) -> DataFrame:
+    """The failing sources as numbered warning lines of at most ``per_line`` keys, sorted (D4): ``line`` (from 1), ``keys``
+    in it, ``noisy`` in all and ``warning``. No rows where no source fails.
+
+    Keys are cut into ranges, each range is numbered by itself, and the counts of the ranges before it are added, so no task sees
+    all keys. The ranges are kept by a checkpoint: both parts of the plan must see the same cut.
+    """
+    noisy = sources.where(F.col("consecutive_failures") >= threshold).select("source_key")
+    ranged = cut_lineage(noisy.repartitionByRange("source_key").withColumn("_range", F.spark_partition_id()))
+    inside = ranged.withColumn("_place", F.row_number().over(Window.partitionBy("_range").orderBy("source_key")))
+    ranges = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))  # one row for each range
+    before = ranges.withColumn("_to", F.sum("_rows").over(Window.orderBy("_range")))
+    total = before.agg(F.max("_to")).scalar()
+    numbered = inside.join(before.select("_range", (F.col("_to") - F.col("_rows")).alias("_before")), "_range")
+    line = F.floor((F.col("_before") + F.col("_place") - 1) / F.lit(per_line)) + 1
+    lines = numbered.groupBy(line.alias("line")).agg(
+        F.count(F.lit(1)).alias("keys"), F.array_join(F.array_sort(F.collect_list("source_key")), ", ").alias("_keys"))
+    return lines.select("line", "keys", total.alias("noisy"), F.concat(F.lit(C.NOISY_FEEDS), F.col("_keys")).alias("warning"))
 
 
 def failure_streak(fetches: DataFrame, key: str = "source_key", at: str = "finished_at", tie: str = "fetch_id",

@@ -90,15 +90,19 @@ SELECT f.doc_id, CASE WHEN f.doc_id % 3 <> 0 THEN 'webhook' ELSE 'gmail' END AS
 FROM file f JOIN documents d USING (doc_id)""", "file"))
 
 
-def _marked(spark: SparkSession, folder: str) -> DataFrame:
-    """New documents (odd numbers) against the audit of the others, by the hash of the whole text."""
+def new_and_audit(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """New documents (odd numbers) and the audit of the others, by the hash of the whole text."""
     rows = t.table(spark, folder, "documents").select(
         "doc_id", F.sha2("text", 256).alias("file_hash"), F.concat(F.lit("doc "), F.col("doc_id").cast("string"))
         .alias("file_name"))
     audit = rows.where(F.col("doc_id") % 2 == 0).select(
         "file_hash", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("processed_at"),
         F.when(F.col("doc_id") % 6 == 0, "needs_review").otherwise("processed").alias("status"))
-    return intake.mark_duplicates(rows.where(F.col("doc_id") % 2 == 1), audit)
+    return rows.where(F.col("doc_id") % 2 == 1), audit
+
+
+def _marked(spark: SparkSession, folder: str) -> DataFrame:
+    return intake.mark_duplicates(*new_and_audit(spark, folder))
 
 
 def duplicate_lookup(spark: SparkSession, folder: str) -> DataFrame:

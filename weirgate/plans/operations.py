@@ -118,9 +118,12 @@ FROM (SELECT *, count(*) FILTER (WHERE fetch_status <> 'failed') OVER (
         PARTITION BY source_key ORDER BY finished_at, fetch_id) AS island FROM fetch_log)""", "fetch_log"))
 
 
+def sources_after_fetch(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.apply_fetch_results(_sources_from_fetches(spark, folder), t.fetch_log(spark, folder))
+
+
 def noisy_feeds(spark: SparkSession, folder: str) -> DataFrame:
-    after = runs.apply_fetch_results(_sources_from_fetches(spark, folder), t.fetch_log(spark, folder))
-    return runs.noisy_feeds(after, 1)
+    return runs.noisy_feeds(sources_after_fetch(spark, folder), 1)
 
 
 QUERIES["noisy_feeds"] = Query(noisy_feeds, sql.query(f"""
@@ -345,13 +348,19 @@ SELECT entity_id, count(previous_status) AS changes, count(error) AS invalid_cha
 FROM ({_CHANGES}) GROUP BY 1""", "status_event"))
 
 
-def terminal_immutability(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored runs against a later save that changes some of them."""
+def saved_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Stored runs and a later save that changes some of them."""
     before = t.pipeline_runs(spark, folder).select("run_id", "trigger_type", "started_at", "status", "items_inserted")
     key = F.col("run_id")
     after = before.withColumn("items_inserted", F.when(key % 10 == 0, F.col("items_inserted") + 1)
                               .otherwise(F.col("items_inserted"))).withColumn(
         "trigger_type", F.when(key % 45 == 0, "moved").otherwise(F.col("trigger_type")))
+    return before, after
+
+
+def terminal_immutability(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored runs against a later save that changes some of them."""
+    before, after = saved_runs(spark, folder)
     return state.terminal_immutability(before, after, "run_id", ["trigger_type", "started_at"], "running",
                                        ["items_inserted"])
 

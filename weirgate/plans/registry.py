@@ -18,10 +18,10 @@ class Query:
 
 def all_queries() -> dict[str, Query]:
     """Every registered query by name."""
-    from weirgate.plans import digests, invoices, leads, news, operations, streams
+    from weirgate.plans import digests, invoices, leads, lifecycle, loaders, news, operations, streams
 
     found: dict[str, Query] = {}
-    for module in (news, invoices, leads, digests, operations, streams):
+    for module in (news, invoices, leads, digests, operations, lifecycle, loaders, streams):
         for name, entry in module.QUERIES.items():
             if name in found:
                 raise ValueError(f"query {name} is registered twice")

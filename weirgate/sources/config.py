@@ -1,6 +1,7 @@
 """Versioned configuration files: feed sources (A5) and the topic profile.
 
-Both are small hand-written files, read once by the driver and turned into rows or literals.
+Both are small hand-written files, read once by the driver and turned into rows or literals. With a session, paths of any store that
+Spark can read will do.
 """
 
 from __future__ import annotations
@@ -39,17 +40,24 @@ class TopicProfile:
             raise ValueError("length floors are out of range")
 
 
-def _load(path: str, known: set[str]) -> dict:
-    data = yaml.safe_load(Path(path).read_text(encoding="utf-8"))
+def _text(path: str, spark: SparkSession | None) -> str:
+    """The file's text; with a session, also that of a folder with one file."""
+    if spark is None or Path(path).is_file():
+        return Path(path).read_text(encoding="utf-8")
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def _load(path: str, known: set[str], spark: SparkSession | None = None) -> dict:
+    data = yaml.safe_load(_text(path, spark))
     if not isinstance(data, dict) or data.get("version") != 1 or set(data) - known:
         raise ValueError(f"{path}: not a version 1 configuration")
     return data
 
 
-def load_topic_profile(path: str) -> TopicProfile:
+def load_topic_profile(path: str, spark: SparkSession | None = None) -> TopicProfile:
     """Read a topic profile; unknown keys are an error."""
     fields = {"name", "include_keywords", "exclude_keywords", "min_title_length", "min_summary_length"}
-    data = _load(path, fields | {"version"})
+    data = _load(path, fields | {"version"}, spark)
     lists = {key: tuple(data.get(key) or ()) for key in ("include_keywords", "exclude_keywords")}
     rest = {key: data[key] for key in fields - set(lists) if key in data}
     return TopicProfile(**lists, **rest)
@@ -57,7 +65,7 @@ def load_topic_profile(path: str) -> TopicProfile:
 
 def load_source_config(spark: SparkSession, path: str) -> DataFrame:
     """Configured sources with defaults applied, keys normalised and unique."""
-    data = _load(path, {"version", "defaults", "sources"})
+    data = _load(path, {"version", "defaults", "sources"}, spark)
     defaults = data.get("defaults") or {}
     rows, seen = [], set()
     for source in data["sources"]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weirgate import constants as C, schemas
 from weirgate.functions import hashing
@@ -69,7 +69,7 @@ def read_feed_entries(spark: SparkSession, path: str, row_tag: str = "item") ->
     """Entries of XML files, scanned by tag (A2). Rows carry ``parse_error`` where the text was unreadable.
 
     Each file is one feed or several well-formed ones; the scan ends at the first junk in a file and keeps what came
-    before. It has no document order and no key per file: for bodies in a table use ``parse_feed_bodies``.
+    before. It has no document order: ``scan_feed_entries`` adds it. For bodies in a table use ``parse_feed_bodies``.
     """
     scanned = (
         spark.read.format("xml").schema(schemas.FEED_ITEM).options(**_XML).option("rowTag", row_tag).load(path)
@@ -82,6 +82,30 @@ def read_feed_entries(spark: SparkSession, path: str, row_tag: str = "item") ->
     )
 
 
+def scan_feed_entries(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame:
+    """Entries of XML files in document order (A2): the columns of ``read_feed_entries``, those of partition folders, ``file`` and
+    ``entry_index`` (from 0 in each file).
+
+    Files are scanned in blocks. Inside a block entries are numbered where they are read; the entries of earlier blocks of the
+    file are added from one count a block, so a file of any size is numbered without meeting in one task.
+    """
+    reader = spark.read.format("xml").schema(schemas.FEED_ITEM).options(**_XML).option("rowTag", row_tag)
+    scanned = reader.load(path)
+    fields = [field.name for field in schemas.FEED_ITEM.fields if field.name != "_corrupt"]
+    folders = [name for name in scanned.columns if name not in schemas.FEED_ITEM.fieldNames()]
+    rows = scanned.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_read"), *folders, F.struct(*fields).alias("_item"), "_corrupt")
+    blocks = rows.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_entries"))
+    upto = F.sum("_entries").over(Window.partitionBy("file").orderBy("_block"))
+    before = blocks.select("file", "_block", (upto - F.col("_entries")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("file", "_block").orderBy("_read")) - 1
+    placed = rows.withColumn("_inside", inside).join(before, ["file", "_block"])
+    return placed.select(
+        "file", *folders, (F.col("_before") + F.col("_inside")).cast("int").alias("entry_index"),
+        *_entry_columns(F.col("_item")), F.when(F.col("_corrupt").isNotNull(), "FEED_PARSE_FAILED").alias("parse_error"))
+
+
 def cap_entries(entries: DataFrame, limit: int | Column) -> DataFrame:
     """First ``limit`` entries of each document in document order (A3); parse failures stay."""
     return entries.where(F.col("entry_index").isNull() | (F.col("entry_index") < limit))
