@@ -68,8 +68,48 @@ def _tables(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     return known
 
 
+#: Most symbols under one polynomial. Modulo 2**64 these lose a bit or more with each doubling of the length (two Thue-Morse words of
+#: 1,024 symbols agree under every odd base), so longer content is hashed block by block, each under a key of its place.
+BLOCK, WINDOW = 128, 512
+
+
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = FIRST) -> np.ndarray:
     """Hash of ``values[start:end]`` for every range; starts and ends never decrease. Equal content, equal hash."""
+    size = ends - starts
+    long = size > BLOCK
+    if not long.any():
+        return _short_hashes(values, starts, ends, base)
+    out = np.empty(len(starts), np.uint64)
+    out[~long] = _short_hashes(values, starts[~long], ends[~long], base)
+    places = np.flatnonzero(long)
+    blocks = np.concatenate(([0], np.cumsum(-(-size[places] // BLOCK))))
+    first = 0
+    while first < len(places):
+        stop = max(int(np.searchsorted(blocks, blocks[first] + CHUNK // 4, "right")) - 1, first + 1)
+        some = places[first:stop]
+        out[some] = _long_hashes(values, starts[some], ends[some], base)
+        first = stop
+    return out
+
+
+def _long_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Sums of the blocks' hashes, each mixed with its place in the range before it is added."""
+    count = -(-(ends - starts) // BLOCK)
+    heads = np.cumsum(count) - count
+    owner = np.repeat(np.arange(len(starts)), count)
+    inner = np.arange(len(owner)) - heads[owner]
+    begin = starts[owner] + inner * BLOCK
+    end = np.minimum(begin + BLOCK, ends[owner])
+    order = np.argsort(begin, kind="stable")  # ranges may overlap
+    hashes = np.empty(len(begin), np.uint64)
+    hashes[order] = _short_hashes(values, begin[order], end[order], base)
+    keyed = mix(hashes ^ mix((inner.astype(np.uint64) + np.uint64(1)) * np.uint64(base)))
+    sums = np.add.reduceat(keyed, heads)
+    return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(SECOND))
+
+
+def _short_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Hashes of ranges of up to ``BLOCK`` symbols; starts never decrease."""
     out = np.empty(len(starts), np.uint64)
     place = 0
     while place < len(starts):
@@ -98,6 +138,12 @@ def rolling_hashes(values: np.ndarray, width: int, base: int = FIRST) -> np.ndar
     count = len(values) - width + 1
     if count <= 0:
         return np.zeros(0, np.uint64)
+    if width > WINDOW:  # from windows of bounded width, each mixed with its place
+        inner = rolling_hashes(values, WINDOW, base)
+        out = np.full(count, width, np.uint64)
+        for number, place in enumerate([*range(0, width - WINDOW, WINDOW), width - WINDOW]):
+            out += mix(inner[place:place + count] ^ mix(np.full(1, (number + 1) * base % (1 << 64), np.uint64)))
+        return mix(out)
     out = np.empty(count, np.uint64)
     for first in range(0, count, CHUNK):
         stop = min(first + CHUNK, count)
