@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ def real_id(column: str = "d") -> Column:
     return F.when(F.col(column) != NO_ID, F.col(column))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str | int = "text", limit: int = PIECE) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most ``limit`` bytes of ``column``, one row at least."""
     for batch in batches:
         if batch.num_rows == 0:
@@ -58,6 +59,12 @@ def mapped(frame: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return frame.mapInArrow(run, schema)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, or the first of its numbered forms that is not taken; upper and lower case are one."""
+    held = {one.lower() for one in taken}
+    return next(one for one in itertools.chain([name], (f"{name}_{k}" for k in itertools.count(1))) if one.lower() not in held)
+
+
 def batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([value if isinstance(value, pa.Array) else pa.array(value)
                                        for value in columns.values()], names=list(columns))

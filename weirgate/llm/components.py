@@ -1,35 +1,7 @@
-"""Connected components by alternating large and small stars, cut by reliable checkpoints."""
+"""Connected components: those of the library."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from weirgate.operators.components import components
 
-from weirgate.session import cut_lineage
-
-
-def _starred(edges: DataFrame, small: bool) -> DataFrame:
-    """Every node hands its smallest neighbour to the neighbours that are larger (large star) or smaller (small star)."""
-    if not small:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        made = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        made = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
-        made = made.unionByName(least.select("a", F.col("m").alias("b")))
-    return made.distinct()
-
-
-def components(links: DataFrame) -> DataFrame:
-    """``node, component`` (the smallest node that can be reached) for every node of ``links`` (``a, b``)."""
-    edges = cut_lineage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                        .filter("a != b").distinct())
-    seen = None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
-        edges = cut_lineage(_starred(_starred(edges, small=False), small=True))
-    found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return found.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+__all__ = ["components"]

@@ -8,14 +8,17 @@ band share a bucket. How many make a band, and if need be how many registers the
 for: there a pair shares no bucket with a probability of at most ``MISSED``.
 
 Within a bucket not all pairs are looked at. Small buckets (up to ``SMALL``) give all their pairs, larger ones give pairs with
-their most central member, the one with the fullest buckets. All these pairs are compared on full sets, none falls away by an
-estimate. What remains are members of large buckets that are not connected yet. These are joined exactly by
+their most central member, the one with the fullest buckets. For each pair the similarity is estimated by maximum likelihood from the
+numbers of larger, smaller and equal registers and both set sizes. Pairs whose estimate is not ``DEVIATIONS`` standard deviations below the
+threshold are compared on full sets: each set is sent once to every group of documents that it is compared in. What remains are
+members of large buckets that are not connected yet, and the ends of unlikely pairs. These are joined exactly by
 prefixes: with shingles ordered from the rarest, two sets can only be similar enough if they share a shingle so early in
 both orders that the required overlap is still within reach. Members whose rare shingles are their own meet nobody, so a group of thousands of copies
-costs few pairs. No pair is dropped for the size of its group.
+costs few pairs. No pair is dropped for the size of its group or for its estimate.
 
 Null and empty texts have no shingles and are linked with nothing. A null id counts as the smallest id. Rows that share an id
-are one document: linked if any version is. One row for each row given; extra columns are ignored.
+are one document: linked if any version is; its versions (by their texts) are dealt out like other documents. One row for
+each row given; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,12 +27,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirgate.llm.common import batch, documents, id_and_text, mapped, real_id
 from weirgate.llm.components import components
 from weirgate.llm.kernels import flat, lower_ascii, mix, range_hashes, rolling_hashes, signed, words
-from weirgate.llm.passages import as_table, group_count, ids_of, rows_at, text_of
+from weirgate.llm.passages import as_table, group_count, ids_of, rows_at, text_of, versions_of
 from weirgate.operators.keys import one_per_key
 from weirgate.session import cut_lineage
 
@@ -39,7 +43,10 @@ REGISTERS, SMALL = 64, 8
 MISSED = 1e-5
 BASE, RATE, MOST = 1.001, 20.0, 65_535
 
-_SKETCH = "d long, n long, low long, high long, registers binary"
+#: Standard deviations that an estimate may lie below the threshold.
+DEVIATIONS = 5.0
+
+_SKETCH = "d long, v long, n long, low long, high long, registers binary"
 
 
 def _hashes(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +113,7 @@ def _sketches(size: int):
             high[k] = np.bitwise_xor.reduce(mix(own * np.uint64(3))) if b > a else 0
         made = iter(registers(every, limits, size))
         values = [next(made).tobytes() if held else None for held in np.diff(limits).tolist()]
-        return batch(d=rows.column("d"), n=count, low=signed(low), high=signed(high),
+        return batch(d=rows.column("d"), v=rows.column("v"), n=count, low=signed(low), high=signed(high),
                      registers=pa.array(values, pa.binary()))
 
     return work
@@ -125,65 +132,122 @@ def likely_similarity(larger, smaller, equal, left, right) -> np.ndarray:
     return grid[np.arange(len(grid)), np.argmax(value, axis=1)]
 
 
-#: Ids up to this number (below 10 MB as a hash table) are broadcast to keep other texts out of a shuffle.
+def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """``pairs`` with their most likely similarity, from the registers of both ends."""
+
+    def end(name: str) -> DataFrame:
+        return reps.select(F.col("d").alias(f"{name}d"), F.col("v").alias(f"{name}v"), F.col("n").alias(f"{name}n"),
+                           F.col("registers").alias(f"{name}r"))
+
+    def work(rows: pa.RecordBatch) -> pa.RecordBatch:
+        likely = np.empty(rows.num_rows)
+        for first in range(0, rows.num_rows, 512):
+            some = rows.slice(first, 512)
+            left, right = (np.frombuffer(b"".join(some.column(f"{name}r").to_pylist()), np.uint16).reshape(some.num_rows, -1)
+                           for name in "ab")
+            sizes = [some.column(f"{name}n").to_numpy().astype(float) for name in "ab"]
+            numbers = [(relation(left, right)).sum(axis=1).astype(float) for relation in (np.greater, np.less, np.equal)]
+            likely[first:first + some.num_rows] = likely_similarity(*numbers, *sizes)
+        return batch(**{name: rows.column(name) for name in ENDS}, likely=likely)
+
+    met = pairs.join(end("a"), ["ad", "av"]).join(end("b"), ["bd", "bv"])
+    return mapped(met.select(*ENDS, "an", "bn", "ar", "br"), work, f"{_ENDS}, likely double", "ar")
+
+
+#: The ends of a pair: id and version of both.
+ENDS = ["ad", "av", "bd", "bv"]
+_ENDS = "ad long, av long, bd long, bv long"
+
+#: Texts up to this number (below 20 MB as a hash table) are named to the scan by a broadcast, to keep others out of a shuffle.
 FEW_IDS = 200_000
 
 
 def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """``texts`` without some that ``ids`` (``d``, distinct) do not ask for: all of these where the ids are few, else
+    """``texts`` without some that ``ids`` (``d, v``, distinct) do not ask for: all of these where the ids are few, else
     none. What is done with the texts is the same either way."""
-    return texts.join(F.broadcast(ids), "d", "left_semi") if ids.count() <= FEW_IDS else texts
+    return texts.join(F.broadcast(ids), ["d", "v"], "left_semi") if ids.count() <= FEW_IDS else texts
+
+
+def _ends_of(pairs: DataFrame) -> DataFrame:
+    return (pairs.select(F.col("ad").alias("d"), F.col("av").alias("v"))
+            .union(pairs.select("bd", "bv")).distinct())
+
 
+def _wanted_texts(left: pa.Table, right: pa.Table, names: tuple[str, str]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of the group that rows of ``right`` name, as (number of the text, number of the row)."""
+    return rows_at(right.rename_columns(["d" if one == names[0] else "v" if one == names[1] else one for one in right.column_names]),
+                   ids_of(left), versions_of(left))
 
-def confirmed(pairs: DataFrame, texts: DataFrame, groups: int, percent: int = PERCENT) -> DataFrame:
-    """Those of ``pairs`` (``a, b``) whose full sets are similar enough. ``texts`` are in so many groups by id."""
+
+_SENT = f"g long, {_ENDS}, shingles binary"
+
+
+def _set_rows(g, ad, av, shingles) -> pa.Table:
+    none = pa.nulls(len(ad), pa.int64())
+    return pa.table({"g": pa.array(g, pa.int64()), "ad": pa.array(ad, pa.int64()), "av": pa.array(av, pa.int64()), "bd": none, "bv": none,
+                     "shingles": pa.array(shingles, pa.binary())})
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, groups: int, percent: float = PERCENT) -> DataFrame:
+    """Those of ``pairs`` (``ad, av, bd, bv``) whose full sets are similar enough. ``texts`` (``d, v, text, g``) are in so many
+    groups by id and version."""
     pairs = cut_lineage(pairs)
-    texts = _only(texts, pairs.select(F.col("a").alias("d")).union(pairs.select("b")).distinct())
+    texts = _only(texts, _ends_of(pairs))
+    to = group_of(["bd", "bv"], groups).alias("g")
 
     def sent(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Sets of the first ends, once for each group that has a second end."""
         if not left.num_rows or not right.num_rows:
-            return as_table(batch(d=pa.array([], pa.int64()), other=pa.array([], pa.int64()),
-                                  shingles=pa.array([], pa.binary())))
-        owner, row = rows_at(right, ids_of(left))
+            return _set_rows([], [], [], [])
+        owner, row = _wanted_texts(left, right, ("ad", "av"))
+        _, first = np.unique(row, return_index=True)  # equal texts are one
+        owner, row = owner[first], row[first]
         used, place = np.unique(owner, return_inverse=True)
         made = [one.tobytes() for one in sets(text_of(left).take(pa.array(used)))]
-        return as_table(batch(d=right.column("d").to_numpy()[row], other=right.column("other").combine_chunks().take(
-            pa.array(row)), shingles=pa.array([made[k] for k in place.tolist()], pa.binary())))
-
-    # The sets of the first of each pair travel to the second; those of the second travel once.
-    wanted = pairs.select(F.col("a").alias("d"), F.col("b").alias("other")).unionByName(
-        pairs.select(F.col("b").alias("d"), F.lit(None).cast("long").alias("other")).distinct())
-    have = texts.groupBy("g").cogroup(wanted.withColumn("g", group_of("d", groups)).groupBy("g")).applyInArrow(
-        sent, "d long, other long, shingles binary")
-    first = have.filter("other is not null").select(F.col("d").alias("a"), F.col("other").alias("b"),
-                                                    F.col("shingles").alias("left"))
-    second = have.filter("other is null").select(F.col("d").alias("b"), F.col("shingles").alias("right"))
-
-    def compare(rows: pa.RecordBatch) -> pa.RecordBatch:
-        good = []
-        for left, right in zip(rows.column("left").to_pylist(), rows.column("right").to_pylist()):
-            left, right = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            common = len(np.intersect1d(left, right, assume_unique=True))
-            good.append(common > 0 and 100 * common >= percent * (len(left) + len(right) - common))
-        return rows.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        return _set_rows(right.column("to").to_numpy()[row], right.column("ad").to_numpy()[row], right.column("av").to_numpy()[row],
+                         [made[k] for k in place.tolist()])
+
+    def compared(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Pairs whose second end is here, with the sets that arrived."""
+        arrived = right.filter(pc.is_valid(right.column("shingles"))) if right.num_rows else right
+        asked = right.filter(pc.is_null(right.column("shingles"))) if right.num_rows else right
+        if not left.num_rows or not asked.num_rows:
+            return asked.slice(0, 0).select(ENDS)
+        firsts = {(d, v): np.frombuffer(one, np.uint64) for d, v, one in
+                  zip(*(arrived.column(name).to_pylist() for name in ("ad", "av", "shingles")))}
+        owner, row = _wanted_texts(left, asked, ("bd", "bv"))
+        used, place = np.unique(owner, return_inverse=True)
+        own = sets(text_of(left).take(pa.array(used)))
+        good = np.zeros(asked.num_rows, bool)
+        ends = list(zip(asked.column("ad").to_pylist(), asked.column("av").to_pylist()))
+        for k, number in zip(place.tolist(), row.tolist()):
+            one, two = firsts.get(ends[number]), own[k]
+            if one is None:
+                continue
+            common = len(np.intersect1d(one, two, assume_unique=True))
+            good[number] = common > 0 and 100 * common >= percent * (len(one) + len(two) - common)
+        return asked.filter(pa.array(good)).select(ENDS)
 
-    return mapped(first.join(second, "b").select("a", "b", "left", "right"), compare, "a long, b long", "left")
+    wanted = pairs.select(group_of(["ad", "av"], groups).alias("g"), "ad", "av", to.alias("to")).distinct()
+    arriving = texts.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(sent, _SENT)
+    asked = pairs.select(to, *ENDS, F.lit(None).cast("binary").alias("shingles"))
+    return texts.groupBy("g").cogroup(arriving.unionByName(asked).groupBy("g")).applyInArrow(compared, _ENDS)
 
 
-def group_of(column: str, groups: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(column)), F.lit(groups))
+def group_of(columns: str | list[str], groups: int) -> Column:
+    return F.pmod(F.xxhash64(*([columns] if isinstance(columns, str) else columns)), F.lit(groups))
 
 
-def _prefix_pairs(texts: DataFrame, labels: DataFrame, groups: int, percent: int) -> DataFrame:
-    """Pairs of ``labels`` (``d, component``) in different components that can be similar enough, by their rarest shingles.
-    Each distinct set of an id counts once, as a version ``v`` of its own."""
+def _prefix_pairs(texts: DataFrame, labels: DataFrame, groups: int, percent: float) -> DataFrame:
+    """Pairs of ``labels`` (``d, component``, and ``v`` where texts have versions) in different components that can be similar
+    enough, by their rarest shingles: ``a, av, b, bv``. Each distinct set of an id counts once, as a version of its own."""
+    key = ["d", "v"] if "v" in labels.columns else ["d"]
 
     def sent(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return as_table(batch(d=pa.array([], pa.int64()), v=pa.array([], pa.int32()),
-                                  component=pa.array([], pa.int64()), size=pa.array([], pa.int32()),
-                                  shingle=pa.array([], pa.int64())))
-        owner, row = rows_at(right, ids_of(left))
+            none = pa.array([], pa.int64())
+            return as_table(batch(d=none, v=none, component=none, size=pa.array([], pa.int32()), shingle=none))
+        owner, row = rows_at(right, ids_of(left), versions_of(left) if "v" in key else None)
         made = sets(text_of(left).take(pa.array(owner)))
         d = right.column("d").to_numpy()
         first = {}
@@ -191,75 +255,88 @@ def _prefix_pairs(texts: DataFrame, labels: DataFrame, groups: int, percent: int
             first.setdefault((int(d[row[k]]), one.tobytes()), k)
         kept = np.array(list(first.values()), np.int64)
         made, row = [made[k] for k in kept.tolist()], row[kept]
+        version = right.column("v").to_numpy()[row] if "v" in key else np.arange(len(made), dtype=np.int64)
         count = np.array([len(one) for one in made])
         values = np.concatenate(made) if len(made) else np.zeros(0, np.uint64)
-        return as_table(batch(d=np.repeat(d[row], count), v=np.repeat(np.arange(len(made), dtype=np.int32), count),
+        return as_table(batch(d=np.repeat(d[row], count), v=np.repeat(version, count),
                               component=np.repeat(right.column("component").to_numpy()[row], count),
                               size=np.repeat(count, count).astype(np.int32), shingle=signed(values)))
 
-    tokens = texts.groupBy("g").cogroup(labels.withColumn("g", group_of("d", groups)).groupBy("g")).applyInArrow(
-        sent, "d long, v int, component long, size int, shingle long")
+    tokens = texts.groupBy("g").cogroup(labels.withColumn("g", group_of(key, groups)).groupBy("g")).applyInArrow(
+        sent, "d long, v long, component long, size int, shingle long")
     counts = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     # The place of a shingle in the order of its set, from the rarest on; only places that can matter go on.
     ordered = tokens.join(counts, "shingle").groupBy("d", "v", "component", "size").agg(
         F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("order"))
     reach = F.expr(f"size - cast(ceil({percent} * size / 100D) as int) + 1")
-    placed = ordered.select("d", "component", "size", F.posexplode(F.slice("order", F.lit(1), reach)).alias("place", "own"))
-    one = placed.select("d", "component", "size", "place", F.col("own.shingle").alias("shingle")).filter("own.n > 1")
+    held = ["d", "v", "component", "size", "place"]
+    placed = ordered.select(*held[:-1], F.posexplode(F.slice("order", F.lit(1), reach)).alias("place", "own"))
+    one = placed.select(*held, F.col("own.shingle").alias("shingle")).filter("own.n > 1")
     # For each shingle the component with most rows, its main one, does not meet itself: of a pair, x is outside it.
-    held = one.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
-    several = cut_lineage(held.groupBy("shingle").agg(
+    rows = one.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
+    several = cut_lineage(rows.groupBy("shingle").agg(
         F.max_by("component", F.struct("rows", "component")).alias("main"), F.count(F.lit(1)).alias("kinds"))
         .filter("kinds > 1").select("shingle", "main"))
     one = cut_lineage(one.join(several, "shingle"))
-    x = one.filter("component != main").select(
-        "shingle", "main", *[F.col(name).alias(f"x_{name}") for name in ("d", "component", "size", "place")])
-    y = one.select("shingle", *[F.col(name).alias(f"y_{name}") for name in ("d", "component", "size", "place")])
+    x = one.filter("component != main").select("shingle", "main", *[F.col(name).alias(f"x_{name}") for name in held])
+    y = one.select("shingle", *[F.col(name).alias(f"y_{name}") for name in held])
     overlap = f"cast(ceil({percent} * (x_size + y_size) / {100 + percent}D) as int)"
     met = x.join(y, "shingle").filter(
-        f"x_component != y_component and (y_component = main or x_d < y_d) "
+        f"x_component != y_component and (y_component = main or x_d < y_d or (x_d = y_d and x_v < y_v)) "
         f"and x_place <= x_size - {overlap} and y_place <= y_size - {overlap}")
-    return met.select(F.least("x_d", "y_d").alias("b"), F.greatest("x_d", "y_d").alias("a")).distinct()
-
-
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text",
+    one, two = (F.struct(F.col(f"{end}_d").alias("d"), F.col(f"{end}_v").alias("v")) for end in "xy")
+    ends = met.select(F.least(one, two).alias("low"), F.greatest(one, two).alias("high")).distinct()
+    return ends.select(F.col("high.d").alias("a"), F.col("high.v").alias("av"), F.col("low.d").alias("b"), F.col("low.v").alias("bv"))
+
+
+def _candidates(members: DataFrame, small: int) -> DataFrame:
+    """Pairs of members of one bucket: all of a small one's, those with the most central member of a larger one."""
+    few = members.filter(F.col("members") <= small).select("bucket", "d", "v")
+    named = lambda frame, end: frame.select("bucket", F.col("d").alias(f"{end}d"), F.col("v").alias(f"{end}v"))
+    met = named(few, "a").join(named(few, "b"), "bucket").filter("ad > bd").select(*ENDS)
+    # The most central member of a bucket: the one whose buckets hold most in all. Its set goes to the others' groups.
+    weight = members.groupBy("d", "v").agg(F.sum("members").alias("weight"))
+    central = (members.join(weight, ["d", "v"]).groupBy("bucket")
+               .agg(F.max_by(F.struct("d", "v"), F.struct("weight", -F.col("d"), "v")).alias("center")))
+    star = (members.filter(F.col("members") > small).join(central, "bucket").filter("d != center.d")
+            .select(F.col("center.d").alias("ad"), F.col("center.v").alias("av"), F.col("d").alias("bd"), F.col("v").alias("bv")))
+    return met.unionByName(star).distinct()
+
+
+def near_duplicates(docs: DataFrame, percent: float = PERCENT, id_column: str = "doc_id", text_column: str = "text",
                     groups: int | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row."""
-    texts = id_and_text(docs, id_column, text_column)
     groups = groups or group_count(docs)
     rows, count = banding(percent)
-    sketched = cut_lineage(mapped(texts, _sketches(rows * count), _SKETCH))
-    texts = texts.withColumn("g", group_of("d", groups))
+    texts = id_and_text(docs, id_column, text_column).withColumn("v", F.xxhash64("text"))
+    sketched = cut_lineage(mapped(texts.select("d", "v", "text"), _sketches(rows * count), _SKETCH))
+    texts = texts.withColumn("g", group_of(["d", "v"], groups))
     key = ["n", "low", "high"]
     # A class of copies may be large: reduced apart, so that the joins with its members can be split.
-    classes = one_per_key(sketched.filter("n > 0"), key, F.min("d").alias("rep"))
-    reps = sketched.join(classes.select(*key, F.col("rep").alias("d")), [*key, "d"], "left_semi")
+    classes = one_per_key(sketched.filter("n > 0"), key, F.min(F.struct("d", "v")).alias("rep"), F.any_value("registers").alias("registers"))
+    reps = cut_lineage(classes.select("rep.d", "rep.v", "n", "registers"))
     bands = [F.xxhash64(F.lit(k), F.substring("registers", 2 * rows * k + 1, 2 * rows)) for k in range(count)]
-    spread = reps.select("d", F.explode(F.array(*bands)).alias("bucket"))
-    full = spread.groupBy("bucket").agg(F.count_distinct("d").alias("members")).filter("members > 1")
+    spread = reps.select("d", "v", F.explode(F.array(*bands)).alias("bucket"))
+    full = one_per_key(spread, ["bucket"], F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = cut_lineage(spread.join(full, "bucket"))
-    # The most central member of a bucket: the one whose buckets hold most in all.
-    weight = members.groupBy("d").agg(F.sum("members").alias("weight"))
-    central = (members.join(weight, "d").groupBy("bucket")
-               .agg(F.max_by("d", F.struct("weight", -F.col("d"))).alias("center")))
-    small = members.filter(F.col("members") <= SMALL)
-    few = small.select("bucket", F.col("d").alias("b")).join(small.select("bucket", F.col("d").alias("a")), "bucket")
-    star = members.filter(F.col("members") > SMALL).join(central, "bucket").select(F.col("center").alias("b"),
-                                                                                  F.col("d").alias("a"))
-    pairs = (few.filter("b < a").select("a", "b")
-             .unionByName(star.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-             .distinct())
-    links = cut_lineage(confirmed(pairs, texts, groups, percent))
+    least = percent / 100
+    margin = least - DEVIATIONS * math.sqrt(least * (1 - least) / (rows * count))
+    pairs = cut_lineage(_estimated(_candidates(members, SMALL), reps))
+    links = cut_lineage(confirmed(pairs.filter(F.col("likely") >= margin).select(*ENDS), texts, groups, percent)
+                        .select(F.col("ad").alias("a"), F.col("bd").alias("b")))
     nodes = cut_lineage(components(links))
+    part = F.coalesce("component", "d").alias("component")
     labelled = (members.filter(F.col("members") > SMALL).join(nodes, F.col("d") == F.col("node"), "left")
-                .select("bucket", "d", F.coalesce("component", "d").alias("component")))
-    mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                .select("bucket", "d", "v", part))
+    mixed = (one_per_key(labelled, ["bucket"], F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low != high").select("bucket"))
-    rest = cut_lineage(labelled.join(mixed, "bucket", "left_semi").select("d", "component").distinct())
-    texts = _only(texts, rest.select("d").distinct())
-    more = cut_lineage(confirmed(_prefix_pairs(texts, rest, groups, percent), texts, groups, percent))
+    unlikely = _ends_of(pairs.filter(F.col("likely") < margin)).join(nodes, F.col("d") == F.col("node"), "left").select("d", "v", part)
+    rest = cut_lineage(labelled.join(mixed, "bucket", "left_semi").select("d", "v", "component").unionByName(unlikely).distinct())
+    some = _only(texts, rest.select("d", "v").distinct())
+    found = _prefix_pairs(some, rest, groups, percent).withColumnsRenamed({"a": "ad", "b": "bd"})
+    more = cut_lineage(confirmed(found, some, groups, percent).select(F.col("ad").alias("a"), F.col("bd").alias("b")))
     final = components(links.unionByName(more))
-    done = (sketched.select("d", *key).join(classes, key, "left")
+    done = (sketched.select("d", *key).join(classes.select(*key, F.col("rep.d").alias("rep")), key, "left")
             .join(final, F.col("rep") == F.col("node"), "left")
             .withColumn("c", F.coalesce("component", "rep", "d")))
     return done.select(real_id().alias("doc_id"), F.col("n").alias("n_shingles"), real_id("c").alias("component_id"),
