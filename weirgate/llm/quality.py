@@ -1,20 +1,26 @@
 """Quality rules with risk-controlled thresholds.
 
 Five rule scores, in thousandths, are computed for every document: symbols per word, exclamation marks per word, capital
-letters per character, repeated lines per line, and words in repeated 3-word windows. Labelled documents serve as a
-holdout (nothing is fitted on them): for every stratum and rule the cutoffs are tested from the strictest on, and a cutoff
-is admitted while the exact binomial bound says that it rejects at most the allowed part of the good documents. The walk
-stops at the first failure (fixed-sequence testing, so cutoffs need no correction); the error level is divided by the
-number of strata and rules, the allowed part by the number of rules (Bonferroni). With probability ``1 - delta`` no stratum loses
-more than ``alpha`` of its good documents to the rules together. Among the admitted cutoffs the one with the best balance of rejected
-bad documents against ``price`` times the rejected good ones is taken, the strictest of equals. Where the
-labels do not suffice for a bound, the rule rejects nothing in that stratum.
+letters per character, repeated lines per line, and words in repeated 3-word windows. How unusual a score is follows from all
+documents that pass the base rules, without their labels: its level is -100 log10 of the share of the stratum's documents that score at
+least as high. A document's joint level under the first k rules is its highest level among them, so each k gives a sequence of
+nested joint cutoffs that no label has a say in.
+
+Labelled documents that pass the base rules serve as a holdout (nothing is fitted on them): for every stratum and k the joint cutoffs are
+tested from the strictest on, and a cutoff is admitted while the exact binomial bound says that it rejects at most the part
+``alpha`` of the good documents, all rules together. The walk stops at the first failure (fixed-sequence testing, so cutoffs need no correction);
+the error level ``delta`` is divided by the number of strata and of sequences (Bonferroni). With probability ``1 - delta`` no stratum loses
+more than ``alpha`` of its good documents. Among the admitted cutoffs of all sequences the one with the best balance of rejected
+bad documents against ``price`` times the rejected good ones is taken, of equals that of the fewest rules, the strictest. Where the
+labels do not suffice for a bound, nothing is rejected in that stratum.
 
 Scale: one pass over texts for the scores, which are joined with the labels without their texts, and one for the verdict.
-Labels are reduced to counts by (stratum, rule, score), at most 1,001 a rule and stratum, before they meet in one task.
+Scores and labels are reduced to counts before anything meets: at most 1,001 a rule and stratum for the levels, and at most as many a sequence and
+stratum for the choice, which is made stratum by stratum.
 
 Null text is empty: no words, so the base rules reject it. Null strata form one stratum of their own. A document whose labels
-contradict each other, or are null, is no holdout. One row for each row given; extra columns are ignored.
+contradict each other, or are null, is no holdout; rows that share an id share its label. One row for each row given; extra columns
+are ignored, and kept as they are by ``kept_rows``, whatever their names. An empty table gives no rows, an empty one of labels certifies nothing.
 """
 
 from __future__ import annotations
@@ -24,14 +30,16 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from weirgate.llm.common import NO_ID, batch, documents, mapped, pieces, real_id
+from weirgate.llm.common import NO_ID, batch, documents, free_name, mapped, pieces, real_id
 from weirgate.llm.kernels import WHITE, flat, mix, range_hashes, rolling_hashes, windows, words
+from weirgate.operators.keys import one_per_key
+from weirgate.session import cut_lineage
 
 RULES = ("symbols", "exclamations", "capitals", "repeated_lines", "repeated_words")
 ALPHA, DELTA, PRICE = 0.02, 0.05, 10.0
-#: More strata than this are refused: their cutoffs are broadcast.
+#: Cutoffs of up to so many strata are broadcast (below 2 MB); those of more are joined by a shuffle.
 MAX_STRATA = 10_000
 NEVER = 1001
 
@@ -107,7 +115,7 @@ def measures(texts: pa.Array) -> dict[str, np.ndarray]:
 
 def scores(docs: DataFrame, stratum_column: str = "lang", id_column: str = "doc_id",
            text_column: str = "text") -> DataFrame:
-    """Measures and rule scores of every document."""
+    """Measures and rule scores of every document, whose stratum may be null."""
     given = docs.select(F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_ID)).alias("d"),
                         F.col(f"`{stratum_column}`").cast("string").alias("stratum"),
                         F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text"))
@@ -118,87 +126,134 @@ def scores(docs: DataFrame, stratum_column: str = "lang", id_column: str = "doc_
     return mapped(given, work, _SCORES)
 
 
-def log_tail(successes: int, count: int, part: float) -> float:
-    """Logarithm of the binomial probability of at most ``successes`` in ``count``."""
-    terms = [math.lgamma(count + 1) - math.lgamma(k + 1) - math.lgamma(count - k + 1) + k * math.log(part)
-             + (count - k) * math.log1p(-part) for k in range(successes + 1)]
-    top = max(terms)
-    return top + math.log(sum(math.exp(one - top) for one in terms))
-
-
 def most_rejected(count: int, part: float, level: float) -> int:
     """The largest number of rejected among ``count`` good documents for which the exact (Clopper-Pearson) upper bound at
     ``level`` is at most ``part``; -1 where even none rejected does not suffice."""
-    low, high = -1, int(count * part) + 1
-    while high - low > 1:
-        middle = (low + high) // 2
-        if log_tail(middle, count, part) <= math.log(level):
-            low = middle
-        else:
-            high = middle
-    return low
+    most = min(int(count * part) + 1, count)
+    k = np.arange(1, most + 1, dtype=float)
+    steps = np.log((count - k + 1) / k) + math.log(part) - math.log1p(-part)
+    terms = np.concatenate(([0.0], np.cumsum(steps))) + count * math.log1p(-part)
+    tails = np.logaddexp.accumulate(terms)
+    return int(np.searchsorted(tails, math.log(level), "right")) - 1
+
+
+def best_cutoff(good: np.ndarray, bad: np.ndarray, most: int, price: float) -> tuple[float, int]:
+    """Balance and score of the best cutoff that rejects at most so many good documents; ``good`` and ``bad`` are counts by score."""
+    false, true = good[::-1].cumsum()[::-1], bad[::-1].cumsum()[::-1]
+    best, cutoff = 0.0, NEVER
+    for score in range(NEVER - 1, 0, -1):
+        if false[score] > most:
+            break
+        if true[score] - price * false[score] > best:
+            best, cutoff = float(true[score] - price * false[score]), score
+    return best, cutoff
+
+
+def _by_score(own: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    good, bad = np.zeros(NEVER + 1, np.int64), np.zeros(NEVER + 1, np.int64)
+    np.add.at(good, own["score"].to_numpy(), own["good"].to_numpy())
+    np.add.at(bad, own["score"].to_numpy(), own["bad"].to_numpy())
+    return good, bad
 
 
 def cutoffs_of(counts: pd.DataFrame, alpha: float, delta: float, price: float) -> pd.DataFrame:
-    """Cutoffs of one rule from ``stratum, rule, score, good, bad``: a score from the cutoff on is rejected."""
+    """Cutoffs of one rule by itself, certified for a fifth of ``alpha``, from ``stratum, rule, score, good, bad``: a score
+    from the cutoff on is rejected."""
     counts = counts.assign(key=counts["stratum"].map(lambda s: (s is not None, s)))
-    strata = counts["key"].nunique()
-    if strata > MAX_STRATA:
-        raise ValueError(f"{strata} strata; at most {MAX_STRATA} are supported")
-    rows = []
+    strata, rows = counts["key"].nunique(), []
     for _, own in counts.groupby("key", sort=True):
-        good, bad = np.zeros(NEVER + 1, np.int64), np.zeros(NEVER + 1, np.int64)
-        np.add.at(good, own["score"].to_numpy(), own["good"].to_numpy())
-        np.add.at(bad, own["score"].to_numpy(), own["bad"].to_numpy())
-        false, true = good[::-1].cumsum()[::-1], bad[::-1].cumsum()[::-1]
+        good, bad = _by_score(own)
         most = most_rejected(int(good.sum()), alpha / len(RULES), delta / (len(RULES) * strata))
-        best, cutoff = 0.0, NEVER
-        for score in range(NEVER - 1, 0, -1):
-            if false[score] > most:
-                break
-            if true[score] - price * false[score] > best:
-                best, cutoff = true[score] - price * false[score], score
-        rows.append((own["stratum"].iloc[0], own["rule"].iloc[0], cutoff))
+        rows.append((own["stratum"].iloc[0], own["rule"].iloc[0], best_cutoff(good, bad, most, price)[1]))
     return pd.DataFrame(rows, columns=["stratum", "rule", "cutoff"])
 
 
+def joint_cutoff(counts: pd.DataFrame, alpha: float, level: float, price: float) -> tuple[int, int]:
+    """How many rules take part and the joint level from which a document is rejected, from one stratum's ``rules, score, good, bad``
+    (the score is the joint level under the first ``rules`` rules; good documents at level 0 are counted, too)."""
+    best, chosen = 0.0, (0, NEVER)
+    for rules, own in counts.groupby("rules", sort=True):
+        good, bad = _by_score(own)
+        balance, cutoff = best_cutoff(good, bad, most_rejected(int(good.sum()), alpha, level), price)
+        if balance > best:
+            best, chosen = balance, (int(rules), cutoff)
+    return chosen
+
+
+def _strata(column: str = "stratum") -> Column:
+    """A stratum as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit(""))
+
+
+def _levels(passed: DataFrame) -> DataFrame:
+    """``key, rule, score, level`` for every score above zero."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(number).alias("rule"), F.col(rule).alias("score")) for number, rule in enumerate(RULES)]))
+    counts = passed.select("key", pairs.alias("pair")).groupBy("key", "pair.rule", "pair.score").agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("key", "rule")  # at most 1,001 rows
+    share = F.sum("n").over(own.orderBy(F.desc("score"))) / F.sum("n").over(own)
+    level = F.least(F.floor(-100 * F.log10(share)), F.lit(NEVER - 1)).cast("int")
+    return counts.withColumn("level", level).filter("score > 0").select("key", "rule", "score", "level")
+
+
 def cutoffs(scored: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
             price: float = PRICE) -> DataFrame:
-    """``stratum`` with one cutoff column a rule."""
-    known = (labels.filter("doc_id is not null").groupBy(F.col("doc_id").alias("d"))
-             .agg(F.min("quality").alias("quality"), F.max("quality").alias("high"), F.count("quality").alias("given"),
-                  F.count(F.lit(1)).alias("rows"))
-             .filter("quality = high and given = rows and quality in (0, 1)").select("d", "quality"))
-    pairs = F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("score")) for rule in RULES]))
-    counts = (scored.join(known, "d").select("stratum", "quality", pairs.alias("pair"))
-              .groupBy("stratum", "pair.rule", "pair.score")
-              .agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")))
+    """``key`` (see ``_strata``) with one cutoff column a rule, for strata where something is rejected."""
+    known = one_per_key(labels.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("d"), "quality"), ["d"],
+                        F.min("quality").alias("quality"), F.max("quality").alias("high"), F.count("quality").alias("given"),
+                        F.count(F.lit(1)).alias("rows")).filter(
+        "quality = high and given = rows and quality in (0, 1)").select("d", "quality")
+    passed = scored.filter(~_base_failed()).select("d", _strata().alias("key"), *RULES)
+    levels = cut_lineage(_levels(passed))
+    # Labelled documents by all their scores; then their levels, and the highest under the first rules.
+    kinds = passed.join(known, "d").groupBy("key", *RULES).agg(
+        F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(number).alias("rule"), F.col(rule).alias("score")) for number, rule in enumerate(RULES)]))
+    each = kinds.withColumn("pair", pairs).select("key", *RULES, "good", "bad", "pair.rule", "pair.score")
+    joined = each.join(levels, ["key", "rule", "score"], "left").withColumn("level", F.coalesce("level", F.lit(0)))
+    highest = [F.max(F.when(F.col("rule") < k, F.col("level"))).alias(f"level_{k}") for k in range(1, len(RULES) + 1)]
+    joint = joined.groupBy("key", *RULES, "good", "bad").agg(*highest)
+    sequences = F.explode(F.array(*[F.struct(F.lit(k).alias("rules"), F.col(f"level_{k}").alias("score"))
+                                    for k in range(1, len(RULES) + 1)]))
+    counts = cut_lineage(joint.select("key", "good", "bad", sequences.alias("one")).groupBy("key", "one.rules", "one.score").agg(
+        F.sum("good").alias("good"), F.sum("bad").alias("bad")))
+    level = delta / (len(RULES) * max(counts.select("key").distinct().count(), 1))
 
     def choose(table: pd.DataFrame) -> pd.DataFrame:
-        return cutoffs_of(table, alpha, delta, price)
+        rules, cutoff = joint_cutoff(table, alpha, level, price)
+        return pd.DataFrame({"key": table["key"].iloc[:1], "rules": [rules], "cutoff": [cutoff]})
 
-    chosen = counts.groupBy("rule").applyInPandas(choose, "stratum string, rule string, cutoff int")
-    return chosen.groupBy("stratum").agg(*[
-        F.coalesce(F.min(F.when(F.col("rule") == rule, F.col("cutoff"))), F.lit(NEVER)).alias(f"cut_{rule}")
-        for rule in RULES])
+    chosen = counts.groupBy("key").applyInPandas(choose, "key string, rules int, cutoff int").filter(F.col("cutoff") < NEVER)
+    rejected = levels.join(chosen, "key").filter("rule < rules and level >= cutoff")
+    return cut_lineage(rejected.groupBy("key").agg(*[
+        F.coalesce(F.min(F.when(F.col("rule") == number, F.col("score"))), F.lit(NEVER)).alias(f"cut_{rule}")
+        for number, rule in enumerate(RULES)]))
 
 
-def _base_failed(prefix: str = "") -> Column:
-    return F.expr(f"{prefix}n_words < 50 or 100 * {prefix}n_repeat_words > 50 * {prefix}n_words")
+def with_cutoffs(rows: DataFrame, limits: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the cutoffs of their stratum, null where nothing is rejected."""
+    if limits.count() <= MAX_STRATA:
+        return rows.join(F.broadcast(limits), key, "left")
+    return rows.join(one_per_key(limits, [key], *[F.min(name).alias(name) for name in limits.columns if name != key]), key, "left")
 
 
-def _rejected_by(prefix: str = "") -> Column:
-    return F.filter(F.array(*[F.when(F.col(prefix + rule) >= F.coalesce(F.col(f"cut_{rule}"), F.lit(NEVER)), F.lit(rule))
-                              for rule in RULES]), lambda name: name.isNotNull())
+def _base_failed(names: dict[str, str] | None = None) -> Column:
+    words, repeats = ((names or {}).get(name, name) for name in ("n_words", "n_repeat_words"))
+    return F.expr(f"`{words}` < 50 or 100 * `{repeats}` > 50 * `{words}`")
+
+
+def _rejected_by(names: dict[str, str] | None = None) -> Column:
+    held = names or {}
+    return F.filter(F.array(*[
+        F.when(F.col(held.get(rule, rule)) >= F.coalesce(F.col(held.get(f"cut_{rule}", f"cut_{rule}")), F.lit(NEVER)), F.lit(rule))
+        for rule in RULES]), lambda name: name.isNotNull())
 
 
 def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, price: float = PRICE,
            stratum_column: str = "lang", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Measures, scores, ``base_failed``, the rules that reject (``rejected_by``) and ``kept`` of every document."""
     scored = scores(docs, stratum_column, id_column, text_column)
-    limits = cutoffs(scored, labels, alpha, delta, price).withColumnRenamed("stratum", "own")
-    # At most MAX_STRATA rows.
-    with_limits = scored.join(F.broadcast(limits), F.expr("stratum <=> own"), "left")
+    limits = cutoffs(scored, labels, alpha, delta, price)
+    with_limits = with_cutoffs(scored.withColumn("key", _strata()), limits, "key")
     return (with_limits.withColumn("base_failed", _base_failed()).withColumn("rejected_by", _rejected_by())
             .withColumn("kept", F.expr("not base_failed and size(rejected_by) = 0"))
             .select(real_id().alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -208,24 +263,28 @@ def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: floa
 def kept_rows(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, price: float = PRICE,
               stratum_column: str = "lang", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, as they are."""
-    own = "_q_"
-    limits = cutoffs(scores(docs, stratum_column, id_column, text_column), labels, alpha, delta, price)
-    limits = limits.withColumnRenamed("stratum", f"{own}stratum")
     needed = ("n_words", "n_repeat_words", *RULES)
+    names, taken = {}, list(docs.columns)
+    for name in (*needed, "key", *[f"cut_{rule}" for rule in RULES]):
+        names[name] = free_name(taken, f"_q_{name}")
+        taken.append(names[name])
+    limits = cutoffs(scores(docs, stratum_column, id_column, text_column), labels, alpha, delta, price)
+    limits = limits.withColumnsRenamed({name: names[name] for name in limits.columns})
     kinds = dict(one.split() for one in _SCORES.split(", "))
     place = docs.columns.index(text_column)
 
     def run(batches):
-        for rows in pieces(batches, text_column):
+        for rows in pieces(batches, place):
             made = measures(rows.column(place))
             yield pa.RecordBatch.from_arrays([*rows.columns, *[pa.array(made[name]) for name in needed]],
-                                             names=[*rows.schema.names, *[own + name for name in needed]])
+                                             names=[*rows.schema.names, *[names[name] for name in needed]])
 
     schema = T.StructType([*docs.schema.fields, *[
-        T.StructField(own + name, T.LongType() if kinds[name] == "long" else T.IntegerType()) for name in needed]])
+        T.StructField(names[name], T.LongType() if kinds[name] == "long" else T.IntegerType()) for name in needed]])
     scored = docs.mapInArrow(run, schema)
-    joined = scored.join(F.broadcast(limits), F.col(f"`{stratum_column}`").eqNullSafe(F.col(f"{own}stratum")), "left")
-    kept = joined.filter(~_base_failed(own) & (F.size(_rejected_by(own)) == 0))
+    own = F.coalesce(F.concat(F.lit("="), F.col(f"`{stratum_column}`").cast("string")), F.lit(""))
+    joined = with_cutoffs(scored.withColumn(names["key"], own), limits, names["key"])
+    kept = joined.filter(~_base_failed(names) & (F.size(_rejected_by(names)) == 0))
     return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
