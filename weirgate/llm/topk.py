@@ -3,7 +3,8 @@
 Vectors are turned into integers, ``floor(256 * x)``, and laid out by dimension. A task adds up the scores of its
 candidates block of dimensions by block; after each block, what the remaining dimensions can still add is bounded by the
 norms that remain (Cauchy-Schwarz), and only pairs that can still enter a query's best ``k`` are kept on, in compacted
-arrays. The threshold of a query is the k-th best score that the task has seen.
+arrays once they are few. The threshold of a query is the k-th best score that the task has seen; a task's first ``SEEDS`` candidates are
+scored in full, so that all others are held against one. One row for each query and rank; extra columns are ignored; an empty table gives no rows.
 
 Queries go in waves of bounded size, each broadcast (at most ``WAVE`` vectors) against one scan of the candidates; only a
 task's ``k`` best of each query are shuffled. The waves are written to the shared folder one by one when there are several, so the
@@ -29,6 +30,8 @@ EVERY = 50
 WAVE = 4096
 #: Dimensions in a block, candidates in a chunk, queries handled together.
 BLOCK, CHUNK, TOGETHER = 16, 4096, 128
+#: Candidates that give the first thresholds; the share of pairs from which on compacted arrays are cheaper than products.
+SEEDS, FEW = 128, 0.2
 LARGEST = float(1 << 62)
 
 
@@ -69,8 +72,13 @@ class Search:
         self.scores = np.full((len(ids), k), np.iinfo(np.int64).min)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
         self.filled = np.zeros((len(ids), k), bool)
+        #: Blocks worked on as whole products, of all blocks.
+        self.products = self.blocks = 0
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        if not self.filled.all() and len(ids) > SEEDS:
+            self.add(ids[:SEEDS], vectors[:SEEDS])
+            ids, vectors = ids[SEEDS:], vectors[SEEDS:]
         dims = max(vectors.shape[1], self.queries.shape[1])
         vectors, queries = (np.pad(one, ((0, 0), (0, dims - one.shape[1]))) for one in (vectors, self.queries))
         blocks = [(a, min(a + BLOCK, dims)) for a in range(0, dims, BLOCK)]
@@ -90,17 +98,23 @@ class Search:
         return np.where(self.filled[some].all(axis=1), self.scores[some].min(axis=1).astype(float), -np.inf)
 
     def _bounded(self, queries, columns, rest_q, rest_c, blocks, least, own):
-        a, b = blocks[0]
-        dense = queries[:, a:b] @ columns[a:b]
         slack = lambda bound: bound + np.abs(bound) * 1e-9 + 1.0
-        row, col = np.nonzero(slack(dense + rest_q[1][:, None] * rest_c[1][None, :]) >= least[:, None])
-        if 4 * len(row) > dense.size:  # too few fall away: the rest of the sum is cheaper as a product
-            for a, b in blocks[1:]:
-                dense += queries[:, a:b] @ columns[a:b]
+        dense, number = np.zeros((len(queries), columns.shape[1]), columns.dtype), 0
+        for number, (a, b) in enumerate(blocks, 1):
+            dense += queries[:, a:b] @ columns[a:b]
+            if number == len(blocks):
+                break
+            alive = slack(dense + rest_q[number][:, None] * rest_c[number][None, :]) >= least[:, None]
+            if np.count_nonzero(alive) <= FEW * alive.size:
+                break
+        self.products += number
+        self.blocks += len(blocks)
+        if number == len(blocks):
             row, col = np.nonzero(dense >= np.maximum(least, self._kth(dense, own))[:, None])
             return row, col, dense[row, col]
+        row, col = np.nonzero(alive)
         score = dense[row, col]
-        for number, (a, b) in enumerate(blocks[1:], 2):
+        for number, (a, b) in enumerate(blocks[number:], number + 1):
             for dim in range(a, b):
                 score += queries[row, dim] * columns[dim, col]
             alive = slack(score + rest_q[number][row] * rest_c[number][col]) >= least[row]
@@ -157,8 +171,8 @@ def _wave(candidates: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -
 def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, id_column: str = "vec_id",
           vector_column: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible by ``every``, the ``k`` best other rows."""
-    valid = valid_vectors(vectors, id_column, vector_column)
-    asked = valid.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    valid = cut_lineage(valid_vectors(vectors, id_column, vector_column))  # read once a wave
+    asked = cut_lineage(valid.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v")))
     waves = max(-(-asked.count() * 5 // (4 * WAVE)), 1)  # a quarter of room, as ids are dealt by hash
     parts = []
     for wave in range(waves):
