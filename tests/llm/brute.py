@@ -233,3 +233,58 @@ def filter_audit(rows, quality, toxic):
                                        sum(doc in toxic for doc in removed))))
         out += [(*row, removed_by[letter]) for letter, row in found]
     return sorted(out)
+
+
+def mixture(sizes, evenness, max_repeats):
+    """{source: tokens} to ({source: passes}, exponent), the exponent found in small steps."""
+    held = {name: size for name, size in sizes.items() if size}
+
+    def at(exponent):
+        raised = {name: size ** exponent for name, size in held.items()}
+        whole = sum(raised.values())
+        weights = {name: one / whole for name, one in raised.items()}
+        passes = {name: weights[name] / size for name, size in held.items()}
+        least = min(passes.values())
+        return -sum(one * math.log(one) for one in weights.values()), {name: one / least for name, one in passes.items()}
+
+    target = at(1.0)[0] + evenness * (at(0.0)[0] - at(1.0)[0])
+    steps = [k / 20_000 for k in range(20_001)]
+    fits = [x for x in steps if at(x)[0] >= target]
+    exponent = max(max(fits), min(x for x in steps if max(at(x)[1].values()) <= max_repeats))
+    return {**at(exponent)[1], **{name: 1.0 for name, size in sizes.items() if not size}}, exponent
+
+
+def verdicts(rows, labels, alpha=0.02, delta=0.05, price=10.0):
+    """(doc_id, stratum, scores of the rules, base_failed) rows and {doc_id: quality} to the kept flag of each row."""
+    passed = [row for row in rows if not row[3]]
+    count, levels = len(rows[0][2]) if rows else 0, {}
+    for stratum in {row[1] for row in passed}:
+        own = [row[2] for row in passed if row[1] == stratum]
+        for rule in range(count):
+            for score in {one[rule] for one in own if one[rule] > 0}:
+                share = sum(one[rule] >= score for one in own) / len(own)
+                levels[stratum, rule, score] = min(math.floor(-100 * math.log10(share)), 1000)
+    held = [row for row in passed if row[0] in labels]
+    strata, cut = {row[1] for row in held}, {}
+
+    def joint(row, rules):
+        return max((levels.get((row[1], rule, row[2][rule]), 0) for rule in range(rules)), default=0)
+
+    for stratum in strata:
+        own = [row for row in held if row[1] == stratum]
+        good = [row for row in own if labels[row[0]] == 1]
+        bound, best = delta / (count * len(strata)), 0.0
+        tail, most = 0.0, -1
+        while most < len(good) and tail <= bound:
+            most += 1
+            tail = math.fsum(math.comb(len(good), j) * alpha ** j * (1 - alpha) ** (len(good) - j) for j in range(most + 1))
+        most -= 1
+        for rules in range(1, count + 1):
+            for level in range(1000, 0, -1):
+                false = sum(joint(row, rules) >= level for row in good)
+                if false > most:
+                    break
+                true = sum(joint(row, rules) >= level for row in own) - false
+                if true - price * false > best:
+                    best, cut[stratum] = true - price * false, (rules, level)
+    return [not row[3] and not (row[1] in cut and joint(row, cut[row[1]][0]) >= cut[row[1]][1]) for row in rows]

@@ -335,3 +335,121 @@ def test_prefix_pairs_of_rows_given_twice(spark):
     texts = docs.selectExpr("doc_id as d", "text").withColumn("g", near_dedup.group_of("d", 2))
     found = {(row.a, row.b) for row in near_dedup._prefix_pairs(texts, labels, 2, 85).collect()}
     assert {(2, 1), (3, 1)} <= found
+
+
+# Hot groups, likelihood, plans ---------------------------------------------------------------------------------------------
+
+
+def test_rows_without_an_id_are_dealt_over_groups(spark):
+    """Twenty thousand texts without an id, and a hundred near copies among documents with one."""
+    docs = spark.range(20_000).selectExpr(
+        "cast(null as long) as doc_id", "concat_ws(' ', transform(sequence(1, 30), k -> concat('w', id, 'x', k))) as text")
+    base = [f"b{k}" for k in range(120)]
+    rows = [(k, " ".join(base[:k % 5] + [f"n{k}"] + base[k % 5 + 1:])) for k in range(100)]
+    both = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = both.selectExpr("coalesce(doc_id, -9223372036854775808L) as d", "xxhash64(text) as v").withColumn(
+        "g", near_dedup.group_of(["d", "v"], 50))
+    assert texts.groupBy("g").count().agg({"count": "max"}).first()[0] < 800
+    got = near_dedup.near_duplicates(both, groups=50).filter("doc_id is not null").collect()
+    assert {row.doc_id: (row.n_shingles, row.component_id, row.kept) for row in got} == brute.components(rows)
+
+
+def test_a_star_of_many_members(spark):
+    """Five thousand copies of one text, each with a word of its own: one component, sets sent once a group."""
+    base = [f"b{k}" for k in range(150)]
+    docs = spark.range(5000).selectExpr("id as doc_id", f"concat('{' '.join(base)} own', id) as text").repartition(6)
+    got = near_dedup.near_duplicates(docs, groups=13).collect()
+    assert len(got) == 5000 and {row.component_id for row in got} == {0} and sum(row.kept for row in got) == 1
+
+
+def test_unlikely_pairs_are_joined_exactly(spark, monkeypatch):
+    """Where every estimate counts as unlikely, the prefixes find the same components."""
+    source = random.Random(21)
+    base = [f"b{k}" for k in range(100)]
+    rows = []
+    for k in range(40):
+        words = list(base)
+        for _ in range(source.randrange(0, 6)):
+            words[source.randrange(100)] = f"e{source.randrange(10 ** 9)}"
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute.components(rows)
+    assert _groups(near_dedup.near_duplicates(docs, groups=3)) == want
+    monkeypatch.setattr(near_dedup, "DEVIATIONS", -100.0)
+    monkeypatch.setattr(near_dedup, "FEW_IDS", 0)
+    assert _groups(near_dedup.near_duplicates(docs, groups=3)) == want
+
+
+def test_stage_at_another_similarity(spark):
+    rows = []
+    for number in range(20):
+        base = [f"p{number}w{k}" for k in range(150)]
+        rows += [(2 * number, " ".join(base)), (2 * number + 1, " ".join(_at(0.76 + 0.005 * number, base)))]
+    docs = spark.createDataFrame([(*row, "x", 3) for row in rows], "doc_id long, text string, _row string, _first int")
+    for percent in (80, 85):
+        left = corpus_pipeline.near_dedup_stage(spark, docs, "", percent)
+        assert left.columns == docs.columns
+        assert sorted(row.doc_id for row in left.collect()) == sorted(
+            doc for doc, one in brute.components(rows, percent).items() if one[2])
+
+
+def test_mixing_plan_equals_a_plain_one(spark):
+    """Passes and rests of every source as by a search of the exponent in small steps."""
+    sizes = {"a": 50_000, "b": 9_000, "c": 9_000, "d": 400, "e": 0}
+    for evenness, most in ((0.5, 1.5), (0.5, 40.0), (0.9, 40.0), (0.1, 3.0)):
+        plan = mixing.plan_of(pd.DataFrame({"s": list(sizes), "tokens": list(sizes.values())}), None, most, None, evenness)
+        want, exponent = brute.mixture(sizes, evenness, most)
+        assert 0 < exponent < 1
+        for row in plan.itertuples():
+            assert abs(row.passes + row.rest / max(row.tokens, 1) - want[row.s]) < 5e-3
+    rows = [(k, " ".join(["w"] * 10), "big" if k < 900 else "mid" if k < 980 else "low") for k in range(1000)]
+    docs = spark.createDataFrame([(*row, "x", 1) for row in rows], "doc_id long, text string, source string, _s string, _cut int")
+    got = mixing.mixed(docs, evenness=0.5, max_repeats=20.0).toPandas()
+    want, _ = brute.mixture({"big": 9000, "mid": 800, "low": 200}, 0.5, 20.0)
+    for name, own in got.groupby("source"):
+        assert abs((own["n_tokens"] * own["copies"]).sum() / own["n_tokens"].sum() - want[name]) < 0.06
+    assert {"_s", "_cut"} <= set(got.columns)
+
+
+def test_rows_without_an_id_are_cut_one_by_one(spark):
+    rows = [(None, f"text {k} " + "w " * 8, "small") for k in range(300)] + [(k, "w " * 10, "large") for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.mixed(docs, max_repeats=1.5).toPandas()
+    small = got[got["source"] == "small"]
+    assert abs((small["n_tokens"] * small["copies"]).sum() / small["n_tokens"].sum() - 1.5) < 0.02
+
+
+def test_plans_of_many_sources_are_joined(spark, monkeypatch):
+    rows = [(k, "w " * (k % 7 + 1), f"s{k % 23}") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = sorted(map(tuple, mixing.mixed(docs, evenness=0.5).collect()))
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 5)
+    assert sorted(map(tuple, mixing.mixed(docs, evenness=0.5).collect())) == want
+
+
+def test_top_k_prunes_from_the_first_chunk():
+    """Many vectors of slowly falling norms in one chunk: most blocks are worked on for few pairs only."""
+    source = np.random.default_rng(3)
+    centers = source.integers(-200, 200, (30, 64))
+    vectors = centers[source.integers(0, 30, 40_000)] + source.integers(-10, 10, (40_000, 64))
+    search = topk.Search(np.arange(-50, 0), vectors[:50], 5)
+    for first in range(0, 40_000, topk.CHUNK):
+        search.add(np.arange(first, min(first + topk.CHUNK, 40_000)), vectors[first:first + topk.CHUNK])
+    product = vectors[:50] @ vectors.T
+    for k in range(50):
+        best = np.lexsort((np.arange(40_000), -product[k]))[:5]
+        assert search.found[k].tolist() == best.tolist()
+    assert search.products < 0.6 * search.blocks
+
+
+def test_plain_vectors_are_pruned_within_a_chunk():
+    """Independent vectors, as in the given tables: pairs fall away before the last blocks."""
+    source = np.random.default_rng(4)
+    vectors = np.floor(256 * source.standard_normal((8192, 64))).astype(np.int64)
+    search = topk.Search(np.arange(-64, 0), np.floor(256 * source.standard_normal((64, 64))).astype(np.int64), 5)
+    for first in (0, 4096):
+        search.add(np.arange(first, first + 4096), vectors[first:first + 4096])
+    product = search.queries @ vectors.T
+    for k in range(64):
+        assert search.scores[k].tolist() == np.sort(product[k])[::-1][:5].tolist()
+    assert search.products < search.blocks

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import brute
@@ -202,3 +203,131 @@ def test_empty_tables(spark, no_docs):
     assert pii.redact_column(no_docs).collect() == []
     assert count_tokens(no_docs, tokenizer_file()).collect() == []
     assert binary_output.packed_ids(no_docs, tokenizer_file()).collect() == []
+
+
+# Joint certification, names, collisions --------------------------------------------------------------------------------------
+
+
+def thue_morse(length, one="a", two="b"):
+    return "".join(one if k.bit_count() % 2 == 0 else two for k in range(length))
+
+
+@pytest.mark.parametrize("length", [1024, 2048, 4096])
+def test_words_that_polynomials_modulo_a_power_of_two_confuse(spark, library, length):
+    """Two Thue-Morse words agree under every odd base modulo 2**64; the operators tell them apart."""
+    from weirgate.llm.near_dedup import near_duplicates, sets
+    from weirgate.llm.substring_dedup import remove_repeated_passages
+
+    one, two = thue_morse(length), thue_morse(length, "b", "a")
+    tail = [f"w{k}" for k in range(19)]
+    docs = spark.createDataFrame([(1, " ".join([one, *tail])), (2, " ".join([two, *tail]))], "doc_id long, text string")
+    assert [row.n_removed for row in remove_repeated_passages(docs).collect()] == [0, 0]
+    lines = quality.measures(pa.array([f"{one}\n{two}\n", f"{one} x y {two} x y"]))
+    assert lines["n_dup_lines"].tolist() == [0, 0] and lines["n_repeat_words"].tolist() == [0, 0]
+    assert quality.measures(pa.array([f"{one}\n{one}\n"]))["n_dup_lines"].tolist() == [1]
+    left, right = sets(pa.array([one, two]))
+    assert left.tolist() != right.tolist()
+    alone = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    assert sorted((row.doc_id, row.component_id) for row in near_duplicates(alone).collect()) == [(1, 1), (2, 2), (3, 1)]
+    encoder = Encoder(tokenizer_file())
+    for text in (one, two, thue_morse(length, "1", "2"), thue_morse(length, "2", "1")):
+        assert encoder.encode(pa.array([text]))[0].tolist() == _ids(library, text)
+    numbers = spark.createDataFrame([(1, thue_morse(length, "1", "2")), (2, thue_morse(length, "2", "1"))], "doc_id long, text string")
+    got = {row.doc_id: row.n_tokens for row in count_tokens(numbers, tokenizer_file()).collect()}
+    assert got == {doc: len(_ids(library, text)) for doc, text in ((1, thue_morse(length, "1", "2")), (2, thue_morse(length, "2", "1")))}
+
+
+def test_long_ranges_hash_alike_wherever_they_stand():
+    from weirgate.llm.kernels import range_hashes, rolling_hashes
+
+    source = np.random.default_rng(3)
+    part = source.integers(0, 256, 3000).astype(np.uint8)
+    data = np.concatenate((source.integers(0, 256, 777).astype(np.uint8), part, part, part[:50]))
+    starts = np.array([777, 777, 1000, 3777, 3777])
+    ends = np.array([3777, 3700, 1000 + 2000, 6777, 3777 + 2923])
+    hashes = range_hashes(data, starts, ends)
+    assert hashes[0] == hashes[3] and hashes[1] == hashes[4] and len(set(hashes.tolist())) == 3
+    long = rolling_hashes(data, 1500)
+    assert long[777] == long[3777] and len(np.unique(long[777:2277])) == 1500
+
+
+def _random_labels(seed, count):
+    source = np.random.default_rng(seed)
+    rows = []
+    for k in range(count):
+        bad = source.random() < 0.15
+        stratum = ["en", "de", None][int(source.integers(0, 3))]
+        scores = tuple(int(source.integers(0, 900)) if source.random() < (0.5 if bad else 0.02) else 0 for _ in quality.RULES)
+        rows.append((k, stratum, scores, bool(source.random() < 0.1), int(not bad)))
+    return rows
+
+
+def test_verdicts_equal_brute_force(spark):
+    rows = _random_labels(7, 3000)
+    scored = spark.createDataFrame([(doc, stratum, 10 if failed else 60, 0, *scores) for doc, stratum, scores, failed, _ in rows],
+                                   "d long, stratum string, n_words long, n_repeat_words long, " + ", ".join(f"{rule} int" for rule in quality.RULES))
+    known = {doc: good for doc, *_, good in rows if doc % 2}
+    labels = _labels(spark, [(doc, good, 0) for doc, good in known.items()])
+    for alpha, price in ((0.02, 10.0), (0.1, 1.0)):
+        limits = quality.cutoffs(scored, labels, alpha=alpha, price=price)
+        with_limits = quality.with_cutoffs(scored.withColumn("key", quality._strata()), limits, "key")
+        got = {row.d: row.kept for row in with_limits.select(
+            "d", (~quality._base_failed() & (F.size(quality._rejected_by()) == 0)).alias("kept")).collect()}
+        want = brute.verdicts([row[:4] for row in rows], known, alpha=alpha, price=price)
+        assert [got[row[0]] for row in rows] == want
+        assert sum(want) < sum(not row[3] for row in rows) - 20  # something is rejected
+
+
+def test_joint_bound_holds_on_new_documents():
+    """Over many draws, the part of all good documents that the chosen joint cutoff rejects stays within the allowed part."""
+    source, broken = np.random.default_rng(5), 0
+    true = 0.7 ** (np.arange(1001) / 100)  # share of good documents at a joint level or above
+    for _ in range(200):
+        frames = []
+        for rules in range(1, 6):
+            good = np.minimum(source.exponential(100 / -math.log(0.7), 400).astype(int), 1000)
+            bad = source.integers(200, 1001, 60)
+            frames.append(pd.DataFrame({"rules": rules, "score": np.r_[good, bad], "good": np.r_[np.ones(400, int), np.zeros(60, int)],
+                                        "bad": np.r_[np.zeros(400, int), np.ones(60, int)]}))
+        rules, cutoff = quality.joint_cutoff(pd.concat(frames), 0.05, 0.05 / 5, 0.0)
+        broken += rules > 0 and true[cutoff] > 0.05
+    assert broken <= 10
+
+
+def test_strata_beyond_the_broadcast(spark, monkeypatch):
+    rows = _random_labels(9, 1500)
+    scored = spark.createDataFrame([(doc, stratum, 60, 0, *scores) for doc, stratum, scores, _, _ in rows],
+                                   "d long, stratum string, n_words long, n_repeat_words long, " + ", ".join(f"{rule} int" for rule in quality.RULES))
+    limits = quality.cutoffs(scored, _labels(spark, [(doc, good, 0) for doc, *_, good in rows]), alpha=0.1, price=1.0)
+    keyed = scored.withColumn("key", quality._strata())
+    want = sorted(map(tuple, quality.with_cutoffs(keyed, limits, "key").collect()), key=repr)
+    monkeypatch.setattr(quality, "MAX_STRATA", 0)
+    assert sorted(map(tuple, quality.with_cutoffs(keyed, limits, "key").collect()), key=repr) == want
+
+
+def test_kept_rows_with_clashing_names(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, text, "en", 7, "k", 3), (2, "short", "en", 8, "m", 4)],
+                                 "doc_id long, text string, lang string, _q_n_words int, _q_key string, `_Q_symbols` int")
+    kept = quality.kept_rows(docs, _labels(spark, [(1, 1, 0)]))
+    assert kept.columns == docs.columns and [tuple(row) for row in kept.collect()] == [(1, text, "en", 7, "k", 3)]
+
+
+def test_redaction_works_on_slices(spark, monkeypatch):
+    """Batches are looked at in slices of bounded size."""
+    from weirgate.llm import common
+
+    seen = []
+    real = common.pieces
+    monkeypatch.setattr(pii, "pieces", lambda batches, column: (seen.append(one.num_rows) or one for one in real(batches, column, 2000)))
+    texts = [f"mail a{k}@b.cd " + "x" * 500 for k in range(20)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts)], names=["doc_id", "text"])
+
+    class Docs:
+        columns, schema = ["doc_id", "text"], None
+
+        def mapInArrow(self, run, schema):
+            return list(run(iter([rows])))
+
+    out = pii.redact_column(Docs())
+    assert max(seen) <= 4 and [t for one in out for t in one.column(1).to_pylist()] == [t.replace(f"a{k}@b.cd", "[email]") for k, t in enumerate(texts)]
