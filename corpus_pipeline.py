@@ -13,8 +13,9 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirgate.llm.mixing import mixed, realised
-from weirgate.llm.near_dedup import near_duplicates
+from weirgate.llm.common import free_name
+from weirgate.llm.mixing import EVENNESS, mixed, realised
+from weirgate.llm.near_dedup import PERCENT, near_duplicates
 from weirgate.llm.packing import pack_documents
 from weirgate.llm.pii import redact_column
 from weirgate.llm.quality import kept_rows
@@ -31,16 +32,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return kept_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates: the one with the smallest id. Every row is a document of its own here,
-    whatever its id: the number it is known by is written once, so that all reads of it agree."""
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: float = PERCENT) -> DataFrame:
+    """One row of each group of near duplicates (similar by ``percent`` or more): the one with the smallest id. Every row is a
+    document of its own here, whatever its id: the number it is known by is written once, so that all reads of it agree."""
+    row, first = free_name(docs.columns, "_row"), free_name(docs.columns, "_first")
     folder = f"{shared_folder(spark)}/near-duplicates-{uuid4().hex}"
-    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(folder)
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(folder)
     rows = spark.read.parquet(folder)
-    groups = near_duplicates(rows, id_column="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    kept = (groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
-            .agg(F.min(F.struct("doc_id", "_row")).alias("_first")).select("_first._row"))
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    groups = near_duplicates(rows, percent, id_column=row).select(F.col("doc_id").alias(row), "component_id")
+    kept = (groups.join(rows.select(row, "doc_id"), row).groupBy("component_id")
+            .agg(F.min(F.struct("doc_id", row)).alias(first)).select(f"{first}.{row}"))
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +52,9 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture of their sources holds them, at least once."""
-    names = {"tokens_as": "_mix_tokens", "copies_as": "_mix_copies"}
-    return realised(mixed(docs, **names), **names)
+    tokens = free_name(docs.columns, "_tokens")
+    names = {"tokens_as": tokens, "copies_as": free_name([*docs.columns, tokens], "_copies")}
+    return realised(mixed(docs, evenness=EVENNESS, **names), **names)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
