@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weirgate.llm.common import batch, id_and_text
 from weirgate.llm.kernels import SECOND, anchored_runs, flat, range_hashes, signed
+from weirgate.session import cut_lineage
 
 #: Documents in a group, on average.
 GROUP_ROWS = 384
@@ -101,14 +102,18 @@ def distinct_runs(d: np.ndarray, v: np.ndarray, first: np.ndarray, anchor: np.nd
     return order[heads], counts, later, several
 
 
-def repeated_runs(texts: DataFrame, windows: Windows) -> DataFrame:
+#: Groups for each bucket of anchors: a bucket then holds some millions of anchors, in one task.
+BUCKET_GROUPS = 32
+
+
+def repeated_runs(texts: DataFrame, windows: Windows, groups: int) -> DataFrame:
     """Distinct runs of each group whose anchor occurs more than once: ``g, d, v, start, edges, anchor, path, n``.
 
     ``d, start, v`` is the earliest place in the group, ``n`` the number of places in the group, ``edges`` the number of
-    windows in the run.
+    windows in the run. The rows are written once: what follows reads them several times.
     """
     spark = texts.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-groups // BUCKET_GROUPS))
 
     def offered(table: pa.Table) -> pa.Table:
         runs = windows.runs(text_of(table))
@@ -160,7 +165,7 @@ def repeated_runs(texts: DataFrame, windows: Windows) -> DataFrame:
 
     offers = texts.groupBy("g").applyInArrow(offered, "bucket int, g long, anchors binary")
     answers = offers.groupBy("bucket").applyInArrow(answered, "g long, anchors binary")
-    return texts.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(found, _RUNS)
+    return cut_lineage(texts.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(found, _RUNS))
 
 
 def _no_runs() -> pa.RecordBatch:

@@ -8,7 +8,8 @@ paths are these resolved into single edges, from the source occurrence of each p
 edges find the source coordinates, (document, start, version), and these decide: an occurrence that is not the source goes.
 
 Scale: see ``passages``; the joins see rows of repeated paths only, one per group of documents, with map-side aggregates
-before them, so hot passages stay small. Paths and edges are told apart by two independent 64-bit hashes.
+before them, so hot passages stay small. Paths and edges are told apart by two 64-bit hashes of
+different bases; words of any length are hashed block by block (see ``kernels.range_hashes``).
 
 Null text has no words. A null id counts as the smallest id. Rows that share an id but not the text are documents of
 their own: a window goes where an equal one has a smaller (id, start, version), see ``passages``. One row for each row given; extra columns are ignored; an empty table
@@ -120,8 +121,9 @@ def remove_repeated_passages(docs: DataFrame, width: int = WIDTH, gram: int = GR
     (null unless ``with_text``). Windows are judged on the input, not on what is left.
     """
     windows = Windows(word_symbols, width, gram)
-    texts = grouped(docs, id_column, text_column, groups or group_count(docs))
-    paths = repeated_runs(texts, windows).drop("n")
+    groups = groups or group_count(docs)
+    texts = grouped(docs, id_column, text_column, groups)
+    paths = repeated_runs(texts, windows, groups).drop("n")
     place = F.struct("d", "start", "v")
     sources = paths.groupBy("anchor", "path").agg(F.min(place).alias("source"))
     branching = sources.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1").select("anchor")

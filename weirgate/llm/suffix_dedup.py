@@ -223,7 +223,7 @@ def remove_repeated_bytes(docs: DataFrame, width: int = WIDTH, gram: int = GRAM,
     windows = Windows(flat, width, gram)
     groups = groups or group_count(docs)
     texts = grouped(docs, id_column, text_column, groups)
-    runs = repeated_runs(texts, windows)
+    runs = repeated_runs(texts, windows, groups)
     paths = runs.groupBy("anchor", "path").agg(F.sum("n").alias("places"), F.min(F.struct("d", "start", "v")).alias("source"))
     kinds = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1")
     twice = runs.join(paths.filter("places > 1").select("anchor", "path"), ["anchor", "path"]).select(
