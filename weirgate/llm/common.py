@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import inspect
 import itertools
 from collections.abc import Callable, Iterator
 
@@ -12,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: Stands for a null id inside the operators: the smallest long, given back as null.
 NO_ID = -(1 << 63)
 #: Bytes of text that a task works on at a time.
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +47,29 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str | int = "text", limit:
             stop = max(int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1, first + 1)
             yield batch.slice(first, stop - first)
             first = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker stays for other tasks, and what it once needed would stay with it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what it has
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def by_groups(work: Callable, every: int = 64) -> Callable:
+    """A function of groups (of one side or two) that hands memory back from time to time."""
+    calls = [0]
+
+    def done(made: pa.Table) -> pa.Table:
+        calls[0] += 1
+        if calls[0] % every == 0:
+            give_back()
+        return made
+
+    if len(inspect.signature(work).parameters) == 1:
+        return lambda table: done(work(table))
+    return lambda left, right: done(work(left, right))
 
 
 def mapped(frame: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,

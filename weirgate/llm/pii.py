@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weirgate.llm.common import batch, documents, id_and_text, mapped, real_id
+from weirgate.llm.common import batch, documents, id_and_text, mapped, pieces, real_id
 from weirgate.llm.kernels import flat
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -176,10 +176,10 @@ def find_personal_data(docs: DataFrame, with_text: bool = True, id_column: str =
 
 def redact_column(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with personal data in the texts replaced; all columns stay, null texts stay null."""
+    index = docs.columns.index(text_column)
 
     def run(batches):
-        for rows in batches:
-            index = rows.schema.get_field_index(text_column)
+        for rows in pieces(batches, index):
             column = rows.column(index)
             look = _candidates(column)
             if look.any():

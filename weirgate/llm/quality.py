@@ -14,7 +14,8 @@ more than ``alpha`` of its good documents. Among the admitted cutoffs of all seq
 bad documents against ``price`` times the rejected good ones is taken, of equals that of the fewest rules, the strictest. Where the
 labels do not suffice for a bound, nothing is rejected in that stratum.
 
-Scale: one pass over texts for the scores, which are joined with the labels without their texts, and one for the verdict.
+Scale: one pass over texts for the scores, which are written without their texts and joined with the labels; ``kept_rows`` reads the
+texts once more for its verdict.
 Scores and labels are reduced to counts before anything meets: at most 1,001 a rule and stratum for the levels, and at most as many a sequence and
 stratum for the choice, which is made stratum by stratum.
 
@@ -251,7 +252,7 @@ def _rejected_by(names: dict[str, str] | None = None) -> Column:
 def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, price: float = PRICE,
            stratum_column: str = "lang", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Measures, scores, ``base_failed``, the rules that reject (``rejected_by``) and ``kept`` of every document."""
-    scored = scores(docs, stratum_column, id_column, text_column)
+    scored = cut_lineage(scores(docs, stratum_column, id_column, text_column))  # texts are read once
     limits = cutoffs(scored, labels, alpha, delta, price)
     with_limits = with_cutoffs(scored.withColumn("key", _strata()), limits, "key")
     return (with_limits.withColumn("base_failed", _base_failed()).withColumn("rejected_by", _rejected_by())
@@ -268,7 +269,7 @@ def kept_rows(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
     for name in (*needed, "key", *[f"cut_{rule}" for rule in RULES]):
         names[name] = free_name(taken, f"_q_{name}")
         taken.append(names[name])
-    limits = cutoffs(scores(docs, stratum_column, id_column, text_column), labels, alpha, delta, price)
+    limits = cutoffs(cut_lineage(scores(docs, stratum_column, id_column, text_column)), labels, alpha, delta, price)
     limits = limits.withColumnsRenamed({name: names[name] for name in limits.columns})
     kinds = dict(one.split() for one in _SCORES.split(", "))
     place = docs.columns.index(text_column)
