@@ -9,9 +9,10 @@ for: there a pair shares no bucket with a probability of at most ``MISSED``.
 
 Within a bucket not all pairs are looked at. Small buckets (up to ``SMALL``) give all their pairs, larger ones give pairs with
 their most central member, the one with the fullest buckets. For each pair the similarity is estimated by maximum likelihood from the
-numbers of larger, smaller and equal registers and both set sizes. Pairs whose estimate is not ``DEVIATIONS`` standard deviations below the
-threshold are compared on full sets: each set is sent once to every group of documents that it is compared in. What remains are
-members of large buckets that are not connected yet, and the ends of unlikely pairs. These are joined exactly by
+numbers of larger, smaller and equal registers and both set sizes, and says in which order pairs are compared on full sets: first those
+whose estimate is not ``DEVIATIONS`` standard deviations below the threshold, then, of the others, those that are not in one
+component by then. Each set is sent once to every group of documents that it is compared in. What remains are
+members of large buckets that are not connected yet. These are joined exactly by
 prefixes: with shingles ordered from the rarest, two sets can only be similar enough if they share a shingle so early in
 both orders that the required overlap is still within reach. Members whose rare shingles are their own meet nobody, so a group of thousands of copies
 costs few pairs. No pair is dropped for the size of its group or for its estimate.
@@ -30,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weirgate.llm.common import batch, documents, id_and_text, mapped, real_id
+from weirgate.llm.common import batch, by_groups, documents, id_and_text, mapped, real_id
 from weirgate.llm.components import components
 from weirgate.llm.kernels import flat, lower_ascii, mix, range_hashes, rolling_hashes, signed, words
 from weirgate.llm.passages import as_table, group_count, ids_of, rows_at, text_of, versions_of
@@ -229,9 +230,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, groups: int, percent: float =
         return asked.filter(pa.array(good)).select(ENDS)
 
     wanted = pairs.select(group_of(["ad", "av"], groups).alias("g"), "ad", "av", to.alias("to")).distinct()
-    arriving = texts.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(sent, _SENT)
+    arriving = texts.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(by_groups(sent), _SENT)
     asked = pairs.select(to, *ENDS, F.lit(None).cast("binary").alias("shingles"))
-    return texts.groupBy("g").cogroup(arriving.unionByName(asked).groupBy("g")).applyInArrow(compared, _ENDS)
+    return texts.groupBy("g").cogroup(arriving.unionByName(asked).groupBy("g")).applyInArrow(by_groups(compared), _ENDS)
 
 
 def group_of(columns: str | list[str], groups: int) -> Column:
@@ -263,7 +264,7 @@ def _prefix_pairs(texts: DataFrame, labels: DataFrame, groups: int, percent: flo
                               size=np.repeat(count, count).astype(np.int32), shingle=signed(values)))
 
     tokens = texts.groupBy("g").cogroup(labels.withColumn("g", group_of(key, groups)).groupBy("g")).applyInArrow(
-        sent, "d long, v long, component long, size int, shingle long")
+        by_groups(sent), "d long, v long, component long, size int, shingle long")
     counts = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     # The place of a shingle in the order of its set, from the rarest on; only places that can matter go on.
     ordered = tokens.join(counts, "shingle").groupBy("d", "v", "component", "size").agg(
@@ -322,16 +323,24 @@ def near_duplicates(docs: DataFrame, percent: float = PERCENT, id_column: str =
     least = percent / 100
     margin = least - DEVIATIONS * math.sqrt(least * (1 - least) / (rows * count))
     pairs = cut_lineage(_estimated(_candidates(members, SMALL), reps))
-    links = cut_lineage(confirmed(pairs.filter(F.col("likely") >= margin).select(*ENDS), texts, groups, percent)
-                        .select(F.col("ad").alias("a"), F.col("bd").alias("b")))
+    linked = lambda some: confirmed(some.select(*ENDS), texts, groups, percent).select(
+        F.col("ad").alias("a"), F.col("bd").alias("b"))
+    links = cut_lineage(linked(pairs.filter(F.col("likely") >= margin)))
     nodes = cut_lineage(components(links))
+    # Unlikely pairs come second, and only those that are not in one component by now.
+    known = [nodes.select(F.col("node").alias(f"{end}d"), F.col("component").alias(f"{end}c")) for end in "ab"]
+    apart = (pairs.filter(F.col("likely") < margin).join(known[0], "ad", "left").join(known[1], "bd", "left")
+             .filter(F.coalesce("ac", "ad") != F.coalesce("bc", "bd")))
+    late = cut_lineage(linked(apart))
+    if not late.isEmpty():
+        links = links.unionByName(late)
+        nodes = cut_lineage(components(links))
     part = F.coalesce("component", "d").alias("component")
     labelled = (members.filter(F.col("members") > SMALL).join(nodes, F.col("d") == F.col("node"), "left")
                 .select("bucket", "d", "v", part))
     mixed = (one_per_key(labelled, ["bucket"], F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low != high").select("bucket"))
-    unlikely = _ends_of(pairs.filter(F.col("likely") < margin)).join(nodes, F.col("d") == F.col("node"), "left").select("d", "v", part)
-    rest = cut_lineage(labelled.join(mixed, "bucket", "left_semi").select("d", "v", "component").unionByName(unlikely).distinct())
+    rest = cut_lineage(labelled.join(mixed, "bucket", "left_semi").select("d", "v", "component").distinct())
     some = _only(texts, rest.select("d", "v").distinct())
     found = _prefix_pairs(some, rest, groups, percent).withColumnsRenamed({"a": "ad", "b": "bd"})
     more = cut_lineage(confirmed(found, some, groups, percent).select(F.col("ad").alias("a"), F.col("bd").alias("b")))
