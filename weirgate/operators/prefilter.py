@@ -2,42 +2,26 @@
 
 A join of a small batch with a large table shuffles the table whole, though few of its rows have a key of the batch. ``only_likely``
 builds a filter of the batch's keys and keeps the rows of the table whose key it may hold: all that can join, and about one other in
-a hundred. What follows is the same join as before. The filter is sized by the number of keys; it is built by tasks, each for
-the keys of one slice of it, and broadcast. Beyond ``MOST_KEYS`` keys the batch is no small one: the table is returned as it is.
+a hundred. What follows is the same join as before. The filter is sized by the number of keys. It is built by tasks, each for
+the keys of one slice, as an array of 64-bit words; slices are broadcast and tested with built-in expressions, so the large side never
+leaves the JVM. Beyond ``MOST_KEYS`` keys the batch is no small one: the table is returned as it is.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weirgate.functions import bloom
+from weirgate.functions.bloom import PROBES, bits_for
+from weirgate.session import cut_lineage
 
-#: 40 MB of filter.
+#: 40 MB of filter, in slices of 1.25 MB.
 MOST_KEYS, SLICE_KEYS = 32_000_000, 1_000_000
 
 
-def _slice_filter(table: pa.Table) -> pa.Table:
-    hashes = np.unique(table.column("_hash").to_numpy())
-    return pa.table({"_slice": table.column("_slice").slice(0, 1), "filter": pa.array([bloom.made(hashes)], pa.binary())})
-
-
-def key_filter(batch: DataFrame, keys: list[str | Column]) -> tuple[int, dict[int, bytes]] | None:
-    """The filter of the distinct ``keys`` of a batch, by slices; None for a batch with too many keys. Null keys join with
-    nothing and take no part."""
-    hashed = batch.select(_hash(keys).alias("_hash")).where("_hash is not null")
-    count = hashed.agg(F.approx_count_distinct("_hash")).first()[0]
-    if count * 1.2 > MOST_KEYS:
-        return None
-    slices = max(-(-count // SLICE_KEYS), 1)
-    made = hashed.distinct().withColumn("_slice", F.pmod(F.col("_hash"), F.lit(slices)).cast("int")).groupBy("_slice").applyInArrow(
-        _slice_filter, "_slice int, filter binary")
-    return slices, {row["_slice"]: bytes(row["filter"]) for row in made.collect()}
-
-
 def _hash(keys: list[str | Column]) -> Column:
+    """A hash of the key; null where a part of it is null, which joins with nothing."""
     columns = [F.col(key) if isinstance(key, str) else key for key in keys]
     some = columns[0].isNotNull()
     for column in columns[1:]:
@@ -45,19 +29,28 @@ def _hash(keys: list[str | Column]) -> Column:
     return F.when(some, F.xxhash64(*columns))
 
 
-def _looked_up(slices: int, sent):
-    """Whether a filter may hold a key, by its hash."""
+def _places(hash_: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(hash_, F.lit(probe)), F.lit(bits)) for probe in range(PROBES)]
 
-    def held(hashes: pd.Series) -> pd.Series:
-        values = hashes.to_numpy()
-        out, part = np.zeros(len(values), bool), np.mod(values, slices)
-        for number in np.unique(part):
-            mine = part == number
-            if int(number) in sent.value:
-                out[mine] = bloom.may_hold(sent.value[int(number)], values[mine])
-        return pd.Series(out)
 
-    return F.pandas_udf(held, "boolean")
+def key_filter(batch: DataFrame, keys: list[str | Column]) -> tuple[int, int, DataFrame] | None:
+    """Slices, bits of each and the filter of the distinct ``keys`` of a batch as ``_slice, words``; None for too many keys."""
+    hashed = batch.select(_hash(keys).alias("_hash")).where("_hash is not null").distinct()
+    count = hashed.count()
+    if count > MOST_KEYS:
+        return None
+    slices = max(-(-count // SLICE_KEYS), 1)
+    bits = bits_for(-(-count // slices))
+
+    def packed(table: pa.Table) -> pa.Table:
+        held = np.zeros(bits, np.uint8)
+        held[table.column("place").to_numpy()] = 1
+        words = np.packbits(held, bitorder="little").view(np.int64)
+        return pa.table({"_slice": table.column("_slice").slice(0, 1), "words": pa.array([words], pa.list_(pa.int64()))})
+
+    placed = hashed.select(F.pmod("_hash", F.lit(slices)).cast("int").alias("_slice"),
+                           F.explode(F.array(*_places(F.col("_hash"), bits))).alias("place"))
+    return slices, bits, cut_lineage(placed.groupBy("_slice").applyInArrow(packed, "_slice int, words array<bigint>"))
 
 
 def only_likely(stored: DataFrame, batch: DataFrame, *keys: tuple[list[str | Column], list[str | Column]]) -> DataFrame:
@@ -65,15 +58,18 @@ def only_likely(stored: DataFrame, batch: DataFrame, *keys: tuple[list[str | Col
 
     Each of ``keys`` is a pair: the columns in ``stored`` and those in ``batch`` (of the same types); a row stays if any pair may match.
     """
-    kept = None
-    for theirs, ours in keys:
+    rows, kept = stored, None
+    for number, (theirs, ours) in enumerate(keys):
         found = key_filter(batch, ours)
         if found is None:
             return stored
-        slices, filters = found
-        sent = stored.sparkSession.sparkContext.broadcast(filters)
-
-        hashed = _hash(theirs)  # beside a null, whole numbers would come as floats
-        likely = hashed.isNotNull() & _looked_up(slices, sent)(F.coalesce(hashed, F.lit(0).cast("bigint")))
+        slices, bits, filters = found
+        hash_, slice_, words = (f"_{name}_{number}" for name in ("hash", "slice", "words"))
+        rows = rows.withColumn(hash_, _hash(theirs)).withColumn(slice_, F.pmod(F.col(hash_), F.lit(slices)).cast("int")).join(
+            F.broadcast(filters.withColumnsRenamed({"_slice": slice_, "words": words})), slice_, "left")
+        likely = F.col(words).isNotNull()
+        for place in _places(F.col(hash_), bits):
+            word = F.get(F.col(words), F.floor(place / 64).cast("int"))
+            likely = likely & (F.call_function("shiftright", word, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1)
         kept = likely if kept is None else kept | likely
-    return stored.where(kept)
+    return rows.where(F.coalesce(kept, F.lit(False))).select(*[F.col(f"`{name}`") for name in stored.columns])
