@@ -276,6 +276,17 @@ def test_components(spark):
     assert got == {node: one for node, one in label.items() if any(node in edge and edge[0] != edge[1] for edge in edges)}
 
 
+@pytest.mark.parametrize("more", [[], [(5, 5)], [(0, 1000), (1001, 2000), (2000, 3000), (7, 8), (4000, 4001)]])
+def test_components_grow_with_more_edges(spark, more):
+    first = [(k, k + 10) for k in range(40)] + [(k, k + 1) for k in range(1000, 1005)]
+    frame = lambda edges: spark.createDataFrame(edges, "a int, b int")
+    found = lambda nodes: {row.node: row.component for row in nodes.collect()}
+    nodes = components.components(frame(first))
+    want = found(components.components(frame(first + more)))
+    assert found(components.extended(nodes, frame(more))) == want
+    assert found(components.extended(components.components(frame([])), frame(first + more))) == want
+
+
 # Readers -------------------------------------------------------------------------------------------------------------------
 
 def test_entries_are_numbered_over_blocks(spark, tmp_path):

@@ -35,3 +35,18 @@ def components(edges: DataFrame) -> DataFrame:
     roots = held.select(F.col("b").alias("node")).distinct()
     return held.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component")))
+
+
+def extended(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``nodes`` (``node, component``) after more ``edges`` (``a, b``): only the components that these connect are looked at
+    again, as nodes of a smaller graph. Ends that are not among ``nodes`` are components of their own until then."""
+    labels = [nodes.select(F.col("node").alias(end), F.col("component").alias(f"_{end}")) for end in "ab"]
+    bridges = cut_lineage(
+        edges.join(labels[0], "a", "left").join(labels[1], "b", "left")
+        .select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a != b").distinct())
+    if bridges.isEmpty():
+        return nodes
+    roots = cut_lineage(components(bridges))
+    above = roots.select(F.col("node").alias("component"), F.col("component").alias("_root"))
+    moved = nodes.join(above, "component", "left").select("node", F.coalesce("_root", "component").alias("component"))
+    return moved.unionByName(roots.join(nodes, "node", "left_anti"))
