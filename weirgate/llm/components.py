@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from weirgate.operators.components import components
+from weirgate.operators.components import components, extended
 
-__all__ = ["components"]
+__all__ = ["components", "extended"]

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirgate.llm.common import batch, by_groups, documents, id_and_text, mapped, real_id
-from weirgate.llm.components import components
+from weirgate.llm.components import components, extended
 from weirgate.llm.kernels import flat, lower_ascii, mix, range_hashes, rolling_hashes, signed, words
 from weirgate.llm.passages import as_table, group_count, ids_of, rows_at, text_of, versions_of
 from weirgate.operators.keys import one_per_key
@@ -193,6 +193,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, groups: int, percent: float =
     """Those of ``pairs`` (``ad, av, bd, bv``) whose full sets are similar enough. ``texts`` (``d, v, text, g``) are in so many
     groups by id and version."""
     pairs = cut_lineage(pairs)
+    if pairs.isEmpty():  # nothing to compare: no text is read
+        return pairs
     texts = _only(texts, _ends_of(pairs))
     to = group_of(["bd", "bv"], groups).alias("g")
 
@@ -331,10 +333,7 @@ def near_duplicates(docs: DataFrame, percent: float = PERCENT, id_column: str =
     known = [nodes.select(F.col("node").alias(f"{end}d"), F.col("component").alias(f"{end}c")) for end in "ab"]
     apart = (pairs.filter(F.col("likely") < margin).join(known[0], "ad", "left").join(known[1], "bd", "left")
              .filter(F.coalesce("ac", "ad") != F.coalesce("bc", "bd")))
-    late = cut_lineage(linked(apart))
-    if not late.isEmpty():
-        links = links.unionByName(late)
-        nodes = cut_lineage(components(links))
+    nodes = cut_lineage(extended(nodes, cut_lineage(linked(apart))))
     part = F.coalesce("component", "d").alias("component")
     labelled = (members.filter(F.col("members") > SMALL).join(nodes, F.col("d") == F.col("node"), "left")
                 .select("bucket", "d", "v", part))
@@ -344,7 +343,7 @@ def near_duplicates(docs: DataFrame, percent: float = PERCENT, id_column: str =
     some = _only(texts, rest.select("d", "v").distinct())
     found = _prefix_pairs(some, rest, groups, percent).withColumnsRenamed({"a": "ad", "b": "bd"})
     more = cut_lineage(confirmed(found, some, groups, percent).select(F.col("ad").alias("a"), F.col("bd").alias("b")))
-    final = components(links.unionByName(more))
+    final = extended(nodes, more)
     done = (sketched.select("d", *key).join(classes.select(*key, F.col("rep.d").alias("rep")), key, "left")
             .join(final, F.col("rep") == F.col("node"), "left")
             .withColumn("c", F.coalesce("component", "rep", "d")))
