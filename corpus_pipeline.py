@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirgate.llm.common import free_name
 from weirgate.llm.mixing import EVENNESS, mixed, realised
-from weirgate.llm.near_dedup import PERCENT, near_duplicates
+from weirgate.llm.near_dedup import FEW_IDS, PERCENT, near_duplicates
 from weirgate.llm.packing import pack_documents
 from weirgate.llm.pii import redact_column
 from weirgate.llm.quality import kept_rows
 from weirgate.llm.token_counts import tokenizer_file
-from weirgate.session import shared_folder
+from weirgate.session import cut_lineage, shared_folder
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
@@ -39,10 +39,14 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, percent:
     folder = f"{shared_folder(spark)}/near-duplicates-{uuid4().hex}"
     docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(folder)
     rows = spark.read.parquet(folder)
-    groups = near_duplicates(rows, percent, id_column=row).select(F.col("doc_id").alias(row), "component_id")
-    kept = (groups.join(rows.select(row, "doc_id"), row).groupBy("component_id")
-            .agg(F.min(F.struct("doc_id", row)).alias(first)).select(f"{first}.{row}"))
-    return rows.join(kept, row, "left_semi").drop(row)
+    groups = near_duplicates(rows, percent, id_column=row).select(F.col("doc_id").alias(row), F.col("component_id").alias("component"))
+    later = cut_lineage(groups.filter(F.col(row) != F.col("component")))
+    members = later.unionByName(later.select(F.col("component").alias(row), "component").distinct())
+    stays = (members.join(rows.select(row, "doc_id"), row).groupBy("component")
+             .agg(F.min(F.struct("doc_id", row)).alias(first)).select(f"{first}.{row}"))
+    # Most documents stay: those that go are named to the scan while they are few, so that no text is shuffled.
+    gone = cut_lineage(members.join(stays, row, "left_anti").select(row))
+    return rows.join(F.broadcast(gone) if gone.count() <= FEW_IDS else gone, row, "left_anti").drop(row)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
