@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -284,3 +285,89 @@ def test_state_of_batches_without_keys(spark, tmp_path):
         fresh = sorted(row.k for row in held.fresh(frame, number).collect())
         held.add(held.fresh(frame, number), number)
     assert fresh == ["b"]
+
+
+def test_state_of_many_keys_is_shared(spark, tmp_path):
+    """Calls to the state follow the buckets, not the keys; null keys and numbers beyond a float are kept as they are."""
+    chooser = random.Random(8)
+    big = (1 << 60) + 1
+    keys = [*range(3000), big, None]
+    rows = []
+    for k in range(12_000):
+        digest = keys[k] if k < len(keys) else chooser.choice(keys)
+        failed = chooser.random() < 0.7
+        started = START + timedelta(seconds=k)
+        rows.append((digest, 1, k + big, "failed" if failed else "sent", "TELEGRAM_TIMEOUT" if failed else None, None, started,
+                     None if k % 50 == 0 else started))
+    stream = shuffled_batches(spark, str(tmp_path / "in"), rows, ATTEMPT_SCHEMA, "started_at")
+    query = run_to_files(ordered.due_retries(stream, "300 days"), tmp_path)
+    assert max(progress["stateOperators"][0]["numRowsTotal"] for progress in query.recentProgress) < 6000
+    schedule = delivery.retry_schedule(delivery.with_trials(spark.createDataFrame(rows, ATTEMPT_SCHEMA))).where(
+        "decision = 'retry' and finished_at is not null")
+    names = ("digest_id", "part_number", "attempt_number", "trial", "delay_seconds")
+    order = lambda row: (row[0] is None, row)
+    want = sorted((tuple(row) for row in schedule.select(*names).collect()), key=order)
+    got = sorted((tuple(row) for row in spark.read.parquet(str(tmp_path / "out")).select(*names).collect()), key=order)
+    assert got == want and len(got) > 4000 and any(row[0] is None for row in got) and any(row[0] == big for row in got)
+
+
+class _Calls:
+    """State variables in memory, with a count of calls."""
+
+    def __init__(self):
+        self.count = 0
+
+    def getListState(self, name, schema):
+        return _Held(self, [])
+
+    def getMapState(self, name, key_schema, schema):
+        return _Held(self, {})
+
+
+class _Held:
+    def __init__(self, calls, value):
+        self.calls, self.value = calls, value
+
+    def __getattribute__(self, name):
+        if name not in ("calls", "value"):
+            object.__getattribute__(self, "calls").count += 1
+        return object.__getattribute__(self, name)
+
+    def get(self):
+        return iter(self.value)
+
+    def appendList(self, rows):
+        self.value = [*self.value, *rows]
+
+    def put(self, rows):
+        self.value = rows
+
+    def clear(self):
+        self.value = []
+
+    def getValue(self, key):
+        return self.value[key]
+
+    def updateValue(self, key, row):
+        self.value[key] = row
+
+    def removeKey(self, key):
+        del self.value[key]
+
+
+def test_a_release_reads_the_pieces_it_reaches(monkeypatch):
+    monkeypatch.setattr(ordered, "PIECE_ROWS", 10)
+    calls = _Calls()
+    held = ordered.TimedRows(calls, "held", [("at_us", "bigint"), ("tie", "bigint")], "at_us")
+    held.add(pd.DataFrame({"at_us": range(999, -1, -1), "tie": range(1000)}))
+    calls.count = 0
+    due, least = held.take(4)
+    assert due["at_us"].tolist() == [0, 1, 2, 3, 4] and least == 5 and calls.count < 8
+    due, least = held.take(-1)
+    assert not len(due) and least == 5
+    held.add(pd.DataFrame({"at_us": [2], "tie": [7]}))
+    due, least = held.take(500)
+    assert sorted(due["at_us"]) == [2, *range(5, 501)] and least == 501
+    due, least = held.take(5000)
+    assert sorted(due["at_us"]) == list(range(501, 1000)) and least is None
+    assert held.parts.value == {} and held.listed.value == []
