@@ -180,3 +180,17 @@ def test_missing_parents(spark):
     sources = spark.createDataFrame([("s", "S")], "source_key string, name string")
     found = {row.news_item_id: row.missing_parent for row in digest.digest_lines(items, news, sources).collect()}
     assert found == {10: False, 11: True, 12: True}
+
+
+def test_tasks_of_digests_follow_the_rows(spark, folder, monkeypatch):
+    """Texts are sorted in tasks of bounded size, whatever the number of shuffle partitions, and once."""
+    from weirgate.plans import digests, tables
+
+    monkeypatch.setattr(tables, "TASK_ROWS", 100, raising=False)
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    items = tables.digest_items(spark, folder).groupBy(F.spark_partition_id().alias("task")).count()
+    assert max(row["count"] for row in items.collect()) < max(500, rows // 10)
+    blocks = digests._blocks(spark, folder)
+    plan = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [digest_id" in plan and f", {-(-rows // 100)}" in plan
+    assert blocks.count() == tables.digest_items(spark, folder).select("digest_id").distinct().count()

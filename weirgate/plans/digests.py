@@ -214,6 +214,8 @@ FROM part_news""", "digest_item", "part_news"))
 
 def _blocks(spark: SparkSession, folder: str) -> DataFrame:
     lines = digest.digest_lines(t.digest_items(spark, folder), t.part_news(spark, folder), t.brand_sources(spark, folder))
+    # No digest has more than seven lines here, so none is combined before the shuffle: that would sort all texts twice.
+    lines = t.dealt(lines, t.table(spark, folder, "lineitem"), "digest_id")
     titles = t.digests(spark, folder).select("run_id", "digest_title")
     return digest.digest_blocks(lines).withColumn("run_id", t.order_of()).join(titles, "run_id")
 
