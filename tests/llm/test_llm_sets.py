@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import brute
@@ -453,3 +454,35 @@ def test_plain_vectors_are_pruned_within_a_chunk():
     for k in range(64):
         assert search.scores[k].tolist() == np.sort(product[k])[::-1][:5].tolist()
     assert search.products < search.blocks
+
+
+def test_packing_leaves_no_encoder_in_its_workers(spark, tmp_path):
+    """Idle workers are taken in turn, so what one keeps after a task, all come to keep."""
+    import shutil
+    import sys
+
+    path = str(shutil.copy(tokenizer_file(), tmp_path / "own.json"))
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"))
+    assert packing.pack_documents(docs.repartition(8), path).count() == 40
+
+    def kept(batches):
+        for one in batches:
+            module = sys.modules.get("_weirgate_worker")
+            yield pa.RecordBatch.from_pydict({"n": [sum(path in key for key in module.__dict__ if isinstance(key, tuple))
+                                                    if module else 0]})
+
+    assert sum(row.n for row in spark.range(64).repartition(32).mapInArrow(kept, "n long").collect()) == 0
+
+
+def test_pretokens_are_encoded_in_parts(monkeypatch):
+    from weirgate.llm.pretokens import Encoder
+
+    text = " ".join(f"w{k} x{k % 7}é" for k in range(3000))
+    monkeypatch.setattr(Encoder, "TOGETHER", 50, raising=False)
+    encoder, held = Encoder(tokenizer_file()), []
+    encode = encoder.tokenizer.encode
+    encoder.tokenizer = type("Counted", (), {"encode": lambda self, some, **how: held.append(len(some)) or encode(some, **how),
+                                             "pre_tokenizer": encoder.tokenizer.pre_tokenizer})()
+    ids = encoder.encode(pa.array([text, None, "", text]))[0].tolist()
+    plain = encode(text, add_special_tokens=False).ids
+    assert ids == plain + plain and max(held) == 50

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from weirgate.llm.common import batch, documents, id_and_text, mapped, real_id
-from weirgate.llm.pretokens import encoder
+from weirgate.llm.pretokens import encoder, forget_encoder
 from weirgate.llm.token_counts import tokenizer_file
 from weirgate.session import cut_lineage
 
@@ -37,6 +37,8 @@ TOGETHER = 96
 #: Rounds by which the cover of a length may run ahead.
 SPREAD = 8
 BUCKET_ROWS = 50_000
+#: Bytes of text that are cut and encoded at a time.
+SLICE = 1 << 18
 
 
 def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = True,
@@ -64,7 +66,8 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int =
                      ids=pa.array([bytes(one) if with_ids else None for one in cut], pa.binary()))
 
     return mapped(id_and_text(docs, id_column, text_column), work,
-                  "d long, piece int, start long, length long, ids_crc32 long, ids binary")
+                  "d long, piece int, start long, length long, ids_crc32 long, ids binary", limit=SLICE,
+                  after=lambda: forget_encoder(path))
 
 
 def best_fillings(prices: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

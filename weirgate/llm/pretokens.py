@@ -61,6 +61,8 @@ class Encoder:
     """The tokenizer of one file with a bounded cache of encoded pre-tokens. One per worker process."""
 
     ROOM = 400_000
+    #: Pre-tokens that the library encodes at a time: what it builds for each token weighs many times its id.
+    TOGETHER = 4_096
 
     def __init__(self, path: str):
         import json
@@ -177,12 +179,13 @@ class Encoder:
 
     def learn(self, pretokens: list[str], hashes: np.ndarray) -> None:
         """Encode pre-tokens and keep them."""
-        sizes = np.zeros(0, np.int64)
-        ids = np.zeros(0, np.int32)
-        if pretokens:
-            made = self.tokenizer.encode(pretokens, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(made.ids, np.int32)
-            sizes = np.bincount(np.array(made.word_ids, np.int64), minlength=len(pretokens))
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for first in range(0, len(pretokens), self.TOGETHER):
+            some = pretokens[first:first + self.TOGETHER]
+            made = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(made.ids, np.int32))
+            sizes.append(np.bincount(np.array(made.word_ids, np.int64), minlength=len(some)))
+        sizes, ids = np.concatenate(sizes), np.concatenate(ids)
         known = len(self.sizes)
         base = len(self.ids)
         self.places = np.concatenate((self.places, base + np.cumsum(sizes) - sizes))
@@ -240,3 +243,9 @@ def encoder(path: str) -> Encoder:
     if ("encoder", path) not in kept:
         kept["encoder", path] = Encoder(path)
     return kept["encoder", path]
+
+
+def forget_encoder(path: str) -> None:
+    """Drop this worker's encoder for the file: reading it again takes a fraction of a second, keeping it some 50 MB in every
+    worker that once had a task."""
+    _kept().pop(("encoder", path), None)
