@@ -62,8 +62,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their sequences and offsets."""
-    return pack_documents(docs, tokenizer_file(), with_ids=False)
+    """Token pieces with their sequences and offsets. Workers still hold what earlier stages left, so memory is spared."""
+    return pack_documents(docs, tokenizer_file(), with_ids=False, lean=True)
 
 
 STAGES = [

@@ -456,14 +456,14 @@ def test_plain_vectors_are_pruned_within_a_chunk():
     assert search.products < search.blocks
 
 
-def test_packing_leaves_no_encoder_in_its_workers(spark, tmp_path):
+def test_lean_packing_leaves_no_encoder_in_its_workers(spark, tmp_path):
     """Idle workers are taken in turn, so what one keeps after a task, all come to keep."""
     import shutil
     import sys
 
     path = str(shutil.copy(tokenizer_file(), tmp_path / "own.json"))
     docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"))
-    assert packing.pack_documents(docs.repartition(8), path).count() == 40
+    assert packing.pack_documents(docs.repartition(8), path, lean=True).count() == 40
 
     def kept(batches):
         for one in batches:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from weirgate.llm.common import batch, documents, id_and_text, mapped, real_id
+from weirgate.llm.common import PIECE, batch, documents, id_and_text, mapped, real_id
 from weirgate.llm.pretokens import encoder, forget_encoder
 from weirgate.llm.token_counts import tokenizer_file
 from weirgate.session import cut_lineage
@@ -37,13 +37,15 @@ TOGETHER = 96
 #: Rounds by which the cover of a length may run ahead.
 SPREAD = 8
 BUCKET_ROWS = 50_000
-#: Bytes of text that are cut and encoded at a time.
+#: Bytes of text that are cut and encoded at a time where memory is short.
 SLICE = 1 << 18
 
 
 def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = True,
-                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``d, piece, start, length, ids_crc32`` and the piece's ``ids`` (null unless ``with_ids``)."""
+                 id_column: str = "doc_id", text_column: str = "text", lean: bool = False) -> DataFrame:
+    """``d, piece, start, length, ids_crc32`` and the piece's ``ids`` (null unless ``with_ids``).
+
+    ``lean``: smaller slices, and workers keep no encoder after a task; less memory for more CPU time."""
 
     def work(rows: pa.RecordBatch) -> pa.RecordBatch:
         ids, bounds = encoder(path).encode(rows.column("text"))
@@ -66,8 +68,8 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int =
                      ids=pa.array([bytes(one) if with_ids else None for one in cut], pa.binary()))
 
     return mapped(id_and_text(docs, id_column, text_column), work,
-                  "d long, piece int, start long, length long, ids_crc32 long, ids binary", limit=SLICE,
-                  after=lambda: forget_encoder(path))
+                  "d long, piece int, start long, length long, ids_crc32 long, ids binary", limit=SLICE if lean else PIECE,
+                  after=(lambda: forget_encoder(path)) if lean else None)
 
 
 def best_fillings(prices: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -250,10 +252,10 @@ def pack(pieces: DataFrame, length: int = LENGTH, rounds: int = ROUNDS) -> DataF
 
 
 def pack_documents(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = True,
-                   id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+                   id_column: str = "doc_id", text_column: str = "text", lean: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` for every piece, and ``ids`` (little-endian
-    unsigned 32-bit) where asked for."""
-    pieces = token_pieces(docs, path, length, end_id, with_ids, id_column, text_column)
+    unsigned 32-bit) where asked for. ``lean``: see ``token_pieces``."""
+    pieces = token_pieces(docs, path, length, end_id, with_ids, id_column, text_column, lean)
     packed = pack(cut_lineage(pieces if with_ids else pieces.drop("ids")), length)
     return packed.select(real_id().alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset",
                          *(["ids"] if with_ids else []))

@@ -247,5 +247,8 @@ def encoder(path: str) -> Encoder:
 
 def forget_encoder(path: str) -> None:
     """Drop this worker's encoder for the file: reading it again takes a fraction of a second, keeping it some 50 MB in every
-    worker that once had a task."""
+    worker that once had a task. Functions travel by value, so the tables of its hashes hang in a cycle of their own."""
+    import gc
+
     _kept().pop(("encoder", path), None)
+    gc.collect()
