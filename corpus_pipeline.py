@@ -9,6 +9,8 @@ Documents that come several times in the mixture are packed as often. Extra colu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,18 +22,35 @@ from weirgate.llm.packing import pack_documents
 from weirgate.llm.pii import redact_column
 from weirgate.llm.quality import kept_rows
 from weirgate.llm.token_counts import tokenizer_file
-from weirgate.session import cut_lineage, shared_folder
+from weirgate.session import arrow_batches, cut_lineage, shared_folder
+
+
+#: Bytes of a batch that goes to Python: workers and executors hold what several stages left, so each should need little.
+BATCH = 1 << 20
+
+
+def _sparing(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The jobs that ``stage`` runs by itself take small batches; what its result computes follows the caller's setting."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, *given, **named) -> DataFrame:
+        with arrow_batches(spark, BATCH):
+            return stage(spark, *given, **named)
+
+    return run
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
+@_sparing
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the risk-controlled thresholds keep."""
     return kept_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@_sparing
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: float = PERCENT) -> DataFrame:
     """One row of each group of near duplicates (similar by ``percent`` or more): the one with the smallest id. Every row is a
     document of its own here, whatever its id: the number it is known by is written once, so that all reads of it agree."""
@@ -61,6 +80,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return realised(mixed(docs, evenness=EVENNESS, **names), **names)
 
 
+@_sparing
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequences and offsets. Workers still hold what earlier stages left, so memory is spared."""
     return pack_documents(docs, tokenizer_file(), with_ids=False, lean=True)

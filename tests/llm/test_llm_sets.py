@@ -17,6 +17,7 @@ import corpus_pipeline
 from weirgate.llm import mixing, near_dedup, packing, topk
 from weirgate.llm.components import components
 from weirgate.llm.token_counts import tokenizer_file
+from weirgate.session import arrow_batches
 
 
 def _groups(frame):
@@ -486,3 +487,48 @@ def test_pretokens_are_encoded_in_parts(monkeypatch):
     ids = encoder.encode(pa.array([text, None, "", text]))[0].tolist()
     plain = encode(text, add_special_tokens=False).ids
     assert ids == plain + plain and max(held) == 50
+
+
+def test_pipeline_stages_send_small_batches(spark, monkeypatch, tmp_path):
+    """A stage's own jobs take batches of about a megabyte, not whole partitions; the session's setting comes back."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    texts = [(k, f"{k} " + "some words of a text " * 500) for k in range(600)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    seen = {}
+
+    def watched(name):
+        def sizes(batches):
+            yield pa.RecordBatch.from_pydict({"size": [rows.nbytes for rows in batches]})
+
+        def operator(rows, *_, **named):
+            seen[name] = [row.size for row in rows.select("doc_id", "text").mapInArrow(sizes, "size long").collect()]
+            return rows.select(F.col(named["id_column"]).alias("doc_id"), F.col(named["id_column"]).alias("component_id")) \
+                if "id_column" in named else rows
+
+        monkeypatch.setattr(corpus_pipeline, name, operator)
+
+    for name in ("kept_rows", "near_duplicates", "pack_documents"):
+        watched(name)
+    for stage in (corpus_pipeline.quality_stage, corpus_pipeline.near_dedup_stage, corpus_pipeline.packing_stage):
+        assert stage(spark, docs, str(tmp_path)).count() == len(texts)
+    total = sum(len(text) for _, text in texts)
+    assert set(seen) == {"kept_rows", "near_duplicates", "pack_documents"}
+    for sizes in seen.values():
+        assert sum(sizes) >= total > 5 * corpus_pipeline.BATCH and max(sizes) < 2 * corpus_pipeline.BATCH
+    assert spark.conf.get(setting) == before
+
+
+def test_batch_setting_comes_back(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    other = spark.newSession()
+    other.conf.unset(setting)
+    with pytest.raises(ZeroDivisionError), arrow_batches(other, 5000):
+        assert other.conf.get(setting).rstrip("b") == "5000"
+        raise ZeroDivisionError
+    assert other.conf.get(setting, None) is None
+    other.conf.set(setting, "70000")
+    with arrow_batches(other, 5000):
+        pass
+    assert other.conf.get(setting) == "70000"
