@@ -14,7 +14,8 @@ from tokenizers import Tokenizer
 
 import brute
 import corpus_pipeline
-from weirgate.llm import mixing, near_dedup, packing, topk
+from weirgate.llm import common, mixing, near_dedup, packing, pretokens, quality, topk
+from weirgate.llm.common import SMALL_PIECE
 from weirgate.llm.components import components
 from weirgate.llm.token_counts import tokenizer_file
 from weirgate.session import arrow_batches
@@ -532,3 +533,60 @@ def test_batch_setting_comes_back(spark):
     with arrow_batches(other, 5000):
         pass
     assert other.conf.get(setting) == "70000"
+
+
+def _noted(monkeypatch, module, name, folder):
+    """``module.name`` leaves a file in the folder for each call, named by the bytes of its texts."""
+    plain, place = getattr(module, name), str(folder)
+
+    def noted(texts, *given):
+        import pathlib
+        import uuid
+
+        pathlib.Path(place, f"{texts.nbytes}-{uuid.uuid4().hex}").touch()
+        return plain(texts, *given)
+
+    monkeypatch.setattr(module, name, noted)
+    return lambda: [int(one.name.split("-")[0]) for one in folder.iterdir()]
+
+
+@pytest.mark.parametrize("module, name", [(quality, "measures"), (near_dedup, "shingles")])
+def test_work_on_words_takes_small_slices(spark, monkeypatch, tmp_path, module, name):
+    """The arrays of a slice weigh tens of times its text, and two workers of an executor hold them at a time."""
+    docs = spark.createDataFrame([(k, f"{k} " + "some words of a text " * 200, "en") for k in range(400)],
+                                 "doc_id long, text string, lang string").coalesce(1)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    sizes = _noted(monkeypatch, module, name, tmp_path)
+    rows = quality.kept_rows(docs, labels) if module is quality else near_dedup.near_duplicates(docs, groups=40)
+    rows.write.format("noop").mode("overwrite").save()
+    assert sum(sizes()) > 4 * SMALL_PIECE and max(sizes()) < 1.2 * SMALL_PIECE
+
+
+def test_memory_goes_back_after_bytes_of_groups(monkeypatch):
+    """A task of few groups hands back what they took; many small groups do so from time to time."""
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    large, small = pa.table({"text": ["x" * SMALL_PIECE]}), pa.table({"text": ["x"]})
+    one, two = common.by_groups(lambda table: table), common.by_groups(lambda left, right: right)
+    assert one(large) is large and two(large, small) is small and len(calls) == 2
+    for _ in range(128):
+        one(small)
+    assert len(calls) == 4
+
+
+def test_reading_a_tokenizer_hands_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(pretokens, "give_back", lambda: calls.append(1))
+    monkeypatch.setattr(pretokens, "_kept", lambda kept={}: kept)
+    assert pretokens.encoder(tokenizer_file()) is pretokens.encoder(tokenizer_file()) and calls == [1]
+
+
+def test_prefix_sets_are_made_in_one_job(spark, monkeypatch, tmp_path):
+    """The sets are made for their counts and for their order, not again for the shingles of several components."""
+    base = [f"b{k}" for k in range(104)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:98] + [f"y{k}" for k in range(6)])), (3, " ".join(f"z{k}" for k in range(104)))]
+    texts = spark.createDataFrame(rows, "d long, text string").withColumn("g", F.lit(0).cast("long"))
+    labels = spark.createDataFrame([(k, k) for k in (1, 2, 3)], "d long, component long")
+    sizes = _noted(monkeypatch, near_dedup, "sets", tmp_path)
+    found = {(row.a, row.b) for row in near_dedup._prefix_pairs(texts, labels, 1, 85).collect()}
+    assert found == {(2, 1)} and len(sizes()) <= 2

@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weirgate.llm.common import batch, by_groups, documents, id_and_text, mapped, real_id
+from weirgate.llm.common import SMALL_PIECE, batch, by_groups, documents, id_and_text, mapped, real_id
 from weirgate.llm.components import components, extended
 from weirgate.llm.kernels import flat, lower_ascii, mix, range_hashes, rolling_hashes, signed, words
 from weirgate.llm.passages import as_table, group_count, ids_of, rows_at, text_of, versions_of
@@ -274,7 +274,7 @@ def _prefix_pairs(texts: DataFrame, labels: DataFrame, groups: int, percent: flo
     reach = F.expr(f"size - cast(ceil({percent} * size / 100D) as int) + 1")
     held = ["d", "v", "component", "size", "place"]
     placed = ordered.select(*held[:-1], F.posexplode(F.slice("order", F.lit(1), reach)).alias("place", "own"))
-    one = placed.select(*held, F.col("own.shingle").alias("shingle")).filter("own.n > 1")
+    one = cut_lineage(placed.filter("own.n > 1").select(*held, F.col("own.shingle").alias("shingle")))  # sets are made and ordered once
     # For each shingle the component with most rows, its main one, does not meet itself: of a pair, x is outside it.
     rows = one.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
     several = cut_lineage(rows.groupBy("shingle").agg(
@@ -312,7 +312,7 @@ def near_duplicates(docs: DataFrame, percent: float = PERCENT, id_column: str =
     groups = groups or group_count(docs)
     rows, count = banding(percent)
     texts = id_and_text(docs, id_column, text_column).withColumn("v", F.xxhash64("text"))
-    sketched = cut_lineage(mapped(texts.select("d", "v", "text"), _sketches(rows * count), _SKETCH))
+    sketched = cut_lineage(mapped(texts.select("d", "v", "text"), _sketches(rows * count), _SKETCH, limit=SMALL_PIECE))
     texts = texts.withColumn("g", group_of(["d", "v"], groups))
     key = ["n", "low", "high"]
     # A class of copies may be large: reduced apart, so that the joins with its members can be split.

@@ -13,6 +13,7 @@ import types
 import numpy as np
 import pyarrow as pa
 
+from weirgate.llm.common import give_back
 from weirgate.llm.kernels import flat, range_hashes
 
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
@@ -242,6 +243,7 @@ def encoder(path: str) -> Encoder:
     kept = _kept()
     if ("encoder", path) not in kept:
         kept["encoder", path] = Encoder(path)
+        give_back()  # what reading the file took, some 20 MB
     return kept["encoder", path]
 
 

@@ -33,7 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from weirgate.llm.common import NO_ID, batch, documents, free_name, mapped, pieces, real_id
+from weirgate.llm.common import NO_ID, SMALL_PIECE, batch, documents, free_name, mapped, pieces, real_id
 from weirgate.llm.kernels import WHITE, flat, mix, range_hashes, rolling_hashes, windows, words
 from weirgate.operators.keys import one_per_key
 from weirgate.session import cut_lineage
@@ -124,7 +124,7 @@ def scores(docs: DataFrame, stratum_column: str = "lang", id_column: str = "doc_
     def work(rows: pa.RecordBatch) -> pa.RecordBatch:
         return batch(d=rows.column("d"), stratum=rows.column("stratum"), **measures(rows.column("text")))
 
-    return mapped(given, work, _SCORES)
+    return mapped(given, work, _SCORES, limit=SMALL_PIECE)
 
 
 def most_rejected(count: int, part: float, level: float) -> int:
@@ -275,7 +275,7 @@ def kept_rows(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
     place = docs.columns.index(text_column)
 
     def run(batches):
-        for rows in pieces(batches, place):
+        for rows in pieces(batches, place, SMALL_PIECE):
             made = measures(rows.column(place))
             yield pa.RecordBatch.from_arrays([*rows.columns, *[pa.array(made[name]) for name in needed]],
                                              names=[*rows.schema.names, *[names[name] for name in needed]])
